@@ -207,3 +207,7 @@ def q_publish_projection(spark, sf):
     df = FD.publish_projection(_kept(spark, sf).withColumn("source_url", F.lit("")))
     return df.select("event_id", "source_rank", "chunk_idx", "event_idx", "title", "date_raw", "time_raw",
                      "location", "category")
+
+
+# the text/source/extraction entries register themselves on import
+from calforge.plans import catalog_text  # noqa: E402,F401

@@ -131,7 +131,11 @@ def fx2_framed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     with a leading '/'."""
     pages = table(spark, sf_dir, "pages")
     nxt = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
-    src = F.expr(FX2_SRC.replace("n.url", "next_url").replace("p.", ""))
+    pid, path = F.col("page_id"), F.regexp_extract("url", PATH_RE, 1)
+    src = (F.when(pid % 50 == 0, F.concat(F.lit(MISSING_FRAME_ROOT), pid.cast("string")))
+            .when(pid % 20 == 0, F.coalesce("next_url", F.lit("")))
+            .when(pid % 30 == 0, F.substring(path, 2, 1 << 30))
+            .otherwise(path))
     wrapped = F.concat(F.lit('<html><body><iframe src="'), src, F.lit('"></iframe></body></html>'))
     return (pages.join(nxt, "page_id", "left")
             .select("page_id", "url",

@@ -20,8 +20,9 @@ def key_sql(title: str, date: str) -> str:
 AS_OF_SQL = f"DATE '{AS_OF}'"
 
 # candidates with E1/E3/E5 columns
-PREPARED_CTE = f"""
-c AS ({FX4_SQL}),
+def prepared_cte(cand_sql: str) -> str:
+    return f"""
+c AS ({cand_sql}),
 p AS (
   SELECT *, {classify_sql('category_raw')} AS category,
          {parse_date_sql('date_raw')} AS event_date,
@@ -38,8 +39,12 @@ st AS (
   FROM p),
 kept AS (SELECT * EXCLUDE (reject_reason) FROM st WHERE reject_reason IS NULL)"""
 
+
+PREPARED_CTE = prepared_cte(FX4_SQL)
+
 # F1-F3 on kept events, then the global first-wins with the start time
-FEED_CTE = PREPARED_CTE + f""",
+def feed_cte(cand_sql: str) -> str:
+    return prepared_cte(cand_sql) + f""",
 fp AS (
   SELECT event_id, source_rank, chunk_idx, event_idx,
          {bucket_sql('category')} AS category,
@@ -81,5 +86,8 @@ envelope AS (
 lines AS (SELECT * FROM envelope UNION ALL SELECT * FROM body)"""
 
 
+FEED_CTE = feed_cte(FX4_SQL)
+
+
 def with_cte(cte: str, select: str) -> str:
     return f"WITH {cte.strip()}\n{select}"
