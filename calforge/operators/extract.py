@@ -89,23 +89,31 @@ def event_defaults(df: DataFrame, default_time: str = DEFAULT_TIME) -> DataFrame
 def extract_native(chunks: DataFrame, default_year: int = DEFAULT_YEAR, default_time: str = DEFAULT_TIME,
                    keys=("source_rank", "source_name", "chunk_idx")) -> DataFrame:
     """X5 default stage: card lines and item blocks of a chunk -> candidate events,
-    ``event_idx`` = line position inside the chunk."""
+    ``event_idx`` = position among the chunk's events (as in a model's answer)."""
     with_lines = chunks.select(*keys, F.split(F.coalesce(F.col("chunk"), F.lit("")), "\n").alias("_lines"))
     lines = F.col("_lines")
     look = F.transform(lines, lambda l, i: F.struct(
         i.alias("pos"), l.alias("l0"),
         F.get(lines, i + 1).alias("l1"), F.get(lines, i + 2).alias("l2"), F.get(lines, i + 3).alias("l3")))
-    heads = F.filter(look, lambda s: s["l0"].startswith("Event: "))
-    ex = with_lines.select(*keys, F.explode(heads).alias("_s")).select(*keys, "_s.*")
+
+    def is_card(s):
+        return s["l0"].rlike(CARD_LINE_RE)
+
+    def is_block(s):
+        return (s["l0"].startswith("Event: ") & ~is_card(s) & s["l1"].startswith("Date: ")
+                & s["l2"].startswith("Time: ") & s["l3"].startswith("Location: "))
+
+    # events only, so the position after the filter is the event's index in the chunk
+    evs = F.filter(look, lambda s: F.coalesce(is_card(s) | is_block(s), F.lit(False)))
+    ex = with_lines.select(*keys, F.posexplode(evs).alias("event_idx", "_s")).select(*keys, "event_idx", "_s.*")
     l0, l1, l2, l3 = (F.col(x) for x in ("l0", "l1", "l2", "l3"))
-    is_card = l0.rlike(CARD_LINE_RE)
-    is_block = (~is_card & l1.startswith("Date: ") & l2.startswith("Time: ") & l3.startswith("Location: "))
-    title = F.when(is_card, F.regexp_extract(l0, CARD_LINE_RE, 1)).otherwise(F.regexp_extract(l0, BLOCK_HEAD_RE, 1))
-    date_text = F.when(is_card, F.regexp_extract(l0, CARD_LINE_RE, 2)).otherwise(F.substring(l1, 7, 1 << 30))
-    time_text = F.when(is_card, date_text).otherwise(F.substring(l2, 7, 1 << 30))
-    place = F.when(is_card, F.regexp_extract(l0, CARD_LINE_RE, 3)).otherwise(F.substring(l3, 11, 1 << 30))
-    out = ex.where(is_card | is_block).select(
-        *keys, F.col("pos").cast("bigint").alias("event_idx"),
+    card = l0.rlike(CARD_LINE_RE)
+    title = F.when(card, F.regexp_extract(l0, CARD_LINE_RE, 1)).otherwise(F.regexp_extract(l0, BLOCK_HEAD_RE, 1))
+    date_text = F.when(card, F.regexp_extract(l0, CARD_LINE_RE, 2)).otherwise(F.substring(l1, 7, 1 << 30))
+    time_text = F.when(card, date_text).otherwise(F.substring(l2, 7, 1 << 30))
+    place = F.when(card, F.regexp_extract(l0, CARD_LINE_RE, 3)).otherwise(F.substring(l3, 11, 1 << 30))
+    out = ex.select(
+        *keys, F.col("event_idx").cast("bigint").alias("event_idx"),
         title.alias("title"), iso_date(date_text, default_year).alias("date_raw"),
         hh_mm(time_text).alias("time_raw"), place.alias("location"),
         title.alias("category_raw"), F.lit("").alias("description"))

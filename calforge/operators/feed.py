@@ -143,6 +143,11 @@ def ics_envelope(prepared: DataFrame) -> DataFrame:
     return head.unionByName(foot)
 
 
+def published_events(events: DataFrame, domain: str = UID_DOMAIN) -> DataFrame:
+    """The events a build writes (global winners with a valid start), with uid."""
+    return with_uid(dedup_global(prepare(events)).where(F.col("start_ts").isNotNull()), domain)
+
+
 def build_feed(events: DataFrame, dtstamp: str | None = None, domain: str = UID_DOMAIN) -> DataFrame:
     """events -> line table of all calendars."""
     dtstamp = dtstamp or utc_stamp()
@@ -186,5 +191,5 @@ def feed_counts(events: DataFrame) -> DataFrame:
 __all__ = [
     "CATEGORIES", "LINE_COLS", "approved_events", "build_feed", "category_bucket", "dedup_global",
     "escape_fields", "feed_counts", "feed_defaults", "ics_document", "ics_envelope", "ics_events",
-    "prepare", "publish_projection", "utc_stamp", "with_uid",
+    "prepare", "publish_projection", "published_events", "utc_stamp", "with_uid",
 ]

@@ -211,3 +211,4 @@ def q_publish_projection(spark, sf):
 
 # the text/source/extraction entries register themselves on import
 from calforge.plans import catalog_text  # noqa: E402,F401
+from calforge.plans import catalog_more  # noqa: E402,F401

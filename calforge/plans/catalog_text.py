@@ -362,7 +362,9 @@ SELECT source_rank, source_name, chunk_idx, event_idx, title, date_raw,
        CASE WHEN location IN ({unknown}) OR coalesce(location, '') = '' THEN source_name ELSE location END AS location,
        category_raw, description
 FROM (
-  SELECT source_rank, source_name, chunk_idx, CAST(pos AS BIGINT) AS event_idx, {title} AS title,
+  SELECT source_rank, source_name, chunk_idx,
+         CAST(row_number() OVER (PARTITION BY source_rank, source_name, chunk_idx ORDER BY pos) - 1 AS BIGINT)
+           AS event_idx, {title} AS title,
          {X.iso_date_sql(f'({date_text})')} AS date_raw, {X.hh_mm_sql(f'({time_text})')} AS time_raw,
          {place} AS location, {title} AS category_raw, '' AS description
   FROM (

@@ -20,7 +20,8 @@ def key_sql(title: str, date: str) -> str:
 AS_OF_SQL = f"DATE '{AS_OF}'"
 
 # candidates with E1/E3/E5 columns
-def prepared_cte(cand_sql: str) -> str:
+def prepared_cte(cand_sql: str, as_of: str = AS_OF) -> str:
+    AS_OF_SQL = f"DATE '{as_of}'"
     return f"""
 c AS ({cand_sql}),
 p AS (
@@ -43,8 +44,8 @@ kept AS (SELECT * EXCLUDE (reject_reason) FROM st WHERE reject_reason IS NULL)""
 PREPARED_CTE = prepared_cte(FX4_SQL)
 
 # F1-F3 on kept events, then the global first-wins with the start time
-def feed_cte(cand_sql: str) -> str:
-    return prepared_cte(cand_sql) + f""",
+def feed_cte(cand_sql: str, as_of: str = AS_OF) -> str:
+    return prepared_cte(cand_sql, as_of) + f""",
 fp AS (
   SELECT event_id, source_rank, chunk_idx, event_idx,
          {bucket_sql('category')} AS category,
