@@ -27,18 +27,29 @@ FALLBACK = "sonstiges"
 CATEGORIES: tuple[str, ...] = ("party", "kultur", "musik", "theater", "sonstiges")
 
 
-def classify(col, rules=DEFAULT_RULES, fallback: str = FALLBACK) -> Column:
-    label = F.lower(ustrip(F.col(col) if isinstance(col, str) else col))
+def label(col) -> Column:
+    """The text the rules look at: lowered and stripped."""
+    return F.lower(ustrip(F.col(col) if isinstance(col, str) else col))
+
+
+def classify_label(label_col, rules=DEFAULT_RULES, fallback: str = FALLBACK) -> Column:
+    """Rules over an already lowered/stripped label. Keep the label a column of its
+    own (``withColumn``) so the strip regex runs once per row, not once per keyword."""
+    lab = F.col(label_col) if isinstance(label_col, str) else label_col
     expr = None
     for category, keywords in rules:
         cond = None
         for kw in keywords:
-            hit = label.contains(kw)
+            hit = lab.contains(kw)
             cond = hit if cond is None else (cond | hit)
         expr = F.when(cond, F.lit(category)) if expr is None else expr.when(cond, F.lit(category))
     return F.coalesce(expr.otherwise(F.lit(fallback)), F.lit(fallback))
 
 
+def classify(col, rules=DEFAULT_RULES, fallback: str = FALLBACK) -> Column:
+    return classify_label(label(col), rules, fallback)
+
+
 def classify_sql(expr: str, rules=DEFAULT_RULES, fallback: str = FALLBACK) -> str:
     label = f"lower({ustrip_sql(expr)})"
     whens = []

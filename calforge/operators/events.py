@@ -22,7 +22,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calforge.functions.classify import CATEGORIES, classify
+from calforge.functions.classify import CATEGORIES, classify_label, label
 from calforge.functions.dates import parse_date
 from calforge.functions.text import ustrip
 
@@ -50,9 +50,12 @@ def event_key(title="title", date="date_raw") -> Column:
 # -- E1/E2 ---------------------------------------------------------------------------
 
 def classify_category(df: DataFrame, src: str = "category_raw", out: str = "category", rules=None) -> DataFrame:
-    """Category from free text (NULL -> 'sonstiges')."""
-    expr = classify(src) if rules is None else classify(src, rules)
-    return df.withColumn(out, expr)
+    """Category from free text (NULL -> 'sonstiges'). The stripped label is a
+    column of its own, so the strip runs once per row and the rule chain stays small
+    enough for whole-stage codegen."""
+    lab = df.withColumn("_label", label(src))
+    expr = classify_label("_label") if rules is None else classify_label("_label", rules)
+    return lab.withColumn(out, expr).drop("_label")
 
 
 def category_enum(df: DataFrame, col: str = "category") -> DataFrame:
