@@ -54,18 +54,30 @@ def union_all(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def frame_url(html, page_url) -> Column:
-    """SC6 url part: first ``<iframe>``'s src (empty/absent -> NULL); absolute if it
-    starts with 'http', else the page's site root plus the path (adding '/')."""
+def iframe_src(html) -> Column:
+    """First ``<iframe>``'s src attribute; NULL when there is no iframe, no src or an
+    empty one."""
     h = F.col(html) if isinstance(html, str) else html
-    u = F.col(page_url) if isinstance(page_url, str) else page_url
     attrs = F.regexp_extract(h, IFRAME_TAG_RE, 1)
-    src = F.when(h.rlike(IFRAME_TAG_RE) & attrs.rlike(SRC_ATTR_RE), F.regexp_extract(attrs, SRC_ATTR_RE, 1))
-    src = F.when(src != "", src)
+    src = F.regexp_extract(attrs, SRC_ATTR_RE, 1)
+    return F.when(h.rlike(IFRAME_TAG_RE) & attrs.rlike(SRC_ATTR_RE) & (src != ""), src)
+
+
+def resolve_src(src, page_url) -> Column:
+    """Absolute if it starts with 'http', else the page's site root plus the path
+    (adding '/' when needed)."""
+    s = F.col(src) if isinstance(src, str) else src
+    u = F.col(page_url) if isinstance(page_url, str) else page_url
     root = F.regexp_extract(u, URL_ROOT_RE, 1)
-    return (F.when(src.startswith("http"), src)
-             .when(src.startswith("/"), F.concat(root, src))
-             .when(src.isNotNull(), F.concat(root, F.lit("/"), src)))
+    return (F.when(s.startswith("http"), s)
+             .when(s.startswith("/"), F.concat(root, s))
+             .when(s.isNotNull(), F.concat(root, F.lit("/"), s)))
+
+
+def with_frame_url(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """SC6 url part, in two projections so the src regexes run once per row."""
+    return (pages.withColumn("_src", iframe_src(html))
+            .withColumn("frame_url", resolve_src("_src", url)).drop("_src"))
 
 
 def frame_resolve(pages: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
@@ -77,7 +89,7 @@ def frame_resolve(pages: DataFrame, lookup: DataFrame | None = None) -> DataFram
     small, so the page table is filtered in place instead of shuffled); a url that
     occurs more than once resolves to its newest copy (highest page_id)."""
     lookup = pages if lookup is None else lookup
-    with_src = pages.withColumn("frame_url", frame_url("html", "url"))
+    with_src = with_frame_url(pages)
     framed = with_src.where(F.col("frame_url").isNotNull())
     own = with_src.where(F.col("frame_url").isNull())
     wanted = framed.select("frame_url").distinct()
