@@ -63,10 +63,12 @@ def strip_blocks_sql(expr: str, tags=NOISE_TAGS, void_tags=()) -> str:
 
 
 def decode_entities(col) -> Column:
-    c = _c(col)
+    """Literal replaces, skipped entirely for text without '&'."""
+    src = _c(col)
+    c = src
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    return F.when(src.contains("&"), F.replace(c, F.lit("&amp;"), F.lit("&"))).otherwise(src)
 
 
 def _sql_lit(s: str) -> str:

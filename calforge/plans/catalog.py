@@ -7,8 +7,6 @@ sides; dates/timestamps are rendered as text so both engines hash the same value
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +17,7 @@ from calforge.operators import feed as FD
 from calforge.plans import fixtures as FX
 from calforge.plans.sqlparts import FEED_CTE, PREPARED_CTE, with_cte
 
-Builder = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Builder] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Builder) -> Builder:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
+from calforge.plans.book import ORACLE, QUERIES, register  # noqa: F401
 
 
 def _d(col: str) -> F.Column:
@@ -208,7 +195,3 @@ def q_publish_projection(spark, sf):
     return df.select("event_id", "source_rank", "chunk_idx", "event_idx", "title", "date_raw", "time_raw",
                      "location", "category")
 
-
-# the text/source/extraction entries register themselves on import
-from calforge.plans import catalog_text  # noqa: E402,F401
-from calforge.plans import catalog_more  # noqa: E402,F401

@@ -10,7 +10,7 @@ from calforge.operators import extract as X
 from calforge.operators import feed as FD
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
-from calforge.plans.catalog import register
+from calforge.plans.book import register
 from calforge.plans.catalog_text import (EXTRACT_SQL, LISTING_CHUNKS_SQL, _card_pages, _card_text_sql,
                                          _extract_sql)
 from calforge.plans.plugins import LineFormatExtractor

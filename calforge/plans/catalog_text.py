@@ -14,7 +14,7 @@ from calforge.operators import html as HT
 from calforge.operators import listing as L
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
-from calforge.plans.catalog import register
+from calforge.plans.book import register
 from calforge.plans.sqlparts import feed_cte, with_cte
 from calforge.session import scratch_path
 from calforge.sources import pages as P
