@@ -103,20 +103,31 @@ def extract_native(chunks: DataFrame, default_year: int = DEFAULT_YEAR, default_
         return (s["l0"].startswith("Event: ") & ~is_card(s) & s["l1"].startswith("Date: ")
                 & s["l2"].startswith("Time: ") & s["l3"].startswith("Location: "))
 
-    # events only, so the position after the filter is the event's index in the chunk
+    def raw(s):  # the four text fields of one event line/block
+        card = s["l0"].rlike(CARD_LINE_RE)
+        return F.struct(
+            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 1))
+             .otherwise(F.regexp_extract(s["l0"], BLOCK_HEAD_RE, 1)).alias("title"),
+            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 2))
+             .otherwise(F.substring(s["l1"], 7, 1 << 30)).alias("date_text"),
+            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 2))
+             .otherwise(F.substring(s["l2"], 7, 1 << 30)).alias("time_text"),
+            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 3))
+             .otherwise(F.substring(s["l3"], 11, 1 << 30)).alias("location"))
+
+    def fields(r):  # normalised date/time from the raw texts (read as struct fields)
+        return F.struct(r["title"].alias("title"), iso_date(r["date_text"], default_year).alias("date_raw"),
+                        hh_mm(r["time_text"]).alias("time_raw"), r["location"].alias("location"))
+
+    # events only (the position after the filter is the event's index in the chunk);
+    # all fields are computed inside the generator, so filters on them downstream
+    # (validation) cannot be pushed below it and re-run the regexes
     evs = F.filter(look, lambda s: F.coalesce(is_card(s) | is_block(s), F.lit(False)))
-    ex = with_lines.select(*keys, F.posexplode(evs).alias("event_idx", "_s")).select(*keys, "event_idx", "_s.*")
-    l0, l1, l2, l3 = (F.col(x) for x in ("l0", "l1", "l2", "l3"))
-    card = l0.rlike(CARD_LINE_RE)
-    title = F.when(card, F.regexp_extract(l0, CARD_LINE_RE, 1)).otherwise(F.regexp_extract(l0, BLOCK_HEAD_RE, 1))
-    date_text = F.when(card, F.regexp_extract(l0, CARD_LINE_RE, 2)).otherwise(F.substring(l1, 7, 1 << 30))
-    time_text = F.when(card, date_text).otherwise(F.substring(l2, 7, 1 << 30))
-    place = F.when(card, F.regexp_extract(l0, CARD_LINE_RE, 3)).otherwise(F.substring(l3, 11, 1 << 30))
+    evs = F.transform(F.transform(evs, raw), fields)
+    ex = with_lines.select(*keys, F.posexplode(evs).alias("event_idx", "_e"))
     out = ex.select(
-        *keys, F.col("event_idx").cast("bigint").alias("event_idx"),
-        title.alias("title"), iso_date(date_text, default_year).alias("date_raw"),
-        hh_mm(time_text).alias("time_raw"), place.alias("location"),
-        title.alias("category_raw"), F.lit("").alias("description"))
+        *keys, F.col("event_idx").cast("bigint").alias("event_idx"), "_e.title", "_e.date_raw", "_e.time_raw",
+        "_e.location", F.col("_e.title").alias("category_raw"), F.lit("").alias("description"))
     return event_defaults(out, default_time)
 
 
@@ -160,7 +171,8 @@ def parse_event_json(responses: DataFrame, keys=("source_rank", "source_name", "
     location, description must be JSON strings; category must be present (a non-string
     becomes NULL, i.e. the fallback class). One bad event or broken JSON -> the whole
     chunk yields nothing."""
-    v = F.try_parse_json(F.col(response_col))
+    parsed = responses.withColumn("_v", F.try_parse_json(F.col(response_col)))   # parse once per row
+    v = F.col("_v")
     arr = F.try_variant_get(v, "$.events", "array<variant>")
 
     def valid(e):
@@ -172,7 +184,7 @@ def parse_event_json(responses: DataFrame, keys=("source_rank", "source_name", "
 
     good = (F.schema_of_variant(F.variant_get(v, "$.events", "variant")).startswith("ARRAY")
             & F.forall(arr, lambda e: F.coalesce(valid(e), F.lit(False))))
-    ev = responses.select(*keys, F.when(good, arr).alias("_arr"))
+    ev = parsed.select(*keys, F.when(good, arr).alias("_arr"))
     out = ev.select(*keys, F.posexplode("_arr").alias("event_idx", "_e"))
 
     def s(f):

@@ -91,10 +91,10 @@ def line_dedup_consecutive_sql(expr: str) -> str:
 
 
 def content_text(col, elements=CONTENT_ELEMENTS) -> Column:
-    """Content-node profile: H5 -> wider H1 -> H2 -> strip lines -> H6."""
-    c = main_content(F.coalesce(_c(col), F.lit("")), elements)
-    c = strip_blocks(c, H.CONTENT_NOISE_TAGS, H.VOID_NOISE_TAGS)
-    return line_dedup_consecutive(text_normalise(html_to_text(c), split_double_space=False))
+    """Content-node profile: H5 -> wider H1 -> H2 -> strip lines -> H6. Inside a
+    bigger projection prefer ``with_content_text`` (the collapse reads its input
+    three times)."""
+    return line_dedup_consecutive(content_lines(col, elements))
 
 
 def content_text_sql(expr: str, elements=CONTENT_ELEMENTS) -> str:
@@ -103,5 +103,20 @@ def content_text_sql(expr: str, elements=CONTENT_ELEMENTS) -> str:
     return line_dedup_consecutive_sql(normalise_lines_sql(H.tags_to_breaks_sql(c), split_double_space=False))
 
 
+def content_lines(col, elements=CONTENT_ELEMENTS) -> Column:
+    """Content-node profile before the repeat collapse (stripped, non-empty lines)."""
+    c = main_content(F.coalesce(_c(col), F.lit("")), elements)
+    c = strip_blocks(c, H.CONTENT_NOISE_TAGS, H.VOID_NOISE_TAGS)
+    return text_normalise(html_to_text(c), split_double_space=False)
+
+
 def with_page_text(df: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
     return df.withColumn(out, page_text(html_col))
+
+
+def with_content_text(df: DataFrame, html_col: str = "html", out: str = "text",
+                      elements=CONTENT_ELEMENTS) -> DataFrame:
+    """Content-node profile as two projections: the line collapse reads its input
+    three times, so the input is a column of its own (computed once per row)."""
+    return (df.withColumn("_content_lines", content_lines(html_col, elements))
+            .withColumn(out, line_dedup_consecutive("_content_lines")).drop("_content_lines"))

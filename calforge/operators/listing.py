@@ -46,22 +46,22 @@ def _field_sql(seg: str, tag: str, token: str, default: str, sep: str = "") -> s
 
 
 def _pieces(html: Column, tag: str, token: str) -> Column:
-    parts = F.split(F.coalesce(html, F.lit("")), H.start_tag_re(tag, token))
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    # everything after the first start tag; slice past the end is just shorter
+    return F.slice(F.split(F.coalesce(html, F.lit("")), H.start_tag_re(tag, token)), 2, 1 << 30)
 
 
 # -- H7/H8/H9 ------------------------------------------------------------------------
 
 def listing_cards(pages: DataFrame, html_col: str = "html", keep=("page",)) -> DataFrame:
-    """H7: one row per card: ``card_idx`` (position on the page), title, date, venue."""
-    seg = F.col("_seg")
-    exploded = pages.select(*keep, F.posexplode(_pieces(F.col(html_col), "div", CARD_CLASS)).alias("card_idx", "_seg"))
-    return exploded.select(
-        *keep, "card_idx",
+    """H7: one row per card: ``card_idx`` (position on the page), title, date, venue.
+    Fields are computed inside the generator, so a later filter on them (the place
+    filter) cannot be pushed below and re-run the extraction regexes."""
+    cards = F.transform(_pieces(F.col(html_col), "div", CARD_CLASS), lambda seg: F.struct(
         _field(seg, "h3", CARD_TITLE, CARD_DEFAULTS[0]).alias("title"),
         _field(seg, "span", CARD_DATE, CARD_DEFAULTS[1]).alias("date"),
-        _field(seg, "span", CARD_VENUE, CARD_DEFAULTS[2]).alias("venue"),
-    )
+        _field(seg, "span", CARD_VENUE, CARD_DEFAULTS[2]).alias("venue")))
+    return (pages.select(*keep, F.posexplode(cards).alias("card_idx", "_c"))
+            .select(*keep, "card_idx", "_c.title", "_c.date", "_c.venue"))
 
 
 def listing_cards_sql(pages_sql: str, html_col: str = "html", keep=("page",)) -> str:
@@ -104,18 +104,20 @@ def listing_text(lines: DataFrame, source_cols=("source_rank", "source_name"), u
 
 def listing_items(pages: DataFrame, html_col: str = "html", keep=("page",)) -> DataFrame:
     """One row per list item; info spans are taken by position (0 location,
-    1 time, the rest ignored)."""
-    seg = F.col("_seg")
+    1 time, the rest ignored). Fields are computed inside the generator."""
     info_pat = H.element_inner_re("span", ITEM_INFO)
-    exploded = pages.select(*keep, F.posexplode(_pieces(F.col(html_col), "div", ITEM_CLASS)).alias("item_idx", "_seg"))
-    infos = F.transform(F.regexp_extract_all(seg, F.lit(info_pat), F.lit(3)), lambda x: H.get_text_strip(x, " "))
-    return exploded.select(
-        *keep, "item_idx",
-        _field(seg, "h2", ITEM_HEADLINE, ITEM_DEFAULTS[0]).alias("title"),
-        _field(seg, "p", ITEM_DATE, ITEM_DEFAULTS[1], " ").alias("date"),
-        F.coalesce(F.get(infos, 0), F.lit(ITEM_DEFAULTS[2])).alias("location"),
-        F.coalesce(F.get(infos, 1), F.lit(ITEM_DEFAULTS[3])).alias("time"),
-    )
+
+    def item(seg):
+        infos = F.transform(F.regexp_extract_all(seg, F.lit(info_pat), F.lit(3)), lambda x: H.get_text_strip(x, " "))
+        return F.struct(_field(seg, "h2", ITEM_HEADLINE, ITEM_DEFAULTS[0]).alias("title"),
+                        _field(seg, "p", ITEM_DATE, ITEM_DEFAULTS[1], " ").alias("date"),
+                        infos.alias("infos"))
+
+    items = F.transform(_pieces(F.col(html_col), "div", ITEM_CLASS), item)
+    return (pages.select(*keep, F.posexplode(items).alias("item_idx", "_i"))
+            .select(*keep, "item_idx", "_i.title", "_i.date",
+                    F.coalesce(F.get("_i.infos", 0), F.lit(ITEM_DEFAULTS[2])).alias("location"),
+                    F.coalesce(F.get("_i.infos", 1), F.lit(ITEM_DEFAULTS[3])).alias("time")))
 
 
 def listing_items_sql(pages_sql: str, html_col: str = "html", keep=("page",)) -> str:

@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calforge.operators.ordinal import dense_index
+from calforge.session import spread
 
 AS_OF = "2024-01-10"
 DTSTAMP = "20240110T000000Z"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the default parallelism when its file has fewer
+    row groups than that (no-op on large inputs)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 # ---------------------------------------------------------------- FX4 candidates

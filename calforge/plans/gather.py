@@ -71,9 +71,10 @@ def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,
     framed = P.frame_resolve(joined.where(F.col("profile") == "frame"), pages).drop("frame_url")
     rest = joined.where(F.col("profile") != "frame")
     both = rest.unionByName(framed)
+    both = both.withColumn("_lines", F.when(F.col("profile") == "lines", HT.content_lines("html")))
     text = (F.when(F.col("profile") == "cards", card_text("html", place))
              .when(F.col("profile") == "items", items_text("html", "source_name"))
-             .when(F.col("profile") == "lines", HT.content_text("html"))
+             .when(F.col("profile") == "lines", HT.line_dedup_consecutive("_lines"))
              .otherwise(HT.page_text("html")))
     return both.select("source_rank", "source_name", "profile", "page_id", text.alias("text"))
 

@@ -74,3 +74,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder (never machine-local on a cluster)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give CPU-heavy per-row work enough tasks: when a scan yields fewer partitions
+    than the cluster's default parallelism (a few large row groups), spread the rows
+    round-robin; otherwise return ``df`` untouched. On a large input (thousands of
+    row groups) this is a no-op, so it never adds a shuffle at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calforge.session import spread
+
 URL_HOST_RE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)"
 URL_ROOT_RE = r"\A([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 IFRAME_TAG_RE = r"(?is)<iframe\b([^>]*)>"
@@ -24,8 +26,9 @@ def url_host(col) -> Column:
 def page_scan(spark: SparkSession, path: str, columns=("page_id", "url", "html")) -> DataFrame:
     """SC3: Parquet page table; only the needed columns are read (ReadSchema) and the
     'fetch failed' filter is a plain predicate next to the scan."""
-    return (spark.read.parquet(path).select(*columns)
-            .where(F.col("html").isNotNull() & (F.col("html") != "")))
+    pages = (spark.read.parquet(path).select(*columns)
+             .where(F.col("html").isNotNull() & (F.col("html") != "")))
+    return spread(pages)
 
 
 def page_scan_landing(spark: SparkSession, path: str) -> DataFrame:
