@@ -102,10 +102,16 @@ def dedup_global(prepared: DataFrame) -> DataFrame:
 
 
 def with_uid(df: DataFrame, domain: str = UID_DOMAIN) -> DataFrame:
-    """F6."""
+    """F6 on prepared (escaped, defaulted) rows."""
     return df.withColumn("uid", event_uid(F.col("title"), F.col("date_raw"), domain))
 
 
+def uid_of_raw(domain: str = UID_DOMAIN):
+    """F6 on unprepared rows: the uid the build will give the event."""
+    title = ics_escape(F.coalesce(F.col("title"), F.lit(DEFAULT_TITLE)))
+    return event_uid(title, F.coalesce(F.col("date_raw"), F.lit("")), domain)
+
+
 def ics_events(winners: DataFrame, dtstamp: str, domain: str = UID_DOMAIN) -> DataFrame:
     """The 8-line block of every written event."""
     ev = with_uid(winners.where(F.col("start_ts").isNotNull()), domain)

@@ -80,3 +80,25 @@ def test_entry_contract(spark):
     assert df.columns == ["category", "part", "source_rank", "chunk_idx", "event_idx", "line_no", "line"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_calendar_run_end_to_end(spark):
+    from calforge.plans import calendar_run as RUN
+    from calforge.operators import feed as FD
+    pages = (FX.fx3_card_pages(spark, SF001)
+             .selectExpr("page AS page_id", "concat('https://cards.example/list/', CAST(page AS string)) AS url", "html"))
+    registry = spark.createDataFrame([(0, "cards.example", "https://cards.example/", True)],
+                                     "rank bigint, name string, url string, enabled boolean")
+    profiles = spark.createDataFrame([("cards.example", "cards")], "name string, profile string")
+    cand = RUN.extract_candidates(spark, registry, profiles, pages, FX.AS_OF)
+    assert cand.count() > 0
+    out = scratch_path(spark, "calendars")
+    counts = {r.category: r for r in RUN.build_calendars(spark, cand, out, FX.AS_OF, "20240110T000000Z").collect()}
+    written = sum(r.written for r in counts.values())
+    back = spark.read.text(out)
+    assert back.where(F.col("value") == "BEGIN:VEVENT").count() == written > 0
+    # approval keeps only the approved uid
+    kept = RUN.E.parse_events(cand, FX.AS_OF)
+    one = kept.select(FD.uid_of_raw().alias("uid")).limit(1)
+    counts2 = RUN.build_calendars(spark, cand, scratch_path(spark, "cal2"), FX.AS_OF, "20240110T000000Z", one)
+    assert sum(r.n_events for r in counts2.collect()) == 1
