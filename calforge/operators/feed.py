@@ -134,19 +134,18 @@ def ics_events(winners: DataFrame, dtstamp: str, domain: str = UID_DOMAIN) -> Da
 
 def ics_envelope(prepared: DataFrame) -> DataFrame:
     """F8: header (8 lines) and footer for every bucket that received at least one
-    event, even if none of them survives. ``distinct`` of five values, combined
-    map-side."""
+    event, even if none of them survives. One ``distinct`` of five values (combined
+    map-side), then header and footer rows from a single generator."""
     cats = prepared.select("category").distinct()
     name = capitalize(F.col("category"))
-    header = F.array(*[
-        F.replace(F.lit(t), F.lit("{Name}"), name) if "{Name}" in t else F.lit(t) for t in HEADER_TEMPLATE
-    ])
+    rows = [F.struct(F.lit(0).alias("part"), F.lit(i).alias("line_no"),
+                     (F.replace(F.lit(t), F.lit("{Name}"), name) if "{Name}" in t else F.lit(t)).alias("line"))
+            for i, t in enumerate(HEADER_TEMPLATE)]
+    rows.append(F.struct(F.lit(2).alias("part"), F.lit(0).alias("line_no"), F.lit(FOOTER).alias("line")))
     zero = F.lit(0).cast("bigint")
-    head = cats.select("category", F.lit(0).alias("part"), zero.alias("source_rank"), zero.alias("chunk_idx"),
-                       zero.alias("event_idx"), F.posexplode(header).alias("line_no", "line"))
-    foot = cats.select("category", F.lit(2).alias("part"), zero.alias("source_rank"), zero.alias("chunk_idx"),
-                       zero.alias("event_idx"), F.lit(0).alias("line_no"), F.lit(FOOTER).alias("line"))
-    return head.unionByName(foot)
+    return (cats.select("category", F.explode(F.array(*rows)).alias("_r"))
+            .select("category", "_r.part", zero.alias("source_rank"), zero.alias("chunk_idx"),
+                    zero.alias("event_idx"), "_r.line_no", "_r.line"))
 
 
 def published_events(events: DataFrame, domain: str = UID_DOMAIN) -> DataFrame:

@@ -27,6 +27,11 @@ DEFAULT_CONF = {
     # one round of model calls, so keep it bounded.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Text stages are CPU-heavy per byte: after a small shuffle, let AQE keep a few
+    # more partitions (parallelism first) instead of packing a stage into one task.
+    # Large shuffles are unaffected (their partitions are far above this minimum).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 
@@ -44,8 +49,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def apply_defaults(spark: SparkSession, shuffle_partitions: int | None = None) -> None:
+    explicit = spark.conf.getAll          # only what the cluster/session set explicitly
     for key, value in DEFAULT_CONF.items():
-        if spark.conf.get(key, None) in (None, ""):
+        if key not in explicit:
             spark.conf.set(key, value)
     if shuffle_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
