@@ -39,12 +39,16 @@ def page_scan_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current_page(pages: DataFrame) -> DataFrame:
-    """SC4: the newest snapshot (highest page_id) of every source host. ``max_by``
-    combines map-side, so a host with a third of all pages is reduced per task
-    before the shuffle."""
-    newest = F.max_by(F.struct("page_id", "url", "html"), "page_id")
-    return (pages.groupBy(url_host("url").alias("host")).agg(newest.alias("_p"))
-            .select("host", "_p.page_id", "_p.url", "_p.html"))
+    """SC4: the newest snapshot (highest page_id) of every source host.
+
+    Two steps so page html never goes through an aggregate: ``max(page_id)`` per
+    host is a hash aggregate on fixed-width values (combined map-side, one row per
+    host), then the pages are semi-joined on (host, page_id). When the host table is
+    small AQE broadcasts it after measuring it, and the page table is filtered in
+    place without a shuffle."""
+    hosted = pages.withColumn("host", url_host("url"))
+    newest = hosted.groupBy("host").agg(F.max("page_id").alias("page_id"))
+    return hosted.join(newest, ["host", "page_id"], "left_semi").select("host", "page_id", "url", "html")
 
 
 def multi_page_union(source_urls: DataFrame, pages: DataFrame) -> DataFrame:
