@@ -338,10 +338,9 @@ def q_extraction_requests(spark, sf):
 
 
 LISTING_CHUNKS_SQL = f"""
-SELECT source_rank, source_name, page * {G.CHUNK_STRIDE} + chunk_idx AS chunk_idx, chunk
-FROM ({C.chunk_lines_sql(f"SELECT source_rank, source_name, page, {C.site_envelope_sql('source_name', 'text')} AS text, "
-                         f"page AS unit FROM ({UNITS_SQL}) u", "page")}) c
-JOIN (SELECT 0 AS source_rank, 'listing' AS source_name) s ON true"""
+SELECT 0 AS source_rank, 'listing' AS source_name, page * {G.CHUNK_STRIDE} + chunk_idx AS chunk_idx, chunk
+FROM ({C.chunk_lines_sql(f"SELECT page, {C.site_envelope_sql('source_name', 'text')} AS text FROM ({UNITS_SQL}) u",
+                         "page")}) c"""
 
 
 @register("listing_chunks", LISTING_CHUNKS_SQL)

@@ -95,27 +95,37 @@ FROM (
 ) r"""
 
 
+FIRST_LABEL_SQL = "split_part(name, '.', 1)"
+
+
+def _first_label():
+    return F.substring_index(F.col("name"), ".", 1)
+
+
 def fx1_override_names(registry: DataFrame) -> DataFrame:
-    """The manual source list used for J1: names with rank % 5 = 0."""
-    return registry.where(F.col("rank") % 5 == 0).select("name")
+    """The manual source list used for J1: the blog hosts (a user picking sources)."""
+    return registry.where(_first_label() == "blog").select("name")
 
 
-FX1_OVERRIDE_SQL = f"SELECT name FROM ({FX1_SQL}) WHERE rank % 5 = 0"
+FX1_OVERRIDE_SQL = f"SELECT name FROM ({FX1_SQL}) WHERE {FIRST_LABEL_SQL} = 'blog'"
 
 
-# Source -> extraction profile assignment (J2), by registry rank. The reference maps
-# fixed site names to site rules; the fixture world has host names, so the
-# assignment is a rule over the rank. Rank % 6 = 0 has no entry (-> generic).
-FX6_PROFILE_CASE = ("CASE rank % 6 WHEN 1 THEN 'cards' WHEN 2 THEN 'items' WHEN 3 THEN 'lines' "
-                    "WHEN 4 THEN 'frame' WHEN 5 THEN 'generic' END")
+# Source -> extraction profile table (J2). The reference maps fixed site names to
+# site rules; the fixture world has host names, so the table lists hosts by their
+# first label: www -> cards, m -> items, blog -> lines, a hyphenated label -> frame.
+# Other hosts have no entry and fall back to the generic profile.
+FX6_PROFILE_CASE = (f"CASE WHEN {FIRST_LABEL_SQL} = 'www' THEN 'cards' WHEN {FIRST_LABEL_SQL} = 'm' THEN 'items' "
+                    f"WHEN {FIRST_LABEL_SQL} = 'blog' THEN 'lines' WHEN contains({FIRST_LABEL_SQL}, '-') THEN 'frame' END")
 
 
 def fx6_profiles(registry: DataFrame) -> DataFrame:
-    return (registry.select("name", F.expr(FX6_PROFILE_CASE).alias("profile"))
-            .where(F.col("profile").isNotNull()))
+    label = _first_label()
+    profile = (F.when(label == "www", "cards").when(label == "m", "items").when(label == "blog", "lines")
+                .when(label.contains("-"), "frame"))
+    return registry.select("name", profile.alias("profile")).where(F.col("profile").isNotNull())
 
 
-FX6_SQL = f"SELECT name, {FX6_PROFILE_CASE} AS profile FROM ({FX1_SQL}) WHERE rank % 6 <> 0"
+FX6_SQL = f"SELECT name, {FX6_PROFILE_CASE} AS profile FROM ({FX1_SQL}) r WHERE {FX6_PROFILE_CASE} IS NOT NULL"
 
 
 # ---------------------------------------------------------------- FX2 framed pages

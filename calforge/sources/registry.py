@@ -6,6 +6,7 @@ Registry rows: ``rank BIGINT`` (position in the registry, the run order), ``name
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +29,10 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """SC1, config form: one JSON object ``{"sources": [{name, url, enabled}, ...]}``
     per file, read with an explicit schema. A missing/unreadable list yields no rows
     (PERMISSIVE mode), the rank is the list position."""
-    raw = spark.read.schema(CONFIG_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    try:
+        raw = spark.read.schema(CONFIG_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    except AnalysisException:  # missing config -> no sources
+        raw = spark.createDataFrame([], CONFIG_SCHEMA)
     exploded = raw.select(F.posexplode(F.coalesce("sources", F.array().cast(T.ArrayType(SOURCE_TYPE))))
                           .alias("rank", "s"))
     return exploded.select(F.col("rank").cast("bigint").alias("rank"), "s.name", "s.url", "s.enabled")

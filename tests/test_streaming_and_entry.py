@@ -102,3 +102,23 @@ def test_calendar_run_end_to_end(spark):
     one = kept.select(FD.uid_of_raw().alias("uid")).limit(1)
     counts2 = RUN.build_calendars(spark, cand, scratch_path(spark, "cal2"), FX.AS_OF, "20240110T000000Z", one)
     assert sum(r.n_events for r in counts2.collect()) == 1
+
+
+def test_registry_missing_or_broken(spark):
+    assert R.read_registry(spark, "/nonexistent/calforge/config.json").count() == 0
+    d = tempfile.mkdtemp(prefix="calforge-reg-bad-")
+    with open(os.path.join(d, "config.json"), "w") as f:
+        f.write('{"sources": [ {"name": "A", ')
+    assert R.read_registry(spark, d).count() == 0
+
+
+def test_first_wins_is_idempotent_and_partition_free(spark):
+    from calforge.operators import events as E
+    from calforge.operators import feed as FD
+    cand = FX.fx4_candidates(spark, SF001)
+    once = E.parse_events(cand, FX.AS_OF)
+    cols = ["source_rank", "chunk_idx", "event_idx"]
+    assert rows(E.parse_events(once, FX.AS_OF), *cols) == rows(once, *cols)
+    a = rows(FD.build_feed(once, "20240110T000000Z"))
+    b = rows(FD.build_feed(once.repartition(7, "title"), "20240110T000000Z"))
+    assert a == b
