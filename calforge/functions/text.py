@@ -14,21 +14,16 @@ from pyspark.sql import functions as F
 # The characters Python's str.strip()/str.isspace() treat as whitespace.
 WS_CHARS = (r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
-# The line boundaries of Python's str.splitlines() (CRLF counts as one).
-LINE_BREAK_CHARS = r"\n\x{0B}\f\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}"
 
 WS = f"[{WS_CHARS}]"
-STRIP_RE = rf"\A{WS}+|{WS}+\z"
-LINE_BREAK_RE = rf"\r\n|[{LINE_BREAK_CHARS}]"
-# whitespace other than the line breaks (what can surround a piece after splitting)
-WS_NO_BREAK = r"[\t \x{1F}\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}]"
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-# The same sets as plain characters (for trim/translate, which need no regex).
+# The same set as plain characters, and the line boundaries of str.splitlines()
+# other than '\n' (for trim/translate, which need no regex).
 WS_STRING = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
              + "\u2028\u2029\u202f\u205f\u3000")
 BREAKS_NOT_LF = "\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
@@ -93,6 +88,3 @@ def capitalize(col) -> Column:
     c = _c(col)
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
 
-
-def capitalize_sql(expr: str) -> str:
-    return f"(upper(substr({expr}, 1, 1)) || lower(substr({expr}, 2)))"

@@ -28,7 +28,6 @@ from calforge.functions.text import ustrip
 
 ORDER_COLS = ("chunk_idx", "event_idx")
 SOURCE_COLS = ("source_rank", "source_name")
-EVENT_FIELDS = ("title", "date_raw", "time_raw", "location", "category_raw", "description")
 
 
 def _lit_date(as_of) -> Column:

@@ -25,13 +25,9 @@ from pyspark.sql import functions as F
 DEFAULT_YEAR = 2026
 DEFAULT_TIME = "20:00"
 UNKNOWN_PLACES = ("Unbekannter Ort", "Unknown Location")
-UNKNOWN_TIMES = ("Unknown Time",)
 
 CARD_LINE_RE = r"\AEvent: (.*) \| Datum: (.*) \| Ort: (.*)\z"
 BLOCK_HEAD_RE = r"\AEvent: (.*)\z"
-EVENT_FIELDS = ("title", "date", "time", "location", "category", "description")
-CANDIDATE_COLS = ("source_rank", "source_name", "chunk_idx", "event_idx", "title", "date_raw", "time_raw",
-                  "location", "category_raw", "description")
 
 # Boundaries are spelled as (^|[^0-9]) / ($|[^0-9]) groups: RE2 has no lookaround.
 DMY_RE = r"(^|[^0-9])([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})?"

@@ -66,7 +66,6 @@ def fx4_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HOST_RE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)"
 PATH_RE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(.*)\z"
-ROOT_RE = r"\A([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 
 
 def fx1_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

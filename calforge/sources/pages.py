@@ -33,7 +33,7 @@ def page_scan(spark: SparkSession, path: str, columns=("page_id", "url", "html")
 
 def page_scan_landing(spark: SparkSession, path: str) -> DataFrame:
     """SC3, landing-folder form: one raw html file per page (whole file per row)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
             .where(F.col("html") != ""))
 

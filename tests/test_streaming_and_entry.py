@@ -122,3 +122,18 @@ def test_first_wins_is_idempotent_and_partition_free(spark):
     a = rows(FD.build_feed(once, "20240110T000000Z"))
     b = rows(FD.build_feed(once.repartition(7, "title"), "20240110T000000Z"))
     assert a == b
+
+
+def test_landing_pages_and_registry_lines(spark):
+    from calforge.sources import pages as P
+    d = tempfile.mkdtemp(prefix="calforge-landing-")
+    for name, html in (("a.html", "<p>x</p>"), ("b.html", ""), ("c.html", "<p>y\nz</p>")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(html)
+    got = {os.path.basename(r.url): r.html for r in P.page_scan_landing(spark, d).collect()}
+    assert got == {"a.html": "<p>x</p>", "c.html": "<p>y\nz</p>"}      # whole files, empty skipped
+    j = tempfile.mkdtemp(prefix="calforge-reglines-")
+    with open(os.path.join(j, "sources.jsonl"), "w") as f:
+        for order, name in ((30, "c"), (10, "a"), (20, "b")):
+            f.write(json.dumps({"rank": order, "name": name, "url": f"https://{name}/", "enabled": True}) + "\n")
+    assert rows(R.read_registry_lines(spark, j), "rank", "name") == [(0, "a"), (1, "b"), (2, "c")]
