@@ -66,7 +66,11 @@ def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,
     srcs = R.source_profile(R.enabled_sources(registry, override), profiles)
     srcs = srcs.select(F.col("rank").alias("source_rank"), F.col("name").alias("source_name"), "profile",
                        P.url_host("url").alias("host"))
-    cur = P.current_page(pages.where(F.coalesce(F.col("html"), F.lit("")) != ""))
+    # source pruning: only pages of the selected sources' hosts go on (semi-join with
+    # the small host set, which AQE broadcasts after measuring it)
+    fetched = pages.where(F.coalesce(F.col("html"), F.lit("")) != "").withColumn("host", P.url_host("url"))
+    wanted = fetched.join(srcs.select("host").distinct(), "host", "left_semi")
+    cur = P.current_page(wanted)
     joined = srcs.join(cur, "host", "inner")
     framed = P.frame_resolve(joined.where(F.col("profile") == "frame"), pages).drop("frame_url")
     rest = joined.where(F.col("profile") != "frame")

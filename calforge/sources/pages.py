@@ -46,7 +46,7 @@ def current_page(pages: DataFrame) -> DataFrame:
     host), then the pages are semi-joined on (host, page_id). When the host table is
     small AQE broadcasts it after measuring it, and the page table is filtered in
     place without a shuffle."""
-    hosted = pages.withColumn("host", url_host("url"))
+    hosted = pages if "host" in pages.columns else pages.withColumn("host", url_host("url"))
     newest = hosted.groupBy("host").agg(F.max("page_id").alias("page_id"))
     return hosted.join(newest, ["host", "page_id"], "left_semi").select("host", "page_id", "url", "html")
 
