@@ -91,27 +91,27 @@ def q_frame_resolve(spark, sf):
 
 @register("html_strip_blocks", f"SELECT page_id, {H.strip_blocks_sql('html')} AS html FROM pages")
 def q_html_strip_blocks(spark, sf):
-    return FX.table(spark, sf, "pages").select("page_id", HT.strip_blocks("html").alias("html"))
+    return FX.table(spark, sf, "pages", spread_rows=True).select("page_id", HT.strip_blocks("html").alias("html"))
 
 
 @register("html_to_text", f"SELECT page_id, {H.tags_to_breaks_sql('html')} AS text FROM pages")
 def q_html_to_text(spark, sf):
-    return FX.table(spark, sf, "pages").select("page_id", HT.html_to_text("html").alias("text"))
+    return FX.table(spark, sf, "pages", spread_rows=True).select("page_id", HT.html_to_text("html").alias("text"))
 
 
 @register("text_normalise", f"SELECT doc_id, {normalise_lines_sql('text')} AS text FROM documents")
 def q_text_normalise(spark, sf):
-    return FX.table(spark, sf, "documents").select("doc_id", HT.text_normalise("text").alias("text"))
+    return FX.table(spark, sf, "documents", spread_rows=True).select("doc_id", HT.text_normalise("text").alias("text"))
 
 
 @register("page_text", f"SELECT page_id, {HT.page_text_sql('html')} AS text FROM pages")
 def q_page_text(spark, sf):
-    return FX.table(spark, sf, "pages").select("page_id", HT.page_text("html").alias("text"))
+    return FX.table(spark, sf, "pages", spread_rows=True).select("page_id", HT.page_text("html").alias("text"))
 
 
 @register("main_content", f"SELECT page_id, {HT.main_content_sql('html', ARTICLE)} AS content FROM pages")
 def q_main_content(spark, sf):
-    return FX.table(spark, sf, "pages").select("page_id", HT.main_content("html", ARTICLE).alias("content"))
+    return FX.table(spark, sf, "pages", spread_rows=True).select("page_id", HT.main_content("html", ARTICLE).alias("content"))
 
 
 @register("line_dedup_consecutive", f"""
@@ -119,12 +119,13 @@ SELECT doc_id, {HT.line_dedup_consecutive_sql(normalise_lines_sql('text', split_
 FROM documents""")
 def q_line_dedup_consecutive(spark, sf):
     t = HT.text_normalise("text", split_double_space=False)
-    return FX.table(spark, sf, "documents").select("doc_id", HT.line_dedup_consecutive(t).alias("text"))
+    return FX.table(spark, sf, "documents", spread_rows=True).select("doc_id", HT.line_dedup_consecutive(t).alias("text"))
 
 
 @register("content_text", f"SELECT page_id, {HT.content_text_sql('html', ARTICLE)} AS text FROM pages")
 def q_content_text(spark, sf):
-    return FX.table(spark, sf, "pages").select("page_id", HT.content_text("html", ARTICLE).alias("text"))
+    pages = FX.table(spark, sf, "pages", spread_rows=True).select("page_id", "html")
+    return HT.with_content_text(pages, "html", "text", ARTICLE).select("page_id", "text")
 
 
 # ============================================================ H: listings
@@ -317,13 +318,13 @@ def q_site_envelope(spark, sf):
 
 @register("chunk_lines", DOCS_CHUNK_SQL)
 def q_chunk_lines(spark, sf):
-    return C.chunk_lines(FX.table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return C.chunk_lines(FX.table(spark, sf, "documents", spread_rows=True).select("doc_id", "text"), "text")
 
 
 @register("chunk_preview", f"""
 SELECT doc_id, chunk_idx, {C.chunk_preview_sql('chunk')} AS preview FROM ({DOCS_CHUNK_SQL}) c""")
 def q_chunk_preview(spark, sf):
-    ch = C.chunk_lines(FX.table(spark, sf, "documents").select("doc_id", "text"), "text")
+    ch = C.chunk_lines(FX.table(spark, sf, "documents", spread_rows=True).select("doc_id", "text"), "text")
     return ch.select("doc_id", "chunk_idx", C.chunk_preview("chunk").alias("preview"))
 
 
@@ -333,7 +334,7 @@ SELECT doc_id, chunk_idx, '{C.SYSTEM_TEMPLATE.format(today=FX.AS_OF, default_yea
        '{C.USER_PREFIX.replace(chr(10), "' || chr(10) || '")}' || chunk AS "user"
 FROM ({DOCS_CHUNK_SQL}) c""")
 def q_extraction_requests(spark, sf):
-    ch = C.chunk_lines(FX.table(spark, sf, "documents").select("doc_id", "text"), "text")
+    ch = C.chunk_lines(FX.table(spark, sf, "documents", spread_rows=True).select("doc_id", "text"), "text")
     return C.extraction_requests(ch, FX.AS_OF, keep=("doc_id", "chunk_idx"))
 
 

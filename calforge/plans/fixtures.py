@@ -20,10 +20,13 @@ AS_OF = "2024-01-10"
 DTSTAMP = "20240110T000000Z"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the default parallelism when its file has fewer
-    row groups than that (no-op on large inputs)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table. With ``spread_rows`` (for heavy per-row text work right after
+    the scan) it is spread over the default parallelism when its file has fewer row
+    groups than that; a no-op on large inputs. Reads that go straight into an
+    aggregate or join need no spreading (their shuffle does it)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 # ---------------------------------------------------------------- FX4 candidates
@@ -59,7 +62,7 @@ FX4_SQL = "SELECT " + ",\n  ".join(FX4_COLUMNS) + "\nFROM events"
 
 def fx4_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate events as an extraction stage would emit them (one row per event)."""
-    return table(spark, sf_dir, "events").selectExpr(*FX4_COLUMNS)
+    return table(spark, sf_dir, "events", spread_rows=True).selectExpr(*FX4_COLUMNS)
 
 
 # ---------------------------------------------------------------- FX1 registry
