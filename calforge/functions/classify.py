@@ -32,10 +32,21 @@ def label(col) -> Column:
     return F.lower(ustrip(F.col(col) if isinstance(col, str) else col))
 
 
+def _sql_quote(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def classify_label(label_col, rules=DEFAULT_RULES, fallback: str = FALLBACK) -> Column:
     """Rules over an already lowered/stripped label. Keep the label a column of its
-    own (``withColumn``) so the strip regex runs once per row, not once per keyword."""
-    lab = F.col(label_col) if isinstance(label_col, str) else label_col
+    own (``withColumn``) so the strip runs once per row, not once per keyword. For a
+    named column the rule chain is one SQL expression (one call to build it)."""
+    if isinstance(label_col, str):
+        ref = "`" + label_col.replace("`", "``") + "`"
+        whens = " ".join(
+            "WHEN " + " OR ".join(f"contains({ref}, {_sql_quote(kw)})" for kw in kws) + f" THEN {_sql_quote(cat)}"
+            for cat, kws in rules)
+        return F.expr(f"coalesce(CASE {whens} ELSE {_sql_quote(fallback)} END, {_sql_quote(fallback)})")
+    lab = label_col
     expr = None
     for category, keywords in rules:
         cond = None

@@ -68,18 +68,22 @@ def category_bucket(df: DataFrame) -> DataFrame:
 
 def feed_defaults(df: DataFrame) -> DataFrame:
     """a missing (NULL) field takes the builder default."""
-    return (df.withColumn("title", F.coalesce("title", F.lit(DEFAULT_TITLE)))
-              .withColumn("date_raw", F.coalesce("date_raw", F.lit("")))
-              .withColumn("time_raw", F.coalesce("time_raw", F.lit(DEFAULT_TIME)))
-              .withColumn("description", F.coalesce("description", F.lit("")))
-              .withColumn("location", F.coalesce("location", F.lit(""))))
+    return df.withColumns({
+        "title": F.coalesce("title", F.lit(DEFAULT_TITLE)),
+        "date_raw": F.coalesce("date_raw", F.lit("")),
+        "time_raw": F.coalesce("time_raw", F.lit(DEFAULT_TIME)),
+        "description": F.coalesce("description", F.lit("")),
+        "location": F.coalesce("location", F.lit("")),
+    })
 
 
 def escape_fields(df: DataFrame) -> DataFrame:
     """escaped title/description/location (description also escapes newlines)."""
-    return (df.withColumn("title", ics_escape("title"))
-              .withColumn("description", ics_escape("description", newlines=True))
-              .withColumn("location", ics_escape("location")))
+    return df.withColumns({
+        "title": ics_escape("title"),
+        "description": ics_escape("description", newlines=True),
+        "location": ics_escape("location"),
+    })
 
 
 def prepare(df: DataFrame) -> DataFrame:
