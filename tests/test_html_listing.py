@@ -2,6 +2,8 @@
 
 from html.parser import HTMLParser
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from calforge.operators import html as HT
@@ -107,3 +109,35 @@ def test_registry_fixture(spark):
     reg = FX.fx1_registry(spark, SF01)
     assert reg.count() == 58 and reg.where("enabled").count() == 37
     assert rows(reg, "rank") == [(i,) for i in range(58)]
+
+
+WORDS = ["Konzert", "a", "b c", "x  y", "\ttab", " lead", "trail ", " ", "&amp;", "&lt;", "&gt;", "&quot;",
+         "&nbsp;", "&copy;", "&middot;", "　z", "line\r\nbreak", "ü", "&amp;lt;"]
+INLINE = ["p", "b", "div", "span", "li", "h1", "a href=\"/x\"", "title"]
+NOISE_BLOCKS = ["<script>var t=\"</p>\";x()</script>", "<style>p{margin:0}</style>", "<nav><a>Menu</a> x</nav>",
+                "<header><h1>Head</h1></header>", "<footer>&copy; f</footer>", "<!-- note -->", "<br>", "<hr/>"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.sampled_from(WORDS), st.sampled_from(INLINE).map(lambda t: ("open", t)),
+                                   st.sampled_from(INLINE).map(lambda t: ("close", t.split()[0])),
+                                   st.sampled_from(NOISE_BLOCKS).map(lambda b: ("raw", b))),
+                         max_size=25), min_size=1, max_size=20))
+def test_page_text_random_html(spark, docs):
+    def render(tokens):
+        out = []
+        for t in tokens:
+            if isinstance(t, str):
+                out.append(t)
+            elif t[0] == "open":
+                out.append(f"<{t[1]}>")
+            elif t[0] == "close":
+                out.append(f"</{t[1]}>")
+            else:
+                out.append(t[1])
+        return "".join(out)
+
+    htmls = [render(d) for d in docs]
+    df = spark.createDataFrame(list(enumerate(htmls)), "i int, html string")
+    got = [r[0] for r in df.orderBy("i").select(HT.page_text("html")).collect()]
+    assert got == [py_page_text(h) for h in htmls]
