@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calforge.operators.ordinal import dense_index
-from calforge.session import spread
+from calforge.session import shared_dir, spread
 
 AS_OF = "2024-01-10"
 DTSTAMP = "20240110T000000Z"
@@ -80,11 +80,16 @@ def fx1_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy("name")
              .agg(F.min("page_id").alias("first_page_id"), F.min_by("url", "page_id").alias("url")))
     ranked = dense_index(hosts, "first_page_id", "rank")
-    return ranked.select(
+    registry = ranked.select(
         F.col("rank"), "name", "url",
         F.when(F.col("rank") % 7 == 0, F.lit(None).cast("boolean"))
          .otherwise(F.col("rank") % 4 != 0).alias("enabled"),
     )
+    # A small dimension table used several times downstream (registry, profiles,
+    # joins): computed once and cut from its lineage in the shared checkpoint folder,
+    # so later plans read it instead of re-deriving it from the page table.
+    shared_dir(spark)   # the session's spark.checkpoint.dir (set only where missing)
+    return registry.checkpoint(eager=True)
 
 
 FX1_SQL = f"""

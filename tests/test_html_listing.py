@@ -33,6 +33,15 @@ class TextNodes(HTMLParser):
             self.skip.pop()
         self.out.append(None)
 
+    def handle_comment(self, data):          # a comment is its own node: it separates text
+        self.out.append(None)
+
+    def handle_decl(self, decl):
+        self.out.append(None)
+
+    def handle_pi(self, data):
+        self.out.append(None)
+
     def handle_data(self, data):
         if not self.skip:
             if self.out and isinstance(self.out[-1], str):
