@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calforge.operators.feed import LINE_COLS
+from calforge.session import shared_dir
 
 SORT_COLS = ("category", "part", "source_rank", "chunk_idx", "event_idx", "line_no")
 
@@ -28,20 +29,42 @@ def read_text_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
 
 
-def ics_sink(lines: DataFrame, path: str, num_partitions: int | None = None) -> None:
-    """SC8: one folder per category (``category=<name>``) holding its calendar as
-    ordered part files: the line table is range-partitioned on the full sort key and
-    sorted inside each range, so part files in name order are consecutive pieces of
-    the document and a large category is written by many tasks. Categories absent
-    from this run keep their previous files (dynamic overwrite). Text output ends
-    every line with '\\n' (the reference file has no final newline)."""
-    ranged = (lines.repartitionByRange(num_partitions, *SORT_COLS) if num_partitions
-              else lines.repartitionByRange(*SORT_COLS))
-    (ranged.sortWithinPartitions(*SORT_COLS).select("category", "line")
+SINGLE_FILE_MAX_LINES = 2_000_000
+
+
+def _write(ordered: DataFrame, path: str) -> None:
+    (ordered.sortWithinPartitions(*SORT_COLS).select("category", "line")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("category").text(path))
 
 
+def ics_sink(lines: DataFrame, path: str, num_partitions: int | None = None,
+             single_file_max_lines: int = SINGLE_FILE_MAX_LINES) -> None:
+    """SC8: one folder per category (``category=<name>``) holding its calendar.
+
+    The line table is checkpointed (shared folder), then counted per category (at
+    most five rows reach the driver). A category of at most ``single_file_max_lines``
+    lines is written by one task as exactly one file, like the reference's one file
+    per category; the bound is checked, not assumed. A larger category is
+    range-partitioned on the full sort key and sorted inside each range, so its part
+    files in name order are consecutive pieces of the document, written by many
+    tasks. ``num_partitions`` forces the range layout for every category. Categories
+    absent from this run keep their previous files (dynamic overwrite). Text output
+    ends every line with '\\n' (the reference file has no final newline)."""
+    shared_dir(lines.sparkSession)
+    lines = lines.checkpoint(eager=True)
+    sizes = {r["category"]: r["n"] for r in lines.groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = [] if num_partitions else [c for c, n in sizes.items() if n <= single_file_max_lines]
+    big = [c for c in sizes if c not in small]
+    if small:
+        _write(lines.where(F.col("category").isin(small)).repartition(len(small), "category"), path)
+    if big:
+        rest = lines.where(F.col("category").isin(big))
+        ranged = (rest.repartitionByRange(num_partitions, *SORT_COLS) if num_partitions
+                  else rest.repartitionByRange(*SORT_COLS))
+        _write(ranged, path)
+
+
 def read_ics_sink(spark: SparkSession, path: str) -> DataFrame:
     """Read back: one row per line with its category and file position."""
     return (spark.read.text(path)

@@ -86,3 +86,16 @@ def test_file_sink_order_and_dynamic_overwrite(spark):
     # a run with only party events leaves the musik calendar in place
     S.ics_sink(FD.build_feed(ev.where("category = 'party'"), "20260316T233822Z"), path)
     assert os.path.isdir(musik_dir) and os.listdir(musik_dir)
+
+
+def test_file_sink_one_file_per_small_category(spark):
+    path = scratch_path(spark, "ics-one")
+    ev = spark.createDataFrame(GOLDEN, SCHEMA)
+    S.ics_sink(FD.build_feed(ev, "20260316T233822Z"), path)
+    for cat in ("musik", "party"):
+        d = os.path.join(path.replace("file:", ""), f"category={cat}")
+        parts = [f for f in os.listdir(d) if f.startswith("part-")]
+        assert len(parts) == 1
+    musik = os.path.join(path.replace("file:", ""), "category=musik")
+    text = open(os.path.join(musik, [f for f in os.listdir(musik) if f.startswith("part-")][0]), encoding="utf-8").read()
+    assert text == EXPECTED_MUSIK + "\n"
