@@ -71,7 +71,7 @@ def listing_cards_sql(pages_sql: str, html_col: str = "html", keep=("page",)) ->
 SELECT {k}, card_idx, {_field_sql(seg, 'h3', CARD_TITLE, CARD_DEFAULTS[0])} AS title,
        {_field_sql(seg, 'span', CARD_DATE, CARD_DEFAULTS[1])} AS date,
        {_field_sql(seg, 'span', CARD_VENUE, CARD_DEFAULTS[2])} AS venue
-FROM (SELECT {k}, generate_subscripts(parts, 1) - 2 AS card_idx, unnest(parts) AS seg
+FROM (SELECT {k}, CAST(generate_subscripts(parts, 1) - 2 AS INTEGER) AS card_idx, unnest(parts) AS seg
       FROM (SELECT {k}, string_split_regex(coalesce({html_col}, ''), '{H.start_tag_re('div', CARD_CLASS)}') AS parts
             FROM ({pages_sql}) pg) x) y
 WHERE card_idx >= 0"""
@@ -130,7 +130,7 @@ SELECT {k}, item_idx, {_field_sql('seg', 'h2', ITEM_HEADLINE, ITEM_DEFAULTS[0])}
        {_field_sql('seg', 'p', ITEM_DATE, ITEM_DEFAULTS[1], ' ')} AS date,
        coalesce({infos}[1], '{ITEM_DEFAULTS[2]}') AS location,
        coalesce({infos}[2], '{ITEM_DEFAULTS[3]}') AS time
-FROM (SELECT {k}, generate_subscripts(parts, 1) - 2 AS item_idx, unnest(parts) AS seg
+FROM (SELECT {k}, CAST(generate_subscripts(parts, 1) - 2 AS INTEGER) AS item_idx, unnest(parts) AS seg
       FROM (SELECT {k}, string_split_regex(coalesce({html_col}, ''), '{H.start_tag_re('div', ITEM_CLASS)}') AS parts
             FROM ({pages_sql}) pg) x) y
 WHERE item_idx >= 0"""

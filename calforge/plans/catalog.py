@@ -89,8 +89,10 @@ def q_parse_events(spark, sf):
 
 
 @register("funnel_counts", with_cte(PREPARED_CTE, """
-SELECT category, count_if(reject_reason = 'invalid_date') AS invalid_date, count_if(reject_reason = 'past') AS past,
-       count_if(reject_reason = 'duplicate') AS duplicate, count_if(reject_reason IS NULL) AS kept
+SELECT category, CAST(count_if(reject_reason = 'invalid_date') AS BIGINT) AS invalid_date,
+       CAST(count_if(reject_reason = 'past') AS BIGINT) AS past,
+       CAST(count_if(reject_reason = 'duplicate') AS BIGINT) AS duplicate,
+       CAST(count_if(reject_reason IS NULL) AS BIGINT) AS kept
 FROM st GROUP BY category"""))
 def q_funnel_counts(spark, sf):
     return E.funnel_counts(FX.fx4_candidates(spark, sf), FX.AS_OF)
@@ -107,10 +109,10 @@ def q_events_per_source(spark, sf):
 
 
 @register("run_summary", with_cte(PREPARED_CTE, """
-SELECT source_name, category, count(*) AS n_events, grouping(source_name, category) AS level
+SELECT source_name, category, count(*) AS n_events, CAST(grouping(source_name, category) AS BIGINT) AS level
 FROM kept GROUP BY ROLLUP (source_name, category)"""))
 def q_run_summary(spark, sf):
-    return E.run_summary(_kept(spark, sf)).withColumn("level", F.col("level").cast("int"))
+    return E.run_summary(_kept(spark, sf)).withColumn("level", F.col("level").cast("bigint"))
 
 
 # ============================================================ F: feed
@@ -179,8 +181,10 @@ def q_ics_document(spark, sf):
 
 
 @register("feed_counts", with_cte(FEED_CTE, """
-SELECT t.category, t.n_events, t.no_date, t.n_events - t.no_date - coalesce(w.winners, 0) AS global_dup,
-       coalesce(w.bad_time, 0) AS bad_time, coalesce(w.winners, 0) - coalesce(w.bad_time, 0) AS written
+SELECT t.category, t.n_events, CAST(t.no_date AS BIGINT) AS no_date,
+       CAST(t.n_events - t.no_date - coalesce(w.winners, 0) AS BIGINT) AS global_dup,
+       CAST(coalesce(w.bad_time, 0) AS BIGINT) AS bad_time,
+       CAST(coalesce(w.winners, 0) - coalesce(w.bad_time, 0) AS BIGINT) AS written
 FROM (SELECT category, count(*) AS n_events, count_if(feed_key IS NULL) AS no_date FROM fk GROUP BY category) t
 LEFT JOIN (SELECT category, count(*) AS winners, count_if(start_ts IS NULL) AS bad_time FROM win GROUP BY category) w
 USING (category)"""))

@@ -276,7 +276,8 @@ def q_site_texts(spark, sf):
     return _gathered(spark, sf)
 
 
-@register("gathered_text", f"SELECT *, length(text) AS n_chars FROM ({GATHER_SQL}) g WHERE coalesce(text, '') <> ''")
+@register("gathered_text", f"SELECT *, CAST(length(text) AS INTEGER) AS n_chars FROM ({GATHER_SQL}) g "
+                          f"WHERE coalesce(text, '') <> ''")
 def q_gathered_text(spark, sf):
     return E.gathered_text(_gathered(spark, sf))
 

@@ -64,17 +64,19 @@ win AS (
         FROM fk WHERE feed_key IS NOT NULL) t
   WHERE rn = 1),
 body AS (
-  SELECT category, 1 AS part, source_rank, chunk_idx, event_idx, u.line_no, u.line
+  SELECT category, 1 AS part, CAST(source_rank AS BIGINT) AS source_rank, CAST(chunk_idx AS BIGINT) AS chunk_idx,
+         CAST(event_idx AS BIGINT) AS event_idx, u.line_no, u.line
   FROM (SELECT *, {event_uid_sql('title', 'date_raw')} AS uid FROM win WHERE start_ts IS NOT NULL) w,
-  LATERAL (SELECT unnest(range(0, 8)) AS line_no,
+  LATERAL (SELECT CAST(unnest(range(0, 8)) AS INTEGER) AS line_no,
                   unnest(['BEGIN:VEVENT', 'UID:' || uid, 'DTSTAMP:{DTSTAMP}',
                           'DTSTART;TZID=Europe/Berlin:' || {dtstart_text_sql('start_ts')},
                           'SUMMARY:' || title, 'DESCRIPTION:' || description, 'LOCATION:' || location,
                           'END:VEVENT']) AS line) u),
 cats AS (SELECT DISTINCT category FROM fp),
 envelope AS (
-  SELECT category, 0 AS part, 0 AS source_rank, 0 AS chunk_idx, 0 AS event_idx, h.line_no, h.line
-  FROM cats, LATERAL (SELECT unnest(range(0, 8)) AS line_no,
+  SELECT category, 0 AS part, CAST(0 AS BIGINT) AS source_rank, CAST(0 AS BIGINT) AS chunk_idx,
+         CAST(0 AS BIGINT) AS event_idx, h.line_no, h.line
+  FROM cats, LATERAL (SELECT CAST(unnest(range(0, 8)) AS INTEGER) AS line_no,
     unnest(['BEGIN:VCALENDAR', 'VERSION:2.0',
             'PRODID:-//Braunschweig Events//' || upper(substr(category, 1, 1)) || substr(category, 2),
             'CALSCALE:GREGORIAN', 'METHOD:PUBLISH',
@@ -83,7 +85,7 @@ envelope AS (
             'X-WR-CALDESC:Kommende ' || upper(substr(category, 1, 1)) || substr(category, 2) || ' Events'])
     AS line) h
   UNION ALL
-  SELECT category, 2, 0, 0, 0, 0, 'END:VCALENDAR' FROM cats),
+  SELECT category, 2, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), 0, 'END:VCALENDAR' FROM cats),
 lines AS (SELECT * FROM envelope UNION ALL SELECT * FROM body)"""
 
 
