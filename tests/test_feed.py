@@ -99,3 +99,17 @@ def test_file_sink_one_file_per_small_category(spark):
     musik = os.path.join(path.replace("file:", ""), "category=musik")
     text = open(os.path.join(musik, [f for f in os.listdir(musik) if f.startswith("part-")][0]), encoding="utf-8").read()
     assert text == EXPECTED_MUSIK + "\n"
+
+
+def test_wall_clock_never_shifted_by_session_zone(spark):
+    """2026-03-29 02:30 does not exist in Berlin (DST gap); the calendar must still
+    say 20260329T023000, whatever the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("Europe/Berlin", "America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            ev = spark.createDataFrame([(0, 0, 0, "Nacht", "2026-03-29", "02:30", "Ort", "party", "")], SCHEMA)
+            lines = [r.line for r in FD.build_feed(ev, "20260101T000000Z").collect()]
+            assert "DTSTART;TZID=Europe/Berlin:20260329T023000" in lines, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
