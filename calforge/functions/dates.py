@@ -69,9 +69,20 @@ def parse_start_sql(date_expr: str, time_expr: str) -> str:
             f"THEN try_strptime({text}, '%Y-%m-%d %H:%M') END")
 
 
+def _fields(ts: Column):
+    # field extraction on TIMESTAMP_NTZ reads the wall clock; date_format would first
+    # convert to a session-zone timestamp and move times in a DST gap
+    return (F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts).cast("int"))
+
+
 def dtstart_text(ts_col) -> Column:
-    """``yyyyMMddTHHmmss`` (calendar local time)."""
-    return F.date_format(_c(ts_col), "yyyyMMdd'T'HHmmss")
+    """``yyyyMMddTHHmmss`` of the wall clock, in any session time zone."""
+    return F.format_string("%04d%02d%02dT%02d%02d%02d", *_fields(_c(ts_col)))
+
+
+def wall_clock_text(ts_col) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of the wall clock, in any session time zone."""
+    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *_fields(_c(ts_col)))
 
 
 def dtstart_text_sql(expr: str) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calforge.functions.dates import dtstart_text, dtstart_text_sql
+from calforge.functions.dates import dtstart_text, dtstart_text_sql, wall_clock_text
 from calforge.functions.uid import event_uid_sql
 from calforge.operators import events as E
 from calforge.operators import feed as FD
@@ -25,7 +25,7 @@ def _d(col: str) -> F.Column:
 
 
 def _ts(col: str) -> F.Column:
-    return F.date_format(F.col(col), "yyyy-MM-dd HH:mm:ss")
+    return wall_clock_text(col)
 
 
 def _kept(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from calforge.functions import html as H
+from calforge.functions.dates import wall_clock_text
 from calforge.functions.text import normalise_lines_sql
 from calforge.operators import chunks as C
 from calforge.operators import events as E
@@ -193,7 +194,7 @@ def q_listing_blocks(spark, sf):
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events WHERE ts >= TIMESTAMP '{FX.AS_OF} 00:00:00'""")
 def q_upcoming_only(spark, sf):
     df = L.upcoming_only(FX.table(spark, sf, "events"), "ts", FX.AS_OF)
-    return df.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    return df.select("event_id", wall_clock_text("ts").alias("ts"))
 
 
 # ============================================================ J: registry joins, gather
