@@ -77,12 +77,14 @@ def _fields(ts: Column):
 
 def dtstart_text(ts_col) -> Column:
     """``yyyyMMddTHHmmss`` of the wall clock, in any session time zone."""
-    return F.format_string("%04d%02d%02dT%02d%02d%02d", *_fields(_c(ts_col)))
+    ts = _c(ts_col)
+    return F.when(ts.isNotNull(), F.format_string("%04d%02d%02dT%02d%02d%02d", *_fields(ts)))
 
 
 def wall_clock_text(ts_col) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` of the wall clock, in any session time zone."""
-    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *_fields(_c(ts_col)))
+    ts = _c(ts_col)
+    return F.when(ts.isNotNull(), F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *_fields(ts)))
 
 
 def dtstart_text_sql(expr: str) -> str:
