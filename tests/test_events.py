@@ -80,3 +80,40 @@ def test_provenance_last_wins_and_miss(spark):
     reg = spark.createDataFrame([(0, "a", "u1"), (1, "b", "u2"), (2, "a", "u3")], "rank bigint, name string, url string")
     ev = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "source_name string, n int")
     assert rows(E.provenance(ev, reg), "source_name", "source_url") == [("a", "u3"), ("b", "u2"), ("c", "")]
+
+
+def test_hot_key_third_of_rows(spark):
+    """One (source, key) holds a third of all rows: first-wins stays exact, the
+    per-key winner table is tiny, and with AQE's skew handling the join back that
+    labels every row is split on the hot partition (forced small thresholds here)."""
+    n = 6000
+    base = spark.range(n).selectExpr(
+        "0L AS source_rank", "'s' AS source_name", "id DIV 100 AS chunk_idx", "id % 100 AS event_idx",
+        "CASE WHEN id % 3 = 0 THEN 'Hot Show' ELSE concat('Show ', CAST(id AS string)) END AS title",
+        "'2026-05-01' AS date_raw", "'20:00' AS time_raw", "'x' AS location", "'Konzert' AS category_raw",
+        "'' AS description")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        kept = E.parse_events(base, "2026-01-01")
+        hot = kept.where("title = 'Hot Show'").collect()
+        assert len(hot) == 1 and (hot[0].chunk_idx, hot[0].event_idx) == (0, 0)
+        assert kept.count() == n - (n // 3) + 1
+        status = E.event_status(base, "2026-01-01")
+        counts = {r.reject_reason: r["count"] for r in status.groupBy("reject_reason").count().collect()}
+        assert counts == {None: n - (n // 3) + 1, "duplicate": n // 3 - 1}
+        status.collect()
+        plan = status._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
