@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from calforge.functions.uid import event_uid_sql
+from calforge.operators import chunks as C
 from calforge.operators import events as E
 from calforge.operators import extract as X
 from calforge.operators import feed as FD
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
 from calforge.plans.book import register
-from calforge.plans.catalog_text import (EXTRACT_SQL, LISTING_CHUNKS_SQL, _card_pages, _card_text_sql,
-                                         _extract_sql)
+from calforge.plans.catalog_text import EXTRACT_SQL, _card_pages, _card_text_sql, _extract_sql
 from calforge.plans.plugins import LineFormatExtractor
 from calforge.plans.sqlparts import feed_cte, prepared_cte, with_cte
 from calforge.session import scratch_path
@@ -20,8 +20,6 @@ from calforge.sources import sinks as S
 from calforge.streaming import stream as ST
 from calforge.streaming.upsert import upsert_events
 
-from calforge.operators import chunks as C
-
 KEYS = ("source_rank", "source_name", "chunk_idx")
 
 # ============================================================ X6: model answers

@@ -14,7 +14,7 @@ from calforge.session import scratch_path
 from calforge.sources import registry as R
 from calforge.streaming import stream as ST
 from calforge.streaming.upsert import upsert_events, upsert_latest
-from tests.conftest import SF001, SF01, rows
+from tests.conftest import SF001, rows
 
 
 def test_stream_equals_batch(spark):
