@@ -137,19 +137,32 @@ description}, ...]}``. Must be picklable; it runs on the executors."""
 def extract_with(chunks: DataFrame, extractor: Extractor,
                  keys=("source_rank", "source_name", "chunk_idx")) -> DataFrame:
     """X5 plug-in stage: call ``extractor`` per chunk in Arrow batches; a failing call
-    yields NULL (the chunk then has no events), other chunks go on."""
+    yields NULL (the chunk then has no events), other chunks go on. An extractor
+    with ``extract_batch(list_of_chunks) -> list_of_answers`` gets one call per
+    Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` chunks); if that
+    call fails, the batch falls back to one call per chunk."""
     schema = ", ".join([f"{k} {t}" for k, t in _key_types(chunks, keys)] + ["response string"])
 
+    def one(text):
+        try:
+            return extractor(text)
+        except Exception:  # noqa: BLE001 - a failed call empties this chunk only
+            return None
+
     def run(batches: Iterator) -> Iterator:
+        batch_call = getattr(extractor, "extract_batch", None)
         for pdf in batches:
             out = pdf[list(keys)].copy()
-            answers = []
-            for text in pdf["chunk"]:
+            texts = list(pdf["chunk"])
+            answers = None
+            if batch_call is not None:
                 try:
-                    answers.append(extractor(text))
-                except Exception:  # noqa: BLE001 - a failed call empties this chunk only
-                    answers.append(None)
-            out["response"] = answers
+                    answers = list(batch_call(texts))
+                    if len(answers) != len(texts):
+                        answers = None
+                except Exception:  # noqa: BLE001
+                    answers = None
+            out["response"] = answers if answers is not None else [one(t) for t in texts]
             yield out
 
     return chunks.select(*keys, "chunk").mapInPandas(run, schema)

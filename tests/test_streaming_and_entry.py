@@ -137,3 +137,29 @@ def test_landing_pages_and_registry_lines(spark):
         for order, name in ((30, "c"), (10, "a"), (20, "b")):
             f.write(json.dumps({"rank": order, "name": name, "url": f"https://{name}/", "enabled": True}) + "\n")
     assert rows(R.read_registry_lines(spark, j), "rank", "name") == [(0, "a"), (1, "b"), (2, "c")]
+
+
+class _BatchModel:
+    """Answers a whole batch in one call; the batch fails when any chunk says 'boom'."""
+
+    def __init__(self):
+        self.inner = LineFormatExtractor()
+
+    def __call__(self, text):
+        if text == "boom":
+            raise RuntimeError("bad chunk")
+        return self.inner(text)
+
+    def extract_batch(self, texts):
+        if "boom" in texts:
+            raise RuntimeError("batch failed")
+        return [self.inner(t) for t in texts]
+
+
+def test_batch_extractor_and_fallback(spark):
+    keys = ("source_rank", "source_name", "chunk_idx")
+    line = "Event: A | Datum: 12.05.2026 20:00 | Ort: Halle Braunschweig"
+    df = spark.createDataFrame([(0, "s", 0, line), (0, "s", 1, "boom"), (0, "s", 2, line)],
+                               "source_rank bigint, source_name string, chunk_idx bigint, chunk string").coalesce(1)
+    out = X.parse_event_json(X.extract_with(df, _BatchModel(), keys), keys)
+    assert sorted((r.chunk_idx, r.date_raw) for r in out.collect()) == [(0, "2026-05-12"), (2, "2026-05-12")]
