@@ -150,3 +150,14 @@ def test_page_text_random_html(spark, docs):
     df = spark.createDataFrame(list(enumerate(htmls)), "i int, html string")
     got = [r[0] for r in df.orderBy("i").select(HT.page_text("html")).collect()]
     assert got == [py_page_text(h) for h in htmls]
+
+
+def test_main_content_respects_nesting(spark):
+    html = ('<html><body><nav>n</nav><div id="content"><div class="a"><p>one</p></div>'
+            '<DIV><div>two</div></DIV><p>three</p></div><div>outside</div><main>m</main></body></html>')
+    df = spark.createDataFrame([(html,), ('<main><p>x</p></main>',), ('<p>plain</p>',),
+                                ('<div id="content"><div>open <p>to the end',)], "h string")
+    got = [r[0] for r in df.select(HT.main_content("h")).collect()]
+    assert got[0] == '<div class="a"><p>one</p></div><DIV><div>two</div></DIV><p>three</p>'
+    assert got[1] == "<p>x</p>" and got[2] == "<p>plain</p>"
+    assert got[3] == "<div>open <p>to the end"
