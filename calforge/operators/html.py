@@ -82,8 +82,14 @@ def element_inner(col, tag: str, elem_id: str | None = None) -> Column:
         return F.struct(depth.alias("depth"), (acc["i"] + 1).alias("i"), end.alias("end"))
 
     end = F.aggregate(pieces, zero, step)["end"]
-    inner = F.array_join(F.when(end >= 0, F.slice(pieces, 1, end)).otherwise(pieces), "")
-    return F.when(c.rlike(start_re(tag, elem_id)), inner)
+    nested_inner = F.array_join(F.when(end >= 0, F.slice(pieces, 1, end)).otherwise(pieces), "")
+    # fast path: the flat match (up to the first closing tag) is already exact when
+    # it holds no opening tag of the same name; only nested or unclosed elements fold
+    flat_pat = element_re(tag, elem_id)
+    flat = F.regexp_extract(c, flat_pat, 1)
+    exact = c.rlike(flat_pat) & ~flat.rlike(rf"(?i)<{tag}\b")
+    return (F.when(exact, flat)
+             .when(c.rlike(start_re(tag, elem_id)), nested_inner))
 
 
 def main_content(col, elements=CONTENT_ELEMENTS) -> Column:
