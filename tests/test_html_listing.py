@@ -161,3 +161,17 @@ def test_main_content_respects_nesting(spark):
     assert got[0] == '<div class="a"><p>one</p></div><DIV><div>two</div></DIV><p>three</p>'
     assert got[1] == "<p>x</p>" and got[2] == "<p>plain</p>"
     assert got[3] == "<div>open <p>to the end"
+
+
+def test_frame_url_rules(spark):
+    cases = [
+        ('<iframe src="https://x.org/a"></iframe>', "https://site.de/p", "https://x.org/a"),
+        ('<IFRAME class="f" SRC="/cal?x=1"></IFRAME>', "https://site.de/p/q", "https://site.de/cal?x=1"),
+        ('<iframe src="cal.html"></iframe>', "http://site.de:8080/p", "http://site.de:8080/cal.html"),
+        ('<iframe src=""></iframe><iframe src="/second"></iframe>', "https://site.de/", None),
+        ('<iframe title="no src"></iframe><iframe src="/second"></iframe>', "https://site.de/", None),
+        ("<p>no frame</p>", "https://site.de/", None),
+    ]
+    df = spark.createDataFrame([(h, u) for h, u, _ in cases], "html string, url string")
+    got = [r.frame_url for r in P.with_frame_url(df).collect()]
+    assert got == [e for _, _, e in cases]
