@@ -163,3 +163,21 @@ def test_batch_extractor_and_fallback(spark):
                                "source_rank bigint, source_name string, chunk_idx bigint, chunk string").coalesce(1)
     out = X.parse_event_json(X.extract_with(df, _BatchModel(), keys), keys)
     assert sorted((r.chunk_idx, r.date_raw) for r in out.collect()) == [(0, "2026-05-12"), (2, "2026-05-12")]
+
+
+def test_answer_parsing_rules(spark):
+    ok = {"title": "T", "date": "2026-01-01", "time": "20:00", "location": "L", "category": "musik",
+          "description": "", "extra": 1}
+    answers = [
+        (0, json.dumps({"events": [ok, dict(ok, category=None)]})),          # null category: kept, fallback
+        (1, json.dumps({"events": [ok, {k: v for k, v in ok.items() if k != "category"}]})),  # missing key
+        (2, json.dumps({"events": [ok, dict(ok, title=None)]})),             # null title
+        (3, json.dumps({"events": {"title": "T"}})),                          # not an array
+        (4, json.dumps({"events": []})),                                      # empty list
+        (5, None),                                                            # failed call
+    ]
+    df = spark.createDataFrame([(0, "s", i, a) for i, a in answers],
+                               "source_rank bigint, source_name string, chunk_idx bigint, response string")
+    keys = ("source_rank", "source_name", "chunk_idx")
+    got = sorted((r.chunk_idx, r.event_idx, r.category_raw) for r in X.parse_event_json(df, keys).collect())
+    assert got == [(0, 0, "musik"), (0, 1, None)]
