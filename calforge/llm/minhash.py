@@ -6,8 +6,9 @@
 2. Equal sets fold into one class (map-side combined, so thousands of copies are one row).
 3. Band keys that several classes share give candidates: each class with the smallest
    class of its band. The signature estimates similarity by counting equal lanes with bit
-   counts, corrected for chance collisions; of the candidates that could be similar each
-   class confirms its best one on full sets, and confirmed links are joined to components.
+   counts, corrected for chance collisions; of the candidates that could be similar the
+   best is confirmed on full sets, and confirmed links are joined to components. This goes
+   over a few bands first and then, for what is still apart, over all.
 4. Then every pair that shares a band key and still lies in different components is
    estimated inside the join, and those that could be similar are confirmed on full sets.
    So a large group of near copies never becomes all its pairs, and no link between
@@ -37,6 +38,7 @@ from calforge.llm.components import components, relabel
 from calforge.llm.words import shingle_sets
 
 K, R, B_BITS, WORDS = 128, 4, 4, 5
+FIRST_BANDS = 4
 SIMILAR = (75, 100)
 ESTIMATE_AT_LEAST = 0.58
 LANES = 64 // B_BITS
@@ -138,6 +140,22 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint").distinct()
 
 
+def _stars(classes: DataFrame, joined: DataFrame, bands: int) -> DataFrame:
+    """Candidates ``(a, b)``: classes with the first class of a band key, where the two lie in
+    different components and could be similar; the best for each pair of components."""
+    of = classes.join(joined, "v")
+    rows = of.select("v", "c", F.explode(F.slice("bands", 1, bands)).alias("key"))
+    lead = rows.groupBy("key").agg(F.min("v").alias("a"), F.min_by("c", "v").alias("ac"), F.min("c").alias("x"), F.max("c").alias("y")) \
+        .where("x < y").select("key", "a", "ac")
+    near = rows.join(lead, (rows["key"] == lead["key"]) & (rows["c"] != lead["ac"])).select("a", "ac", F.col("v").alias("b"), "c").distinct()
+    sig = classes.select("v", "sig")
+    rated = (near.join(sig.withColumnsRenamed({"v": "a", "sig": "sa"}), "a")
+             .join(sig.withColumnsRenamed({"v": "b", "sig": "sb"}), "b")
+             .withColumn("like", estimate(F.col("sa"), F.col("sb"))).where(F.col("like") >= ESTIMATE_AT_LEAST))
+    best = F.max(F.struct("like", (-F.col("a")).alias("a"), (-F.col("b")).alias("b"))).alias("m")
+    return rated.groupBy("c", "ac").agg(best).select((-F.col("m.a")).alias("a"), (-F.col("m.b")).alias("b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, h, n_shingles, component_id, kept`` for every row; ``h``
     is the hash of its text."""
@@ -147,26 +165,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                           F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands"))
                      .select(F.monotonically_increasing_id().alias("v"), "d1", "d2", "first.doc_id", "first.h",
                              "sig", "bands"), "classes")
-    rows = classes.select("v", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a < z")
-    stars = rows.join(shared.select("key", "a"), "key").where("a <> v").select("a", F.col("v").alias("b")).distinct()
-    sig = classes.select("v", "sig")
-    rated = (stars.join(sig.withColumnsRenamed({"v": "a", "sig": "sa"}), "a")
-             .join(sig.withColumnsRenamed({"v": "b", "sig": "sb"}), "b")
-             .withColumn("like", estimate(F.col("sa"), F.col("sb"))).where(F.col("like") >= ESTIMATE_AT_LEAST))
-    best = stored(rated.groupBy("b").agg(F.max(F.struct("like", (-F.col("a")).alias("n"))).alias("m"))
-                  .select((-F.col("m.n")).alias("a"), "b"), "stars")
-    roots = components(confirmed(best, classes, docs))
-    placed = relabel(rows.withColumn("c", F.col("v")), roots, "c")
-    mixed = stored(placed.join(placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
-                               .where("x < y").select("key"), "key", "left_semi").join(sig, "v"), "mixed")
+    joined = classes.select("v", F.col("v").alias("c"))
+    # first a few bands, whose stars join most of each group; then the stars of all bands, between what is still apart
+    for bands in (FIRST_BANDS, K // R):
+        found = confirmed(stored(_stars(classes, joined, bands), "stars"), classes, docs)
+        roots = components(relabel(relabel(found, joined.select("v", F.col("c").alias("root")), "a"),
+                                   joined.select("v", F.col("c").alias("root")), "b"))
+        joined = stored(relabel(joined, roots, "c").select("v", "c"), "joined")
+    rows = classes.join(joined, "v").select("v", "c", "sig", F.explode("bands").alias("key"))
+    apart = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
+    mixed = stored(rows.join(apart, "key", "left_semi"), "mixed")
     one, two = mixed.alias("one"), mixed.alias("two")
     pairs = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.c") < F.col("two.c"))
                      & (estimate(F.col("one.sig"), F.col("two.sig")) >= ESTIMATE_AT_LEAST)) \
         .select(F.col("one.v").alias("a"), F.col("two.v").alias("b")).distinct()
     links = confirmed(stored(pairs, "pairs"), classes, docs)
+    roots = joined.select("v", F.col("c").alias("root"))
     across = components(relabel(relabel(links, roots, "a"), roots, "b").select("a", "b"))
-    member = relabel(relabel(classes.select("d1", "d2", F.col("v").alias("c")), roots, "c"), across, "c")
+    member = relabel(classes.select("v", "d1", "d2").join(joined, "v"), across, "c").select("d1", "d2", "c")
     placed = signed.select("doc_id", "h", "n_shingles", "d1", "d2").join(stored(member, "member"), ["d1", "d2"], "left")
     named = placed.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("name"))
     out = placed.join(named, "c", "left").withColumn(
