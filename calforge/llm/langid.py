@@ -30,7 +30,7 @@ GRAMS = "lang string, gram bigint, n bigint"
 
 def with_language(docs: DataFrame, models: dict[str, ppm.Model]) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is in some learned language."""
-    return identify(docs, models, keep_text=True).where("lang_pred <> 'und'").select(*(f"`{c}`" for c in docs.columns))
+    return identify(docs, models, True, ("_lang_pred", "_score")).where("_lang_pred <> 'und'").select(*(f"`{c}`" for c in docs.columns))
 
 
 def share(key: Column) -> Column:
@@ -64,8 +64,10 @@ def train(labelled: DataFrame) -> dict[str, ppm.Model]:
             for lang, part in table.groupby("lang", sort=True)}
 
 
-def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = False) -> DataFrame:
-    """``text`` and any other columns -> the others (and the text, if asked), ``lang_pred, score``. The score is
+def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = False,
+             out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``text`` and any other columns -> the others (and the text, if asked) and ``out``:
+    the language and its score. The score is
     the share of the best language if code lengths, divided by the root of the text's
     length, were log2 probabilities."""
     names = sorted(models)
@@ -86,8 +88,8 @@ def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = Fa
             pred = [names[b] if ok else "und" for b, ok in zip(best, some, strict=True)]
             kept = [c for c in batch.schema.names if c not in drop]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(pred, pa.string()), pa.array(np.where(some, conf, 0.0))],
-                                             [*kept, "lang_pred", "score"])
+                                             [*kept, *out])
 
     with_letter = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in drop)
-    return with_letter.mapInArrow(predict, f"{kept}, lang_pred string, score double")
+    return with_letter.mapInArrow(predict, f"{kept}, `{out[0]}` string, `{out[1]}` double")
