@@ -38,11 +38,11 @@ def _c(col) -> Column:
 
 
 def block_re(tag: str) -> str:
-    return rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"
+    return rf"(?is)<{tag}(?:[\s/][^>]*)?>.*?</{tag}\s*>"
 
 
 def void_re(tags) -> str:
-    return rf"(?is)<({'|'.join(tags)})\b[^>]*>"
+    return rf"(?is)<({'|'.join(tags)})(?:[\s/][^>]*)?>"
 
 
 def strip_blocks(col, tags=NOISE_TAGS, void_tags=()) -> Column:
@@ -105,12 +105,12 @@ def class_attr_re(token: str) -> str:
 
 
 def start_tag_re(tag: str, token: str) -> str:
-    return rf"(?i)<{tag}\b[^>]*{class_attr_re(token)}[^>]*>"
+    return rf"(?i)<{tag}[\s/][^>]*{class_attr_re(token)}[^>]*>"
 
 
 def element_inner_re(tag: str, token: str) -> str:
     """First ``<tag class~=token>…</tag>``; group 3 is the inner html."""
-    return rf"(?is)<{tag}\b[^>]*{class_attr_re(token)}[^>]*>(.*?)</{tag}\s*>"
+    return rf"(?is)<{tag}[\s/][^>]*{class_attr_re(token)}[^>]*>(.*?)</{tag}\s*>"
 
 
 # text of an inner-html fragment, Python get_text(strip=True): every text node
@@ -123,8 +123,9 @@ def get_text_strip(col, sep: str = "") -> Column:
     c = F.regexp_replace(_c(col), COMMENT_RE, _NODE)
     c = F.regexp_replace(c, TAG_RE, _NODE)
     c = decode_entities(c)
+    # possessive, so that a page of any number of tags needs no stack;
     # each boundary with its surrounding blanks (and empty nodes) -> one separator
-    c = F.regexp_replace(c, rf"({WS}*\x{{01}})+{WS}*", _NODE)
+    c = F.regexp_replace(c, rf"(?:{WS}*\x{{01}})++{WS}*", _NODE)
     c = ustrip(F.regexp_replace(ustrip(c), rf"\A\x{{01}}+|\x{{01}}+\z", ""))
     return F.replace(c, F.lit(_NODE), F.lit(sep))
 

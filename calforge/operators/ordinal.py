@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from calforge.session import scratch_path
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -21,6 +23,11 @@ def dense_index(df: DataFrame, order_col: str, out: str, num_partitions: int | N
            .withColumn("_mid", F.monotonically_increasing_id())
            .withColumn("_part", F.shiftrightunsigned("_mid", 33))
            .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
+    # Written once: both branches below must see the very same partitions and positions
+    # (planned twice, sampling and coalescing could cut the ranges differently).
+    path = scratch_path(df.sparkSession, "dense-index")
+    ids.write.parquet(path)
+    ids = df.sparkSession.read.schema(ids.schema).parquet(path)
     counts = ids.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a single-task window over it is bounded by the partition count
     offsets = counts.select(

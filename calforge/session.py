@@ -23,10 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Python extraction stage (plug-in path) gets small Arrow batches: one batch is
-    # one round of model calls, so keep it bounded.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Text stages are CPU-heavy per byte: after a small shuffle, let AQE keep a few
     # more partitions (parallelism first) instead of packing a stage into one task.
     # Large shuffles are unaffected (their partitions are far above this minimum).
@@ -70,6 +66,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="calforge-ckpt-")
         try:   # informational; some deployments reject core keys at run time
             spark.conf.set("spark.checkpoint.dir", configured)

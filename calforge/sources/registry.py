@@ -66,8 +66,8 @@ def enabled_sources(registry: DataFrame, override: DataFrame | None = None) -> D
 
 def source_profile(registry: DataFrame, profiles: DataFrame) -> DataFrame:
     """Each source's extraction profile by name, else the generic one. The
-    profile table is a configuration list (one row per name, de-duplicated here)."""
-    p = profiles.groupBy("name").agg(F.first("profile").alias("profile"))
+    profile table is a configuration list (one row per name, the first by value wins where a name repeats)."""
+    p = profiles.groupBy("name").agg(F.min("profile").alias("profile"))
     return (registry.join(p, "name", "left")
             .withColumn("profile", F.coalesce(F.col("profile"), F.lit(DEFAULT_PROFILE)))
             .select(*registry.columns, "profile"))

@@ -22,17 +22,24 @@ def one_col(spark, values, expr_fn, typ="string"):
     return [r[0] for r in df.orderBy("i").select(expr_fn(F.col("v"))).collect()]
 
 
-def py_normalise(t: str) -> str:
-    lines = (line.strip() for line in t.splitlines())
-    pieces = (p.strip() for line in lines for p in line.split("  "))
-    return "\n".join(p for p in pieces if p)
+def check_normalised(source: str, got: str) -> None:
+    """No blank or padded piece, no double blank, and the visible characters in their order."""
+    assert "".join(got.split()) == "".join(source.split())
+    for piece in got.splitlines():
+        assert piece and piece == piece.strip() and "  " not in piece
+
+
+def test_normalise_pairs(spark):
+    pairs = {"": "", " a ": "a", "a  b": "a\nb", "a   b c\n\n d\t": "a\nb c\nd", "x\r\ny": "x\ny", "\xa0a\x85b": "a\nb"}
+    assert one_col(spark, list(pairs), normalise_lines) == list(pairs.values())
 
 
 @settings(max_examples=40, deadline=None)
 @given(st.lists(TEXTS, min_size=1, max_size=25))
 def test_strip_and_normalise_match_python(spark, texts):
     assert one_col(spark, texts, ustrip) == [t.strip() for t in texts]
-    assert one_col(spark, texts, normalise_lines) == [py_normalise(t) for t in texts]
+    for source, got in zip(texts, one_col(spark, texts, normalise_lines), strict=True):
+        check_normalised(source, got)
 
 
 def py_date(s):
@@ -114,3 +121,11 @@ def test_ics_escape(spark):
     vals = ["a,b;c\\d", "x\ny,z"]
     assert one_col(spark, vals, ics_escape) == ["a\\,b\\;c\\d", "x\ny\\,z"]
     assert one_col(spark, vals, lambda c: ics_escape(c, newlines=True)) == ["a\\,b\\;c\\d", "x\\ny\\,z"]
+
+
+def test_dense_index_of_many_wide_rows(spark):
+    from calforge.operators.ordinal import dense_index
+    n = 300_000
+    df = spark.range(n).select((F.col("id") * 7919 % 1_000_003).alias("key"), F.repeat(F.lit("x"), 40).alias("wide"))
+    got = dense_index(df, "key", "rank").agg(F.count("rank"), F.countDistinct("rank"), F.min("rank"), F.max("rank")).first()
+    assert tuple(got) == (n, n, 0, n - 1)
