@@ -16,7 +16,7 @@ from calforge.session import spread
 URL_HOST_RE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)"
 URL_ROOT_RE = r"\A([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 IFRAME_TAG_RE = r"(?is)<iframe\b([^>]*)>"
-SRC_ATTR_RE = r"""(?is)(?:^|[\s"'])src="([^"]*)\""""
+SRC_ATTR_RE = r"""(?is)(?:^|[\s"\x27])src="([^"]*)\""""
 
 
 def url_host(col) -> Column:
