@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calforge.llm import bpe, hnsw, langid, lmscore, minhash, pii, secrets, toxicity, training_order, winnow
+from calforge.llm import bpe, hnsw, langid, lmscore, minhash, oracle, pii, secrets, toxicity, training_order, winnow
 from calforge.llm.common import crc_rest, read
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -93,4 +93,4 @@ def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_training_order, op2_embedding_dedup, op3_toxicity, op4_decontamination, op5_language_id, op6_secret_scan, op7_lm_score,
     op8_minhash_dedup, op9_bpe, op10_pii)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_decontamination": oracle.DECONTAMINATION}
