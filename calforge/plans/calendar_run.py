@@ -33,17 +33,18 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, path: str | None
 
 def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataFrame, pages: DataFrame,
                        as_of, extractor: X.Extractor | None = None, override: DataFrame | None = None,
-                       path: str | None = None) -> DataFrame:
-    """Gather site texts, envelope and chunk them, extract candidate events (native
-    or with a plug-in ``extractor``), and store the candidates."""
-    texts = E.gathered_text(G.site_texts(registry, profiles, pages, override))
+                       path: str | None = None, listings: DataFrame | None = None) -> DataFrame:
+    """Gather site texts (all pages of the sources that ``listings`` names), envelope and
+    chunk them, extract candidate events (native or with a plug-in ``extractor``), attach
+    each source's url (J4), and store the candidates."""
+    texts = E.gathered_text(G.site_texts(registry, profiles, pages, override, listings=listings))
     units = texts.select("source_rank", "source_name", F.col("page_id").alias("page"), "text")
     chunks = G.units_to_chunks(units)
     if extractor is None:
         cand = X.extract_native(chunks)
     else:
         cand = X.event_defaults(X.parse_event_json(X.extract_with(chunks, extractor, KEYS), KEYS))
-    return materialize(spark, cand, "candidates", path)
+    return materialize(spark, E.provenance(cand, registry), "candidates", path)
 
 
 def build_calendars(spark: SparkSession, candidates: DataFrame, out_dir: str, as_of,

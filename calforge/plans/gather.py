@@ -60,9 +60,12 @@ def items_text(html, name) -> Column:
 
 
 def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,
-               override: DataFrame | None = None, place: str = L.DEFAULT_PLACE) -> DataFrame:
+               override: DataFrame | None = None, place: str = L.DEFAULT_PLACE,
+               listings: DataFrame | None = None) -> DataFrame:
     """Gather: ``(source_rank, source_name, profile, page_id, text)`` per enabled
-    source that has a page. Frame pages are resolved against the whole page table."""
+    source that has a page, one row for each page. A source with rows in ``listings``
+    ``(source_name, url)`` takes the newest copy of every url listed there, another one the
+    newest page of its host. Frame pages are resolved against the whole page table."""
     srcs = R.source_profile(R.enabled_sources(registry, override), profiles)
     srcs = srcs.select(F.col("rank").alias("source_rank"), F.col("name").alias("source_name"), "profile",
                        P.url_host("url").alias("host"))
@@ -70,8 +73,14 @@ def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,
     # the small host set, which AQE broadcasts after measuring it)
     fetched = pages.where(F.coalesce(F.col("html"), F.lit("")) != "").withColumn("host", P.url_host("url"))
     wanted = fetched.join(srcs.select("host").distinct(), "host", "left_semi")
-    cur = P.current_page(wanted)
-    joined = srcs.join(cur, "host", "inner")
+    if listings is None:
+        joined = srcs.join(P.current_page(wanted), "host", "inner")
+    else:
+        urls = listings.where("source_name is not null and url is not null").select("source_name", "url").distinct()
+        copies = P.newest_copies(fetched.drop("host").join(urls.select("url").distinct(), "url", "left_semi"))
+        listed = P.multi_page_union(srcs.join(urls, "source_name"), copies)
+        other = srcs.join(urls, "source_name", "left_anti").join(P.current_page(wanted), "host", "inner")
+        joined = other.unionByName(listed)
     framed = P.frame_resolve(joined.where(F.col("profile") == "frame"), pages).drop("frame_url")
     rest = joined.where(F.col("profile") != "frame")
     both = rest.unionByName(framed)

@@ -53,6 +53,13 @@ def current_page(pages: DataFrame) -> DataFrame:
     return hosted.join(newest, ["host", "page_id"], "left_semi").select("host", "page_id", "url", "html")
 
 
+def newest_copies(pages: DataFrame) -> DataFrame:
+    """The newest copy (highest page_id) of every url; as in ``current_page``, html never
+    goes through an aggregate."""
+    newest = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    return pages.join(newest, ["url", "page_id"], "left_semi")
+
+
 def multi_page_union(source_urls: DataFrame, pages: DataFrame) -> DataFrame:
     """SC5: a source made of several listing URLs: one scan joined to the
     (source, url) table; missing pages simply have no row."""

@@ -104,6 +104,25 @@ def test_calendar_run_end_to_end(spark):
     assert sum(r.n_events for r in counts2.collect()) == 1
 
 
+def test_run_takes_every_listed_page(spark):
+    from calforge.plans import calendar_run as RUN
+    url = "concat('https://cards.example/list/', CAST(page AS string))"
+    cards = FX.fx3_card_pages(spark, SF001)
+    pages = cards.selectExpr("page AS page_id", f"{url} AS url", "html")
+    stale = cards.selectExpr("page - 1000000 AS page_id", f"{url} AS url", "'<p>old</p>' AS html")
+    registry = spark.createDataFrame([(0, "cards.example", "https://cards.example/", True)],
+                                     "rank bigint, name string, url string, enabled boolean")
+    profiles = spark.createDataFrame([("cards.example", "cards")], "name string, profile string")
+    listings = pages.selectExpr("'cards.example' AS source_name", "url")
+    cand = RUN.extract_candidates(spark, registry, profiles, pages.unionByName(stale), FX.AS_OF,
+                                  listings=listings.unionByName(listings))
+    units = G.listing_units(cards.selectExpr("0L AS source_rank", "'cards.example' AS source_name", "page", "html"))
+    lines = units.select("page", F.explode(F.split("text", "\n")).alias("line")).distinct().count()
+    assert pages.count() > 1
+    assert cand.count() == lines
+    assert [r[0] for r in cand.select("source_url").distinct().collect()] == ["https://cards.example/"]
+
+
 def test_registry_missing_or_broken(spark):
     assert R.read_registry(spark, "/nonexistent/calforge/config.json").count() == 0
     d = tempfile.mkdtemp(prefix="calforge-reg-bad-")
