@@ -25,6 +25,7 @@ def main(argv=None) -> None:
     ap.add_argument("--registry", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--profiles")
+    ap.add_argument("--listings", help="CSV with source_name,url: sources read from several pages")
     ap.add_argument("--as-of", default=dt.date.today().isoformat())
     ap.add_argument("--sources", nargs="*")
     ap.add_argument("--candidates", help="where to keep the extracted candidates (default: shared folder)")
@@ -40,9 +41,12 @@ def main(argv=None) -> None:
     override = None
     if args.sources is not None:
         override = spark.createDataFrame([(n,) for n in args.sources], "name string")
+    listings = None
+    if args.listings:
+        listings = spark.read.option("header", True).csv(args.listings).select("source_name", "url")
     pages = spark.read.parquet(args.pages).select("page_id", "url", "html")
     cand = extract_candidates(spark, registry, profiles, pages, args.as_of, override=override,
-                              path=args.candidates)
+                              path=args.candidates, listings=listings)
     counts = build_calendars(spark, cand, args.out, args.as_of)
     for r in counts.orderBy("category").collect():       # five rows at most
         print(f"[{r.category}] {r.n_events} events, {r.written} written "
