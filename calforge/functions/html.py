@@ -8,6 +8,8 @@ Entities are decoded after tags are gone, '&amp;' last so '&amp;lt;' stays '&lt;
 
 from __future__ import annotations
 
+from html.entities import html5, name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,30 +21,56 @@ NOISE_TAGS: tuple[str, ...] = ("script", "style", "nav", "footer", "header")
 CONTENT_NOISE_TAGS: tuple[str, ...] = ("script", "style", "nav", "footer", "header", "aside")
 VOID_NOISE_TAGS: tuple[str, ...] = ("meta", "link")
 
-# Named and numeric character references decoded in text ('&amp;' is
-# applied last, separately).
+# The references that occur in the oracle's tables ('&amp;' is applied last,
+# separately). The Spark side decodes every named and numeric reference (``_NAMED``).
 ENTITIES: tuple[tuple[str, str], ...] = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#34;", '"'),
-    ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"),
+    ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"),
     ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"),
     ("&euro;", "€"), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"),
     ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"),
 )
 
+# Every named reference of HTML 5 (the older, common names first: a lookup reads the map
+# in order), and the numbers that stand for windows-1252 bytes.
+_OLD = [n + ";" for n in name2codepoint]
+_NAMED = {n[:-1]: html5[n] for n in [*_OLD, *(n for n in html5 if n.endswith(";") and n not in set(_OLD))]}
+_NAMED |= {f"#{b}": bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)}
+_PAIR, _IS = "\u0002", "\u0003"
+_NAMED_TEXT = _PAIR.join(f"{k}{_IS}{v}" for k, v in _NAMED.items())
+REF_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
 COMMENT_RE = r"(?s)<!--.*?-->"
-TAG_RE = r"<[a-zA-Z/!?][^>]*>"
+# The attributes of a tag: a quoted value is read whole, so a '>' inside it ends nothing.
+# Possessive throughout, so a tag of any length needs no stack.
+ATTRS = r"(?:[^>=]++|=\s*+(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)?+)*+"
+TAG_RE = rf"<[a-zA-Z/!?]{ATTRS}>"
+_VALUE = r"(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27|[^\s>\x22\x27]*+)"
+# Elements whose content is no markup: left open, they run to the end of the page.
+RAW_TAGS = ("script", "style")
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def re2(pattern: str) -> str:
+    """The oracle's engine has no possessive quantifiers (and needs none)."""
+    return pattern.replace("*+", "*").replace("++", "+").replace("?+", "?")
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def block_re(tag: str) -> str:
-    return rf"(?is)<{tag}(?:[\s/][^>]*)?>.*?</{tag}\s*>"
+    end = r"(?:</{0}\s*>|\z)" if tag in RAW_TAGS else r"</{0}\s*>"
+    return rf"(?is)<{tag}(?:[\s/]{ATTRS})?>.*?" + end.format(tag)
 
 
 def void_re(tags) -> str:
-    return rf"(?is)<({'|'.join(tags)})(?:[\s/][^>]*)?>"
+    return rf"(?is)<({'|'.join(tags)})(?:[\s/]{ATTRS})?>"
 
 
 def strip_blocks(col, tags=NOISE_TAGS, void_tags=()) -> Column:
@@ -56,19 +84,37 @@ def strip_blocks(col, tags=NOISE_TAGS, void_tags=()) -> Column:
 
 def strip_blocks_sql(expr: str, tags=NOISE_TAGS, void_tags=()) -> str:
     for tag in tags:
-        expr = f"regexp_replace({expr}, '{block_re(tag)}', chr(10), 'g')"
+        expr = f"regexp_replace({expr}, '{re2(block_re(tag))}', chr(10), 'g')"
     if void_tags:
-        expr = f"regexp_replace({expr}, '{void_re(void_tags)}', chr(10), 'g')"
+        expr = f"regexp_replace({expr}, '{re2(void_re(void_tags))}', chr(10), 'g')"
     return expr
 
 
+def _character(ref: Column) -> Column:
+    """The character of the text between '&' and ';'; unknown names stay as they are."""
+    number = F.when(ref.rlike(r"\A#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(
+        F.substring(ref, 2, 8)).try_cast("int")
+
+    def numeric(n):
+        code = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        good = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.coalesce(F.try_element_at(named, F.concat(F.lit("#"), n.cast("string"))),
+                          F.when(good, code).otherwise(F.lit("\ufffd")))
+
+    named = F.str_to_map(F.lit(_NAMED_TEXT), F.lit(_PAIR), F.lit(_IS))
+    return F.when(ref.startswith("#"), let(number, numeric)).otherwise(
+        F.coalesce(F.try_element_at(named, ref), F.concat(F.lit("&"), ref, F.lit(";"))))
+
+
 def decode_entities(col) -> Column:
-    """Literal replaces, skipped entirely for text without '&'."""
-    src = _c(col)
-    c = src
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return F.when(src.contains("&"), F.replace(c, F.lit("&amp;"), F.lit("&"))).otherwise(src)
+    """All named and numeric character references, each read once (so '&amp;lt;' gives
+    '&lt;'); text without '&' is left alone."""
+    def decoded(s):
+        parts = F.zip_with(F.split(s, REF_RE), F.regexp_extract_all(s, F.lit(REF_RE), F.lit(1)),
+                           lambda text, ref: F.concat(text, F.coalesce(_character(ref), F.lit(""))))
+        return F.array_join(parts, "")
+
+    return let(_c(col), lambda s: F.when(s.contains("&"), decoded(s)).otherwise(s))
 
 
 def _sql_lit(s: str) -> str:
@@ -92,25 +138,98 @@ def tags_to_breaks(col) -> Column:
 
 def tags_to_breaks_sql(expr: str) -> str:
     expr = f"regexp_replace({expr}, '{COMMENT_RE}', chr(10), 'g')"
-    expr = f"regexp_replace({expr}, '{TAG_RE}', chr(10), 'g')"
+    expr = f"regexp_replace({expr}, '{re2(TAG_RE)}', chr(10), 'g')"
     return decode_entities_sql(expr)
 
 
 # -- element helpers used by the listing extractors ---------------------------------
 
-def class_attr_re(token: str) -> str:
-    """A class attribute holding ``token`` as a whole token (not a prefix of
-    'token-title'); ``token`` must be regex-safe."""
-    return rf"""class="([^"]*[ ])?{token}([ ][^"]*)?\""""
+def _start(tag: str, attr: str, whole: str) -> str:
+    """Start tag whose first ``attr`` has the value ``whole``: the attributes before it are
+    read one by one, with their quotes."""
+    at = rf"[^>=]*?[\s\x22\x27/]{attr}\s*="
+    return rf"<{tag}(?=[\s/])(?:(?!{at})[^>=]*+=\s*+{_VALUE})*+{at}\s*+{whole}"
+
+
+def _start_sql(tag: str, attr: str, whole: str) -> str:
+    return (rf"<{tag}(?:[\s/](?:[^>=]*=\s*{re2(_VALUE)})*?[^>=]*?)??[\s\x22\x27/]{attr}\s*=\s*" + re2(whole))
+
+
+def _one_token(token: str) -> str:
+    t = rf"(?-i:{token})"
+    quoted = "|".join(rf"{q}(?:[^{q}]*\s)?{t}(?:\s[^{q}]*)?{q}" for q in (r"\x22", r"\x27"))
+    return rf"(?:(?:{quoted}){ATTRS}>|{t}(?:[\s/]{ATTRS})?>)"
+
+
+def _whole_value(value: str) -> str:
+    v = rf"(?-i:{value})"
+    return rf"(?:(?:\x22{v}\x22|\x27{v}\x27){ATTRS}>|{v}(?:[\s/]{ATTRS})?>)"
 
 
 def start_tag_re(tag: str, token: str) -> str:
-    return rf"(?i)<{tag}[\s/][^>]*{class_attr_re(token)}[^>]*>"
+    """Start tag of a ``tag`` with ``token`` among its classes (a whole token, not a prefix
+    of 'token-title'); any quoting. ``token`` must be regex-safe."""
+    return "(?is)" + _start(tag, "class", _one_token(token))
+
+
+def start_tag_re_sql(tag: str, token: str) -> str:
+    return "(?is)" + _start_sql(tag, "class", _one_token(token))
+
+
+def element_inner_re_sql(tag: str, token: str) -> str:
+    """Oracle form: first ``<tag class~=token>…</tag>``, flat; group 1 is the inner html."""
+    return rf"{start_tag_re_sql(tag, token)}(.*?)</{tag}\s*>"
+
+
+def start_id_re(tag: str, elem_id: str | None) -> str:
+    return "(?is)" + (_start(tag, "id", _whole_value(elem_id)) if elem_id else rf"<{tag}(?:[\s/]{ATTRS})?>")
+
+
+def start_id_re_sql(tag: str, elem_id: str | None) -> str:
+    if elem_id:
+        return "(?is)" + _start_sql(tag, "id", _whole_value(elem_id))
+    return re2(start_id_re(tag, elem_id))
+
+
+def inner_of_rest(rest: Column, tag: str) -> Column:
+    """Inner html of an element from the text after its start tag, nesting respected: the
+    text is cut before every start/end tag of the same name, and a fold over the pieces
+    (state: depth, index) finds the piece where the depth returns to 0; the element is
+    everything before it. An element that is never closed runs to the end, as a DOM parser
+    closes it at the end of the document. Without nesting the first piece is the answer."""
+    def fold(pieces):
+        zero = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("i"), F.lit(-1).alias("end"))
+
+        def step(acc, piece):
+            depth = (F.when(acc["end"] >= 0, acc["depth"])
+                      .when(piece.rlike(rf"(?i)\A</{tag}\s*>"), acc["depth"] - 1)
+                      .when(piece.rlike(rf"(?i)\A<{tag}[\s/>]"), acc["depth"] + 1)
+                      .otherwise(acc["depth"]))
+            end = F.when((acc["end"] < 0) & (depth == 0), acc["i"]).otherwise(acc["end"])
+            return F.struct(depth.alias("depth"), (acc["i"] + 1).alias("i"), end.alias("end"))
+
+        end = F.aggregate(pieces, zero, step)["end"]
+        return F.array_join(F.when(end >= 0, F.slice(pieces, 1, end)).otherwise(pieces), "")
+
+    def inner(pieces):
+        flat = F.get(pieces, 1).startswith("</") & ~F.get(pieces, 0).rlike(rf"(?i)\A</?{tag}[\s/>]")
+        return F.when(flat, F.get(pieces, 0)).otherwise(fold(pieces))
+
+    return let(F.split(rest, rf"(?i)(?=<{tag}[\s/>])|(?=</{tag}\s*>)"), inner)
+
+
+def inner_html(col, tag: str, start: str) -> Column:
+    """Inner html of the first element that begins with ``start``; NULL without one."""
+    return inner_of_rest(F.get(F.split(_c(col), start, 2), 1), tag)
 
 
-def element_inner_re(tag: str, token: str) -> str:
-    """First ``<tag class~=token>…</tag>``; group 3 is the inner html."""
-    return rf"(?is)<{tag}[\s/][^>]*{class_attr_re(token)}[^>]*>(.*?)</{tag}\s*>"
+def attribute(tag_text: Column, attr: str) -> Column:
+    """Value of the first ``attr`` of a start tag, references decoded; NULL without one."""
+    at = rf"[^>=]*?[\s\x22\x27/]{attr}\s*="
+    raw = F.regexp_extract(tag_text, rf"(?is)\A<[a-z0-9-]+(?=[\s/])(?:(?!{at})[^>=]*+=\s*+{_VALUE})*+"
+                                     rf"{at}\s*+({_VALUE})", 1)
+    value = let(raw, lambda v: F.when(v.rlike(r"\A[\x22\x27]"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v))
+    return decode_entities(F.when(raw != "", value))
 
 
 # text of an inner-html fragment, Python get_text(strip=True): every text node
@@ -133,7 +252,7 @@ def get_text_strip(col, sep: str = "") -> Column:
 def get_text_strip_sql(expr: str, sep: str = "") -> str:
     node = "chr(1)"
     expr = f"regexp_replace({expr}, '{COMMENT_RE}', {node}, 'g')"
-    expr = f"regexp_replace({expr}, '{TAG_RE}', {node}, 'g')"
+    expr = f"regexp_replace({expr}, '{re2(TAG_RE)}', {node}, 'g')"
     expr = decode_entities_sql(expr)
     expr = f"regexp_replace({expr}, '({WS}*\\x{{01}})+{WS}*', {node}, 'g')"
     expr = ustrip_sql(f"regexp_replace({ustrip_sql(expr)}, '\\A\\x{{01}}+|\\x{{01}}+\\z', '', 'g')")

@@ -50,46 +50,9 @@ def page_text_sql(expr: str) -> str:
 
 # -- H5/H6 ---------------------------------------------------------------------------
 
-def element_re(tag: str, elem_id: str | None) -> str:
-    attr = rf"""[^>]*\bid="{elem_id}"[^>]*""" if elem_id else r"[^>]*"
-    return rf"(?is)<{tag}\b{attr}>(.*?)</{tag}\s*>"
-
-
-def start_re(tag: str, elem_id: str | None) -> str:
-    attr = rf"""[^>]*\bid="{elem_id}"[^>]*""" if elem_id else r"[^>]*"
-    return rf"(?is)<{tag}\b{attr}>"
-
-
 def element_inner(col, tag: str, elem_id: str | None = None) -> Column:
-    """Inner html of the first ``<tag [id=...]>`` with nesting respected: the text
-    after its start tag is cut before every start/end tag of the same name, and a
-    fold over the pieces (state: depth, index) finds the piece where the depth
-    returns to 0; the element is everything before it. An element that is never
-    closed runs to the end, as a DOM parser closes it at the end of the document."""
-    c = _c(col)
-    rest = F.regexp_extract(c, start_re(tag, elem_id) + "(.*)", 1)
-    pieces = F.split(rest, rf"(?i)(?=<{tag}\b)|(?=</{tag}\s*>)")
-    zero = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("i"), F.lit(-1).alias("end"))
-
-    def step(acc, piece):
-        closing = piece.rlike(rf"(?i)\A</{tag}\s*>")
-        opening = piece.rlike(rf"(?i)\A<{tag}\b")
-        depth = (F.when(acc["end"] >= 0, acc["depth"])
-                  .when(closing, acc["depth"] - 1)
-                  .when(opening, acc["depth"] + 1)
-                  .otherwise(acc["depth"]))
-        end = F.when((acc["end"] < 0) & (depth == 0), acc["i"]).otherwise(acc["end"])
-        return F.struct(depth.alias("depth"), (acc["i"] + 1).alias("i"), end.alias("end"))
-
-    end = F.aggregate(pieces, zero, step)["end"]
-    nested_inner = F.array_join(F.when(end >= 0, F.slice(pieces, 1, end)).otherwise(pieces), "")
-    # fast path: the flat match (up to the first closing tag) is already exact when
-    # it holds no opening tag of the same name; only nested or unclosed elements fold
-    flat_pat = element_re(tag, elem_id)
-    flat = F.regexp_extract(c, flat_pat, 1)
-    exact = c.rlike(flat_pat) & ~flat.rlike(rf"(?i)<{tag}\b")
-    return (F.when(exact, flat)
-             .when(c.rlike(start_re(tag, elem_id)), nested_inner))
+    """Inner html of the first ``<tag [id=...]>``, nesting respected; NULL without one."""
+    return H.inner_html(col, tag, H.start_id_re(tag, elem_id))
 
 
 def main_content(col, elements=CONTENT_ELEMENTS) -> Column:
@@ -108,7 +71,7 @@ def main_content_sql(expr: str, elements=CONTENT_ELEMENTS) -> str:
     pages; nesting itself is covered by a unit test."""
     out = expr
     for tag, elem_id in reversed(elements):
-        pat = element_re(tag, elem_id)
+        pat = H.start_id_re_sql(tag, elem_id) + rf"(.*?)</{tag}\s*>"
         out = f"CASE WHEN regexp_matches({expr}, '{pat}') THEN regexp_extract({expr}, '{pat}', 1) ELSE {out} END"
     return out
 

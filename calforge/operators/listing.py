@@ -34,14 +34,15 @@ def _c(col) -> Column:
 
 
 def _field(seg: Column, tag: str, token: str, default: str, sep: str = "") -> Column:
-    pat = H.element_inner_re(tag, token)
-    return F.when(seg.rlike(pat), H.get_text_strip(F.regexp_extract(seg, pat, 3), sep)).otherwise(F.lit(default))
+    """Text of the first such element of a piece, or the default."""
+    inner = H.inner_html(seg, tag, H.start_tag_re(tag, token))
+    return F.coalesce(H.get_text_strip(inner, sep), F.lit(default))
 
 
 def _field_sql(seg: str, tag: str, token: str, default: str, sep: str = "") -> str:
-    pat = H.element_inner_re(tag, token)
+    pat = H.element_inner_re_sql(tag, token)
     return (f"CASE WHEN regexp_matches({seg}, '{pat}') "
-            f"THEN {H.get_text_strip_sql(f'regexp_extract({seg}, {chr(39)}{pat}{chr(39)}, 3)', sep)} "
+            f"THEN {H.get_text_strip_sql(f'regexp_extract({seg}, {chr(39)}{pat}{chr(39)}, 1)', sep)} "
             f"ELSE '{default}' END")
 
 
@@ -52,15 +53,19 @@ def _pieces(html: Column, tag: str, token: str) -> Column:
 
 # -- H7/H8/H9 ------------------------------------------------------------------------
 
+def page_cards(html) -> Column:
+    """The cards of one page, in order: array of (title, date, venue)."""
+    return F.transform(_pieces(_c(html), "div", CARD_CLASS), lambda seg: F.struct(
+        _field(seg, "h3", CARD_TITLE, CARD_DEFAULTS[0]).alias("title"),
+        _field(seg, "span", CARD_DATE, CARD_DEFAULTS[1]).alias("date"),
+        _field(seg, "span", CARD_VENUE, CARD_DEFAULTS[2]).alias("venue")))
+
+
 def listing_cards(pages: DataFrame, html_col: str = "html", keep=("page",)) -> DataFrame:
     """H7: one row per card: ``card_idx`` (position on the page), title, date, venue.
     Fields are computed inside the generator, so a later filter on them (the place
     filter) cannot be pushed below and re-run the extraction regexes."""
-    cards = F.transform(_pieces(F.col(html_col), "div", CARD_CLASS), lambda seg: F.struct(
-        _field(seg, "h3", CARD_TITLE, CARD_DEFAULTS[0]).alias("title"),
-        _field(seg, "span", CARD_DATE, CARD_DEFAULTS[1]).alias("date"),
-        _field(seg, "span", CARD_VENUE, CARD_DEFAULTS[2]).alias("venue")))
-    return (pages.select(*keep, F.posexplode(cards).alias("card_idx", "_c"))
+    return (pages.select(*keep, F.posexplode(page_cards(html_col)).alias("card_idx", "_c"))
             .select(*keep, "card_idx", "_c.title", "_c.date", "_c.venue"))
 
 
@@ -72,7 +77,7 @@ SELECT {k}, card_idx, {_field_sql(seg, 'h3', CARD_TITLE, CARD_DEFAULTS[0])} AS t
        {_field_sql(seg, 'span', CARD_DATE, CARD_DEFAULTS[1])} AS date,
        {_field_sql(seg, 'span', CARD_VENUE, CARD_DEFAULTS[2])} AS venue
 FROM (SELECT {k}, CAST(generate_subscripts(parts, 1) - 2 AS INTEGER) AS card_idx, unnest(parts) AS seg
-      FROM (SELECT {k}, string_split_regex(coalesce({html_col}, ''), '{H.start_tag_re('div', CARD_CLASS)}') AS parts
+      FROM (SELECT {k}, string_split_regex(coalesce({html_col}, ''), '{H.start_tag_re_sql('div', CARD_CLASS)}') AS parts
             FROM ({pages_sql}) pg) x) y
 WHERE card_idx >= 0"""
 
@@ -102,28 +107,31 @@ def listing_text(lines: DataFrame, source_cols=("source_rank", "source_name"), u
 
 # -- H10/H11 -------------------------------------------------------------------------
 
-def listing_items(pages: DataFrame, html_col: str = "html", keep=("page",)) -> DataFrame:
-    """One row per list item; info spans are taken by position (0 location,
-    1 time, the rest ignored). Fields are computed inside the generator."""
-    info_pat = H.element_inner_re("span", ITEM_INFO)
-
+def page_items(html) -> Column:
+    """The list items of one page, in order: array of (title, date, location, time). Info
+    spans are taken by position (0 location, 1 time, the rest ignored)."""
     def item(seg):
-        infos = F.transform(F.regexp_extract_all(seg, F.lit(info_pat), F.lit(3)), lambda x: H.get_text_strip(x, " "))
-        return F.struct(_field(seg, "h2", ITEM_HEADLINE, ITEM_DEFAULTS[0]).alias("title"),
-                        _field(seg, "p", ITEM_DATE, ITEM_DEFAULTS[1], " ").alias("date"),
-                        infos.alias("infos"))
+        spans = F.transform(_pieces(seg, "span", ITEM_INFO),
+                            lambda rest: H.get_text_strip(H.inner_of_rest(rest, "span"), " "))
+        return H.let(spans, lambda infos: F.struct(
+            _field(seg, "h2", ITEM_HEADLINE, ITEM_DEFAULTS[0]).alias("title"),
+            _field(seg, "p", ITEM_DATE, ITEM_DEFAULTS[1], " ").alias("date"),
+            F.coalesce(F.get(infos, 0), F.lit(ITEM_DEFAULTS[2])).alias("location"),
+            F.coalesce(F.get(infos, 1), F.lit(ITEM_DEFAULTS[3])).alias("time")))
 
-    items = F.transform(_pieces(F.col(html_col), "div", ITEM_CLASS), item)
-    return (pages.select(*keep, F.posexplode(items).alias("item_idx", "_i"))
-            .select(*keep, "item_idx", "_i.title", "_i.date",
-                    F.coalesce(F.get("_i.infos", 0), F.lit(ITEM_DEFAULTS[2])).alias("location"),
-                    F.coalesce(F.get("_i.infos", 1), F.lit(ITEM_DEFAULTS[3])).alias("time")))
+    return F.transform(_pieces(_c(html), "div", ITEM_CLASS), item)
+
+
+def listing_items(pages: DataFrame, html_col: str = "html", keep=("page",)) -> DataFrame:
+    """One row per list item."""
+    return (pages.select(*keep, F.posexplode(page_items(html_col)).alias("item_idx", "_i"))
+            .select(*keep, "item_idx", "_i.title", "_i.date", "_i.location", "_i.time"))
 
 
 def listing_items_sql(pages_sql: str, html_col: str = "html", keep=("page",)) -> str:
     k = ", ".join(keep)
-    info_pat = H.element_inner_re("span", ITEM_INFO)
-    infos = (f"list_transform(regexp_extract_all(seg, '{info_pat}', 3), "
+    info_pat = H.element_inner_re_sql("span", ITEM_INFO)
+    infos = (f"list_transform(regexp_extract_all(seg, '{info_pat}', 1), "
              f"lambda x: {H.get_text_strip_sql('x', ' ')})")
     return f"""
 SELECT {k}, item_idx, {_field_sql('seg', 'h2', ITEM_HEADLINE, ITEM_DEFAULTS[0])} AS title,
@@ -131,7 +139,7 @@ SELECT {k}, item_idx, {_field_sql('seg', 'h2', ITEM_HEADLINE, ITEM_DEFAULTS[0])}
        coalesce({infos}[1], '{ITEM_DEFAULTS[2]}') AS location,
        coalesce({infos}[2], '{ITEM_DEFAULTS[3]}') AS time
 FROM (SELECT {k}, CAST(generate_subscripts(parts, 1) - 2 AS INTEGER) AS item_idx, unnest(parts) AS seg
-      FROM (SELECT {k}, string_split_regex(coalesce({html_col}, ''), '{H.start_tag_re('div', ITEM_CLASS)}') AS parts
+      FROM (SELECT {k}, string_split_regex(coalesce({html_col}, ''), '{H.start_tag_re_sql('div', ITEM_CLASS)}') AS parts
             FROM ({pages_sql}) pg) x) y
 WHERE item_idx >= 0"""
 

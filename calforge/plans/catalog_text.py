@@ -66,10 +66,15 @@ def q_multi_page_union(spark, sf):
         "source_name", "url", "page_id")
 
 
+# The oracle's own, plainer patterns: the frames of the fixture are well-formed.
+IFRAME_TAG_RE = r"(?is)<iframe\b([^>]*)>"
+SRC_ATTR_RE = r"""(?is)(?:^|[\s"\x27])src="([^"]*)\""""
+
+
 def _frame_url_sql(html: str, url: str) -> str:
-    attrs = f"regexp_extract({html}, '{P.IFRAME_TAG_RE}', 1)"
-    src = (f"CASE WHEN regexp_matches({html}, '{P.IFRAME_TAG_RE}') AND regexp_matches({attrs}, '{P.SRC_ATTR_RE}') "
-           f"THEN nullif(regexp_extract({attrs}, '{P.SRC_ATTR_RE}', 1), '') END")
+    attrs = f"regexp_extract({html}, '{IFRAME_TAG_RE}', 1)"
+    src = (f"CASE WHEN regexp_matches({html}, '{IFRAME_TAG_RE}') AND regexp_matches({attrs}, '{SRC_ATTR_RE}') "
+           f"THEN nullif(regexp_extract({attrs}, '{SRC_ATTR_RE}', 1), '') END")
     root = f"regexp_extract({url}, '{P.URL_ROOT_RE}', 1)"
     return (f"CASE WHEN starts_with({src}, 'http') THEN {src} WHEN starts_with({src}, '/') THEN {root} || {src} "
             f"WHEN {src} IS NOT NULL THEN {root} || '/' || {src} END")
@@ -223,7 +228,7 @@ def q_source_profile(spark, sf):
 
 
 def _card_text_sql(html: str) -> str:
-    segs = f"string_split_regex(coalesce({html}, ''), '{H.start_tag_re('div', L.CARD_CLASS)}')[2:]"
+    segs = f"string_split_regex(coalesce({html}, ''), '{H.start_tag_re_sql('div', L.CARD_CLASS)}')[2:]"
     t = L._field_sql("s", "h3", L.CARD_TITLE, L.CARD_DEFAULTS[0])
     d = L._field_sql("s", "span", L.CARD_DATE, L.CARD_DEFAULTS[1])
     v = L._field_sql("s", "span", L.CARD_VENUE, L.CARD_DEFAULTS[2])
@@ -233,9 +238,9 @@ def _card_text_sql(html: str) -> str:
 
 
 def _items_text_sql(html: str, name: str) -> str:
-    segs = f"string_split_regex(coalesce({html}, ''), '{H.start_tag_re('div', L.ITEM_CLASS)}')[2:]"
-    info_pat = H.element_inner_re("span", L.ITEM_INFO)
-    infos = f"list_transform(regexp_extract_all(s, '{info_pat}', 3), lambda x: {H.get_text_strip_sql('x', ' ')})"
+    segs = f"string_split_regex(coalesce({html}, ''), '{H.start_tag_re_sql('div', L.ITEM_CLASS)}')[2:]"
+    info_pat = H.element_inner_re_sql("span", L.ITEM_INFO)
+    infos = f"list_transform(regexp_extract_all(s, '{info_pat}', 1), lambda x: {H.get_text_strip_sql('x', ' ')})"
     block = ("'Event: ' || " + L._field_sql("s", "h2", L.ITEM_HEADLINE, L.ITEM_DEFAULTS[0])
              + " || chr(10) || 'Date: ' || " + L._field_sql("s", "p", L.ITEM_DATE, L.ITEM_DEFAULTS[1], " ")
              + f" || chr(10) || 'Time: ' || coalesce({infos}[2], '{L.ITEM_DEFAULTS[3]}')"

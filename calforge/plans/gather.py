@@ -31,32 +31,18 @@ CHUNK_STRIDE = 1 << 20
 
 def card_text(html, place: str = L.DEFAULT_PLACE) -> Column:
     """Card profile on one page: cards -> place filter -> distinct sorted lines."""
-    segs = L._pieces(F.col(html) if isinstance(html, str) else html, "div", L.CARD_CLASS)
-    cards = F.transform(segs, lambda s: F.struct(
-        L._field(s, "h3", L.CARD_TITLE, L.CARD_DEFAULTS[0]).alias("t"),
-        L._field(s, "span", L.CARD_DATE, L.CARD_DEFAULTS[1]).alias("d"),
-        L._field(s, "span", L.CARD_VENUE, L.CARD_DEFAULTS[2]).alias("v")))
-    here = F.filter(cards, lambda c: F.lower(c["v"]).contains(place.lower()))
-    lines = F.transform(here, lambda c: L.card_line(c["t"], c["d"], c["v"]))
+    here = F.filter(L.page_cards(html), lambda c: F.lower(c["venue"]).contains(place.lower()))
+    lines = F.transform(here, lambda c: L.card_line(c["title"], c["date"], c["venue"]))
     return F.array_join(F.array_sort(F.array_distinct(lines)), "\n")
 
 
 def items_text(html, name) -> Column:
     """Item profile on one page: 'Source: name' + blocks, or the sentinel."""
-    segs = L._pieces(F.col(html) if isinstance(html, str) else html, "div", L.ITEM_CLASS)
-    info_pat = H.element_inner_re("span", L.ITEM_INFO)
-
-    def block(s):
-        infos = F.transform(F.regexp_extract_all(s, F.lit(info_pat), F.lit(3)), lambda x: H.get_text_strip(x, " "))
-        return L.item_block(L._field(s, "h2", L.ITEM_HEADLINE, L.ITEM_DEFAULTS[0]),
-                            L._field(s, "p", L.ITEM_DATE, L.ITEM_DEFAULTS[1], " "),
-                            F.coalesce(F.get(infos, 1), F.lit(L.ITEM_DEFAULTS[3])),
-                            F.coalesce(F.get(infos, 0), F.lit(L.ITEM_DEFAULTS[2])))
-
-    blocks = F.transform(segs, block)
     n = F.col(name) if isinstance(name, str) else name
-    return F.when(F.size(blocks) == 0, F.replace(F.lit(L.EMPTY_ITEMS_TEXT), F.lit("{name}"), n)).otherwise(
-        F.concat(F.lit("Source: "), n, F.lit("\n\n"), F.array_join(blocks, "\n\n")))
+    blocks = F.transform(L.page_items(html), lambda i: L.item_block(i["title"], i["date"], i["time"], i["location"]))
+    return H.let(blocks, lambda b: F.when(
+        F.size(b) == 0, F.replace(F.lit(L.EMPTY_ITEMS_TEXT), F.lit("{name}"), n)).otherwise(
+        F.concat(F.lit("Source: "), n, F.lit("\n\n"), F.array_join(b, "\n\n"))))
 
 
 def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,

@@ -11,12 +11,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calforge.functions import html as H
 from calforge.session import spread
 
 URL_HOST_RE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)"
 URL_ROOT_RE = r"\A([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
-IFRAME_TAG_RE = r"(?is)<iframe\b([^>]*)>"
-SRC_ATTR_RE = r"""(?is)(?:^|[\s"\x27])src="([^"]*)\""""
+IFRAME_TAG_RE = rf"(?is)<iframe(?:[\s/]{H.ATTRS})?>"
 
 
 def url_host(col) -> Column:
@@ -71,12 +71,11 @@ def union_all(frames) -> DataFrame:
 
 
 def iframe_src(html) -> Column:
-    """First ``<iframe>``'s src attribute; NULL when there is no iframe, no src or an
-    empty one."""
+    """The src attribute of the first ``<iframe>`` outside comments, references decoded;
+    NULL when there is no iframe, no src or an empty one."""
     h = F.col(html) if isinstance(html, str) else html
-    attrs = F.regexp_extract(h, IFRAME_TAG_RE, 1)
-    src = F.regexp_extract(attrs, SRC_ATTR_RE, 1)
-    return F.when(h.rlike(IFRAME_TAG_RE) & attrs.rlike(SRC_ATTR_RE) & (src != ""), src)
+    tag = F.regexp_extract(F.regexp_replace(h, H.COMMENT_RE, ""), IFRAME_TAG_RE, 0)
+    return H.let(tag, lambda t: F.when(t != "", F.nullif(H.attribute(t, "src"), F.lit(""))))
 
 
 def resolve_src(src, page_url) -> Column:
@@ -100,18 +99,16 @@ def frame_resolve(pages: DataFrame, lookup: DataFrame | None = None) -> DataFram
     """SC6: a page that embeds a frame is replaced by the framed page's html, even
     when that is missing (-> ''); pages without a frame keep their html.
 
-    Only framed pages take part in the lookup. The lookup side is first cut down to
-    the frame targets by a semi-join (AQE broadcasts the set of targets when it is
-    small, so the page table is filtered in place instead of shuffled); a url that
-    occurs more than once resolves to its newest copy (highest page_id)."""
+    Only framed pages take part in the lookup, without their own html. The newest copy
+    (highest page_id, unique in the table) of every wanted url is chosen on urls and ids
+    alone, so page html goes through no aggregate; then the few targets are read."""
     lookup = pages if lookup is None else lookup
     with_src = with_frame_url(pages)
-    framed = with_src.where(F.col("frame_url").isNotNull())
+    framed = with_src.where(F.col("frame_url").isNotNull()).drop("html")
     own = with_src.where(F.col("frame_url").isNull())
-    wanted = framed.select("frame_url").distinct()
-    target = (lookup.select(F.col("url").alias("frame_url"), "page_id", F.col("html").alias("_frame_html"))
-              .join(wanted, "frame_url", "left_semi")
-              .groupBy("frame_url").agg(F.max_by("_frame_html", "page_id").alias("_frame_html")))
-    resolved = (framed.join(target, "frame_url", "left")
-                .withColumn("html", F.coalesce(F.col("_frame_html"), F.lit(""))).drop("_frame_html"))
+    newest = (lookup.groupBy(F.col("url").alias("frame_url")).agg(F.max("page_id").alias("_frame_id")))
+    wanted = framed.join(newest, "frame_url", "left")
+    html = lookup.select(F.col("page_id").alias("_frame_id"), F.col("html").alias("_frame_html"))
+    resolved = (wanted.join(html, "_frame_id", "left")
+                .withColumn("html", F.coalesce(F.col("_frame_html"), F.lit(""))).drop("_frame_html", "_frame_id"))
     return own.unionByName(resolved)
