@@ -4,8 +4,8 @@ Two interchangeable stages produce the same candidate-event columns:
 
 * ``extract_native``: the default, with no model and no Python worker. It reads the
   rigid line formats the listing profiles write (card lines
-  ``Event: t | Datum: d | Ort: v`` and 4-line item blocks) with regexes over the
-  chunk's lines. Dates ``dd.mm.yyyy`` / ``dd.mm.`` / ``yyyy-mm-dd`` become ISO text.
+  ``Event: t | Datum: d | Ort: v`` and 4-line item blocks) and, in any other text, the lines
+  that hold a date, with regexes over the chunk's lines. Dates ``dd.mm.yyyy`` / ``dd.mm.`` / ``yyyy-mm-dd`` become ISO text.
 * ``extract_with``: a plug-in ``Extractor`` (e.g. a model client) called per chunk
   from ``mapInPandas`` in Arrow batches; its JSON answers go through
   ``parse_event_json`` with the all-or-nothing rule: one invalid event or broken JSON
@@ -21,6 +21,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from calforge.functions.html import let
+
 # Defaults stated by the extraction rules.
 DEFAULT_YEAR = 2026
 DEFAULT_TIME = "20:00"
@@ -28,12 +30,23 @@ UNKNOWN_PLACES = ("Unbekannter Ort", "Unknown Location")
 
 CARD_LINE_RE = r"\AEvent: (.*) \| Datum: (.*) \| Ort: (.*)\z"
 BLOCK_HEAD_RE = r"\AEvent: (.*)\z"
+BLOCK_LABELS = ("Event: ", "Date: ", "Time: ", "Location: ")
 
 # Boundaries are spelled as (^|[^0-9]) / ($|[^0-9]) groups: RE2 has no lookaround.
 DMY_RE = r"(^|[^0-9])([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})?"
 ISO_RE = r"(^|[^0-9])([0-9]{4})-([0-9]{2})-([0-9]{2})($|[^0-9])"
 HM_RE = r"(^|[^0-9])([0-9]{1,2}):([0-9]{2})($|[^0-9])"
 
+# A date within running text, with the weekday before it, and a time with its words.
+_DAY, _MONTH = "(?:0?[1-9]|[12][0-9]|3[01])", "(?:0?[1-9]|1[0-2])"
+_WEEKDAY = r"(?:mo(?:ntag)?|di(?:enstag)?|mi(?:ttwoch)?|do(?:nnerstag)?|fr(?:eitag)?|sa(?:mstag)?|so(?:nntag)?)"
+DATE_LINE_RE = (rf"(?i)(?:\b{_WEEKDAY}[.,]*\s*)?(?<![0-9.])"
+                rf"(?:{_DAY}\.{_MONTH}\.(?:(?![0-9])|[0-9]{{4}}(?![0-9.]*[0-9]))|"
+                rf"[0-9]{{4}}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9]))")
+TIME_WORDS_RE = r"(?i)(?:\b(?:um|ab|ca\.)\s+)?(?<![0-9])[0-9]{1,2}:[0-9]{2}(?![0-9])(?:\s*Uhr\b)?"
+SEPARATORS = " \t|,;:–—-·@/()"
+_CUT = "\u0001"
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -42,14 +55,16 @@ def _c(col) -> Column:
 def iso_date(text, default_year: int = DEFAULT_YEAR) -> Column:
     """First ISO or day.month[.year] date in a text, as YYYY-MM-DD; else the text."""
     t = _c(text)
-    y = F.regexp_extract(t, DMY_RE, 4)
-    dmy = F.format_string("%s-%02d-%02d", F.when(y == "", F.lit(str(default_year))).otherwise(y),
-                          F.regexp_extract(t, DMY_RE, 3).try_cast("int"),
-                          F.regexp_extract(t, DMY_RE, 2).try_cast("int"))
-    iso = F.concat_ws("-", *[F.regexp_extract(t, ISO_RE, i) for i in (2, 3, 4)])
-    return (F.when(t.rlike(ISO_RE), iso)
-             .when(t.rlike(DMY_RE), dmy)
-             .otherwise(t))
+
+    def dmy(m):   # the matched text: a boundary, day.month.[year]
+        parts = F.split(F.regexp_replace(m, r"\A[^0-9]", ""), r"\.")
+        year = F.when(F.get(parts, 2) == "", F.lit(str(default_year))).otherwise(F.get(parts, 2))
+        return F.when(m != "", F.format_string("%s-%02d-%02d", year, F.get(parts, 1).try_cast("int"),
+                                               F.get(parts, 0).try_cast("int"))).otherwise(t)
+
+    return let(F.regexp_extract(t, ISO_RE, 0), lambda m: F.when(
+        m != "", F.regexp_extract(m, "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)).otherwise(
+        let(F.regexp_extract(t, DMY_RE, 0), dmy)))
 
 
 def iso_date_sql(expr: str, default_year: int = DEFAULT_YEAR) -> str:
@@ -64,9 +79,8 @@ def iso_date_sql(expr: str, default_year: int = DEFAULT_YEAR) -> str:
 
 def hh_mm(text) -> Column:
     """First H:MM in a text as HH:MM, else NULL."""
-    t = _c(text)
-    return F.when(t.rlike(HM_RE), F.format_string(
-        "%02d:%s", F.regexp_extract(t, HM_RE, 2).try_cast("int"), F.regexp_extract(t, HM_RE, 3)))
+    found = F.regexp_extract(F.regexp_extract(_c(text), HM_RE, 0), "[0-9]{1,2}:[0-9]{2}", 0)
+    return let(found, lambda m: F.when(m != "", F.lpad(m, 5, "0")))
 
 
 def hh_mm_sql(expr: str) -> str:
@@ -82,34 +96,49 @@ def event_defaults(df: DataFrame, default_time: str = DEFAULT_TIME) -> DataFrame
               .withColumn("location", loc))
 
 
+def date_line_title(line: Column, next_line: Column) -> Column:
+    """What a date line says besides its date and time; a bare date takes the next line,
+    unless that one has a date of its own or ends the site."""
+    rest = F.regexp_replace(F.regexp_replace(line, DATE_LINE_RE, " "), TIME_WORDS_RE, " ")
+    usable = ~next_line.rlike(DATE_LINE_RE) & ~next_line.startswith("--- ")
+    return let(F.btrim(rest, F.lit(SEPARATORS)),
+               lambda bare: F.when(bare != "", bare).when(usable, next_line))
+
+
 def extract_native(chunks: DataFrame, default_year: int = DEFAULT_YEAR, default_time: str = DEFAULT_TIME,
                    keys=("source_rank", "source_name", "chunk_idx")) -> DataFrame:
-    """X5 default stage: card lines and item blocks of a chunk -> candidate events,
-    ``event_idx`` = position among the chunk's events (as in a model's answer)."""
+    """X5 default stage: card lines, item blocks and other lines with a date -> candidate
+    events, ``event_idx`` = position among the chunk's events (as in a model's answer).
+    A date without a year takes ``default_year``, an event of a date line happens at its
+    source. Every line is matched once against each pattern that may apply to it."""
     with_lines = chunks.select(*keys, F.split(F.coalesce(F.col("chunk"), F.lit("")), "\n").alias("_lines"))
     lines = F.col("_lines")
-    look = F.transform(lines, lambda l, i: F.struct(
-        i.alias("pos"), l.alias("l0"),
-        F.get(lines, i + 1).alias("l1"), F.get(lines, i + 2).alias("l2"), F.get(lines, i + 3).alias("l3")))
-
-    def is_card(s):
-        return s["l0"].rlike(CARD_LINE_RE)
-
-    def is_block(s):
-        return (s["l0"].startswith("Event: ") & ~is_card(s) & s["l1"].startswith("Date: ")
-                & s["l2"].startswith("Time: ") & s["l3"].startswith("Location: "))
-
-    def raw(s):  # the four text fields of one event line/block
-        card = s["l0"].rlike(CARD_LINE_RE)
-        return F.struct(
-            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 1))
-             .otherwise(F.regexp_extract(s["l0"], BLOCK_HEAD_RE, 1)).alias("title"),
-            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 2))
-             .otherwise(F.substring(s["l1"], 7, 1 << 30)).alias("date_text"),
-            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 2))
-             .otherwise(F.substring(s["l2"], 7, 1 << 30)).alias("time_text"),
-            F.when(card, F.regexp_extract(s["l0"], CARD_LINE_RE, 3))
-             .otherwise(F.substring(s["l3"], 11, 1 << 30)).alias("location"))
+    event, date, time, place = BLOCK_LABELS
+
+    def rec(title, date_text, time_text, location):
+        return F.struct(title.alias("title"), date_text.alias("date_text"), time_text.alias("time_text"),
+                        location.alias("location"))
+
+    def raw(line, i):  # the four text fields of one event, NULL for any other line
+        def near(n):
+            return F.get(lines, i + n)
+
+        def after(text, name):
+            return F.substring(text, len(name) + 1, 1 << 30)
+
+        card = F.when(line.startswith(event),
+                      F.split(F.regexp_replace(line, CARD_LINE_RE, f"$1{_CUT}$2{_CUT}$3"), _CUT))
+        block = (line.startswith(event) & near(1).startswith(date) & near(2).startswith(time)
+                 & near(3).startswith(place))
+        in_block = F.coalesce((line.startswith(date) & near(-1).startswith(event))
+                              | (line.startswith(time) & near(-1).startswith(date))
+                              | (line.startswith(place) & near(-1).startswith(time)), F.lit(False))
+        dated = line.rlike(DATE_LINE_RE) & ~line.startswith("--- ") & ~in_block
+        return let(card, lambda c: F.when(F.size(c) == 3, rec(F.get(c, 0), F.get(c, 1), F.get(c, 1), F.get(c, 2)))
+                   .when(block, rec(after(line, event), after(near(1), date), after(near(2), time),
+                                    after(near(3), place)))
+                   .when(dated, rec(date_line_title(line, near(1)), F.regexp_extract(line, DATE_LINE_RE, 0), line,
+                                    F.lit(""))))
 
     def fields(r):  # normalised date/time from the raw texts (read as struct fields)
         return F.struct(r["title"].alias("title"), iso_date(r["date_text"], default_year).alias("date_raw"),
@@ -118,8 +147,7 @@ def extract_native(chunks: DataFrame, default_year: int = DEFAULT_YEAR, default_
     # events only (the position after the filter is the event's index in the chunk);
     # all fields are computed inside the generator, so filters on them downstream
     # (validation) cannot be pushed below it and re-run the regexes
-    evs = F.filter(look, lambda s: F.coalesce(is_card(s) | is_block(s), F.lit(False)))
-    evs = F.transform(F.transform(evs, raw), fields)
+    evs = F.transform(F.filter(F.transform(lines, raw), lambda r: r.isNotNull()), fields)
     ex = with_lines.select(*keys, F.posexplode(evs).alias("event_idx", "_e"))
     out = ex.select(
         *keys, F.col("event_idx").cast("bigint").alias("event_idx"), "_e.title", "_e.date_raw", "_e.time_raw",

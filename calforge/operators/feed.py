@@ -116,8 +116,8 @@ def uid_of_raw(domain: str = UID_DOMAIN):
     return event_uid(title, F.coalesce(F.col("date_raw"), F.lit("")), domain)
 
 
-def ics_events(winners: DataFrame, dtstamp: str, domain: str = UID_DOMAIN) -> DataFrame:
-    """The 8-line block of every written event."""
+def ics_events(winners: DataFrame, dtstamp: str, domain: str = UID_DOMAIN, extra=()) -> DataFrame:
+    """The 8-line block of every written event. ``extra``: columns to keep beside it."""
     ev = with_uid(winners.where(F.col("start_ts").isNotNull()), domain)
     lines = F.array(
         F.lit("BEGIN:VEVENT"),
@@ -129,26 +129,26 @@ def ics_events(winners: DataFrame, dtstamp: str, domain: str = UID_DOMAIN) -> Da
         F.concat(F.lit("LOCATION:"), F.col("location")),
         F.lit("END:VEVENT"),
     )
-    return (ev.select("category", F.lit(1).alias("part"),
+    return (ev.select("category", *extra, F.lit(1).alias("part"),
                       F.col("source_rank").cast("bigint").alias("source_rank"),
-                      F.col("chunk_idx").cast("bigint").alias("chunk_idx"),
+                      "chunk_idx",
                       F.col("event_idx").cast("bigint").alias("event_idx"),
                       F.posexplode(lines).alias("line_no", "line")))
 
 
-def ics_envelope(prepared: DataFrame) -> DataFrame:
+def ics_envelope(prepared: DataFrame, keys=("category",)) -> DataFrame:
     """F8: header (8 lines) and footer for every bucket that received at least one
-    event, even if none of them survives. One ``distinct`` of five values (combined
+    event, even if none of them survives. One ``distinct`` of a few values (combined
     map-side), then header and footer rows from a single generator."""
-    cats = prepared.select("category").distinct()
+    cats = prepared.select(*keys).distinct()
     name = capitalize(F.col("category"))
     rows = [F.struct(F.lit(0).alias("part"), F.lit(i).alias("line_no"),
                      (F.replace(F.lit(t), F.lit("{Name}"), name) if "{Name}" in t else F.lit(t)).alias("line"))
             for i, t in enumerate(HEADER_TEMPLATE)]
     rows.append(F.struct(F.lit(2).alias("part"), F.lit(0).alias("line_no"), F.lit(FOOTER).alias("line")))
     zero = F.lit(0).cast("bigint")
-    return (cats.select("category", F.explode(F.array(*rows)).alias("_r"))
-            .select("category", "_r.part", zero.alias("source_rank"), zero.alias("chunk_idx"),
+    return (cats.select(*keys, F.explode(F.array(*rows)).alias("_r"))
+            .select(*keys, "_r.part", zero.alias("source_rank"), zero.alias("chunk_idx"),
                     zero.alias("event_idx"), "_r.line_no", "_r.line"))
 
 
@@ -165,6 +165,14 @@ def build_feed(events: DataFrame, dtstamp: str | None = None, domain: str = UID_
     return ics_envelope(prepared).unionByName(body).select(*LINE_COLS)
 
 
+def build_months(events: DataFrame, dtstamp: str | None = None, domain: str = UID_DOMAIN) -> DataFrame:
+    """F11 in calendars of a month: the event lines with the month (``yyyyMM``) of their start.
+    The sink puts each calendar's header and footer around them."""
+    winners = dedup_global(prepare(events))
+    winners = winners.withColumn("month", F.substring(dtstart_text("start_ts"), 1, 6))
+    return ics_events(winners, dtstamp or utc_stamp(), domain, ("month",)).select("month", *LINE_COLS)
+
+
 def ics_document(lines: DataFrame) -> DataFrame:
     """calendar text in ordered segments, one per (category, part, source, chunk).
 
@@ -198,7 +206,7 @@ def feed_counts(events: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "CATEGORIES", "LINE_COLS", "approved_events", "build_feed", "category_bucket", "dedup_global",
+    "CATEGORIES", "LINE_COLS", "approved_events", "build_feed", "build_months", "category_bucket", "dedup_global",
     "escape_fields", "feed_counts", "feed_defaults", "ics_document", "ics_envelope", "ics_events",
     "prepare", "publish_projection", "published_events", "utc_stamp", "with_uid",
 ]

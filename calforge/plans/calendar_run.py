@@ -31,13 +31,20 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, path: str | None
     return spark.read.parquet(path)
 
 
+def gather(registry: DataFrame, profiles: DataFrame, pages: DataFrame, override: DataFrame | None = None,
+           listings: DataFrame | None = None) -> DataFrame:
+    """The non-empty texts of all sources' pages, with their size."""
+    return E.gathered_text(G.site_texts(registry, profiles, pages, override, listings=listings))
+
+
 def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataFrame, pages: DataFrame,
                        as_of, extractor: X.Extractor | None = None, override: DataFrame | None = None,
-                       path: str | None = None, listings: DataFrame | None = None) -> DataFrame:
-    """Gather site texts (all pages of the sources that ``listings`` names), envelope and
-    chunk them, extract candidate events (native or with a plug-in ``extractor``), attach
-    each source's url (J4), and store the candidates."""
-    texts = E.gathered_text(G.site_texts(registry, profiles, pages, override, listings=listings))
+                       path: str | None = None, listings: DataFrame | None = None,
+                       texts: DataFrame | None = None) -> DataFrame:
+    """Gather site texts (all pages of the sources that ``listings`` names; or those given in
+    ``texts``), envelope and chunk them, extract candidate events (native or with a plug-in
+    ``extractor``), attach each source's url (J4), and store the candidates."""
+    texts = gather(registry, profiles, pages, override, listings) if texts is None else texts
     units = texts.select("source_rank", "source_name", F.col("page_id").alias("page"), "text")
     chunks = G.units_to_chunks(units)
     if extractor is None:
@@ -48,13 +55,31 @@ def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataF
 
 
 def build_calendars(spark: SparkSession, candidates: DataFrame, out_dir: str, as_of,
-                    dtstamp: str | None = None, approved: DataFrame | None = None) -> DataFrame:
-    """Validate and de-duplicate (E8), optionally keep only approved uids (J6),
-    render and write one calendar folder per category (F11 + SC8). Returns the
+                    dtstamp: str | None = None, approved: DataFrame | None = None,
+                    single_file: bool = False, pieces: int = 1) -> DataFrame:
+    """Validate and de-duplicate (E8), optionally keep only approved uids (J6), render and
+    write the calendars (F11 + SC8: by month, or one file per category). Returns the
     per-category counts (F10)."""
     kept = E.parse_events(candidates, as_of)
     if approved is not None:
         kept = FD.approved_events(kept.withColumn("uid", FD.uid_of_raw()), approved).drop("uid")
     kept = materialize(spark, kept, "kept-events")
-    S.ics_sink(FD.build_feed(kept, dtstamp), out_dir)
+    build = FD.build_feed if single_file else FD.build_months
+    S.ics_sink(build(kept, dtstamp), out_dir, single_file, pieces)
     return FD.feed_counts(kept)
+
+
+def run_report(texts: DataFrame, candidates: DataFrame, as_of) -> DataFrame:
+    """What a run did, per source and in total (``source_name`` NULL): sources, pages and
+    characters of text, candidates, events kept and each kind of reject (E7, A1, A2).
+    Sums of two map-side combined aggregates; a source without candidates shows zeros."""
+    size = texts.groupBy("source_name").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n_chars").alias("n_chars"))
+    found = candidates.groupBy("source_name").agg(F.count(F.lit(1)).alias("n_candidates"))
+    reason = E.event_rejects(candidates, as_of).groupBy("source_name").agg(
+        *[F.count_if(F.col("reject_reason") == r).alias(r) for r in ("invalid_date", "past", "duplicate")])
+    counted = ("n_candidates", "invalid_date", "past", "duplicate")
+    per = (size.join(found, "source_name", "left").join(reason, "source_name", "left").na.fill(0, list(counted)))
+    per = per.withColumn("n_events", F.col("n_candidates") - F.col("invalid_date") - F.col("past") - F.col("duplicate"))
+    sums = ("n_pages", "n_chars", *counted, "n_events")
+    return per.rollup("source_name").agg(F.count(F.lit(1)).alias("n_sources"),
+                                         *[F.sum(c).alias(c) for c in sums])

@@ -12,7 +12,7 @@ from calforge.operators import feed as FD
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
 from calforge.plans.book import register
-from calforge.plans.catalog_text import EXTRACT_SQL, _card_pages, _card_text_sql, _extract_sql
+from calforge.plans.catalog_text import EXTRACT_SQL, _card_pages, _card_text_sql, _extract_sql, as_long
 from calforge.plans.plugins import LineFormatExtractor
 from calforge.plans.sqlparts import feed_cte, prepared_cte, with_cte
 from calforge.session import scratch_path
@@ -65,7 +65,7 @@ def q_parse_event_json(spark, sf):
 def _plugin_candidates(spark, sf):
     chunks = G.units_to_chunks(G.listing_units(_card_pages(spark, sf)))
     answers = X.extract_with(chunks, LineFormatExtractor(), KEYS)
-    return X.event_defaults(X.parse_event_json(answers, KEYS))
+    return as_long(X.event_defaults(X.parse_event_json(answers, KEYS)))
 
 
 @register("extract_events_plugin", EXTRACT_SQL)
@@ -79,10 +79,26 @@ def q_extract_events_plugin(spark, sf):
 def q_ics_sink(spark, sf):
     path = scratch_path(spark, "ics")
     kept = E.parse_events(FX.fx4_candidates(spark, sf), FX.AS_OF)
-    S.ics_sink(FD.build_feed(kept, FX.DTSTAMP), path)
+    S.ics_sink(FD.build_feed(kept, FX.DTSTAMP), path, single_file=True)
     return S.read_ics_sink(spark, path).select("category", "line")
 
 
+@register("ics_sink_monthly", with_cte(feed_cte(FX.FX4_SQL), """
+SELECT category, month, line FROM (
+  SELECT b.category, s.month, b.line FROM body b JOIN (
+    SELECT category, source_rank, chunk_idx, event_idx, substr(split_part(line, ':', 2), 1, 6) AS month
+    FROM body WHERE line_no = 3) s USING (category, source_rank, chunk_idx, event_idx)
+  UNION ALL
+  SELECT e.category, m.month, e.line FROM envelope e JOIN (
+    SELECT DISTINCT category, substr(split_part(line, ':', 2), 1, 6) AS month FROM body WHERE line_no = 3) m
+  USING (category)) u"""))
+def q_ics_sink_monthly(spark, sf):
+    path = scratch_path(spark, "ics-months")
+    kept = E.parse_events(FX.fx4_candidates(spark, sf), FX.AS_OF)
+    S.ics_sink(FD.build_months(kept, FX.DTSTAMP), path)
+    return S.read_ics_sink(spark, path).select("category", F.col("month").cast("string").alias("month"), "line")
+
+
 UID_ROWS = f"SELECT {event_uid_sql('title', 'date_raw')} AS uid, event_id, category, title, date_raw FROM win " \
            f"WHERE start_ts IS NOT NULL"
 
@@ -113,12 +129,12 @@ STREAM_SQL = with_cte(prepared_cte(f"SELECT * FROM ({_extract_sql(PAGE_CHUNKS_SQ
 def _land_card_pages(spark, sf) -> str:
     """Land the listing pages as several Parquet files (the stream's input)."""
     path = scratch_path(spark, "landing-pages")
-    FX.fx3_card_pages(spark, sf).repartition(4, "page").write.parquet(path)
+    FX.fx3_card_pages(spark, sf).write.option("maxRecordsPerFile", 50).parquet(path)
     return path
 
 
 def _stream_out(df):
-    return df.select(*STREAM_COLS, F.date_format("event_date", "yyyy-MM-dd").alias("event_date"))
+    return as_long(df).select(*STREAM_COLS, F.date_format("event_date", "yyyy-MM-dd").alias("event_date"))
 
 
 @register("stream_pages_to_events", STREAM_SQL)
@@ -142,9 +158,10 @@ def q_stream_event_feed(spark, sf):
 @register("stream_dedup", with_cte(prepared_cte(FX.FX4_SQL), "SELECT DISTINCT source_name, event_key FROM p"))
 def q_stream_dedup(spark, sf):
     landing = scratch_path(spark, "landing-candidates")
-    (FX.table(spark, sf, "events").selectExpr(*FX.FX4_COLUMNS, "ts").repartition(4).write.parquet(landing))
+    (FX.table(spark, sf, "events").selectExpr(*FX.FX4_COLUMNS, "ts")
+     .write.option("maxRecordsPerFile", 4000).parquet(landing))
     schema = spark.read.parquet(landing).schema
-    stream = E.with_event_key(ST.read_landing(spark, landing, schema))
+    stream = E.with_event_key(ST.read_landing(spark, landing, schema, max_files=1))
     out = ST.run_available(ST.stream_dedup(stream).select("source_name", "event_key"), spark, "dedup")
     return spark.read.parquet(out)
 

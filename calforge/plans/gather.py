@@ -6,9 +6,8 @@
 
 ``listing_events``: listing pages of sources -> cards -> distinct lines per source
 (text cut per page unit) -> envelope -> chunks -> native extraction -> candidates.
-Chunk order inside a source is (unit, local chunk): ``chunk_idx = unit * CHUNK_STRIDE
-+ local index`` (a unit would need over a million chunks, i.e. gigabytes of text,
-to overflow the stride).
+Chunk order inside a source is (unit, local chunk), held in one decimal: the unit (any
+64-bit id) times 2^31 plus the local index (a position in an array, so below 2^31).
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from calforge.operators import listing as L
 from calforge.sources import pages as P
 from calforge.sources import registry as R
 
-CHUNK_STRIDE = 1 << 20
+CHUNK_STRIDE = 1 << 31
 
 
 # -- per-row profile texts ------------------------------------------------------------
@@ -93,7 +92,8 @@ def units_to_chunks(units: DataFrame, unit_col: str = "page", max_chars: int = C
                        C.site_envelope(F.col("source_name"), F.col("text")).alias("text"))
     ch = C.chunk_lines(env, "text", keep=["source_rank", "source_name", unit_col], max_chars=max_chars)
     return ch.select("source_rank", "source_name",
-                     (F.col(unit_col) * CHUNK_STRIDE + F.col("chunk_idx")).cast("bigint").alias("chunk_idx"),
+                     (F.col(unit_col).cast("decimal(20,0)") * F.lit(CHUNK_STRIDE).cast("decimal(10,0)")
+                      + F.col("chunk_idx")).cast("decimal(30,0)").alias("chunk_idx"),
                      "chunk")
 
 

@@ -83,12 +83,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Give CPU-heavy per-row work enough tasks: when a scan yields fewer partitions
-    than the cluster's default parallelism (a few large row groups), spread the rows
-    round-robin; otherwise return ``df`` untouched. On a large input (thousands of
-    row groups) this is a no-op, so it never adds a shuffle at scale."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+def spread(df):
+    """Spread the rows of a scan over ``spark.calforge.scanPartitions`` tasks, when the caller
+    has set it: for small files of one or two row groups under heavy per-row work. Unset (the
+    default, and right for large inputs) the scan stays as it is, without a shuffle."""
+    wanted = df.sparkSession.conf.get("spark.calforge.scanPartitions", None)
+    return df.repartition(int(wanted)) if wanted else df

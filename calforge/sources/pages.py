@@ -27,7 +27,7 @@ def page_scan(spark: SparkSession, path: str, columns=("page_id", "url", "html")
               spread_rows: bool = False) -> DataFrame:
     """SC3: Parquet page table; only the needed columns are read (ReadSchema) and the
     'fetch failed' filter is a plain predicate next to the scan. ``spread_rows`` for
-    heavy per-row work right after the scan (see ``session.spread``)."""
+    heavy per-row work right after the scan of small files (see ``session.spread``)."""
     pages = (spark.read.parquet(path).select(*columns)
              .where(F.col("html").isNotNull() & (F.col("html") != "")))
     return spread(pages) if spread_rows else pages

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calforge.operators.feed import LINE_COLS
+from calforge.operators.feed import LINE_COLS, ics_envelope
 from calforge.session import shared_dir
 
 SORT_COLS = ("category", "part", "source_rank", "chunk_idx", "event_idx", "line_no")
@@ -29,46 +29,39 @@ def read_text_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
 
 
-SINGLE_FILE_MAX_LINES = 2_000_000
-
-
-def _write(ordered: DataFrame, path: str) -> None:
-    (ordered.sortWithinPartitions(*SORT_COLS).select("category", "line")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("category").text(path))
-
-
-def ics_sink(lines: DataFrame, path: str, num_partitions: int | None = None,
-             single_file_max_lines: int = SINGLE_FILE_MAX_LINES) -> None:
-    """SC8: one folder per category (``category=<name>``) holding its calendar.
-
-    The line table is checkpointed (shared folder), then counted per category (at
-    most five rows reach the driver). A category of at most ``single_file_max_lines``
-    lines is written by one task as exactly one file, like the reference's one file
-    per category; the bound is checked, not assumed. A larger category is
-    range-partitioned on the full sort key and sorted inside each range, so its part
-    files in name order are consecutive pieces of the document, written by many
-    tasks. ``num_partitions`` forces the range layout for every category. Categories
-    absent from this run keep their previous files (dynamic overwrite). Text output
-    ends every line with '\\n' (the reference file has no final newline)."""
-    shared_dir(lines.sparkSession)
-    lines = lines.checkpoint(eager=True)
-    sizes = {r["category"]: r["n"] for r in lines.groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [] if num_partitions else [c for c, n in sizes.items() if n <= single_file_max_lines]
-    big = [c for c in sizes if c not in small]
-    if small:
-        _write(lines.where(F.col("category").isin(small)).repartition(len(small), "category"), path)
-    if big:
-        rest = lines.where(F.col("category").isin(big))
-        ranged = (rest.repartitionByRange(num_partitions, *SORT_COLS) if num_partitions
-                  else rest.repartitionByRange(*SORT_COLS))
-        _write(ranged, path)
+def ics_sink(lines: DataFrame, path: str, single_file: bool = False, pieces: int = 1) -> None:
+    """SC8: valid calendars as ``.ics`` files, in one layout at every size.
+
+    Takes the lines of ``build_months`` and writes one calendar for each category and month
+    (``category=<name>/month=<yyyyMM>/piece=0``), each with its own header and footer, so the
+    work of a run spreads over its months. ``pieces`` cuts each of them into that many
+    calendars by a hash of the event's source and position, for months too large for a task.
+
+    ``single_file`` takes the lines of ``build_feed`` and writes the one file per category of
+    a small run (``category=<name>``): a choice of the caller, since one task then writes a
+    whole category. Categories (months) absent from this run keep their previous files
+    (dynamic overwrite). Every line ends with '\\n' (the reference file has no final newline)."""
+    if single_file:
+        calendar = ["category"]
+    else:
+        calendar = ["category", "month", "piece"]
+        piece = F.pmod(F.xxhash64("source_rank", "chunk_idx", "event_idx"), F.lit(pieces)).cast("int")
+        shared_dir(lines.sparkSession)
+        body = lines.withColumn("piece", piece).checkpoint(eager=True)   # read for its buckets and its lines
+        lines = ics_envelope(body, calendar).unionByName(body)
+    (lines.repartition(*calendar).sortWithinPartitions(*calendar, *SORT_COLS).select(*calendar, "line")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*calendar)
+     .options(extension="ics", sep="\u0001", quote="\u0000", escape="\u0000", emptyValue="",
+              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+     .csv(path))
 
 
 def read_ics_sink(spark: SparkSession, path: str) -> DataFrame:
-    """Read back: one row per line with its category and file position."""
-    return (spark.read.text(path)
-            .select("category", F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line")))
+    """Read back: one row per line with its calendar (category, and month and piece where the
+    folder has them) and file name."""
+    lines = spark.read.text(path)
+    calendar = [c for c in lines.columns if c != "value"]
+    return (lines.select(*calendar, F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line")))
 
 
 __all__ = ["LINE_COLS", "ics_sink", "read_ics_sink", "read_text_sink", "text_sink"]

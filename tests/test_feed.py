@@ -75,30 +75,39 @@ def test_defaults_and_unknown_category(spark):
     assert "SUMMARY:Event" in doc and "LOCATION:" in doc and "DESCRIPTION:line1\\nline2\\;x" in doc
 
 
-def test_file_sink_order_and_dynamic_overwrite(spark):
+def ics_files(path):
+    top = path.replace("file:", "")
+    return {os.path.relpath(os.path.join(d, f), top): open(os.path.join(d, f), encoding="utf-8").read()
+            for d, _, fs in os.walk(top) for f in fs if f.endswith(".ics")}
+
+
+def test_single_file_sink(spark):
     path = scratch_path(spark, "ics-test")
     ev = spark.createDataFrame(GOLDEN, SCHEMA)
-    S.ics_sink(FD.build_feed(ev, "20260316T233822Z"), path, num_partitions=3)
-    musik_dir = os.path.join(path.replace("file:", ""), "category=musik")
-    parts = sorted(f for f in os.listdir(musik_dir) if f.startswith("part-"))
-    text = "".join(open(os.path.join(musik_dir, f), encoding="utf-8").read() for f in parts)
-    assert text == EXPECTED_MUSIK + "\n"
+    S.ics_sink(FD.build_feed(ev, "20260316T233822Z"), path, single_file=True)
+    files = {os.path.dirname(k): v for k, v in ics_files(path).items()}
+    assert len(ics_files(path)) == len(files) and set(files) == {"category=musik", "category=party"}
+    assert files["category=musik"] == EXPECTED_MUSIK + "\n"
     # a run with only party events leaves the musik calendar in place
-    S.ics_sink(FD.build_feed(ev.where("category = 'party'"), "20260316T233822Z"), path)
-    assert os.path.isdir(musik_dir) and os.listdir(musik_dir)
+    S.ics_sink(FD.build_feed(ev.where("category = 'party'"), "20260316T233822Z"), path, single_file=True)
+    assert {os.path.dirname(k) for k in ics_files(path)} == set(files)
 
 
-def test_file_sink_one_file_per_small_category(spark):
-    path = scratch_path(spark, "ics-one")
+def test_monthly_calendars_are_whole_and_hold_every_event_once(spark):
     ev = spark.createDataFrame(GOLDEN, SCHEMA)
-    S.ics_sink(FD.build_feed(ev, "20260316T233822Z"), path)
-    for cat in ("musik", "party"):
-        d = os.path.join(path.replace("file:", ""), f"category={cat}")
-        parts = [f for f in os.listdir(d) if f.startswith("part-")]
-        assert len(parts) == 1
-    musik = os.path.join(path.replace("file:", ""), "category=musik")
-    text = open(os.path.join(musik, [f for f in os.listdir(musik) if f.startswith("part-")][0]), encoding="utf-8").read()
-    assert text == EXPECTED_MUSIK + "\n"
+    whole = [r.line for r in FD.build_feed(ev, "20260316T233822Z").where("part = 1").collect()]
+    for pieces in (1, 3):
+        path = scratch_path(spark, "ics-months")
+        S.ics_sink(FD.build_months(ev, "20260316T233822Z"), path, pieces=pieces)
+        seen = []
+        for name, text in ics_files(path).items():
+            lines = text.split("\n")
+            assert lines[0] == "BEGIN:VCALENDAR" and lines[-2:] == ["END:VCALENDAR", ""] and lines.count(lines[0]) == 1
+            month = name.split("month=")[1][:6]
+            assert all(x.split(":")[1].startswith(month) for x in lines if x.startswith("DTSTART"))
+            seen += lines[8:-2]
+        assert sorted(seen) == sorted(whole)
+        assert sorted(S.read_ics_sink(spark, path).columns) == ["category", "file_name", "line", "month", "piece"]
 
 
 def test_wall_clock_never_shifted_by_session_zone(spark):
