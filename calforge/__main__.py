@@ -1,7 +1,7 @@
 """Command line: one run from registry + pages to calendar folders.
 
     python -m calforge --pages PAGES.parquet --registry CONFIG.json --out OUT_DIR \
-        [--profiles PROFILES.csv] [--as-of YYYY-MM-DD] [--sources NAME ...] [--candidates DIR]
+        [--profiles PROFILES.csv] [--as-of YYYY-MM-DD] [--sources NAME ...] [--candidates DIR] [--single-file]
 
 ``--registry`` is the JSON config form (``{"sources": [...]}``); ``--profiles`` is a
 CSV with ``name,profile`` (sources without a row use the generic profile);
@@ -29,6 +29,7 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=dt.date.today().isoformat())
     ap.add_argument("--sources", nargs="*")
     ap.add_argument("--candidates", help="where to keep the extracted candidates (default: shared folder)")
+    ap.add_argument("--single-file", action="store_true", help="one file per category instead of one per month")
     ap.add_argument("--master", help="only for local runs; on a cluster the submit settings apply")
     args = ap.parse_args(argv)
 
@@ -47,7 +48,7 @@ def main(argv=None) -> None:
     pages = spark.read.parquet(args.pages).select("page_id", "url", "html")
     cand = extract_candidates(spark, registry, profiles, pages, args.as_of, override=override,
                               path=args.candidates, listings=listings)
-    counts = build_calendars(spark, cand, args.out, args.as_of)
+    counts = build_calendars(spark, cand, args.out, args.as_of, single_file=args.single_file)
     for r in counts.orderBy("category").collect():       # five rows at most
         print(f"[{r.category}] {r.n_events} events, {r.written} written "
               f"({r.global_dup} duplicates, {r.bad_time} bad start times, {r.no_date} without date)")

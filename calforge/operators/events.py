@@ -170,6 +170,14 @@ def run_summary(events: DataFrame) -> DataFrame:
                  F.grouping_id().alias("level")))
 
 
+def gather_totals(texts: DataFrame) -> DataFrame:
+    """A2 on the gathered side: sources, pages and characters of text, for every source and
+    in total (``source_name`` NULL). One row per source before the totals."""
+    per = texts.groupBy("source_name").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n_chars").alias("n_chars"))
+    return per.rollup("source_name").agg(F.count(F.lit(1)).alias("n_sources"), F.sum("n_pages").alias("n_pages"),
+                                         F.sum("n_chars").alias("n_chars"))
+
+
 # -- J3/J4/J5 ------------------------------------------------------------------------
 
 def gathered_text(site_text: DataFrame) -> DataFrame:

@@ -130,9 +130,11 @@ def extract_native(chunks: DataFrame, default_year: int = DEFAULT_YEAR, default_
                       F.split(F.regexp_replace(line, CARD_LINE_RE, f"$1{_CUT}$2{_CUT}$3"), _CUT))
         block = (line.startswith(event) & near(1).startswith(date) & near(2).startswith(time)
                  & near(3).startswith(place))
-        in_block = F.coalesce((line.startswith(date) & near(-1).startswith(event))
-                              | (line.startswith(time) & near(-1).startswith(date))
-                              | (line.startswith(place) & near(-1).startswith(time)), F.lit(False))
+        # lines of a block, also of one that the chunk's start or end cuts
+        in_block = F.lit(False)
+        for name, before in ((date, event), (time, date), (place, time)):
+            in_block = in_block | (line.startswith(name) & ((i == 0) | near(-1).startswith(before)))
+        in_block = F.coalesce(in_block, F.lit(False))
         dated = line.rlike(DATE_LINE_RE) & ~line.startswith("--- ") & ~in_block
         return let(card, lambda c: F.when(F.size(c) == 3, rec(F.get(c, 0), F.get(c, 1), F.get(c, 1), F.get(c, 2)))
                    .when(block, rec(after(line, event), after(near(1), date), after(near(2), time),

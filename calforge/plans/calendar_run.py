@@ -33,8 +33,10 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, path: str | None
 
 def gather(registry: DataFrame, profiles: DataFrame, pages: DataFrame, override: DataFrame | None = None,
            listings: DataFrame | None = None) -> DataFrame:
-    """The non-empty texts of all sources' pages, with their size."""
-    return E.gathered_text(G.site_texts(registry, profiles, pages, override, listings=listings))
+    """The non-empty texts of all sources' pages, with their size (J3), stored: extraction and
+    the report read them, and the patterns run once for each page."""
+    texts = G.site_texts(registry, profiles, pages, override, listings=listings)
+    return E.gathered_text(materialize(pages.sparkSession, texts, "site-texts"))
 
 
 def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataFrame, pages: DataFrame,

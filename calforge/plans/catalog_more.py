@@ -9,10 +9,12 @@ from calforge.operators import chunks as C
 from calforge.operators import events as E
 from calforge.operators import extract as X
 from calforge.operators import feed as FD
+from calforge.plans import calendar_run as RUN
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
 from calforge.plans.book import register
-from calforge.plans.catalog_text import EXTRACT_SQL, _card_pages, _card_text_sql, _extract_sql, as_long
+from calforge.plans.catalog_text import (EXTRACT_SQL, GATHER_SQL, _card_pages, _card_text_sql, _extract_sql, _gathered,
+                                         _items_text_sql, as_long)
 from calforge.plans.plugins import LineFormatExtractor
 from calforge.plans.sqlparts import feed_cte, prepared_cte, with_cte
 from calforge.session import scratch_path
@@ -186,3 +188,73 @@ def q_upsert_events(spark, sf):
         return pub.select("uid", "event_id", "category", F.lit(n).alias("run"))
 
     return upsert_events(run(FX.AS_OF, 1), run(NEW_AS_OF, 2))
+
+
+# ============================================================ whole runs
+
+def _run_dated_sql(i: int, name: str) -> str:
+    return f"""
+SELECT CAST({FX.RUN_RANK + i} AS BIGINT) AS source_rank, '{name}' AS source_name, page AS chunk_idx,
+       event_id % {FX.DATED_PAGE_SIZE} AS event_idx, {FX.FX7_TITLE} AS title, {FX.FX7_DATE} AS date_raw,
+       {FX.FX7_TIME} AS time_raw, '{name}' AS location, {FX.FX7_TITLE} AS category_raw, '' AS description
+FROM (SELECT *, CAST(floor(event_id / {FX.DATED_PAGE_SIZE}) AS BIGINT) AS page FROM events) ev"""
+
+
+def _run_listing_sql(i: int, name: str, pages_sql: str, text_sql: str) -> str:
+    units = (f"SELECT page, {C.site_envelope_sql(chr(39) + name + chr(39), 'text')} AS text "
+             f"FROM (SELECT page, {text_sql} AS text FROM ({pages_sql}) p) q WHERE text <> ''")
+    chunks = (f"SELECT CAST({FX.RUN_RANK + i} AS BIGINT) AS source_rank, '{name}' AS source_name, "
+              f"page * {G.CHUNK_STRIDE} + chunk_idx AS chunk_idx, chunk FROM ({C.chunk_lines_sql(units, 'page')}) c")
+    return f"SELECT * FROM ({_extract_sql(chunks)}) e"
+
+
+RUN_CANDIDATES_SQL = " UNION ALL BY NAME ".join([
+    _run_listing_sql(0, "cards.example", FX.FX3_CARDS_SQL, _card_text_sql("html")),
+    _run_listing_sql(1, "items.example", FX.FX3_ITEMS_SQL, _items_text_sql("html", "'items.example'")),
+    *[_run_dated_sql(i, FX.RUN_SOURCES[i][0]) for i in (2, 3, 4)]])
+
+
+def _run(spark, sf):
+    registry, profiles, pages, listings = FX.fx8_run(spark, sf)
+    texts = RUN.gather(registry, profiles, pages, listings=listings)
+    return texts, RUN.extract_candidates(spark, registry, profiles, pages, FX.AS_OF, texts=texts)
+
+
+@register("date_line_events", " UNION ALL ".join(
+    f"SELECT source_name, title, date_raw, time_raw, location FROM ({_run_dated_sql(i, FX.RUN_SOURCES[i][0])}) d"
+    for i in (2, 3, 4)))
+def q_date_line_events(spark, sf):
+    _, cand = _run(spark, sf)
+    return (cand.where(~F.col("source_name").isin("cards.example", "items.example"))
+            .select("source_name", "title", "date_raw", "time_raw", "location"))
+
+
+@register("run_calendars", with_cte(
+    feed_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc"),
+    "SELECT category, line FROM lines"))
+def q_run_calendars(spark, sf):
+    """From registry and pages to the calendar files, read back."""
+    _, cand = _run(spark, sf)
+    path = scratch_path(spark, "run-calendars")
+    RUN.build_calendars(spark, cand, path, FX.AS_OF, FX.DTSTAMP, single_file=True)
+    return S.read_ics_sink(spark, path).select("category", "line")
+
+
+@register("run_report", with_cte(
+    prepared_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc"), """
+SELECT source_name, count(*) AS n_candidates, count(*) FILTER (reject_reason = 'invalid_date') AS invalid_date,
+       count(*) FILTER (reject_reason = 'past') AS past, count(*) FILTER (reject_reason = 'duplicate') AS duplicate,
+       count(*) FILTER (reject_reason IS NULL) AS n_events
+FROM st GROUP BY ROLLUP (source_name)"""))
+def q_run_report(spark, sf):
+    texts, cand = _run(spark, sf)
+    report = RUN.run_report(texts, cand, FX.AS_OF).where("n_candidates > 0")
+    return report.select("source_name", "n_candidates", "invalid_date", "past", "duplicate", "n_events")
+
+
+@register("gather_totals", f"""
+SELECT source_name, count(DISTINCT source_name) AS n_sources, count(*) AS n_pages, CAST(sum(length(text)) AS BIGINT) AS n_chars
+FROM ({GATHER_SQL}) g WHERE coalesce(text, '') <> '' GROUP BY ROLLUP (source_name)""")
+def q_gather_totals(spark, sf):
+    """A2: sources, pages and characters, per source and in total."""
+    return E.gather_totals(E.gathered_text(_gathered(spark, sf)))

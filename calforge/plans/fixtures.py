@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calforge.operators.ordinal import dense_index
-from calforge.session import shared_dir, spread
+from calforge.session import scratch_path, shared_dir, spread
 
 AS_OF = "2024-01-10"
 DTSTAMP = "20240110T000000Z"
@@ -250,3 +250,62 @@ def fx5_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     js = F.concat(F.lit('{"events":'), arr, F.lit("}"))
     js = F.when(F.col("chunk_idx") % 9 == 0, F.concat(F.substring(js, 1, 40), F.lit("..."))).otherwise(js)
     return grouped.select("source_rank", "source_name", "chunk_idx", js.alias("response"))
+
+
+# ---------------------------------------------------------------- FX7 pages with date lines
+
+DATED_PAGE_SIZE = 50
+_EVENT_DAY = "lpad(CAST(day(ts) AS string), 2, '0')"
+_EVENT_MONTH = "lpad(CAST(month(ts) AS string), 2, '0')"
+_EVENT_TIME = "concat(lpad(CAST(hour(ts) AS string), 2, '0'), ':', lpad(CAST(minute(ts) AS string), 2, '0'))"
+FX7_ISO = f"concat(CAST(year(ts) AS string), '-', {_EVENT_MONTH}, '-', {_EVENT_DAY})"
+FX7_TITLE = "concat(event_type, ' No. ', CAST(event_id AS string))"
+FX7_ELEMENT = f"""CASE event_id % 3
+  WHEN 0 THEN concat('<p title="5 > 4">', {_EVENT_DAY}, '.', {_EVENT_MONTH}, '.', CAST(year(ts) AS string), ', ',
+                     {_EVENT_TIME}, ' Uhr | ', {FX7_TITLE}, '</p>')
+  WHEN 1 THEN concat('<p>', {FX7_TITLE}, ' &ndash; ', {FX7_ISO}, '</p>')
+  ELSE concat('<h3>Fr, ', CAST(day(ts) AS string), '.', CAST(month(ts) AS string), '.</h3><p>', {FX7_TITLE}, '</p>') END"""
+# what a reader of those lines finds: the third form has no year and no time, the second no time
+FX7_DATE = f"CASE WHEN event_id % 3 = 2 THEN concat('2026-', {_EVENT_MONTH}, '-', {_EVENT_DAY}) ELSE {FX7_ISO} END"
+FX7_TIME = f"CASE WHEN event_id % 3 = 0 THEN {_EVENT_TIME} ELSE '20:00' END"
+
+
+def fx7_dated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 50 events each as dated lines of ordinary text, inside ``<main>``."""
+    elems = table(spark, sf_dir, "events").selectExpr(
+        f"CAST(floor(event_id / {DATED_PAGE_SIZE}) AS bigint) AS page", "event_id", f"{FX7_ELEMENT} AS element")
+    body = F.expr("listagg(element, '') WITHIN GROUP (ORDER BY event_id)")
+    return (elems.groupBy("page").agg(body.alias("body"))
+            .select("page", F.concat(F.lit("<html><body><main>"), F.col("body"), F.lit("</main></body></html>")).alias("html")))
+
+
+# ---------------------------------------------------------------- FX8 a run over listed pages
+
+RUN_SOURCES = (("cards.example", "cards"), ("items.example", "items"), ("text.example", "generic"),
+               ("lines.example", "lines"), ("frames.example", "frame"))
+RUN_RANK = 1_000_000
+
+
+def fx8_run(spark: SparkSession, sf_dir: str):
+    """``(registry, profiles, pages, listings)`` of one whole run: the hosts and framed pages of
+    FX1 and FX2, and five sources read from all their listed pages: cards and items (FX3), and
+    the dated pages (FX7) as plain text, as a content element and behind frames."""
+    registry = fx1_registry(spark, sf_dir)
+    extra = spark.createDataFrame([(RUN_RANK + i, n, f"https://{n}/", True) for i, (n, _) in enumerate(RUN_SOURCES)],
+                                  registry.select("rank", "name", "url", "enabled").schema)
+    profiles = fx6_profiles(registry).unionByName(spark.createDataFrame(list(RUN_SOURCES), "name string, profile string"))
+    dated = fx7_dated_pages(spark, sf_dir)
+    frame = dated.selectExpr(
+        "page", "concat('<iframe data-src=\"x\" src=\\'https://text.example/', CAST(page AS string), '\\'></iframe>') AS html")
+    made = None
+    for i, ((name, _), rows) in enumerate(zip(RUN_SOURCES, (fx3_card_pages(spark, sf_dir), fx3_item_pages(spark, sf_dir),
+                                                            dated, dated, frame))):
+        one = rows.selectExpr(f"{RUN_RANK} * {i + 1}L * 1000000L + page AS page_id", f"'{name}' AS source_name",
+                              f"concat('https://{name}/', CAST(page AS string)) AS url", "html")
+        made = one if made is None else made.unionByName(one)
+    # landed once as the run's page table, which gathering reads several times
+    landed = scratch_path(spark, "run-pages")
+    made.unionByName(fx2_framed_pages(spark, sf_dir), allowMissingColumns=True).write.parquet(landed)
+    pages = spark.read.parquet(landed)
+    listings = pages.where("source_name is not null").select("source_name", "url")
+    return registry.unionByName(extra), profiles, pages.drop("source_name"), listings
