@@ -2,8 +2,15 @@
 
 Base kinds (email, ip, card, phone) come from fixed patterns and are the seeds. An
 instance is a token with digits or an at sign; a pattern is the pair of words that stand
-before and after it, with its shape (runs of digits, runs of letters, signs). Patterns and instances form a two-sided graph with one edge for each
-pair that occurs. Each round rates a pattern by the share of its distinct instances that
+before and after it, or one of the two alone (so the start and the end of a text do no
+harm). Each of these is a pattern for tokens of any shape, and once more with the shape of
+the token (runs of digits, runs of letters, signs): the former lets what is known of one
+shape find identifiers of another one, the latter lets a shape be telling where its
+context holds much else. Where most tokens of a corpus are known, words that stand beside
+them by accident hold known ones for the greater part too; so a pattern of one word or of
+any shape must hold a telling word, one with more distinct instances beside it than its
+frequency in all texts lets expect. Patterns and instances form a two-sided graph with one edge for
+each pair that occurs. Each round rates a pattern by the share of its distinct instances that
 are known, held down by few of them, and an instance by the best pattern that holds it;
 instances of patterns above CONFIDENT become known and rate patterns in the next round.
 In the end unseen tokens of confident patterns come out as kind ``found``.
@@ -33,6 +40,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<![^\s,;()<>\[\]{}\x22'])[^\s,;()<>\[\]{}\x22']*[0-9@][^\s,;()<>\[\]{}\x22']*"
 LEAST_DIGITS = 6
 ROUNDS, CONFIDENT, LEAST_SEEDS, REACH = 3, 0.75, 4, 80
+TELLING = 3.0                # deviations above what the frequency of a word lets expect
 SPAN = "array<struct<kind:string,s:int,e:int>>"
 
 
@@ -54,6 +62,14 @@ def _shape(m: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), r"[^\W\d_]+", "a")
 
 
+def _patterns(before: Column, after: Column, shape: Column) -> Column:
+    """The words on both sides, the one before, the one after: each for any shape and for this one."""
+    none = F.lit("")
+    sides = F.array_distinct(F.array(F.concat_ws("\t", before, after), F.concat_ws("\t", before, none), F.concat_ws("\t", none, after)))
+    return F.flatten(F.transform(F.filter(sides, lambda x: x != "\t"), lambda x: F.array(
+        F.concat_ws("\t", x, none), F.concat_ws("\t", x, shape))))
+
+
 def _small(m: Column) -> Column:
     return F.forall(F.split(m, r"\."), lambda p: F.length(F.ltrim(p, F.lit("0"))).between(0, 3) & (
         F.coalesce(F.substring(F.concat(F.lit("0"), F.ltrim(p, F.lit("0"))), 1, 4).cast("int"), F.lit(0)) <= 255))
@@ -66,12 +82,13 @@ def _kind(kind: str, spans: Column, keep=None) -> Column:
 
 def scanned(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, k, base, tokens``: one pass over the texts. A token
-    carries the words on either side."""
+    carries the words on either side; base matches are tokens too, as some hold spaces."""
     def found(t):
         base = F.concat(_kind("email", find_spans(t, EMAIL)), _kind("ip", find_spans(t, IP), _small), _kind("card", find_spans(t, CARD), _luhn),
                         _kind("phone", find_spans(t, PHONE), lambda m: F.length(_digits(m)).between(8, 15)))
         wide = F.filter(find_spans(t, TOKEN), lambda x: (F.length(_digits(x["m"])) >= LEAST_DIGITS) | F.contains(x["m"], F.lit("@")))
-        near = F.transform(wide, lambda x: F.struct(
+        whole = F.transform(base.cast(SPAN), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), t.substr(x["s"] + 1, x["e"] - x["s"]).alias("m")))
+        near = F.transform(F.array_distinct(F.concat(wide, whole)), lambda x: F.struct(
             x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"),
             F.regexp_extract(t.substr(F.greatest(x["s"] - REACH, F.lit(0)) + 1, F.least(x["s"], F.lit(REACH))), r"(\S+)\s+\z", 1).alias("before"),
             F.regexp_extract(t.substr(x["e"] + 1, F.lit(REACH)), r"\A\S?\s+(\S+)", 1).alias("after")))
@@ -81,14 +98,34 @@ def scanned(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("k"), let(some, found).alias("x")).select("doc_id", "k", "x.base", "x.tokens")
 
 
-def confident_patterns(graph: DataFrame) -> DataFrame:
+def telling_words(docs: DataFrame, graph: DataFrame) -> DataFrame:
+    """``pattern``: those of one word and any shape whose distinct instances are more than
+    chance would put beside the word, by its frequency in all texts (as Poisson counts)."""
+    words = stored(docs.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
+                   .groupBy("word").agg(F.count(F.lit(1)).alias("c")), "words")
+    all_words = words.agg(F.sum("c").alias("all_words"))
+    all_instances = graph.agg(F.count_distinct("instance").alias("all_instances"))
+    x = F.split("pattern", "\t", -1)
+    beside = graph.where((x[2] == "") & ((x[0] == "") | (x[1] == ""))).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") >= LEAST_SEEDS).withColumn("word", F.concat(x[0], x[1]))
+    expected = F.col("c") / F.col("all_words") * F.col("all_instances")
+    return stored(beside.join(words, "word").crossJoin(all_words).crossJoin(all_instances)
+                  .where(F.col("n") >= expected + TELLING * F.sqrt(expected)).select("pattern"), "telling")
+
+
+def confident_patterns(graph: DataFrame, telling: DataFrame) -> DataFrame:
     """``pattern, instance, seed`` (one row for each edge) -> the confident patterns."""
     known = graph.where("seed").select("instance").distinct()
+    x = F.split("pattern", "\t", -1)
+    before, after = (telling.select(F.col("pattern").alias(side)) for side in ("_before", "_after"))
     patterns = None
     for _ in range(ROUNDS):
         rated = graph.join(known.withColumn("known", F.lit(1)), "instance", "left").groupBy("pattern").agg(
             F.count(F.lit(1)).alias("n"), F.count("known").alias("n_known"))
         patterns = stored(rated.where((F.col("n_known") >= LEAST_SEEDS) & (F.col("n_known") / (F.col("n") + 1) >= CONFIDENT))
+                          .join(before, F.concat(x[0], F.lit("\t\t")) == F.col("_before"), "left")
+                          .join(after, F.concat(F.lit("\t"), x[1], F.lit("\t")) == F.col("_after"), "left")
+                          .where(F.col("_before").isNotNull() | F.col("_after").isNotNull() | ((x[0] != "") & (x[1] != "") & (x[2] != "")))
                           .select("pattern"), "patterns")
         known = stored(known.unionByName(graph.join(patterns, "pattern", "left_semi").select("instance")).distinct(), "known")
     return patterns
@@ -108,11 +145,11 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     seen = stored(scanned(docs), "scanned")
     each = seen.where(F.size("tokens") > 0).select("doc_id", "k", "base", F.explode("tokens").alias("t")) \
         .select("doc_id", "k", "base", "t.s", "t.e", F.lower("t.m").alias("instance"),
-                F.concat_ws("\t", F.lower("t.before"), F.lower("t.after"), _shape(F.col("t.m"))).alias("pattern"),
-                ((F.length("t.before") > 0) & (F.length("t.after") > 0)).alias("framed")) \
+                _patterns(F.lower("t.before"), F.lower("t.after"), _shape(F.col("t.m"))).alias("patterns")) \
         .withColumn("seed", F.exists("base", lambda b: (b["s"] < F.col("e")) & (F.col("s") < b["e"])))
-    graph = stored(each.where("framed").groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "graph")
-    more = each.where("framed and not seed").join(confident_patterns(graph), "pattern", "left_semi") \
+    edges = each.select("doc_id", "k", "s", "e", "instance", "seed", F.explode("patterns").alias("pattern"))
+    graph = stored(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "graph")
+    more = edges.where("not seed").join(confident_patterns(graph, telling_words(docs, graph)), "pattern", "left_semi") \
         .groupBy("doc_id", "k").agg(F.collect_set(F.struct(F.lit("found").alias("kind"), "s", "e")).alias("more"))
     got = more.withColumnsRenamed({"doc_id": "_d", "k": "_k"})
     return seen.join(got, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("k") == F.col("_k")), "left").select(

@@ -183,6 +183,29 @@ def test_confident_patterns_find_unseen_numbers(spark):
     assert got[50] == "found:12:31" and got[51] == ""
 
 
+def test_identifiers_of_a_shape_that_no_base_kind_has_are_found(spark):
+    seeds = [f"+1 988 555 24{i}" for i in range(10, 34)]
+    rows = [(i, f"call me at {n} today") for i, n in enumerate(seeds[:12])] + [(20 + i, f"reach them via {n}") for i, n in enumerate(seeds[12:])]
+    rows += [(50, "call me at 123-45-6789 today"), (51, "call me at 555-123-4567"), (52, "or reach them via 030/1234567"), (53, "reach them via user@localhost"),
+             (54, "in the year 1234567 it rained"), (55, "2024-01-15 was a day"), (56, "version 10.20.3040 of it")]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {d: got[d] for d in range(50, 57)} == {50: "found:11:22", 51: "found:11:23", 52: "found:18:29", 53: "found:15:29", 54: "", 55: "", 56: ""}
+
+
+def test_a_shape_still_tells_in_a_mixed_context(spark):
+    rows = [(i, f"please call 4111-1111-1111-{n} now") for i, n in enumerate(("1111", "1129", "1137", "1145", "1152", "1160"))]
+    rows += [(20 + i, f"please call {n} now") for i, n in enumerate(range(7000001, 7000013))] + [(50, "please call 4111-1111-1111-0000 now")]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[50] == "found:12:31" and got[20] == ""
+
+
+def test_words_that_stand_beside_known_ones_by_accident_tell_nothing(spark):
+    words = np.random.default_rng(5).choice("one of these few words stands on either side".split(), (62, 20))
+    rows = [(i, " ".join([*w[:9], f"+198855524{i}" if i < 60 + 10 else "password=11dc549046db720917", *w[9:]])) for i, w in enumerate(words, 10)]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[10].startswith("phone") and got[70] == got[71] == ""
+
+
 # -- 5 and 7: prediction by partial matching -----------------------------------------------
 
 @pytest.mark.parametrize("at_least", [1, 2])
