@@ -7,12 +7,15 @@ characters:
 
 * a token of letters of one case, or without a digit, is taken for a word, one of digits
   for a number;
-* chi-squared for uniform use of the alphabet. What ordinary text would give is known from
-  the corpus: its squared and cubed letter shares, summed over all long tokens of all
-  documents, give mean and deviation of the statistic for a token of this length, and so
-  the chance that ordinary text looks this uniform;
-* runs above and below the middle of the alphabet, and serial correlation of neighbours,
-  each against what random characters give. A token that fails either is not random.
+* how ordinary it is: the corpus gives the kinds of characters (upper, lower, digit, sign)
+  that follow each other in its long tokens, and the characters within a kind. The chance
+  that such text makes a token is set against the chance that random characters make it.
+  By Markov's inequality their ratio bounds how often ordinary tokens look this random, at
+  any length. Changes of case and to digits count in it, and paths, names and numbers are
+  ordinary by it. It is learned twice, the second time without what the first took for random;
+* chi-squared for uniform use of the alphabet, runs above and below its middle, and serial
+  correlation of neighbours, each against what random characters give. A token that fails
+  one of them is not random.
 
 The chances go through false-discovery control (Benjamini and Hochberg) over all
 candidates of the corpus, in classes of encoding and length, since short tokens have far
@@ -25,6 +28,8 @@ an id; extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,10 +47,13 @@ ENCODINGS = (("digits", r"^[0-9]+$", _DIGITS), ("hex", r"^[0-9a-f]+$", _DIGITS +
              ("lower", r"^[a-z]+$", _LOW), ("upper", r"^[A-Z]+$", _UP), ("base32", r"^[A-Z2-7]+$", _UP + "234567"),
              ("upper36", r"^[A-Z0-9]+$", _DIGITS + _UP), ("lower36", r"^[a-z0-9]+$", _DIGITS + _LOW),
              ("base64url", r"^[A-Za-z0-9_-]+$", _UP + _LOW + _DIGITS + "-_"), ("base64", "", _UP + _LOW + _DIGITS + "+/_-"))
+CHARS = ENCODINGS[-1][2]
 FALSE_DISCOVERIES = 0.001
 RANDOM_ENOUGH = 3.0          # deviations that runs and serial correlation may be off
 LEAST_LENGTH = 20
 WORD_LENGTH = 64             # longer tokens say nothing of how ordinary words use letters
+DOUBTFUL = 10.0              # bits by which a token must look random to be no example of an ordinary one
+PRIOR, STAY = 100.0, 0.9     # what is known of ordinary tokens beforehand: their neighbours are of one kind
 SPAN = "array<struct<kind:string,s:int,e:int>>"
 
 
@@ -63,18 +71,42 @@ def scanned(docs: DataFrame) -> DataFrame:
                        find_spans(t, CANDIDATE).alias("candidates"))
 
 
-def _normal_tail(z: Column) -> Column:
-    """P(Z > z) of a standard normal, by a logistic of a cubic (within 2e-4)."""
-    return 1.0 / (1.0 + F.exp(F.least(1.5976 * z + 0.070566 * z * z * z, F.lit(700.0))))
+def _steps(m: Column) -> Column:
+    """For each character: the kind of the one before (4 at the start) and its place in CHARS, as one number."""
+    def kind(x):
+        return F.when(x < 26, 0).when(x < 52, 1).when(x < 62, 2).otherwise(3)
+    places = F.transform(F.split(m, ""), lambda c: F.instr(F.lit(CHARS), c) - 1)
+    return let(places, lambda v: F.zip_with(
+        F.concat(F.array(F.lit(4)), F.transform(F.slice(v, F.lit(1), F.size(v) - 1), kind)), v, lambda p, x: p * len(CHARS) + x))
+
+
+def _ordinary(tokens: DataFrame) -> list[float]:
+    """``steps`` -> the bits of each step in ordinary tokens, by counts and PRIOR."""
+    size = len(CHARS)
+    n = [0.0] * (5 * size)
+    for r in tokens.select(F.explode("steps").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect():   # at most 330 rows
+        n[r["x"]] = float(r["n"])
+    ends = (0, 26, 52, 62, size)
+    kinds = [range(a, z) for a, z in zip(ends[:-1], ends[1:], strict=True)]
+    bits = [0.0] * len(n)
+    for k, places in enumerate(kinds):
+        used = {x: 1 + sum(n[p * size + x] for p in range(5)) for x in places}
+        total = sum(used.values())
+        for p in range(5):
+            expected = PRIOR * (0.25 if p == 4 else STAY if p == k else (1 - STAY) / 3)
+            follows = (expected + sum(n[p * size + x] for x in places)) / (PRIOR + sum(n[p * size:(p + 1) * size]))
+            for x in places:
+                bits[p * size + x] = -math.log2(follows * used[x] / total)
+    return bits
 
 
 def _battery(tokens: DataFrame) -> DataFrame:
-    """``m`` -> ``m, enc, n, chi2, runs_z, serial_z, size``: the tests of each distinct token."""
+    """``m`` -> ``m, enc, n, size, steps, chi2_z, runs_z, serial_z``: the tests of each distinct token."""
     enc, alphabet = F.lit("base64"), F.lit(ENCODINGS[-1][2])
     for name, pattern, chars in reversed(ENCODINGS[:-1]):
         fits = F.col("m").rlike(pattern)
         enc, alphabet = F.when(fits, name).otherwise(enc), F.when(fits, chars).otherwise(alphabet)
-    t = tokens.select("m", "copies", F.length("m").alias("n"), enc.alias("enc"), alphabet.alias("alphabet"))
+    t = tokens.select("m", F.length("m").alias("n"), enc.alias("enc"), alphabet.alias("alphabet"))
     t = t.withColumn("v", F.transform(F.split("m", ""), lambda c: F.instr(F.col("alphabet"), c) - 1))
     t = t.withColumn("size", F.length("alphabet")).withColumn("mean", F.aggregate("v", F.lit(0.0), lambda a, x: a + x) / F.col("n"))
     counts = F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.size(F.filter("v", lambda x: x == i)).cast("double"))
@@ -90,34 +122,34 @@ def _battery(tokens: DataFrame) -> DataFrame:
     lo = n - hi
     mu = 2 * hi * lo / n + 1
     sd = F.sqrt(F.greatest((mu - 1) * (mu - 2) / (n - 1), F.lit(1e-9)))
-    return t.select("m", "copies", "enc", "n", "size", (F.col("size") * F.col("squares") / n - n).alias("chi2"), "squares",
+    free = F.col("size") - 1
+    return t.select("m", "enc", "n", "size", _steps(F.col("m")).alias("steps"),
+                    ((F.col("size") * F.col("squares") / n - n - free) / F.sqrt(2 * free * (n - 1) / n)).alias("chi2_z"),
                     F.when((hi == 0) | (lo == 0), F.lit(99.0)).otherwise((F.col("runs") - mu) / sd).alias("runs_z"),
                     F.when(var <= 0, F.lit(99.0)).otherwise(cov / var * F.sqrt(n)).alias("serial_z"))
 
 
 def random_tokens(tokens: DataFrame) -> DataFrame:
-    """``m, copies`` (distinct tokens) -> the tokens ``m`` that the battery and the
+    """``m`` (distinct tokens) -> the tokens ``m`` that the battery and the
     false-discovery control call random."""
     tested = stored(_battery(tokens), "battery")
-    share = tested.where(F.col("n") <= WORD_LENGTH).select("enc", F.explode(F.split("m", "")).alias("c"), "copies").groupBy("enc", "c").agg(F.sum("copies").alias("n"))
-    letters = share.where(F.col("c").rlike("[A-Za-z]")).groupBy(F.lower("c").alias("c")).agg(F.sum("n").alias("n"))
-    one = letters.agg(F.sum("n").alias("t"), F.sum(F.pow("n", F.lit(2.0))).alias("q2"), F.sum(F.pow("n", F.lit(3.0))).alias("q3"))
-    null = one.select(F.explode(F.array(*(F.lit(e[0]) for e in ENCODINGS))).alias("enc"),
-                      (F.col("q2") / F.pow("t", F.lit(2.0))).alias("s2"), (F.col("q3") / F.pow("t", F.lit(3.0))).alias("s3"))
-    n = F.col("n").cast("double")
-    mean = n + n * (n - 1) * F.col("s2")
-    var = 4 * n * (n - 1) * (n - 2) * (F.col("s3") - F.col("s2") ** 2) + 2 * n * (n - 1) * (F.col("s2") - F.col("s2") ** 2)
-    z = (mean - F.col("squares")) / F.sqrt(F.greatest(var, F.lit(1e-9)))
-    rated = tested.where(F.col("n") >= LEAST_LENGTH).where("enc not in ('digits', 'lower', 'upper')").where(F.col("m").rlike("[0-9]")).join(null, "enc").select(
-        "m", "enc", F.floor(F.log2("n") * 2).alias("len"), "runs_z", "serial_z",
-        F.round(-F.log10(_normal_tail(z)), 2).alias("rare"))
+
+    def gain(bits):
+        """Bits by which random characters make the token more likely than ordinary text does."""
+        cost = F.lit(bits)
+        return F.aggregate("steps", F.lit(0.0), lambda a, x: a + F.get(cost, x)) - F.col("n") * F.log2("size")
+    words = tested.where(F.col("n") <= WORD_LENGTH)
+    ordinary = _ordinary(words.where(gain(_ordinary(words)) < DOUBTFUL))
+    rare = F.least(F.greatest(gain(ordinary), F.lit(0.0)) * math.log10(2), F.lit(30.0))
+    rated = tested.where(F.col("n") >= LEAST_LENGTH).where("enc not in ('digits', 'lower', 'upper')").where(F.col("m").rlike("[0-9]")).select(
+        "m", "enc", F.floor(F.log2("n") * 2).alias("len"), "chi2_z", "runs_z", "serial_z", F.round(rare, 2).alias("rare"))
     counts = rated.groupBy("enc", "len", "rare").agg(F.count(F.lit(1)).alias("n"))
     by = Window.partitionBy("enc", "len")
     ranked = counts.withColumn("rank", F.sum("n").over(by.orderBy(F.desc("rare")))).withColumn("all", F.sum("n").over(by))
     limit = ranked.where(F.pow(F.lit(10.0), -F.col("rare")) * F.col("all") <= FALSE_DISCOVERIES * F.col("rank")) \
         .groupBy("enc", "len").agg(F.min("rare").alias("limit"))
     return rated.join(limit, ["enc", "len"]).where("rare >= limit") \
-        .where((F.abs("runs_z") <= RANDOM_ENOUGH) & (F.abs("serial_z") <= RANDOM_ENOUGH)).select("m")
+        .where((F.col("chi2_z") <= RANDOM_ENOUGH) & (F.abs("runs_z") <= RANDOM_ENOUGH) & (F.abs("serial_z") <= RANDOM_ENOUGH)).select("m")
 
 
 def joined(spans: Column) -> Column:
@@ -134,7 +166,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     seen = stored(scanned(docs), "scanned")
     each = seen.where(F.size("candidates") > 0).select("doc_id", "k", "base", F.explode("candidates").alias("c")) \
         .select("doc_id", "k", "base", "c.s", "c.e", "c.m")
-    found = random_tokens(each.groupBy("m").agg(F.count(F.lit(1)).alias("copies")))
+    found = random_tokens(each.select("m").distinct())
     more = each.where(~F.exists("base", lambda b: (b["s"] < F.col("e")) & (F.col("s") < b["e"]))).join(found, "m") \
         .groupBy("doc_id", "k").agg(F.collect_set(F.struct(F.lit("random").alias("kind"), "s", "e")).alias("more"))
     got = more.withColumnsRenamed({"doc_id": "_d", "k": "_k"})

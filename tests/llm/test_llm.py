@@ -149,6 +149,25 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert got[500] == "random:4:70" and not any(v for k, v in got.items() if k != 500)
 
 
+def test_bare_keys_of_all_lengths_are_found_among_ordinary_tokens(spark):
+    rng = np.random.default_rng(11)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(list(a), n)) for n in (20, 24, 32, 40) for a in (base64, base64[26:]) for _ in range(20)]
+    keys = [k for k in keys if re.search("[0-9]", k) and not re.search("[0-9a-f]{24}", k)]
+    words = "user order invoice chapter section release page report python build linux module final Annual Customer".split()
+
+    def ordinary():
+        a, b, c, d = rng.choice(words, 4)
+        n, y = rng.integers(1, 10_000), rng.integers(1990, 2030)
+        return (f"usr/lib/{a}3/{b}/{c}{n}", f"{a}_{b}_{c}_{y}", f"{a}-{b}-{n}-{d}-{y}", f"{y}-01-15/{a}{n}/{b}-{c}", f"{a}{b.title()}{c.title()}{n}")[rng.integers(5)]
+    rows = [(i, " ".join(ordinary() for _ in range(8))) for i in range(1000)] + [(5000 + i, f"see {k} there") for i, k in enumerate(keys)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.secret_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for n in (20, 24, 32, 40):
+        of = [got[5000 + i] == f"random:4:{4 + n}" for i, k in enumerate(keys) if len(k) == n]
+        assert sum(of) >= 0.9 * len(of), (n, sum(of), len(of))
+    assert not any(v for k, v in got.items() if k < 5000)
+
+
 def test_secrets_are_masked(odd):
     got = {r["doc_id"]: r["text"] for r in secrets.masked(odd).collect()}
     assert got[8].startswith("[SECRET] a@b.de [SECRET]") and "abcdef12" not in got[8]
