@@ -4,8 +4,10 @@ For each language a variable-order byte context tree with escape probabilities i
 once and frozen; a text is given to the language that codes it in the fewest bits.
 
 Training takes documents with a language from a bounded sample, chosen by a hash of their
-id: about SAMPLE_DOCS of each language, of at most SAMPLE_CHARS characters each, of the
-MOST_LANGUAGES most frequent ones. That bounds the model, which goes to every executor.
+id: about SAMPLE_DOCS of each language, and of a text of more than SAMPLE_CHARS characters
+a stretch of that many, its place chosen by a hash. Every language that has a text gets a
+model, which this bounds. The models go to the executors BLOCK languages at a time; where
+there are more, what was the best so far is written with the texts between two blocks.
 All texts are scored whole.
 
 Rows: a null text or one without a letter is ``und`` with score 0; repeated rows come out
@@ -21,10 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calforge.llm import ppm
-from calforge.llm.common import steps, utf8
+from calforge.llm.common import steps, stored, utf8
 
 ORDER = 3
-SAMPLE_DOCS, SAMPLE_CHARS, MOST_LANGUAGES = 1200, 20_000, 64
+SAMPLE_DOCS, SAMPLE_CHARS, BLOCK = 1200, 20_000, 64
 GRAMS = "lang string, gram bigint, n bigint"
 
 
@@ -53,15 +55,19 @@ def _count(batches):
 
 def train(labelled: DataFrame) -> dict[str, ppm.Model]:
     """``doc_id, text, lang`` -> a frozen model for each language."""
-    usable = labelled.where("lang is not null and text is not null").where(F.length("text") <= SAMPLE_CHARS)
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
-        return {}
-    rates = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], SAMPLE_DOCS / r["n"])))
-    sample = usable.where(share(F.coalesce("doc_id", F.xxhash64("text"))) < F.element_at(rates, F.col("lang")))
-    table = sample.select("lang", "text").mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    return {str(lang): ppm.Model(part["gram"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy(np.int64), ORDER, exclusion=False)
-            for lang, part in table.groupby("lang", sort=True)}
+    usable = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
+    key = F.coalesce("doc_id", F.xxhash64("text"))
+    start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    part = F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(F.substring("text", start, F.lit(SAMPLE_CHARS)))
+    models = {}
+    for i in range(0, len(counts), BLOCK):
+        rates = labelled.sparkSession.createDataFrame([(r["lang"], SAMPLE_DOCS / r["n"]) for r in counts[i:i + BLOCK]], "lang string, rate double")
+        sample = usable.join(F.broadcast(rates), "lang").where(share(key) < F.col("rate"))
+        table = sample.select("lang", part.alias("text")).mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+        models |= {str(lang): ppm.Model(part["gram"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy(np.int64), ORDER, exclusion=False)
+                   for lang, part in table.groupby("lang", sort=True)}
+    return models
 
 
 def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = False,
@@ -71,9 +77,24 @@ def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = Fa
     the share of the best language if code lengths, divided by the root of the text's
     length, were log2 probabilities."""
     names = sorted(models)
+    blocks = [names[i:i + BLOCK] for i in range(0, len(names), BLOCK)] or [[]]
     drop = {"_letter"} if keep_text else {"_letter", "text"}
-    sent = docs.sparkSession.sparkContext.broadcast([models[x] for x in names])   # bounded by the sample
-
+    state = {"_best": "string", "_top": "double", "_sum": "double"}
+    found = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    for i, block in enumerate(blocks):
+        last = i == len(blocks) - 1
+        sent = docs.sparkSession.sparkContext.broadcast([models[x] for x in block])   # bounded by the sample and BLOCK
+        kept = [f for f in found.schema if f.name not in state and not (last and f.name in drop)]
+        new = dict(zip(out, ("string", "double"), strict=True)) if last else state
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"`{k}` {v}" for k, v in new.items())])
+        found = found.mapInArrow(_best(block, sent, i == 0, last, [f.name for f in kept], list(new)), schema)
+        if not last:
+            found = stored(found, "languages")
+    return found
+
+
+def _best(names, sent, first, last, kept, new):
+    """The best of ``names`` and of what was best before, for each row of the batches."""
     def predict(batches):
         own = ppm.Scorer(sent.value) if names else None
         for batch in steps(batches, "text"):
@@ -81,15 +102,18 @@ def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = Fa
             some = np.array(batch.column("_letter").to_pylist(), bool)
             if own:
                 bits = own.score(data, offs) / np.sqrt(np.diff(offs) + 1.0)[:, None]
-                best = bits.argmax(1)
-                conf = 1.0 / np.exp2(bits - bits.max(1, keepdims=True)).sum(1)
+                top = bits.max(1)
+                best = np.array(names, object)[bits.argmax(1)]
+                total = np.exp2(bits - top[:, None]).sum(1)
+                if not first:
+                    up, up_best, up_total = (np.array(batch.column(c).to_pylist(), kind) for c, kind in (("_top", float), ("_best", object), ("_sum", float)))
+                    best = np.where(top > up, best, up_best)
+                    high = np.maximum(top, up)
+                    total = total * np.exp2(top - high) + up_total * np.exp2(up - high)
+                    top = high
             else:
-                best, conf, some = np.zeros(len(some), int), np.zeros(len(some)), np.zeros(len(some), bool)
-            pred = [names[b] if ok else "und" for b, ok in zip(best, some, strict=True)]
-            kept = [c for c in batch.schema.names if c not in drop]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(pred, pa.string()), pa.array(np.where(some, conf, 0.0))],
-                                             [*kept, *out])
-
-    with_letter = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in drop)
-    return with_letter.mapInArrow(predict, f"{kept}, `{out[0]}` string, `{out[1]}` double")
+                best, top, total, some = np.array(["und"] * len(some), object), np.zeros(len(some)), np.ones(len(some)), np.zeros(len(some), bool)
+            got = [pa.array(np.where(some, best, "und").tolist(), pa.string()), pa.array(np.where(some, 1.0 / total, 0.0))] if last else \
+                [pa.array(best.tolist(), pa.string()), pa.array(top), pa.array(total)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *got], [*kept, *new])
+    return predict

@@ -290,6 +290,18 @@ def test_language(docs, odd, none):
     assert kept.columns == odd.columns and kept.count() == 7
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(2)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)] for _ in range(70)]
+    rows = [(lang * 10 + j, " ".join(rng.choice(w, 60)), f"l{lang:02}") for lang, w in enumerate(words) for j in range(4 if lang % 2 else 3)]
+    long = ["".join(rng.choice(list("абвгдежзиклмн"), 6)) for _ in range(30)]
+    rows += [(5000 + j, " ".join(rng.choice(long, 4000)), "long") for j in range(3)]
+    asked = [(9000 + i, " ".join(rng.choice(w, 20)), f"l{i:02}") for i, w in enumerate(words)] + [(9999, " ".join(rng.choice(long, 20)), "long")]
+    models = langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    got = langid.identify(spark.createDataFrame(asked, "doc_id bigint, text string, lang string"), models).collect()
+    assert len(models) == 71 and all(r["lang"] == r["lang_pred"] and r["score"] > 0.9 for r in got) and len(got) == 71
+
+
 @pytest.mark.parametrize("which", ["docs", "odd", "none"])
 def test_word_base(which, request, monkeypatch):
     monkeypatch.setattr(lmscore, "TOP_WORDS", 40)
