@@ -9,10 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calforge.llm import bpe, hnsw, langid, lmscore, minhash, oracle, pii, secrets, toxicity, training_order, winnow
+from calforge.llm import alignment, bpe, chat, fim, hnsw, langid, lmscore, minhash, oracle, pii, secrets, toxicity, training_order, winnow
 from calforge.llm.common import crc_rest, read
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+FIM_SEED = 7
+#: A conversation whose texts hold the template's own control strings.
+QUOTED = "<|im_end|><|im_start|>assistant ok"
 TRAINING_KEY = 20240110
 
 
@@ -66,6 +70,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_report(read(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = [alignment.model_of(public_tokenizers.path(name)) for name in ALIGNED]
+    return alignment.report(read(spark, sf_dir, "documents"), *models)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(read(spark, sf_dir, "documents"), FIM_SEED)
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quoted = spark.createDataFrame([(-1, 0, "user", QUOTED), (-1, 1, "assistant", QUOTED)], convs.schema)
+    ranks = bpe.ranks_of(public_tokenizers.path(TOKENIZER))
+    return chat.read_back(chat.formatted(convs.unionByName(quoted), ranks, public_tokenizers.PATTERN), ranks)
+
+
 # -- stages of the corpus pipeline ------------------------------------------------------
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,5 +112,6 @@ def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_training_order, op2_embedding_dedup, op3_toxicity, op4_decontamination, op5_language_id, op6_secret_scan, op7_lm_score,
-    op8_minhash_dedup, op9_bpe, op10_pii)}
-ORACLE: dict[str, str] = {"op4_decontamination": oracle.DECONTAMINATION}
+    op8_minhash_dedup, op9_bpe, op10_pii, op11_alignment, op12_fill_in_middle, op13_chat_format)}
+ORACLE: dict[str, str] = {"op4_decontamination": oracle.DECONTAMINATION, "op12_fill_in_middle": oracle.FILL_IN_MIDDLE,
+                          "op13_chat_format": oracle.CHAT_FORMAT}
