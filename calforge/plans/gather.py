@@ -20,6 +20,7 @@ from calforge.operators import chunks as C
 from calforge.operators import extract as X
 from calforge.operators import html as HT
 from calforge.operators import listing as L
+from calforge.session import scratch_path
 from calforge.sources import pages as P
 from calforge.sources import registry as R
 
@@ -66,15 +67,23 @@ def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,
         listed = P.multi_page_union(srcs.join(urls, "source_name"), copies)
         other = srcs.join(urls, "source_name", "left_anti").join(P.current_page(wanted), "host", "inner")
         joined = other.unionByName(listed)
-    framed = P.frame_resolve(joined.where(F.col("profile") == "frame"), pages).drop("frame_url")
-    rest = joined.where(F.col("profile") != "frame")
-    both = rest.unionByName(framed)
-    both = both.withColumn("_lines", F.when(F.col("profile") == "lines", HT.content_lines("html")))
-    text = (F.when(F.col("profile") == "cards", card_text("html", place))
-             .when(F.col("profile") == "items", items_text("html", "source_name"))
-             .when(F.col("profile") == "lines", HT.line_dedup_consecutive("_lines"))
-             .otherwise(HT.page_text("html")))
-    return both.select("source_rank", "source_name", "profile", "page_id", text.alias("text"))
+    # html of the selected sources, written once and split by profile: each branch below reads
+    # its own part, with the patterns of one profile only
+    path = scratch_path(pages.sparkSession, "site-pages")
+    joined.select("source_rank", "source_name", "profile", "page_id", "url", "html").write.partitionBy("profile").parquet(path)
+    stored = pages.sparkSession.read.schema(joined.select("source_rank", "source_name", "page_id", "url", "html", "profile").schema).parquet(path)
+
+    def of(*names):
+        return stored.where(F.col("profile").isin(*names))
+
+    def texts(rows, text):
+        return rows.select("source_rank", "source_name", "profile", "page_id", text.alias("text"))
+
+    framed = P.frame_resolve(of("frame"), pages).drop("frame_url")
+    generic = stored.where(~F.col("profile").isin("cards", "items", "lines", "frame")).unionByName(framed)
+    lines = of("lines").withColumn("_lines", HT.content_lines("html"))
+    return P.union_all([texts(of("cards"), card_text("html", place)), texts(of("items"), items_text("html", "source_name")),
+                        texts(lines, HT.line_dedup_consecutive("_lines")), texts(generic, HT.page_text("html"))])
 
 
 # -- listing sources -> candidates ----------------------------------------------------

@@ -83,6 +83,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def stored_table(df, name: str):
+    """Write ``df`` into the shared folder and read it back: its rows are computed once, and its
+    lineage ends at files that every executor can reach."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df):
     """Spread the rows of a scan over ``spark.calforge.scanPartitions`` tasks, when the caller
     has set it: for small files of one or two row groups under heavy per-row work. Unset (the

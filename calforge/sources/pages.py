@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calforge.functions import html as H
-from calforge.session import spread
+from calforge.session import spread, stored_table
+from calforge.sources.lookup import MOST_SENT, few, rows_with_keys
 
 URL_HOST_RE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)"
 URL_ROOT_RE = r"\A([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
@@ -89,26 +90,47 @@ def resolve_src(src, page_url) -> Column:
              .when(s.isNotNull(), F.concat(root, F.lit("/"), s)))
 
 
+def frame_url(html: str = "html", url: str = "url") -> Column:
+    """SC6 url part: where a page's frame points, NULL without a frame. The patterns are only
+    tried where the html holds the word."""
+    src = F.when(F.lower(html).contains("<iframe"), iframe_src(html))
+    return H.let(src, lambda s: resolve_src(s, url))
+
+
 def with_frame_url(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """SC6 url part, in two projections so the src regexes run once per row."""
-    return (pages.withColumn("_src", iframe_src(html))
-            .withColumn("frame_url", resolve_src("_src", url)).drop("_src"))
+    return pages.withColumn("frame_url", frame_url(html, url))
+
+
+def frame_refs(pages: DataFrame) -> DataFrame:
+    """``page_id, frame_url`` of the pages that embed a frame. The url comes out of a generator,
+    which no filter can pass, so the frame patterns run once for each page."""
+    found = F.filter(F.array(frame_url()), lambda u: u.isNotNull())
+    return pages.select("page_id", F.explode(found).alias("frame_url"))
 
 
-def frame_resolve(pages: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+def frame_resolve(pages: DataFrame, lookup: DataFrame | None = None, most: int = MOST_SENT) -> DataFrame:
     """SC6: a page that embeds a frame is replaced by the framed page's html, even
-    when that is missing (-> ''); pages without a frame keep their html.
+    when that is missing (-> ''); pages without a frame keep their html. Adds ``frame_url``.
 
-    Only framed pages take part in the lookup, without their own html. The newest copy
-    (highest page_id, unique in the table) of every wanted url is chosen on urls and ids
-    alone, so page html goes through no aggregate; then the few targets are read."""
+    The references are found first and stored (ids and urls, no html). The newest copy
+    (highest page_id, unique in the table) of every wanted url is chosen on urls and ids alone,
+    of the wanted urls only. Then html is read in place: of the targets, by their ids, and of
+    the pages without a frame, by the ids of those with one. The only html that is shuffled is
+    that of targets, and of pages the tables of ids are too long to be sent for."""
     lookup = pages if lookup is None else lookup
-    with_src = with_frame_url(pages)
-    framed = with_src.where(F.col("frame_url").isNotNull()).drop("html")
-    own = with_src.where(F.col("frame_url").isNull())
-    newest = (lookup.groupBy(F.col("url").alias("frame_url")).agg(F.max("page_id").alias("_frame_id")))
-    wanted = framed.join(newest, "frame_url", "left")
-    html = lookup.select(F.col("page_id").alias("_frame_id"), F.col("html").alias("_frame_html"))
-    resolved = (wanted.join(html, "_frame_id", "left")
+    refs = stored_table(frame_refs(pages).distinct(), "frame-refs")
+    urls = stored_table(refs.select("frame_url").distinct(), "frame-urls")
+    newest = rows_with_keys(lookup.select("url", "page_id"), "url", urls, most).groupBy(F.col("url").alias("frame_url")).agg(
+        F.max("page_id").alias("_frame_id"))
+    targets = stored_table(newest, "frame-targets")
+    html = rows_with_keys(lookup.select("page_id", "html"), "page_id", targets.select("_frame_id"), most).select(
+        F.col("page_id").alias("_frame_id"), F.col("html").alias("_frame_html"))
+    framed = pages.drop("html").join(refs, "page_id")
+    resolved = (framed.join(targets, "frame_url", "left").join(html, "_frame_id", "left")
                 .withColumn("html", F.coalesce(F.col("_frame_html"), F.lit(""))).drop("_frame_html", "_frame_id"))
+    no_url = F.lit(None).cast("string")
+    if few(refs, most):
+        own = pages.join(F.broadcast(refs.select("page_id")), "page_id", "left_anti").withColumn("frame_url", no_url)
+    else:      # too many to send: look again, rather than shuffle the html of all pages
+        own = pages.where(frame_url().isNull()).withColumn("frame_url", no_url)
     return own.unionByName(resolved)

@@ -189,3 +189,58 @@ def test_whole_tag_names_and_any_number_of_tags(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, html string").orderBy("i")
     assert df.select(HT.page_text("html")).first()[0] == "a\nb\nd"
     assert [r[0] for r in df.select(H.get_text_strip("html", " ")).collect()][1] == "x y"
+
+
+# -- frames without moving html (SC6) ------------------------------------------------------
+
+def test_frames_move_no_html_of_other_pages(spark, tmp_path):
+    n = 400
+    rows = [(i, f"https://a.de/{i}", f'<iframe src="/{i + 1}"></iframe>' if i % 40 == 0 else f"<p>{'own ' * 50}{i}</p>") for i in range(n)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "p"))
+    pages = spark.read.parquet(str(tmp_path / "p"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        results = {}
+        for most in (1_000_000, 0):
+            df = P.frame_resolve(pages, most=most).select("page_id", "frame_url", "html")
+            results[most] = sorted(map(tuple, df.collect()), key=str)
+            nodes = _exchange_rows(df)
+            assert any(moved for _, moved, _ in nodes), nodes
+            assert all(moved <= 40 for _, moved, cols in nodes if "html" in cols), nodes
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = [(i, f"https://a.de/{i + 1}" if i % 40 == 0 else None, rows[i + 1][2] if i % 40 == 0 else rows[i][2]) for i in range(n)]
+    assert results[1_000_000] == results[0] == sorted(want, key=str)
+
+
+def _exchange_rows(df):
+    """(node, rows written, columns) of every shuffle of an executed plan."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.startswith(("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage")):
+            return walk(node.plan())
+        if name == "Exchange":
+            written = node.metrics().apply("shuffleRecordsWritten").value()
+            found.append((name, written, node.output().mkString(",")))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_rows_with_keys_by_bitmaps_are_the_same_rows(spark):
+    from calforge.session import stored_table
+    from calforge.sources.lookup import rows_with_keys
+    df = spark.range(-3000, 3000).selectExpr("id", "concat('u', id % 977) AS url", "IF(id % 5 = 0, NULL, id) AS maybe")
+    for key, keys in (("id", "id * 7"), ("maybe", "id * 7"), ("url", "concat('u', id % 50)"), ("id", "CAST(NULL AS bigint)")):
+        wanted = stored_table(spark.range(500).selectExpr(f"{keys} AS k").distinct(), "keys")
+        want = sorted(r.id for r in df.join(wanted, df[key] == wanted["k"], "left_semi").collect())
+        for most in (10**6, 0):
+            assert sorted(r.id for r in rows_with_keys(df, key, wanted, most).collect()) == want, (key, most)
