@@ -1,14 +1,20 @@
-"""HTML -> text as regular-expression rewrites (JVM side, no parser per row).
+"""HTML -> text by expressions over a page's tokens (JVM side, no parser per row).
 
-The text of a page is its text nodes joined by '\\n'; removed elements, comments and
-tags therefore become line breaks. Subtrees are removed one tag name at a time,
-since RE2 (used by the oracle) has no backreference for a generic ``</\\1>``.
-Entities are decoded after tags are gone, '&amp;' last so '&amp;lt;' stays '&lt;'.
+A page is cut at its comments, raw elements (script, style) and tags; what stands between them
+are its text nodes, joined by '\\n' (so removed elements, comments and tags become line breaks).
+Noise elements end where a parser ends them: a fold over the tags keeps the open elements, an end
+tag closes the innermost open element of its name with everything inside it, one without an open
+element is ignored, and what is never closed runs to the end of the page. Pages without a noise
+element skip the fold. References are decoded last, each once.
+
+The ``*_sql`` helpers are the oracle's: plain patterns of their own for the flat, well-formed
+pages of the fixtures.
 """
 
 from __future__ import annotations
 
-from html.entities import html5, name2codepoint
+import zlib
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,8 +27,13 @@ NOISE_TAGS: tuple[str, ...] = ("script", "style", "nav", "footer", "header")
 CONTENT_NOISE_TAGS: tuple[str, ...] = ("script", "style", "nav", "footer", "header", "aside")
 VOID_NOISE_TAGS: tuple[str, ...] = ("meta", "link")
 
+# Elements that hold nothing, with the obsolete ones that parsers still know.
+VOID_TAGS: tuple[str, ...] = (
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
+    "basefont", "bgsound", "command", "frame", "image", "isindex", "keygen", "menuitem", "nextid", "spacer")
+
 # The references that occur in the oracle's tables ('&amp;' is applied last,
-# separately). The Spark side decodes every named and numeric reference (``_NAMED``).
+# separately). The Spark side decodes every named and numeric reference.
 ENTITIES: tuple[tuple[str, str], ...] = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#34;", '"'),
     ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"),
@@ -31,14 +42,23 @@ ENTITIES: tuple[tuple[str, str], ...] = (
     ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"),
 )
 
-# Every named reference of HTML 5 (the older, common names first: a lookup reads the map
-# in order), and the numbers that stand for windows-1252 bytes.
-_OLD = [n + ";" for n in name2codepoint]
-_NAMED = {n[:-1]: html5[n] for n in [*_OLD, *(n for n in html5 if n.endswith(";") and n not in set(_OLD))]}
-_NAMED |= {f"#{b}": bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)}
-_PAIR, _IS = "\u0002", "\u0003"
-_NAMED_TEXT = _PAIR.join(f"{k}{_IS}{v}" for k, v in _NAMED.items())
-REF_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Every named reference of HTML 5, dealt into buckets by a checksum of its name, so that a look-up
+# reads a few names; those that stand without a semicolon too, as one pattern, longest first.
+_BUCKETS, _ROW, _PAIR, _IS = 1024, "\u0002", "\u0004", "\u0003"
+
+
+def _bucketed(table: dict[str, str]) -> str:
+    rows: list[list[str]] = [[] for _ in range(_BUCKETS)]
+    for name, value in table.items():
+        rows[zlib.crc32(name.encode()) % _BUCKETS].append(f"{name}{_IS}{value}")
+    return _ROW.join(_PAIR.join(r) for r in rows)
+
+
+_NAMED_TEXT = _bucketed(html5)
+_BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+# Numbers that stand for windows-1252 bytes, and those that stand for nothing.
+_BYTES_TEXT = _PAIR.join(f"{b}{_IS}{bytes([b]).decode('cp1252', 'ignore') or chr(b)}" for b in range(128, 160))
+REF_RE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 COMMENT_RE = r"(?s)<!--.*?-->"
 # The attributes of a tag: a quoted value is read whole, so a '>' inside it ends nothing.
@@ -48,6 +68,9 @@ TAG_RE = rf"<[a-zA-Z/!?]{ATTRS}>"
 _VALUE = r"(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27|[^\s>\x22\x27]*+)"
 # Elements whose content is no markup: left open, they run to the end of the page.
 RAW_TAGS = ("script", "style")
+RAW_RE = rf"<({'|'.join(RAW_TAGS)})(?:[\s/]{ATTRS})?>.*?(?:</\1\s*+>|\z)"
+# Whatever is no text node: a comment, a raw element with its content, a tag.
+TOKEN_RE = rf"(?is)<!--.*?-->|{RAW_RE}|{TAG_RE}"
 
 
 def _c(col) -> Column:
@@ -64,61 +87,137 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def block_re(tag: str) -> str:
-    end = r"(?:</{0}\s*>|\z)" if tag in RAW_TAGS else r"</{0}\s*>"
-    return rf"(?is)<{tag}(?:[\s/]{ATTRS})?>.*?" + end.format(tag)
+# -- expressions as text -------------------------------------------------------------
+# The larger expressions are written as SQL text: one call to the JVM instead of one for each
+# of some hundred nodes, which had been most of a small query's time.
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def bind(value: str, name: str, body: str) -> str:
+    """``let`` in SQL text: ``name`` stands for ``value`` in ``body``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def applied(col, name: str, body: str) -> Column:
+    """``body`` with ``name`` standing for a column."""
+    return F.get(F.call_function("transform", F.array(_c(col)), F.expr(f"{name} -> {body}")), 0)
+
+
+def _one_of(name: str, values) -> str:
+    return f"{name} IN ({', '.join(quoted(v) for v in values)})"
+
+
+# -- noise elements ------------------------------------------------------------------
+
+_TOKENS = f"regexp_extract_all(h, {quoted(TOKEN_RE)}, 0)"
+_NODES = f"split(h, {quoted(TOKEN_RE)}, -1)"
+
 
+def _steps() -> str:
+    """What each of ``tags`` does to the open elements: 'x' opens, '/x' closes, '' does nothing."""
+    name = f"lower(regexp_extract(tag, {quoted(r'\A<(/?[a-zA-Z][^\s/>]*)')}, 1))"
+    nothing = f"{_one_of('n', (*RAW_TAGS, *VOID_TAGS))} OR (endswith(tag, '/>') AND NOT startswith(n, '/'))"
+    plain = bind(name, "n", f"IF({nothing}, '', regexp_replace(n, {quoted(r'[^\x21-\x7e]')}, '?'))")
+    return f"transform(tags, tag -> IF(startswith(tag, '<!') OR startswith(tag, '<?'), '', {plain}))"
 
-def void_re(tags) -> str:
-    return rf"(?is)<({'|'.join(tags)})(?:[\s/]{ATTRS})?>"
+
+def noise_cuts(noise) -> str:
+    """Noise elements of a page as ranges of its tokens ``tags``: ``(lo, hi, last)`` opens at token
+    ``lo``; the text nodes lo+1..hi and the tokens lo..last are inside. The open elements are one
+    string of names ('/html/body/'), so that closing is a search from its end."""
+    kinds = tuple(t for t in noise if t not in RAW_TAGS)
+
+    def state(open_, size, at, lo, cuts, i="a.i + 1"):
+        return f"named_struct('open', {open_}, 'size', {size}, 'at', {at}, 'lo', {lo}, 'cuts', {cuts}, 'i', {i})"
+
+    def cut(last):
+        return f"array_append(a.cuts, named_struct('lo', a.lo, 'hi', a.i, 'last', {last}))"
+
+    zero = state("'/'", "1", "-1", "0", "CAST(array() AS array<struct<lo:int,hi:int,last:int>>)", "0")
+    idle = state("a.open", "a.size", "a.at", "a.lo", "a.cuts")
+    begins = f"a.at < 0 AND {_one_of('n', kinds)}"
+    opened = state("concat(a.open, n, '/')", "a.size + octet_length(n) + 1", f"IF({begins}, a.size, a.at)", f"IF({begins}, a.i, a.lo)", "a.cuts")
+    # size of the names that stay open; as it was if none of this name is
+    inner = "octet_length(substring_index(a.open, concat(n, '/'), -1))"
+    left = bind(inner, "k", "IF(k = a.size, a.size, a.size - k - octet_length(n))")
+    ends = "a.at >= 0 AND z <= a.at"
+    closed = bind(left, "z", state("IF(z = a.size, a.open, substring(a.open, 1, z))", "z", f"IF({ends}, -1, a.at)", "a.lo",
+                                   f"IF({ends}, {cut('IF(z = a.at, a.i, a.i - 1)')}, a.cuts)"))
+    # a noise element that stays open takes the rest
+    return (f"aggregate({_steps()}, {zero}, (a, n) -> CASE WHEN n = '' THEN {idle} WHEN startswith(n, '/') THEN {closed} ELSE {opened} END, "
+            f"a -> IF(a.at >= 0, {cut('a.i')}, a.cuts))")
+
+
+def _has(noise) -> str:
+    """A page with an element that the fold must follow."""
+    return rf"(?i)<(?:{'|'.join(t for t in noise if t not in RAW_TAGS)})[\s/>]"
 
 
 def strip_blocks(col, tags=NOISE_TAGS, void_tags=()) -> Column:
-    c = _c(col)
-    for tag in tags:
-        c = F.regexp_replace(c, block_re(tag), "\n")
-    if void_tags:
-        c = F.regexp_replace(c, void_re(void_tags), "\n")
-    return c
+    """The page without its noise elements, each of them a line break."""
+    any_of = _has((*(t for t in tags if t not in RAW_TAGS), *void_tags)) + rf"|(?i)<(?:{'|'.join(RAW_TAGS)})[\s/>]"
+    gone = rf"(?i)\A<(?:{'|'.join((*RAW_TAGS, *void_tags))})[\s/>]"
+    after = (f"CASE WHEN exists(cuts, c -> i = c.lo) THEN '\\n' WHEN exists(cuts, c -> i > c.lo AND i <= c.last) THEN '' "
+             f"WHEN rlike(get(tags, i), {quoted(gone)}) THEN '\\n' ELSE coalesce(get(tags, i), '') END")
+    part = f"concat(IF(exists(cuts, c -> i > c.lo AND i <= c.hi), '', node), {after})"
+    rebuilt = bind(noise_cuts(tags), "cuts", f"array_join(transform({_NODES}, (node, i) -> {part}), '')")
+    return applied(col, "h", f"IF(rlike(h, {quoted(any_of)}), {bind(_TOKENS, 'tags', rebuilt)}, h)")
+
+
+def text_nodes(col, noise=NOISE_TAGS) -> Column:
+    """Text nodes outside noise elements, joined by line breaks, references decoded."""
+    nodes = f"array_join(filter({_NODES}, (node, i) -> NOT exists(cuts, c -> i > c.lo AND i <= c.hi)), '\\n')"
+    outside = bind(_TOKENS, "tags", bind(noise_cuts(noise), "cuts", nodes))
+    flat = f"regexp_replace(h, {quoted(TOKEN_RE)}, '\\n')"
+    return decode_entities(applied(col, "h", f"IF(rlike(h, {quoted(_has(noise))}), {outside}, {flat})"))
 
 
 def strip_blocks_sql(expr: str, tags=NOISE_TAGS, void_tags=()) -> str:
     for tag in tags:
-        expr = f"regexp_replace({expr}, '{re2(block_re(tag))}', chr(10), 'g')"
-    if void_tags:
-        expr = f"regexp_replace({expr}, '{re2(void_re(void_tags))}', chr(10), 'g')"
+        expr = f"regexp_replace({expr}, '(?is)<{tag}(\\s[^>]*)?>.*?</{tag}>', chr(10), 'g')"
+    for tag in void_tags:
+        expr = f"regexp_replace({expr}, '(?i)<{tag}(\\s[^>]*)?>', chr(10), 'g')"
     return expr
 
 
-def _character(ref: Column) -> Column:
-    """The character of the text between '&' and ';'; unknown names stay as they are."""
-    number = F.when(ref.rlike(r"\A#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(
-        F.substring(ref, 2, 8)).try_cast("int")
+# -- references ----------------------------------------------------------------------
 
-    def numeric(n):
-        code = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-        good = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-        return F.coalesce(F.try_element_at(named, F.concat(F.lit("#"), n.cast("string"))),
-                          F.when(good, code).otherwise(F.lit("\ufffd")))
+def _character() -> str:
+    """What stands for ``ref``, the text behind '&' (semicolon included, if there is one); a name
+    that only begins with a known one keeps its rest, an unknown name stays as it is."""
+    pair, is_ = quoted(_PAIR), quoted(_IS)
 
-    named = F.str_to_map(F.lit(_NAMED_TEXT), F.lit(_PAIR), F.lit(_IS))
-    return F.when(ref.startswith("#"), let(number, numeric)).otherwise(
-        F.coalesce(F.try_element_at(named, ref), F.concat(F.lit("&"), ref, F.lit(";"))))
+    def named(name):
+        bucket = f"get(split({quoted(_NAMED_TEXT)}, {quoted(_ROW)}), CAST(pmod(crc32(CAST({name} AS binary)), {_BUCKETS}) AS int))"
+        return f"try_element_at(str_to_map({bucket}, {pair}, {is_}), {name})"
+
+    begun = bind(f"regexp_extract(ref, {quoted(rf'\A(?:{_BARE})')}, 0)", "known",
+                 f"IF(known <> '', concat({named('known')}, substring(ref, length(known) + 1)), concat('&', ref))")
+    digits = "substring(ltrim('0', substring(rtrim(';', ref), {0})), 1, 8)"
+    number = f"try_cast(IF(rlike(ref, '^#[xX]'), conv({digits.format(3)}, 16, 10), {digits.format(2)}) AS bigint)"
+    byte = f"try_element_at(str_to_map({quoted(_BYTES_TEXT)}, {pair}, {is_}), CAST(n AS string))"
+    bad = "n IS NULL OR n = 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111"
+    nothing = "(n BETWEEN 1 AND 31 AND n NOT IN (9, 10, 12, 13)) OR n = 127 OR n BETWEEN 64976 AND 65007 OR pmod(n, 65536) >= 65534"
+    code = "decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32')"
+    numeric = bind(number, "n", f"CASE WHEN {bad} THEN '\ufffd' WHEN n BETWEEN 128 AND 159 THEN {byte} WHEN {nothing} THEN '' ELSE {code} END")
+    return f"IF(startswith(ref, '#'), {numeric}, coalesce({named('ref')}, {begun}))"
+
+
+_DECODED = (f"array_join(zip_with(split(s, {quoted(REF_RE)}), regexp_extract_all(s, {quoted(REF_RE)}, 1), "
+            f"(text, ref) -> concat(text, coalesce({_character()}, ''))), '')")
 
 
 def decode_entities(col) -> Column:
     """All named and numeric character references, each read once (so '&amp;lt;' gives
-    '&lt;'); text without '&' is left alone."""
-    def decoded(s):
-        parts = F.zip_with(F.split(s, REF_RE), F.regexp_extract_all(s, F.lit(REF_RE), F.lit(1)),
-                           lambda text, ref: F.concat(text, F.coalesce(_character(ref), F.lit(""))))
-        return F.array_join(parts, "")
-
-    return let(_c(col), lambda s: F.when(s.contains("&"), decoded(s)).otherwise(s))
+    '&lt;'), with or without their semicolon; text without '&' is left alone."""
+    return applied(col, "s", f"IF(contains(s, '&'), {_DECODED}, s)")
 
 
 def _sql_lit(s: str) -> str:
-    if s in (" ",) or not s.isascii():
+    if s in (" ",) or not s.isascii():
         return f"chr({ord(s)})" if len(s) == 1 else "'" + s.replace("'", "''") + "'"
     return "'" + s.replace("'", "''") + "'"
 
@@ -137,8 +236,8 @@ def tags_to_breaks(col) -> Column:
 
 
 def tags_to_breaks_sql(expr: str) -> str:
-    expr = f"regexp_replace({expr}, '{COMMENT_RE}', chr(10), 'g')"
-    expr = f"regexp_replace({expr}, '{re2(TAG_RE)}', chr(10), 'g')"
+    expr = f"regexp_replace({expr}, '(?s)<!--.*?-->', chr(10), 'g')"
+    expr = f"regexp_replace({expr}, '<[a-zA-Z/!?][^>]*>', chr(10), 'g')"
     return decode_entities_sql(expr)
 
 
@@ -197,25 +296,13 @@ def inner_of_rest(rest: Column, tag: str) -> Column:
     (state: depth, index) finds the piece where the depth returns to 0; the element is
     everything before it. An element that is never closed runs to the end, as a DOM parser
     closes it at the end of the document. Without nesting the first piece is the answer."""
-    def fold(pieces):
-        zero = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("i"), F.lit(-1).alias("end"))
-
-        def step(acc, piece):
-            depth = (F.when(acc["end"] >= 0, acc["depth"])
-                      .when(piece.rlike(rf"(?i)\A</{tag}\s*>"), acc["depth"] - 1)
-                      .when(piece.rlike(rf"(?i)\A<{tag}[\s/>]"), acc["depth"] + 1)
-                      .otherwise(acc["depth"]))
-            end = F.when((acc["end"] < 0) & (depth == 0), acc["i"]).otherwise(acc["end"])
-            return F.struct(depth.alias("depth"), (acc["i"] + 1).alias("i"), end.alias("end"))
-
-        end = F.aggregate(pieces, zero, step)["end"]
-        return F.array_join(F.when(end >= 0, F.slice(pieces, 1, end)).otherwise(pieces), "")
-
-    def inner(pieces):
-        flat = F.get(pieces, 1).startswith("</") & ~F.get(pieces, 0).rlike(rf"(?i)\A</?{tag}[\s/>]")
-        return F.when(flat, F.get(pieces, 0)).otherwise(fold(pieces))
-
-    return let(F.split(rest, rf"(?i)(?=<{tag}[\s/>])|(?=</{tag}\s*>)"), inner)
+    close, open_ = quoted(rf"(?i)\A</{tag}\s*>"), quoted(rf"(?i)\A<{tag}[\s/>]")
+    step = bind(f"CASE WHEN a.done >= 0 THEN a.depth WHEN rlike(piece, {close}) THEN a.depth - 1 WHEN rlike(piece, {open_}) THEN a.depth + 1 "
+                "ELSE a.depth END", "d", "named_struct('depth', d, 'i', a.i + 1, 'done', IF(a.done < 0 AND d = 0, a.i, a.done))")
+    folded = f"aggregate(pieces, named_struct('depth', 1, 'i', 0, 'done', -1), (a, piece) -> {step}, a -> a.done)"
+    nested = bind(folded, "done", "array_join(IF(done >= 0, slice(pieces, 1, done), pieces), '')")
+    flat = f"startswith(get(pieces, 1), '</') AND NOT rlike(get(pieces, 0), {quoted(rf'(?i)\A</?{tag}[\s/>]')})"
+    return applied(F.split(rest, rf"(?i)(?=<{tag}[\s/>])|(?=</{tag}\s*>)"), "pieces", f"IF({flat}, get(pieces, 0), {nested})")
 
 
 def inner_html(col, tag: str, start: str) -> Column:
@@ -251,8 +338,8 @@ def get_text_strip(col, sep: str = "") -> Column:
 
 def get_text_strip_sql(expr: str, sep: str = "") -> str:
     node = "chr(1)"
-    expr = f"regexp_replace({expr}, '{COMMENT_RE}', {node}, 'g')"
-    expr = f"regexp_replace({expr}, '{re2(TAG_RE)}', {node}, 'g')"
+    expr = f"regexp_replace({expr}, '(?s)<!--.*?-->', {node}, 'g')"
+    expr = f"regexp_replace({expr}, '<[a-zA-Z/!?][^>]*>', {node}, 'g')"
     expr = decode_entities_sql(expr)
     expr = f"regexp_replace({expr}, '({WS}*\\x{{01}})+{WS}*', {node}, 'g')"
     expr = ustrip_sql(f"regexp_replace({ustrip_sql(expr)}, '\\A\\x{{01}}+|\\x{{01}}+\\z', '', 'g')")

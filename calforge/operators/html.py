@@ -25,7 +25,8 @@ def _c(col) -> Column:
 # -- H1/H2/H3/H4 ---------------------------------------------------------------------
 
 def strip_blocks(col, tags=H.NOISE_TAGS, void_tags=()) -> Column:
-    """H1: drop whole noise subtrees (each becomes a line break)."""
+    """H1: drop whole noise subtrees, nested and unclosed ones as a parser ends them (each
+    becomes a line break)."""
     return H.strip_blocks(_c(col), tags, void_tags)
 
 
@@ -40,8 +41,8 @@ def text_normalise(col, split_double_space: bool = True) -> Column:
 
 
 def page_text(col) -> Column:
-    """H4 = H3 . H2 . H1; NULL/'' html -> ''."""
-    return text_normalise(html_to_text(strip_blocks(F.coalesce(_c(col), F.lit("")))))
+    """H4 = H3 . H2 . H1 in one pass over the page's tokens; NULL/'' html -> ''."""
+    return text_normalise(H.text_nodes(F.coalesce(_c(col), F.lit(""))))
 
 
 def page_text_sql(expr: str) -> str:
@@ -108,8 +109,7 @@ def content_text_sql(expr: str, elements=CONTENT_ELEMENTS) -> str:
 def content_lines(col, elements=CONTENT_ELEMENTS) -> Column:
     """Content-node profile before the repeat collapse (stripped, non-empty lines)."""
     c = main_content(F.coalesce(_c(col), F.lit("")), elements)
-    c = strip_blocks(c, H.CONTENT_NOISE_TAGS, H.VOID_NOISE_TAGS)
-    return text_normalise(html_to_text(c), split_double_space=False)
+    return text_normalise(H.text_nodes(c, H.CONTENT_NOISE_TAGS), split_double_space=False)
 
 
 def with_page_text(df: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -1,6 +1,9 @@
 """Pages as sites write them: any quoting, '>' in attributes, nesting, comments, references."""
 
 import html as stdlib_html
+import html.entities
+import random
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
@@ -90,3 +93,91 @@ def test_pages_of_very_many_tags_and_attributes(spark):
     assert each(spark, [many], lambda c: H.get_text_strip(c)) == ["x"]
     got = each(spark, [wide, deep], HT.main_content)
     assert got[0] == "y" and got[1].count("<div>") == 5_000 and got[1].endswith("</div>")
+
+
+# -- noise elements end where a parser ends them -------------------------------------------
+
+class OpenElements(HTMLParser):
+    """Text nodes outside noise elements, by the open elements of the standard parser."""
+
+    def __init__(self, noise):
+        super().__init__()
+        self.noise, self.open, self.nodes, self.run = noise, [], [], ""
+
+    def end_node(self):
+        if not any(n in self.noise for n in self.open) and self.run:
+            self.nodes.append(self.run)
+        self.run = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.end_node()
+        if tag not in H.VOID_TAGS:
+            self.open.append(tag)
+
+    def handle_startendtag(self, tag, attrs):
+        self.end_node()
+
+    def handle_endtag(self, tag):
+        self.end_node()
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+
+    def handle_data(self, data):
+        self.run += data
+
+    def handle_comment(self, data):
+        self.end_node()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+
+def lines_by_parser(page, noise=H.NOISE_TAGS):
+    p = OpenElements(noise)
+    p.feed(page)
+    p.close()
+    p.end_node()
+    pieces = [x.strip() for line in "\n".join(p.nodes).splitlines() for x in line.strip().split("  ")]
+    return "\n".join(x for x in pieces if x)
+
+
+def random_page(rng):
+    names = ["nav", "header", "footer", "aside", "div", "p", "ul", "li", "b", "NAV", "nav-item", "br", "img", "x:y"]
+    parts = []
+    for i in range(rng.randint(1, 40)):
+        name = rng.choice(names)
+        parts.append(rng.choice([
+            f"<{name}>", f"<{name}>", f"</{name}>", f"</{name} >", f"<{name} class='a>b' x>", f'<{name} title="</nav>">', f"<{name}/>",
+            f"t{i}", f" t{i}  u ", "&amp;", "&copy 2026", "&notit;", "5 < 6", "<!-- <nav> -->", "<!DOCTYPE html>",
+            "<script>'</nav>'</script>", "<style>p</style>", "</ >", "\n"]))
+    return "".join(parts)
+
+
+def test_nested_and_unclosed_noise_as_the_standard_parser_reads_it(spark):
+    cases = ["<nav>x<nav>y</nav>LEAK</nav>z", "<div><header>a</div>b", "a<nav>b", "</nav>a<nav></div>b</nav>c", "<p><nav><p>a</nav>b</p>c",
+             "<nav/>a", "<div><nav><div></div></div>a</nav>b", "<header><nav>a</header>b</nav>c", "<nav><br></br>a</nav>b", ""]
+    rng = random.Random(11)
+    cases += [random_page(rng) for _ in range(400)]
+    assert each(spark, cases, HT.page_text) == [lines_by_parser(c) for c in cases]
+    wider = [c.replace("  ", " ") for c in cases]
+    assert each(spark, wider, lambda c: HT.text_normalise(H.text_nodes(c, H.CONTENT_NOISE_TAGS))) == [
+        lines_by_parser(c, H.CONTENT_NOISE_TAGS) for c in wider]
+    # the page without its noise reads like the page
+    assert each(spark, cases, lambda c: HT.text_normalise(HT.html_to_text(HT.strip_blocks(c)))) == [lines_by_parser(c) for c in cases]
+
+
+def test_stripped_pages(spark):
+    cases = {"a<nav>x<nav>y</nav>z</nav>b": "a\nb", "<p>a<script>1</script>b</p>": "<p>a\nb</p>", "<div><footer>a</div>b": "<div>\n</div>b",
+             "<p>none</p>": "<p>none</p>", "a<style>b": "a\n", "x<header>y": "x\n"}
+    assert each(spark, cases, HT.strip_blocks) == list(cases.values())
+    assert each(spark, ["a<meta x>b<nav>c</nav>"], lambda c: HT.strip_blocks(c, H.CONTENT_NOISE_TAGS, H.VOID_NOISE_TAGS)) == ["a\nb\n"]
+    assert each(spark, [None], HT.strip_blocks) == [None]
+
+
+def test_references_without_a_semicolon(spark):
+    cases = ["&copy 2026", "&amp Co", "&copy2026", "&notit; &notin; &notinva", "&AMP&lt&gt", "&a &ampersand; &xyz &", "&#65 &#x41g &#65;", "&#0065 &#00000000000000000065;",
+             "&#99999999999999999999;", "&#x110000 &#xFFFE &#1; &#12; &#13; &#127; &#129;", "&" + "a" * 40 + ";", "&Auml" * 5, "&frac12 &frac1", "&#x;&#;&;&&amp;"]
+    rng = random.Random(3)
+    names = list(stdlib_html.entities.html5)
+    cases += ["&" + rng.choice(names)[:rng.randint(2, 9)] + rng.choice(["", ";", " ", "x", "="]) for _ in range(600)]
+    assert each(spark, cases, H.decode_entities) == [stdlib_html.unescape(c) for c in cases]
