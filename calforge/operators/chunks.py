@@ -52,8 +52,9 @@ def _starts(lines: Column, max_chars: int) -> Column:
     return F.concat(F.array(F.lit(0)), F.aggregate(costs, zero, step)["starts"])
 
 
-def chunk_lines(df: DataFrame, text_col: str = "text", keep=None, max_chars: int = MAX_CHARS) -> DataFrame:
-    """One row per chunk: ``chunk_idx`` (0-based order) and ``chunk``.
+def chunk_lines(df: DataFrame, text_col: str = "text", keep=None, max_chars: int = MAX_CHARS, halo: int = 0) -> DataFrame:
+    """One row per chunk: ``chunk_idx`` (0-based order) and ``chunk``. With ``halo`` also
+    ``before`` and ``after``: up to so many lines of the text on either side of the chunk.
 
     Three projections so every array is computed once per row: the lines, the chunk
     starts (fold), then each chunk as ``slice`` of the lines between two starts."""
@@ -62,10 +63,21 @@ def chunk_lines(df: DataFrame, text_col: str = "text", keep=None, max_chars: int
     step1 = df.select(*keep, t.alias("_t"), F.split(t, "\n").alias("_lines"))
     step2 = step1.select(*keep, "_t", "_lines", _starts(F.col("_lines"), max_chars).alias("_starts"))
     ends = F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts") - 1, F.lit(0))), F.array(F.size("_lines")))
-    pieces = F.zip_with("_starts", ends,
-                        lambda s, e: F.array_join(F.slice(F.col("_lines"), s + 1, e - s), "\n"))
-    chunks = F.when(F.length("_t") <= max_chars, F.array("_t")).otherwise(pieces)
-    return step2.select(*keep, F.posexplode(chunks).alias("chunk_idx", "chunk"))
+    if not halo:
+        pieces = F.zip_with("_starts", ends, lambda s, e: F.array_join(F.slice(F.col("_lines"), s + 1, e - s), "\n"))
+        chunks = F.when(F.length("_t") <= max_chars, F.array("_t")).otherwise(pieces)
+        return step2.select(*keep, F.posexplode(chunks).alias("chunk_idx", "chunk"))
+
+    def piece(s, e):
+        first = F.greatest(s - halo, F.lit(0))
+        return F.struct(F.array_join(F.slice(F.col("_lines"), s + 1, e - s), "\n").alias("chunk"),
+                        F.slice(F.col("_lines"), first + 1, s - first).alias("before"),
+                        F.slice(F.col("_lines"), e + 1, F.lit(halo)).alias("after"))
+
+    none = F.array().cast("array<string>")
+    whole = F.array(F.struct(F.col("_t").alias("chunk"), none.alias("before"), none.alias("after")))
+    chunks = F.when(F.length("_t") <= max_chars, whole).otherwise(F.zip_with("_starts", ends, piece))
+    return step2.select(*keep, F.posexplode(chunks).alias("chunk_idx", "_p")).select(*keep, "chunk_idx", "_p.*")
 
 
 def chunk_lines_sql(source_sql: str, key: str, text: str = "text", max_chars: int = MAX_CHARS) -> str:
@@ -88,6 +100,22 @@ UNION ALL
 SELECT k AS {key}, 0 AS chunk_idx, t AS chunk FROM src WHERE length(t) <= {max_chars}"""
 
 
+def chunked_lines_sql(source_sql: str, key: str, text: str = "text", max_chars: int = MAX_CHARS) -> str:
+    """Oracle: every line of every text with the chunk it falls into."""
+    return f"""
+WITH RECURSIVE src AS (SELECT {key} AS k, string_split(coalesce({text}, ''), chr(10)) AS parts,
+                              length(coalesce({text}, '')) > {max_chars} AS long FROM ({source_sql}) s0),
+ln AS (SELECT k, long, generate_subscripts(parts, 1) AS line_no, unnest(parts) AS line FROM src),
+r AS (
+  SELECT k, line_no, length(line) + 1 AS size, 0 AS chunk_idx FROM ln WHERE line_no = 1
+  UNION ALL
+  SELECT ln.k, ln.line_no,
+         CASE WHEN long AND r.size + length(ln.line) + 1 > {max_chars} THEN length(ln.line) + 1 ELSE r.size + length(ln.line) + 1 END,
+         CASE WHEN long AND r.size + length(ln.line) + 1 > {max_chars} THEN r.chunk_idx + 1 ELSE r.chunk_idx END
+  FROM r JOIN ln ON ln.k = r.k AND ln.line_no = r.line_no + 1)
+SELECT k AS {key}, line_no, line, chunk_idx FROM r JOIN ln USING (k, line_no)"""
+
+
 def chunk_preview(chunk, n: int = PREVIEW_CHARS) -> Column:
     """First ``n`` characters with line breaks shown as blanks."""
     return F.replace(F.substring(_c(chunk), 1, n), F.lit("\n"), F.lit(" "))

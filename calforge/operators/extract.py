@@ -5,7 +5,7 @@ Two interchangeable stages produce the same candidate-event columns:
 * ``extract_native``: the default, with no model and no Python worker. It reads the
   rigid line formats the listing profiles write (card lines
   ``Event: t | Datum: d | Ort: v`` and 4-line item blocks) and, in any other text, the lines
-  that hold a date, with regexes over the chunk's lines. Dates ``dd.mm.yyyy`` / ``dd.mm.`` / ``yyyy-mm-dd`` become ISO text.
+  that hold a date, by the grammar of ``functions.date_lines``. Dates become ISO text.
 * ``extract_with``: a plug-in ``Extractor`` (e.g. a model client) called per chunk
   from ``mapInPandas`` in Arrow batches; its JSON answers go through
   ``parse_event_json`` with the all-or-nothing rule: one invalid event or broken JSON
@@ -21,7 +21,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calforge.functions.html import let
+from calforge.functions import date_lines as D
+from calforge.functions import html as H
 
 # Defaults stated by the extraction rules.
 DEFAULT_YEAR = 2026
@@ -31,20 +32,14 @@ UNKNOWN_PLACES = ("Unbekannter Ort", "Unknown Location")
 CARD_LINE_RE = r"\AEvent: (.*) \| Datum: (.*) \| Ort: (.*)\z"
 BLOCK_HEAD_RE = r"\AEvent: (.*)\z"
 BLOCK_LABELS = ("Event: ", "Date: ", "Time: ", "Location: ")
+#: Lines that an event may reach beyond its first one.
+HALO = len(BLOCK_LABELS) - 1
 
 # Boundaries are spelled as (^|[^0-9]) / ($|[^0-9]) groups: RE2 has no lookaround.
 DMY_RE = r"(^|[^0-9])([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})?"
 ISO_RE = r"(^|[^0-9])([0-9]{4})-([0-9]{2})-([0-9]{2})($|[^0-9])"
 HM_RE = r"(^|[^0-9])([0-9]{1,2}):([0-9]{2})($|[^0-9])"
 
-# A date within running text, with the weekday before it, and a time with its words.
-_DAY, _MONTH = "(?:0?[1-9]|[12][0-9]|3[01])", "(?:0?[1-9]|1[0-2])"
-_WEEKDAY = r"(?:mo(?:ntag)?|di(?:enstag)?|mi(?:ttwoch)?|do(?:nnerstag)?|fr(?:eitag)?|sa(?:mstag)?|so(?:nntag)?)"
-DATE_LINE_RE = (rf"(?i)(?:\b{_WEEKDAY}[.,]*\s*)?(?<![0-9.])"
-                rf"(?:{_DAY}\.{_MONTH}\.(?:(?![0-9])|[0-9]{{4}}(?![0-9.]*[0-9]))|"
-                rf"[0-9]{{4}}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9]))")
-TIME_WORDS_RE = r"(?i)(?:\b(?:um|ab|ca\.)\s+)?(?<![0-9])[0-9]{1,2}:[0-9]{2}(?![0-9])(?:\s*Uhr\b)?"
-SEPARATORS = " \t|,;:–—-·@/()"
 _CUT = "\u0001"
 
 
@@ -52,19 +47,14 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def iso_date(text, default_year: int = DEFAULT_YEAR) -> Column:
-    """First ISO or day.month[.year] date in a text, as YYYY-MM-DD; else the text."""
-    t = _c(text)
-
-    def dmy(m):   # the matched text: a boundary, day.month.[year]
-        parts = F.split(F.regexp_replace(m, r"\A[^0-9]", ""), r"\.")
-        year = F.when(F.get(parts, 2) == "", F.lit(str(default_year))).otherwise(F.get(parts, 2))
-        return F.when(m != "", F.format_string("%s-%02d-%02d", year, F.get(parts, 1).try_cast("int"),
-                                               F.get(parts, 0).try_cast("int"))).otherwise(t)
-
-    return let(F.regexp_extract(t, ISO_RE, 0), lambda m: F.when(
-        m != "", F.regexp_extract(m, "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)).otherwise(
-        let(F.regexp_extract(t, DMY_RE, 0), dmy)))
+def iso_date_expr(text: str, default_year: int = DEFAULT_YEAR) -> str:
+    """First ISO or day.month[.year] date in a text, as YYYY-MM-DD; else the text (SQL text)."""
+    year = f"IF(coalesce(get(dmy, 2), '') = '', '{default_year}', get(dmy, 2))"
+    parts = f"split(regexp_replace(m, {H.quoted(r'\A[^0-9]')}, ''), {H.quoted(r'\.')})"
+    dotted = H.bind(parts, "dmy", f"format_string('%s-%02d-%02d', {year}, try_cast(get(dmy, 1) AS int), try_cast(get(dmy, 0) AS int))")
+    dmy = H.bind(f"regexp_extract(t, {H.quoted(DMY_RE)}, 0)", "m", f"IF(m <> '', {dotted}, t)")
+    iso = H.bind(f"regexp_extract(t, {H.quoted(ISO_RE)}, 0)", "m", f"IF(m <> '', regexp_extract(m, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}', 0), {dmy})")
+    return H.bind(text, "t", iso)
 
 
 def iso_date_sql(expr: str, default_year: int = DEFAULT_YEAR) -> str:
@@ -77,10 +67,10 @@ def iso_date_sql(expr: str, default_year: int = DEFAULT_YEAR) -> str:
             f"WHEN regexp_matches({expr}, '{DMY_RE}') THEN {dmy} ELSE {expr} END")
 
 
-def hh_mm(text) -> Column:
-    """First H:MM in a text as HH:MM, else NULL."""
-    found = F.regexp_extract(F.regexp_extract(_c(text), HM_RE, 0), "[0-9]{1,2}:[0-9]{2}", 0)
-    return let(found, lambda m: F.when(m != "", F.lpad(m, 5, "0")))
+def hh_mm_expr(text: str) -> str:
+    """First H:MM in a text as HH:MM, else NULL (SQL text)."""
+    found = f"regexp_extract(regexp_extract({text}, {H.quoted(HM_RE)}, 0), '[0-9]{{1,2}}:[0-9]{{2}}', 0)"
+    return H.bind(found, "hm", "IF(hm <> '', lpad(hm, 5, '0'), CAST(NULL AS string))")
 
 
 def hh_mm_sql(expr: str) -> str:
@@ -96,61 +86,55 @@ def event_defaults(df: DataFrame, default_time: str = DEFAULT_TIME) -> DataFrame
               .withColumn("location", loc))
 
 
-def date_line_title(line: Column, next_line: Column) -> Column:
-    """What a date line says besides its date and time; a bare date takes the next line,
-    unless that one has a date of its own or ends the site."""
-    rest = F.regexp_replace(F.regexp_replace(line, DATE_LINE_RE, " "), TIME_WORDS_RE, " ")
-    usable = ~next_line.rlike(DATE_LINE_RE) & ~next_line.startswith("--- ")
-    return let(F.btrim(rest, F.lit(SEPARATORS)),
-               lambda bare: F.when(bare != "", bare).when(usable, next_line))
-
-
 def extract_native(chunks: DataFrame, default_year: int = DEFAULT_YEAR, default_time: str = DEFAULT_TIME,
                    keys=("source_rank", "source_name", "chunk_idx")) -> DataFrame:
     """X5 default stage: card lines, item blocks and other lines with a date -> candidate
     events, ``event_idx`` = position among the chunk's events (as in a model's answer).
-    A date without a year takes ``default_year``, an event of a date line happens at its
-    source. Every line is matched once against each pattern that may apply to it."""
-    with_lines = chunks.select(*keys, F.split(F.coalesce(F.col("chunk"), F.lit("")), "\n").alias("_lines"))
-    lines = F.col("_lines")
-    event, date, time, place = BLOCK_LABELS
-
-    def rec(title, date_text, time_text, location):
-        return F.struct(title.alias("title"), date_text.alias("date_text"), time_text.alias("time_text"),
-                        location.alias("location"))
-
-    def raw(line, i):  # the four text fields of one event, NULL for any other line
-        def near(n):
-            return F.get(lines, i + n)
-
-        def after(text, name):
-            return F.substring(text, len(name) + 1, 1 << 30)
-
-        card = F.when(line.startswith(event),
-                      F.split(F.regexp_replace(line, CARD_LINE_RE, f"$1{_CUT}$2{_CUT}$3"), _CUT))
-        block = (line.startswith(event) & near(1).startswith(date) & near(2).startswith(time)
-                 & near(3).startswith(place))
-        # lines of a block, also of one that the chunk's start or end cuts
-        in_block = F.lit(False)
-        for name, before in ((date, event), (time, date), (place, time)):
-            in_block = in_block | (line.startswith(name) & ((i == 0) | near(-1).startswith(before)))
-        in_block = F.coalesce(in_block, F.lit(False))
-        dated = line.rlike(DATE_LINE_RE) & ~line.startswith("--- ") & ~in_block
-        return let(card, lambda c: F.when(F.size(c) == 3, rec(F.get(c, 0), F.get(c, 1), F.get(c, 1), F.get(c, 2)))
-                   .when(block, rec(after(line, event), after(near(1), date), after(near(2), time),
-                                    after(near(3), place)))
-                   .when(dated, rec(date_line_title(line, near(1)), F.regexp_extract(line, DATE_LINE_RE, 0), line,
-                                    F.lit(""))))
-
-    def fields(r):  # normalised date/time from the raw texts (read as struct fields)
-        return F.struct(r["title"].alias("title"), iso_date(r["date_text"], default_year).alias("date_raw"),
-                        hh_mm(r["time_text"]).alias("time_raw"), r["location"].alias("location"))
-
-    # events only (the position after the filter is the event's index in the chunk);
+    Every date of a line, and every day of a range, is an event of its own; what the line
+    says besides is the title. A bare date takes the next line, unless that one has a date of
+    its own or ends the site. A date without a year takes ``default_year``, an event of a date
+    line happens at its source.
+
+    Chunks with the columns ``before`` and ``after`` (the neighbouring lines, see
+    ``chunk_lines(halo=)``) lose nothing at their ends: an event belongs to the chunk of its
+    first line and may read on behind it. Every line is matched once against the date grammar."""
+    halo = {"before", "after"} <= set(chunks.columns)
+    none = F.array().cast("array<string>")
+    with_lines = chunks.select(*keys, F.coalesce("before" if halo else none, none).alias("_before"),
+                               F.split(F.coalesce(F.col("chunk"), F.lit("")), "\n").alias("_own"),
+                               F.coalesce("after" if halo else none, none).alias("_after"))
+    event, date, time, place = (H.quoted(x) for x in BLOCK_LABELS)
+    cut = H.quoted(_CUT)
+
+    def near(n):
+        return f"get(ls, i + {n}).line" if n >= 0 else f"get(ls, i - {-n}).line"
+
+    def after(line, name):
+        return f"substring({line}, {len(name) + 1})"
+
+    def rec(title, day, clock, location):
+        return f"named_struct('title', {title}, 'date_raw', {day}, 'time_raw', {clock}, 'location', {location})"
+
+    card = (f"IF(startswith(l.line, {event}), split(regexp_replace(l.line, {H.quoted(CARD_LINE_RE)}, "
+            f"{H.quoted(f'$1{_CUT}$2{_CUT}$3')}), {cut}), CAST(NULL AS array<string>))")
+    block = f"startswith(l.line, {event}) AND startswith({near(1)}, {date}) AND startswith({near(2)}, {time}) AND startswith({near(3)}, {place})"
+    # lines of a block, also of one whose start is not here
+    inner = " OR ".join(f"(startswith(l.line, {H.quoted(name)}) AND (i = 0 OR startswith({near(-1)}, {H.quoted(first)})))"
+                        for name, first in zip(BLOCK_LABELS[1:], BLOCK_LABELS))
+    dated = f"{D.has_date('l.toks')} AND NOT startswith(l.line, '--- ') AND NOT coalesce({inner}, false)"
+    usable = f"NOT {D.has_date('get(ls, i + 1).toks')} AND NOT startswith({near(1)}, '--- ')"
+    title = H.bind(D.without_dates("l.line"), "bare", f"CASE WHEN bare <> '' THEN bare WHEN {usable} THEN {near(1)} END")
+    of_card = rec("get(c, 0)", f"{iso_date_expr('get(c, 1)', default_year)}", hh_mm_expr("get(c, 1)"), "get(c, 2)")
+    of_block = rec(after("l.line", BLOCK_LABELS[0]), iso_date_expr(after(near(1), BLOCK_LABELS[1]), default_year),
+                   hh_mm_expr(after(near(2), BLOCK_LABELS[2])), after(near(3), BLOCK_LABELS[3]))
+    of_dates = H.bind(title, "title", f"transform({D.occasions('l.toks', default_year)}, o -> {rec('title', 'o.day', 'o.time', chr(39) * 2)})")
+    none_here = "CAST(array() AS array<struct<title:string,date_raw:string,time_raw:string,location:string>>)"
+    found = H.bind(card, "c", f"CASE WHEN size(c) = 3 THEN array({of_card}) WHEN {block} THEN array({of_block}) WHEN {dated} THEN {of_dates} ELSE {none_here} END")
+    own = f"IF(i >= size(_before) AND i < size(_before) + size(_own), {found}, {none_here})"
+    lines = f"transform(concat(_before, _own, _after), line -> named_struct('line', line, 'toks', {D.tokens('line')}))"
     # all fields are computed inside the generator, so filters on them downstream
-    # (validation) cannot be pushed below it and re-run the regexes
-    evs = F.transform(F.filter(F.transform(lines, raw), lambda r: r.isNotNull()), fields)
-    ex = with_lines.select(*keys, F.posexplode(evs).alias("event_idx", "_e"))
+    # (validation) cannot be pushed below it and re-run the patterns
+    ex = with_lines.select(*keys, F.posexplode(F.expr(H.bind(lines, "ls", f"flatten(transform(ls, (l, i) -> {own}))"))).alias("event_idx", "_e"))
     out = ex.select(
         *keys, F.col("event_idx").cast("bigint").alias("event_idx"), "_e.title", "_e.date_raw", "_e.time_raw",
         "_e.location", F.col("_e.title").alias("category_raw"), F.lit("").alias("description"))

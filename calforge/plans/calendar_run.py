@@ -48,10 +48,10 @@ def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataF
     ``extractor``), attach each source's url (J4), and store the candidates."""
     texts = gather(registry, profiles, pages, override, listings) if texts is None else texts
     units = texts.select("source_rank", "source_name", F.col("page_id").alias("page"), "text")
-    chunks = G.units_to_chunks(units)
     if extractor is None:
-        cand = X.extract_native(chunks)
+        cand = X.extract_native(G.units_to_chunks(units, halo=X.HALO))
     else:
+        chunks = G.units_to_chunks(units)
         cand = X.event_defaults(X.parse_event_json(X.extract_with(chunks, extractor, KEYS), KEYS))
     return materialize(spark, E.provenance(cand, registry), "candidates", path)
 

@@ -13,8 +13,8 @@ from calforge.plans import calendar_run as RUN
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
 from calforge.plans.book import register
-from calforge.plans.catalog_text import (EXTRACT_SQL, GATHER_SQL, _card_pages, _card_text_sql, _extract_sql, _gathered,
-                                         _items_text_sql, as_long)
+from calforge.plans.catalog_text import (EXTRACT_SQL, GATHER_SQL, _card_pages, _card_text_sql, _extract_lines_sql, _extract_sql,
+                                         _gathered, _items_text_sql, _unit_lines_sql, as_long)
 from calforge.plans.plugins import LineFormatExtractor
 from calforge.plans.sqlparts import feed_cte, prepared_cte, with_cte
 from calforge.session import scratch_path
@@ -203,9 +203,7 @@ FROM (SELECT *, CAST(floor(event_id / {FX.DATED_PAGE_SIZE}) AS BIGINT) AS page F
 def _run_listing_sql(i: int, name: str, pages_sql: str, text_sql: str) -> str:
     units = (f"SELECT page, {C.site_envelope_sql(chr(39) + name + chr(39), 'text')} AS text "
              f"FROM (SELECT page, {text_sql} AS text FROM ({pages_sql}) p) q WHERE text <> ''")
-    chunks = (f"SELECT CAST({FX.RUN_RANK + i} AS BIGINT) AS source_rank, '{name}' AS source_name, "
-              f"page * {G.CHUNK_STRIDE} + chunk_idx AS chunk_idx, chunk FROM ({C.chunk_lines_sql(units, 'page')}) c")
-    return f"SELECT * FROM ({_extract_sql(chunks)}) e"
+    return f"SELECT * FROM ({_extract_lines_sql(_unit_lines_sql(units, f'CAST({FX.RUN_RANK + i} AS BIGINT)', chr(39) + name + chr(39)))}) e"
 
 
 RUN_CANDIDATES_SQL = " UNION ALL BY NAME ".join([

@@ -361,7 +361,28 @@ def as_long(df):
     return df.withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
 
 
+def _chunk_lines_sql(chunks_sql: str) -> str:
+    """Lines of chunks, each with the three that follow it in its chunk."""
+    return f"""
+SELECT source_rank, source_name, chunk_idx, pos, l[pos + 1] AS l0, l[pos + 2] AS l1, l[pos + 3] AS l2, l[pos + 4] AS l3
+FROM (SELECT *, string_split(coalesce(chunk, ''), chr(10)) AS l FROM ({chunks_sql}) c0) c1,
+     LATERAL (SELECT unnest(range(0, len(l))) AS pos) r"""
+
+
+def _unit_lines_sql(units_sql: str, rank: str, name: str) -> str:
+    """Lines of units ``(page, text)``, each with its chunk and the three that follow it in the unit."""
+    lead = ", ".join(f"lead(line, {n}) OVER (PARTITION BY page ORDER BY line_no) AS l{n}" for n in (1, 2, 3))
+    return f"""
+SELECT {rank} AS source_rank, {name} AS source_name, page * {G.CHUNK_STRIDE} + chunk_idx AS chunk_idx, line_no AS pos,
+       line AS l0, {lead}
+FROM ({C.chunked_lines_sql(units_sql, 'page')}) u"""
+
+
 def _extract_sql(chunks_sql: str) -> str:
+    return _extract_lines_sql(_chunk_lines_sql(chunks_sql))
+
+
+def _extract_lines_sql(lines_sql: str) -> str:
     card, head = X.CARD_LINE_RE, X.BLOCK_HEAD_RE
     title = f"CASE WHEN is_card THEN regexp_extract(l0, '{card}', 1) ELSE regexp_extract(l0, '{head}', 1) END"
     date_text = f"CASE WHEN is_card THEN regexp_extract(l0, '{card}', 2) ELSE substr(l1, 7) END"
@@ -383,10 +404,7 @@ FROM (
     SELECT *, regexp_matches(l0, '{card}') AS is_card,
            NOT regexp_matches(l0, '{card}') AND starts_with(l1, 'Date: ') AND starts_with(l2, 'Time: ')
              AND starts_with(l3, 'Location: ') AS is_block
-    FROM (SELECT source_rank, source_name, chunk_idx, pos, l[pos + 1] AS l0, l[pos + 2] AS l1, l[pos + 3] AS l2,
-                 l[pos + 4] AS l3
-          FROM (SELECT *, string_split(coalesce(chunk, ''), chr(10)) AS l FROM ({chunks_sql}) c0) c1,
-               LATERAL (SELECT unnest(range(0, len(l))) AS pos) r) x
+    FROM ({lines_sql}) x
     WHERE starts_with(l0, 'Event: ')) y
   WHERE is_card OR is_block) z"""
 
@@ -403,6 +421,27 @@ def q_extract_events(spark, sf):
     return _listing_candidates(spark, sf)
 
 
+def _item_units_sql(name: str) -> str:
+    return (f"SELECT page, {C.site_envelope_sql(chr(39) + name + chr(39), 'text')} AS text "
+            f"FROM (SELECT page, {_items_text_sql('html', chr(39) + name + chr(39))} AS text FROM ({FX.FX3_ITEMS_SQL}) p) q WHERE text <> ''")
+
+
+@register("item_block_events", _extract_lines_sql(_unit_lines_sql(_item_units_sql("listing"), "0", "'listing'")))
+def q_item_block_events(spark, sf):
+    """Item pages -> blocks -> chunks -> events: blocks cut by a chunk's end are read on."""
+    pages = FX.fx3_item_pages(spark, sf).selectExpr(*LISTING_SOURCE, "page", "html")
+    units = pages.select("source_rank", "source_name", "page", G.items_text("html", "source_name").alias("text"))
+    return as_long(X.extract_native(G.units_to_chunks(units, halo=X.HALO)))
+
+
+@register("date_grammar_events", FX.FX9_EVENTS_SQL)
+def q_date_grammar_events(spark, sf):
+    """Pages of written dates (month names, ranges, several dates a line) -> events."""
+    units = FX.fx9_written_dates(spark, sf).selectExpr(*LISTING_SOURCE, "page", "html")
+    units = units.select("source_rank", "source_name", "page", HT.page_text("html").alias("text"))
+    return X.extract_native(G.units_to_chunks(units, halo=X.HALO)).select("title", "date_raw", "time_raw")
+
+
 @register("event_defaults", f"""
 SELECT event_id, coalesce(time_raw, '20:00') AS time_raw,
        CASE WHEN coalesce(location, '') = '' THEN source_name ELSE location END AS location FROM ({FX.FX4_SQL}) c""")

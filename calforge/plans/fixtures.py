@@ -279,6 +279,48 @@ def fx7_dated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page", F.concat(F.lit("<html><body><main>"), F.col("body"), F.lit("</main></body></html>")).alias("html")))
 
 
+# ---------------------------------------------------------------- FX9 pages of written dates
+
+_MONTH_NAMES = ("Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember")
+
+
+def fx9_written_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line for each ``events`` row as people write dates, 50 to a page: eight forms by
+    ``event_id % 8``. The day is ts + user_id % 300 days; ranges end ``event_id % 5`` days later."""
+    ev = table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"{FX7_TITLE} AS title", "hour(ts) AS h", "minute(ts) AS mi", "date_add(CAST(ts AS date), CAST(user_id % 300 AS int)) AS a")
+    ev = ev.withColumn("b", F.expr("date_add(a, CAST(event_id % 5 + 1 AS int))")).withColumn("c", F.expr("date_add(a, 7)"))
+    names = "array(" + ", ".join(f"'{m}'" for m in _MONTH_NAMES) + ")"
+    name = f"element_at({names}, month({{0}}))"
+    line = F.expr(f"""CASE event_id % 8
+      WHEN 0 THEN concat(day(a), '. ', {name.format('a')}, ' ', year(a), ' um ', h, ' Uhr | ', title)
+      WHEN 1 THEN concat(title, ', ', date_format(a, 'dd/MM/yyyy'))
+      WHEN 2 THEN concat(date_format(a, 'd.M.yyyy'), ' ', h, '.', lpad(mi, 2, '0'), ' Uhr ', title)
+      WHEN 3 THEN concat(title, ' ', date_format(a, 'dd.MM.'), ' - ', date_format(b, 'dd.MM.yyyy'))
+      WHEN 4 THEN concat(title, ' ', day(a), '.', IF(month(a) = month(b), '', concat(' ', {name.format('a')})), ' bis ', day(b), '. ',
+                         {name.format('b')}, ' ', year(b))
+      WHEN 5 THEN concat(date_format(a, 'd.M.'), ' 19 Uhr / ', date_format(c, 'd.M.'), ' 18:30 Uhr ', title)
+      WHEN 6 THEN concat('Sa, ', day(a), '. ', substring({name.format('a')}, 1, 3), '</p><p>', title)
+      ELSE concat(a, ' bis ', b, ': ', title) END""")
+    body = F.expr("listagg(element, '') WITHIN GROUP (ORDER BY event_id)")
+    elems = ev.select("event_id", F.floor(F.col("event_id") / DATED_PAGE_SIZE).cast("bigint").alias("page"),
+                      F.concat(F.lit("<p>"), line, F.lit("</p>")).alias("element"))
+    return (elems.groupBy("page").agg(body.alias("body"))
+            .select("page", F.concat(F.lit("<html><body><nav>1.1.2030<p></nav>"), F.col("body"), F.lit("</body></html>")).alias("html")))
+
+
+# what a reader finds there: no year in forms 5 and 6, no time in 1, 3, 4, 6 and 7
+FX9_EVENTS_SQL = f"""
+WITH ev AS (SELECT event_id, {FX7_TITLE} AS title, ts, CAST(ts AS DATE) + CAST(user_id % 300 AS INTEGER) AS a FROM events),
+d AS (SELECT *, unnest(CASE WHEN event_id % 8 IN (3, 4, 7) THEN generate_series(0, CAST(event_id % 5 + 1 AS BIGINT))
+                            WHEN event_id % 8 = 5 THEN [0, 7] ELSE [0] END) AS n FROM ev),
+w AS (SELECT *, a + CAST(n AS INTEGER) AS day FROM d)
+SELECT title, CASE WHEN event_id % 8 IN (5, 6) THEN '2026' || strftime(day, '-%m-%d') ELSE strftime(day, '%Y-%m-%d') END AS date_raw,
+       CASE event_id % 8 WHEN 0 THEN strftime(ts, '%H') || ':00' WHEN 2 THEN strftime(ts, '%H:%M')
+            WHEN 5 THEN CASE WHEN n = 0 THEN '19:00' ELSE '18:30' END ELSE '20:00' END AS time_raw
+FROM w"""
+
+
 # ---------------------------------------------------------------- FX8 a run over listed pages
 
 RUN_SOURCES = (("cards.example", "cards"), ("items.example", "items"), ("text.example", "generic"),

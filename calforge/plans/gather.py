@@ -95,17 +95,18 @@ def listing_units(card_pages: DataFrame, place: str = L.DEFAULT_PLACE,
     return L.listing_text(L.listing_lines(cards, source_cols, "page"), source_cols, "page")
 
 
-def units_to_chunks(units: DataFrame, unit_col: str = "page", max_chars: int = C.MAX_CHARS) -> DataFrame:
-    """Envelope every unit's text (X1) and chunk it (X2) with source-wide chunk order."""
+def units_to_chunks(units: DataFrame, unit_col: str = "page", max_chars: int = C.MAX_CHARS, halo: int = 0) -> DataFrame:
+    """Envelope every unit's text (X1) and chunk it (X2) with source-wide chunk order; ``halo``
+    lines of the neighbouring chunks go along for extraction."""
     env = units.select("source_rank", "source_name", unit_col,
                        C.site_envelope(F.col("source_name"), F.col("text")).alias("text"))
-    ch = C.chunk_lines(env, "text", keep=["source_rank", "source_name", unit_col], max_chars=max_chars)
+    ch = C.chunk_lines(env, "text", keep=["source_rank", "source_name", unit_col], max_chars=max_chars, halo=halo)
     return ch.select("source_rank", "source_name",
                      (F.col(unit_col).cast("decimal(20,0)") * F.lit(CHUNK_STRIDE).cast("decimal(10,0)")
                       + F.col("chunk_idx")).cast("decimal(30,0)").alias("chunk_idx"),
-                     "chunk")
+                     "chunk", *(("before", "after") if halo else ()))
 
 
 def listing_events(card_pages: DataFrame, place: str = L.DEFAULT_PLACE) -> DataFrame:
     """Candidate events of card listing sources (native extraction)."""
-    return X.extract_native(units_to_chunks(listing_units(card_pages, place)))
+    return X.extract_native(units_to_chunks(listing_units(card_pages, place), halo=X.HALO))

@@ -39,7 +39,7 @@ def page_candidates(card_pages: DataFrame, source_rank: int = 0, source_name: st
                               F.lit(source_name).alias("source_name"), "page",
                               G.card_text("html", place).alias("text"))
     units = units.where(F.col("text") != "")
-    cand = X.extract_native(G.units_to_chunks(units))
+    cand = X.extract_native(G.units_to_chunks(units, halo=X.HALO))
     return E.with_event_key(E.with_event_date(E.classify_category(cand)))
 
 
