@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calforge.operators import calls as CALLS
 from calforge.operators import events as E
 from calforge.operators import extract as X
 from calforge.operators import feed as FD
@@ -42,17 +43,23 @@ def gather(registry: DataFrame, profiles: DataFrame, pages: DataFrame, override:
 def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataFrame, pages: DataFrame,
                        as_of, extractor: X.Extractor | None = None, override: DataFrame | None = None,
                        path: str | None = None, listings: DataFrame | None = None,
-                       texts: DataFrame | None = None) -> DataFrame:
+                       texts: DataFrame | None = None, policy: CALLS.CallPolicy = CALLS.CallPolicy(),
+                       answers: str | None = None, calls_path: str | None = None) -> DataFrame:
     """Gather site texts (all pages of the sources that ``listings`` names; or those given in
     ``texts``), envelope and chunk them, extract candidate events (native or with a plug-in
-    ``extractor``), attach each source's url (J4), and store the candidates."""
+    ``extractor``), attach each source's url (J4), and store the candidates.
+
+    Calls of an ``extractor`` go by ``policy``. Their answers are kept in the store ``answers`` (a
+    rerun with the same folder calls only for chunks without a good one), and what became of each
+    chunk is written to ``calls_path``; both are fresh folders of this run unless named."""
     texts = gather(registry, profiles, pages, override, listings) if texts is None else texts
     units = texts.select("source_rank", "source_name", F.col("page_id").alias("page"), "text")
     if extractor is None:
         cand = X.extract_native(G.units_to_chunks(units, halo=X.HALO))
     else:
-        chunks = G.units_to_chunks(units)
-        cand = X.event_defaults(X.parse_event_json(X.extract_with(chunks, extractor, KEYS), KEYS))
+        outcomes = CALLS.call(G.units_to_chunks(units), extractor, answers or scratch_path(spark, "answers"), policy, KEYS)
+        outcomes = materialize(spark, outcomes, "extraction-calls", calls_path)
+        cand = X.event_defaults(X.parse_event_json(outcomes.where("status = 'ok'"), KEYS))
     return materialize(spark, E.provenance(cand, registry), "candidates", path)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from calforge.functions.uid import event_uid_sql
+from calforge.operators import calls as CALLS
 from calforge.operators import chunks as C
 from calforge.operators import events as E
 from calforge.operators import extract as X
@@ -13,9 +14,9 @@ from calforge.plans import calendar_run as RUN
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
 from calforge.plans.book import register
-from calforge.plans.catalog_text import (EXTRACT_SQL, GATHER_SQL, _card_pages, _card_text_sql, _extract_lines_sql, _extract_sql,
+from calforge.plans.catalog_text import (EXTRACT_SQL, GATHER_SQL, LISTING_CHUNKS_SQL, _card_pages, _card_text_sql, _extract_lines_sql, _extract_sql,
                                          _gathered, _items_text_sql, _unit_lines_sql, as_long)
-from calforge.plans.plugins import LineFormatExtractor
+from calforge.plans.plugins import LineFormatExtractor, UnsteadyExtractor
 from calforge.plans.sqlparts import feed_cte, prepared_cte, with_cte
 from calforge.session import scratch_path
 from calforge.sources import sinks as S
@@ -75,6 +76,35 @@ def q_extract_events_plugin(spark, sf):
     return _plugin_candidates(spark, sf)
 
 
+CALLED_SQL = f"""
+WITH c AS (SELECT *, md5(chunk) AS m FROM ({LISTING_CHUNKS_SQL}) ch),
+f AS (SELECT DISTINCT chunk FROM c WHERE CAST(floor(chunk_idx / {G.CHUNK_STRIDE}) AS BIGINT) % 2 = 0),
+s AS (SELECT c.*, f.chunk IS NOT NULL AS in_first, CASE WHEN m[1] IN ('4', '5') THEN 'failed' WHEN m[1] IN ('6', '7') THEN 'invalid'
+             ELSE 'ok' END AS status FROM c LEFT JOIN f USING (chunk))
+SELECT source_rank, source_name, chunk_idx, status, CASE WHEN m[1] < '8' THEN 2 ELSE 1 END AS attempts,
+       CASE WHEN in_first AND status = 'ok' THEN 1 ELSE 2 END AS run FROM s"""
+
+
+def _called(spark, sf):
+    """Two runs over the listing chunks by an unsteady extractor: the pages of even number, then all."""
+    chunks = as_long(G.units_to_chunks(G.listing_units(_card_pages(spark, sf))))
+    store = scratch_path(spark, "answers")
+    CALLS.call(chunks.where(F.floor(F.col("chunk_idx") / G.CHUNK_STRIDE) % 2 == 0), UnsteadyExtractor(), store)
+    return CALLS.call(chunks, UnsteadyExtractor(), store)
+
+
+@register("extraction_calls", CALLED_SQL)
+def q_extraction_calls(spark, sf):
+    return _called(spark, sf).select("source_rank", "source_name", "chunk_idx", "status", "attempts", "run")
+
+
+@register("extract_events_controlled", f"""
+SELECT e.* FROM ({EXTRACT_SQL}) e JOIN ({CALLED_SQL}) c USING (source_rank, source_name, chunk_idx) WHERE c.status = 'ok'""")
+def q_extract_events_controlled(spark, sf):
+    good = _called(spark, sf).where("status = 'ok'")
+    return as_long(X.event_defaults(X.parse_event_json(good, KEYS)))
+
+
 # ============================================================ SC8 / J6
 
 @register("ics_sink", with_cte(feed_cte(FX.FX4_SQL), "SELECT category, line FROM lines"))

@@ -9,6 +9,7 @@ yields nothing).
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 
@@ -60,3 +61,20 @@ class LineFormatExtractor:
             if e["time"] is None:
                 e["time"] = X.DEFAULT_TIME
         return json.dumps({"events": events}, ensure_ascii=False)
+
+
+class UnsteadyExtractor(LineFormatExtractor):
+    """A line-format extractor that fails by the first hex digit of the chunk's md5: 0-3 the first
+    time it is asked, 4-5 always, 6-7 with an answer that is none. For tests of call control."""
+
+    def __init__(self, default_year: int = X.DEFAULT_YEAR):
+        super().__init__(default_year)
+        self.asked: set[str] = set()
+
+    def __call__(self, chunk: str) -> str:
+        key = hashlib.md5(chunk.encode()).hexdigest()
+        again = key in self.asked
+        self.asked.add(key)
+        if key[0] in "45" or (key[0] in "0123" and not again):
+            raise ConnectionError("no answer")
+        return '{"events": [{"title": 1}]}' if key[0] in "67" else super().__call__(chunk)
