@@ -21,6 +21,7 @@ from calforge.plans.sqlparts import feed_cte, prepared_cte, with_cte
 from calforge.session import scratch_path
 from calforge.sources import sinks as S
 from calforge.streaming import stream as ST
+from calforge.streaming import versions as V
 from calforge.streaming.upsert import upsert_events
 
 KEYS = ("source_rank", "source_name", "chunk_idx")
@@ -220,6 +221,51 @@ def q_upsert_events(spark, sf):
     return upsert_events(run(FX.AS_OF, 1), run(NEW_AS_OF, 2))
 
 
+# A second run over changed candidates: new titles (new uids, the old ones vanish), new places
+# (same uids), and a later date from which events count.
+SECOND_TITLE = "CASE WHEN event_id % 4 = 0 THEN concat(title, ' neu') ELSE title END"
+SECOND_PLACE = "CASE WHEN event_id % 4 = 1 THEN concat(location, ' Nord') ELSE location END"
+FX4_SECOND_SQL = f"SELECT * REPLACE ({SECOND_TITLE} AS title, {SECOND_PLACE} AS location) FROM ({FX.FX4_SQL}) c4"
+
+
+def _published_sql(cand_sql: str, as_of: str, run: int) -> str:
+    return "(" + with_cte(feed_cte(cand_sql, as_of), f"""
+SELECT {event_uid_sql('title', 'date_raw')} AS uid, event_id, category, title, date_raw, location, {run} AS run
+FROM win WHERE start_ts IS NOT NULL""") + ")"
+
+
+@register("stream_upsert", f"""
+SELECT * FROM {_published_sql(FX.FX4_SQL, FX.AS_OF, 1)} o WHERE uid NOT IN (SELECT uid FROM {_published_sql(FX4_SECOND_SQL, NEW_AS_OF, 2)} n1)
+UNION ALL SELECT * FROM {_published_sql(FX4_SECOND_SQL, NEW_AS_OF, 2)} n2""")
+def q_stream_upsert(spark, sf):
+    """Two overlapping runs, landed as files and merged batch by batch into a versioned table."""
+    cand = FX.fx4_candidates(spark, sf)
+    second = cand.withColumns({"title": F.expr(SECOND_TITLE), "location": F.expr(SECOND_PLACE)})
+    landing = scratch_path(spark, "landing-runs")
+    for n, rows, as_of in ((1, cand, FX.AS_OF), (2, second, NEW_AS_OF)):
+        FD.published_events(E.parse_events(rows, as_of)).select(
+            "uid", "event_id", "category", "title", "date_raw", "location", F.lit(n).alias("run")).write.mode("append").parquet(landing)
+    stream = ST.read_landing(spark, landing, spark.read.parquet(landing).schema, max_files=2)
+    return V.current(spark, V.stream_upsert(stream, scratch_path(spark, "events-versions")))
+
+
+@register("stream_first_wins", with_cte(prepared_cte(FX.FX4_SQL), """
+SELECT event_id, source_rank, source_name, chunk_idx, event_idx, event_key, category FROM kept"""))
+def q_stream_first_wins(spark, sf):
+    """Candidates that land last chunk first, several batches; the next run's first row closes the run."""
+    cand = E.drop_past(E.with_event_key(E.with_event_date(E.classify_category(FX.fx4_candidates(spark, sf)))), FX.AS_OF)
+    cand = cand.withColumn("run_at", F.lit("2024-01-10 06:00:00").cast("timestamp"))
+    landing = scratch_path(spark, "landing-reversed")
+    last = cand.agg(F.max("chunk_idx")).first()[0] or 0
+    quarter = F.floor(F.col("chunk_idx") * 4 / (last + 1))
+    for n in (3, 2, 1, 0):
+        cand.where(quarter == n).coalesce(1).write.mode("append").parquet(landing)
+    cand.limit(1).withColumn("run_at", F.lit("2024-01-11 06:00:00").cast("timestamp")).coalesce(1).write.mode("append").parquet(landing)
+    stream = ST.read_landing(spark, landing, spark.read.parquet(landing).schema, max_files=1)
+    out = ST.run_available(V.first_in_order(stream, ("source_rank", "source_name", "event_key")), spark, "first-wins")
+    return spark.read.parquet(out).select("event_id", "source_rank", "source_name", "chunk_idx", "event_idx", "event_key", "category")
+
+
 # ============================================================ whole runs
 
 def _run_dated_sql(i: int, name: str) -> str:
