@@ -13,6 +13,7 @@ from calforge.operators import feed as FD
 from calforge.plans import calendar_run as RUN
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
+from calforge.plans import incremental as INC
 from calforge.plans.book import register
 from calforge.plans.catalog_text import (EXTRACT_SQL, GATHER_SQL, LISTING_CHUNKS_SQL, _card_pages, _card_text_sql, _extract_lines_sql, _extract_sql,
                                          _gathered, _items_text_sql, _unit_lines_sql, as_long)
@@ -332,3 +333,31 @@ FROM ({GATHER_SQL}) g WHERE coalesce(text, '') <> '' GROUP BY ROLLUP (source_nam
 def q_gather_totals(spark, sf):
     """A2: sources, pages and characters, per source and in total."""
     return E.gather_totals(E.gathered_text(_gathered(spark, sf)))
+
+
+@register("incremental_runs", f"""
+WITH p AS (SELECT DISTINCT CAST(floor(event_id / {FX.DATED_PAGE_SIZE}) AS BIGINT) AS page FROM events),
+c AS (SELECT count(*) AS n, count(*) FILTER (page % 2 = 0) AS n_even, (SELECT count(*) FROM events) AS n_events FROM p),
+e AS (SELECT count(*) AS in_even FROM events WHERE CAST(floor(event_id / {FX.DATED_PAGE_SIZE}) AS BIGINT) % 2 = 0)
+SELECT 1 AS run, n AS n_texts, n AS n_changed, n_events AS n_extracted, n_events AS n_candidates FROM c
+UNION ALL SELECT 2, n, n_even, in_even + n_even, n_events + n_even FROM c, e
+UNION ALL SELECT 3, n, 0, 0, n_events + n_even FROM c""")
+def q_incremental_runs(spark, sf):
+    """Three runs over dated pages: all new; a newer copy of every second page with one more event and
+    of every other page with the same text; nothing new."""
+    source = [("text.example", "https://text.example/")]
+    registry = spark.createDataFrame([(0, *source[0], True)], "rank bigint, name string, url string, enabled boolean")
+    profiles = spark.createDataFrame([("text.example", "generic")], "name string, profile string")
+    first = FX.fx7_dated_pages(spark, sf).selectExpr("page AS page_id", "concat('https://text.example/', CAST(page AS string)) AS url", "html")
+    added = "IF(page_id % 2 = 0, '<p>24.12.2030, 18:00 Uhr | Neu</p>', '<!-- same text -->')"
+    newer = first.selectExpr("page_id + 1000000L AS page_id", "url", f"replace(html, '</main>', concat({added}, '</main>')) AS html")
+    landed = [scratch_path(spark, f"pages-{n}") for n in (1, 2)]
+    first.write.parquet(landed[0])
+    newer.write.parquet(landed[1])
+    state, out = scratch_path(spark, "incremental"), []
+    for n, paths in ((1, landed[:1]), (2, landed), (3, landed)):
+        pages = spark.read.parquet(*paths)
+        cand, counts = INC.run(spark, registry, profiles, pages, state,
+                               listings=pages.selectExpr("'text.example' AS source_name", "url").distinct())
+        out.append((n, counts["n_texts"], counts["n_changed"], counts["n_extracted"], cand.count()))
+    return spark.createDataFrame(out, "run int, n_texts bigint, n_changed bigint, n_extracted bigint, n_candidates bigint")

@@ -47,8 +47,8 @@ def items_text(html, name) -> Column:
 
 def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,
                override: DataFrame | None = None, place: str = L.DEFAULT_PLACE,
-               listings: DataFrame | None = None) -> DataFrame:
-    """Gather: ``(source_rank, source_name, profile, page_id, text)`` per enabled
+               listings: DataFrame | None = None, keep_url: bool = False) -> DataFrame:
+    """Gather: ``(source_rank, source_name, profile, page_id, [url,] text)`` per enabled
     source that has a page, one row for each page. A source with rows in ``listings``
     ``(source_name, url)`` takes the newest copy of every url listed there, another one the
     newest page of its host. Frame pages are resolved against the whole page table."""
@@ -77,7 +77,7 @@ def site_texts(registry: DataFrame, profiles: DataFrame, pages: DataFrame,
         return stored.where(F.col("profile").isin(*names))
 
     def texts(rows, text):
-        return rows.select("source_rank", "source_name", "profile", "page_id", text.alias("text"))
+        return rows.select("source_rank", "source_name", "profile", "page_id", *(("url",) if keep_url else ()), text.alias("text"))
 
     framed = P.frame_resolve(of("frame"), pages).drop("frame_url")
     generic = stored.where(~F.col("profile").isin("cards", "items", "lines", "frame")).unionByName(framed)
