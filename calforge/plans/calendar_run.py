@@ -32,12 +32,18 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, path: str | None
     return spark.read.parquet(path)
 
 
+def gather_all(registry: DataFrame, profiles: DataFrame, pages: DataFrame, override: DataFrame | None = None,
+               listings: DataFrame | None = None) -> DataFrame:
+    """The texts of all sources' pages, empty ones too, with their size (J3), stored: extraction and
+    the report read them, and the patterns run once for each page."""
+    texts = G.site_texts(registry, profiles, pages, override, listings=listings).withColumn("text", F.coalesce("text", F.lit("")))
+    return materialize(pages.sparkSession, texts.withColumn("n_chars", F.length("text")), "site-texts")
+
+
 def gather(registry: DataFrame, profiles: DataFrame, pages: DataFrame, override: DataFrame | None = None,
            listings: DataFrame | None = None) -> DataFrame:
-    """The non-empty texts of all sources' pages, with their size (J3), stored: extraction and
-    the report read them, and the patterns run once for each page."""
-    texts = G.site_texts(registry, profiles, pages, override, listings=listings)
-    return E.gathered_text(materialize(pages.sparkSession, texts, "site-texts"))
+    """The non-empty texts of ``gather_all``."""
+    return E.gathered_text(gather_all(registry, profiles, pages, override, listings))
 
 
 def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataFrame, pages: DataFrame,
@@ -78,17 +84,48 @@ def build_calendars(spark: SparkSession, candidates: DataFrame, out_dir: str, as
     return FD.feed_counts(kept)
 
 
+COUNTED = ("n_candidates", "invalid_date", "past", "duplicate")
+
+
+def _per_source(texts: DataFrame, candidates: DataFrame, as_of) -> DataFrame:
+    """Pages, characters, candidates and rejects of each source that has a text."""
+    size = texts.groupBy("source_name").agg(F.count_if(F.col("n_chars") > 0).alias("n_pages"), F.sum("n_chars").alias("n_chars"))
+    found = candidates.groupBy("source_name").agg(F.count(F.lit(1)).alias("n_candidates"))
+    reason = E.event_rejects(candidates, as_of).groupBy("source_name").agg(
+        *[F.count_if(F.col("reject_reason") == r).alias(r) for r in COUNTED[1:]])
+    per = size.join(found, "source_name", "left").join(reason, "source_name", "left").na.fill(0, list(COUNTED))
+    return per.withColumn("n_events", F.col("n_candidates") - F.col("invalid_date") - F.col("past") - F.col("duplicate"))
+
+
 def run_report(texts: DataFrame, candidates: DataFrame, as_of) -> DataFrame:
     """What a run did, per source and in total (``source_name`` NULL): sources, pages and
     characters of text, candidates, events kept and each kind of reject (E7, A1, A2).
     Sums of two map-side combined aggregates; a source without candidates shows zeros."""
-    size = texts.groupBy("source_name").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n_chars").alias("n_chars"))
-    found = candidates.groupBy("source_name").agg(F.count(F.lit(1)).alias("n_candidates"))
-    reason = E.event_rejects(candidates, as_of).groupBy("source_name").agg(
-        *[F.count_if(F.col("reject_reason") == r).alias(r) for r in ("invalid_date", "past", "duplicate")])
-    counted = ("n_candidates", "invalid_date", "past", "duplicate")
-    per = (size.join(found, "source_name", "left").join(reason, "source_name", "left").na.fill(0, list(counted)))
-    per = per.withColumn("n_events", F.col("n_candidates") - F.col("invalid_date") - F.col("past") - F.col("duplicate"))
-    sums = ("n_pages", "n_chars", *counted, "n_events")
-    return per.rollup("source_name").agg(F.count(F.lit(1)).alias("n_sources"),
-                                         *[F.sum(c).alias(c) for c in sums])
+    sums = ("n_pages", "n_chars", *COUNTED, "n_events")
+    return _per_source(texts, candidates, as_of).rollup("source_name").agg(
+        F.count(F.lit(1)).alias("n_sources"), *[F.sum(c).alias(c) for c in sums])
+
+
+def source_report(sources: DataFrame, texts: DataFrame, candidates: DataFrame, as_of, outcomes: DataFrame | None = None,
+                  path: str | None = None) -> DataFrame:
+    """One written row for every enabled source (``name``) of a run, with the counts of
+    ``run_report`` and why it has no events, if it has none:
+
+    ``no page`` (nothing fetched), ``empty text`` (no page has any), ``extraction failed`` (no call
+    of ``outcomes`` gave an answer; ``error`` is the first message), ``no events`` (none found),
+    ``no upcoming events`` (all rejected), else ``ok``. ``texts`` holds empty ones too (``gather_all``)."""
+    per = _per_source(texts, candidates, as_of).withColumn("_fetched", F.lit(True))
+    rows = sources.select(F.col("name").alias("source_name")).distinct().join(per, "source_name", "left")
+    if outcomes is None:
+        rows = rows.withColumns({"n_failed": F.lit(0).cast("bigint"), "_ok": F.lit(None).cast("bigint"), "error": F.lit(None).cast("string")})
+    else:
+        calls = outcomes.groupBy("source_name").agg(
+            F.count_if(F.col("status") != "ok").alias("n_failed"), F.count_if(F.col("status") == "ok").alias("_ok"),
+            F.min_by(F.coalesce("error", "status"), F.when(F.col("status") != "ok", F.col("chunk_idx"))).alias("error"))
+        rows = rows.join(calls, "source_name", "left")
+    status = (F.when(F.col("_fetched").isNull(), "no page").when(F.col("n_pages") == 0, "empty text")
+              .when((F.col("_ok") == 0) & (F.col("n_failed") > 0), "extraction failed").when(F.col("n_candidates") == 0, "no events")
+              .when(F.col("n_events") == 0, "no upcoming events").otherwise("ok"))
+    counts = ("n_pages", "n_chars", *COUNTED, "n_events", "n_failed")
+    report = rows.withColumn("status", status).na.fill(0, list(counts)).select("source_name", "status", *counts, "error")
+    return materialize(sources.sparkSession, report, "source-report", path)

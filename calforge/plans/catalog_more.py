@@ -20,6 +20,7 @@ from calforge.plans.catalog_text import (EXTRACT_SQL, GATHER_SQL, LISTING_CHUNKS
 from calforge.plans.plugins import LineFormatExtractor, UnsteadyExtractor
 from calforge.plans.sqlparts import feed_cte, prepared_cte, with_cte
 from calforge.session import scratch_path
+from calforge.sources import registry as R
 from calforge.sources import sinks as S
 from calforge.streaming import stream as ST
 from calforge.streaming import versions as V
@@ -117,7 +118,8 @@ def q_ics_sink(spark, sf):
     return S.read_ics_sink(spark, path).select("category", "line")
 
 
-@register("ics_sink_monthly", with_cte(feed_cte(FX.FX4_SQL), """
+# lines of the calendars by month: each with a header and footer of its own
+MONTH_LINES_SQL = """
 SELECT category, month, line FROM (
   SELECT b.category, s.month, b.line FROM body b JOIN (
     SELECT category, source_rank, chunk_idx, event_idx, substr(split_part(line, ':', 2), 1, 6) AS month
@@ -125,7 +127,10 @@ SELECT category, month, line FROM (
   UNION ALL
   SELECT e.category, m.month, e.line FROM envelope e JOIN (
     SELECT DISTINCT category, substr(split_part(line, ':', 2), 1, 6) AS month FROM body WHERE line_no = 3) m
-  USING (category)) u"""))
+  USING (category)) u"""
+
+
+@register("ics_sink_monthly", with_cte(feed_cte(FX.FX4_SQL), MONTH_LINES_SQL))
 def q_ics_sink_monthly(spark, sf):
     path = scratch_path(spark, "ics-months")
     kept = E.parse_events(FX.fx4_candidates(spark, sf), FX.AS_OF)
@@ -304,27 +309,63 @@ def q_date_line_events(spark, sf):
             .select("source_name", "title", "date_raw", "time_raw", "location"))
 
 
-@register("run_calendars", with_cte(
-    feed_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc"),
-    "SELECT category, line FROM lines"))
+@register("run_calendars", with_cte(feed_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc"), MONTH_LINES_SQL))
 def q_run_calendars(spark, sf):
     """From registry and pages to the calendar files, read back."""
     _, cand = _run(spark, sf)
     path = scratch_path(spark, "run-calendars")
-    RUN.build_calendars(spark, cand, path, FX.AS_OF, FX.DTSTAMP, single_file=True)
-    return S.read_ics_sink(spark, path).select("category", "line")
+    RUN.build_calendars(spark, cand, path, FX.AS_OF, FX.DTSTAMP)
+    return S.read_ics_sink(spark, path).select("category", F.col("month").cast("string").alias("month"), "line")
+
+
+def _listing_texts_sql(name: str, pages_sql: str, text_sql: str) -> str:
+    return f"SELECT '{name}' AS source_name, {text_sql} AS text FROM ({pages_sql}) p"
+
+
+FX7_TEXTS_SQL = f"""
+SELECT string_agg(CASE event_id % 3 WHEN 0 THEN strftime(ts, '%d.%m.%Y, %H:%M Uhr | ') || {FX.FX7_TITLE}
+         WHEN 1 THEN {FX.FX7_TITLE} || ' – ' || strftime(ts, '%Y-%m-%d')
+         ELSE 'Fr, ' || day(ts) || '.' || month(ts) || '.' || chr(10) || {FX.FX7_TITLE} END, chr(10)) AS text
+FROM events GROUP BY CAST(floor(event_id / {FX.DATED_PAGE_SIZE}) AS BIGINT)"""
 
+RUN_REPORT_CTE = prepared_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc") + f""",
+texts AS (SELECT source_name, coalesce(text, '') AS text FROM ({GATHER_SQL}) g
+  UNION ALL {_listing_texts_sql('cards.example', FX.FX3_CARDS_SQL, _card_text_sql('html'))}
+  UNION ALL {_listing_texts_sql('items.example', FX.FX3_ITEMS_SQL, _items_text_sql('html', chr(39) + 'items.example' + chr(39)))}
+  {''.join(f"UNION ALL SELECT '{n}', text FROM ({FX7_TEXTS_SQL}) t{i} " for i, n in enumerate(('text.example', 'lines.example', 'frames.example')))}),
+size AS (SELECT source_name, count(*) FILTER (text <> '') AS n_pages, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM texts GROUP BY 1),
+found AS (SELECT source_name, count(*) AS n_candidates, count(*) FILTER (reject_reason = 'invalid_date') AS invalid_date,
+                 count(*) FILTER (reject_reason = 'past') AS past, count(*) FILTER (reject_reason = 'duplicate') AS duplicate,
+                 count(*) FILTER (reject_reason IS NULL) AS n_events FROM st GROUP BY 1),
+per AS (SELECT size.*, coalesce(n_candidates, 0) AS n_candidates, coalesce(invalid_date, 0) AS invalid_date, coalesce(past, 0) AS past,
+               coalesce(duplicate, 0) AS duplicate, coalesce(n_events, 0) AS n_events FROM size LEFT JOIN found USING (source_name))"""
+RUN_SUMS = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("n_pages", "n_chars", *RUN.COUNTED, "n_events"))
 
-@register("run_report", with_cte(
-    prepared_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc"), """
-SELECT source_name, count(*) AS n_candidates, count(*) FILTER (reject_reason = 'invalid_date') AS invalid_date,
-       count(*) FILTER (reject_reason = 'past') AS past, count(*) FILTER (reject_reason = 'duplicate') AS duplicate,
-       count(*) FILTER (reject_reason IS NULL) AS n_events
-FROM st GROUP BY ROLLUP (source_name)"""))
+
+@register("run_report", with_cte(RUN_REPORT_CTE, f"SELECT source_name, count(*) AS n_sources, {RUN_SUMS} FROM per GROUP BY ROLLUP (source_name)"))
 def q_run_report(spark, sf):
-    texts, cand = _run(spark, sf)
-    report = RUN.run_report(texts, cand, FX.AS_OF).where("n_candidates > 0")
-    return report.select("source_name", "n_candidates", "invalid_date", "past", "duplicate", "n_events")
+    registry, profiles, pages, listings = FX.fx8_run(spark, sf)
+    texts = RUN.gather_all(registry, profiles, pages, listings=listings)
+    cand = RUN.extract_candidates(spark, registry, profiles, pages, FX.AS_OF, texts=E.gathered_text(texts))
+    return RUN.run_report(texts, cand, FX.AS_OF)
+
+
+RUN_SOURCES_SQL = " UNION ALL ".join([f"SELECT name FROM ({FX.FX1_SQL}) r WHERE coalesce(enabled, false)",
+                                      *[f"SELECT '{n}'" for n, _ in FX.RUN_SOURCES], "SELECT 'gone.example'"])
+
+
+@register("source_report", with_cte(RUN_REPORT_CTE, f"""
+SELECT s.name AS source_name, CASE WHEN per.source_name IS NULL THEN 'no page' WHEN n_pages = 0 THEN 'empty text'
+         WHEN n_candidates = 0 THEN 'no events' WHEN n_events = 0 THEN 'no upcoming events' ELSE 'ok' END AS status,
+       {', '.join(f'coalesce({c}, 0) AS {c}' for c in ('n_pages', 'n_chars', *RUN.COUNTED, 'n_events'))}
+FROM ({RUN_SOURCES_SQL}) s LEFT JOIN per ON per.source_name = s.name"""))
+def q_source_report(spark, sf):
+    """Every enabled source of a run and why it has no events; one of them was never fetched."""
+    registry, profiles, pages, listings = FX.fx8_run(spark, sf)
+    registry = registry.unionByName(spark.createDataFrame([(-1, "gone.example", "https://gone.example/", True)], registry.schema))
+    texts = RUN.gather_all(registry, profiles, pages, listings=listings)
+    cand = RUN.extract_candidates(spark, registry, profiles, pages, FX.AS_OF, texts=E.gathered_text(texts))
+    return RUN.source_report(R.enabled_sources(registry), texts, cand, FX.AS_OF).drop("n_failed", "error")
 
 
 @register("gather_totals", f"""

@@ -49,3 +49,24 @@ def test_report_counts_sources_without_events(spark):
     assert (got[None]["n_sources"], got[None]["n_pages"], got[None]["n_chars"], got[None]["n_events"]) == (2, 3, 22, 1)
     empty = RUN.run_report(texts.limit(0), cand.limit(0), "2026-01-01").where(F.col("source_name").isNotNull())
     assert empty.count() == 0
+
+
+def test_every_enabled_source_has_a_cause(spark):
+    cols = "source_rank bigint, source_name string, chunk_idx bigint, event_idx bigint, title string, date_raw string, " \
+           "time_raw string, location string, category_raw string, description string"
+    cand = spark.createDataFrame([(0, "ok", 0, 0, "T", "2030-01-01", "20:00", "x", "party", ""),
+                                  (0, "old", 0, 0, "T", "2020-01-01", "20:00", "x", "party", "")], cols)
+    texts = spark.createDataFrame([("ok", 10), ("old", 5), ("blank", 0), ("blank", 0), ("quiet", 7), ("down", 9), ("half", 9)],
+                                  "source_name string, n_chars int")
+    names = ("ok", "old", "blank", "quiet", "down", "half", "missing", "missing")
+    sources = spark.createDataFrame([(n,) for n in names], "name string")
+    calls = spark.createDataFrame([("ok", 0, "ok", None), ("old", 0, "ok", None), ("quiet", 0, "ok", None), ("down", 1, "timeout", "no answer within 1 s"),
+                                   ("down", 0, "failed", "ConnectionError: gone"), ("half", 0, "ok", None), ("half", 1, "invalid", "not an answer of events")],
+                                  "source_name string, chunk_idx bigint, status string, error string")
+    got = {r.source_name: (r.status, r.n_pages, r.n_events, r.n_failed, r.error) for r in
+           RUN.source_report(sources, texts, cand, "2026-01-01", calls).collect()}
+    assert got == {"ok": ("ok", 1, 1, 0, None), "old": ("no upcoming events", 1, 0, 0, None), "blank": ("empty text", 0, 0, 0, None),
+                   "quiet": ("no events", 1, 0, 0, None), "down": ("extraction failed", 1, 0, 2, "ConnectionError: gone"),
+                   "half": ("no events", 1, 0, 1, "not an answer of events"), "missing": ("no page", 0, 0, 0, None)}
+    plain = {r.source_name: r.status for r in RUN.source_report(sources, texts, cand, "2026-01-01").collect()}
+    assert plain["down"] == plain["half"] == "no events" and plain["missing"] == "no page"
