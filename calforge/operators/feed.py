@@ -166,11 +166,11 @@ def build_feed(events: DataFrame, dtstamp: str | None = None, domain: str = UID_
 
 
 def build_months(events: DataFrame, dtstamp: str | None = None, domain: str = UID_DOMAIN) -> DataFrame:
-    """F11 in calendars of a month: the event lines with the month (``yyyyMM``) of their start.
+    """F11 in calendars of a month: the event lines with their start and its month (``yyyyMM``).
     The sink puts each calendar's header and footer around them."""
     winners = dedup_global(prepare(events))
-    winners = winners.withColumn("month", F.substring(dtstart_text("start_ts"), 1, 6))
-    return ics_events(winners, dtstamp or utc_stamp(), domain, ("month",)).select("month", *LINE_COLS)
+    winners = winners.withColumn("start", dtstart_text("start_ts")).withColumn("month", F.substring("start", 1, 6))
+    return ics_events(winners, dtstamp or utc_stamp(), domain, ("month", "start")).select("month", "start", *LINE_COLS)
 
 
 def ics_document(lines: DataFrame) -> DataFrame:

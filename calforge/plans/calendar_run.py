@@ -71,16 +71,18 @@ def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataF
 
 def build_calendars(spark: SparkSession, candidates: DataFrame, out_dir: str, as_of,
                     dtstamp: str | None = None, approved: DataFrame | None = None,
-                    single_file: bool = False, pieces: int = 1) -> DataFrame:
+                    single_file: bool = False, pieces: int | None = None,
+                    events: int = S.EVENTS_PER_CALENDAR) -> DataFrame:
     """Validate and de-duplicate (E8), optionally keep only approved uids (J6), render and
-    write the calendars (F11 + SC8: by month, or one file per category). Returns the
+    write the calendars (F11 + SC8: by month, in calendars of about ``events`` events, or one file
+    per category). Returns the
     per-category counts (F10)."""
     kept = E.parse_events(candidates, as_of)
     if approved is not None:
         kept = FD.approved_events(kept.withColumn("uid", FD.uid_of_raw()), approved).drop("uid")
     kept = materialize(spark, kept, "kept-events")
     build = FD.build_feed if single_file else FD.build_months
-    S.ics_sink(build(kept, dtstamp), out_dir, single_file, pieces)
+    S.ics_sink(build(kept, dtstamp), out_dir, single_file, pieces, events)
     return FD.feed_counts(kept)
 
 

@@ -309,12 +309,24 @@ def q_date_line_events(spark, sf):
             .select("source_name", "title", "date_raw", "time_raw", "location"))
 
 
-@register("run_calendars", with_cte(feed_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc"), MONTH_LINES_SQL))
+RUN_CALENDAR_EVENTS = 250
+
+
+@register("run_calendars", with_cte(feed_cte(f"SELECT CAST(NULL AS BIGINT) AS event_id, * FROM ({RUN_CANDIDATES_SQL}) rc"), f"""
+SELECT category, month, line FROM (
+  SELECT b.category, s.month, b.line FROM body b JOIN (
+    SELECT category, source_rank, chunk_idx, event_idx, substr(split_part(line, ':', 2), 1, 6) AS month
+    FROM body WHERE line_no = 3) s USING (category, source_rank, chunk_idx, event_idx)
+  UNION ALL
+  SELECT e.category, m.month, e.line FROM envelope e JOIN (
+    SELECT category, month, unnest(range(0, CAST(ceil(n / {RUN_CALENDAR_EVENTS}) AS BIGINT))) AS piece
+    FROM (SELECT category, substr(split_part(line, ':', 2), 1, 6) AS month, count(*) AS n FROM body WHERE line_no = 3 GROUP BY 1, 2) c) m
+  USING (category)) u"""))
 def q_run_calendars(spark, sf):
-    """From registry and pages to the calendar files, read back."""
+    """From registry and pages to the calendar files, several a month, read back."""
     _, cand = _run(spark, sf)
     path = scratch_path(spark, "run-calendars")
-    RUN.build_calendars(spark, cand, path, FX.AS_OF, FX.DTSTAMP)
+    RUN.build_calendars(spark, cand, path, FX.AS_OF, FX.DTSTAMP, events=RUN_CALENDAR_EVENTS)
     return S.read_ics_sink(spark, path).select("category", F.col("month").cast("string").alias("month"), "line")
 
 

@@ -110,6 +110,24 @@ def test_monthly_calendars_are_whole_and_hold_every_event_once(spark):
         assert sorted(S.read_ics_sink(spark, path).columns) == ["category", "file_name", "line", "month", "piece"]
 
 
+def test_a_hot_month_is_cut_evenly_in_date_order(spark):
+    """One month, a third of it at one start, next to a small one."""
+    rows = [(0, 0, i, f"E{i}", "2030-01-15" if i % 3 == 0 else f"2030-01-{1 + i * 7 % 28:02d}",
+             "20:00" if i % 3 == 0 else f"{i % 24:02d}:{i % 60:02d}", "Ort", "party", "") for i in range(2000)]
+    rows += [(0, 1, i, f"F{i}", "2030-02-01", "20:00", "Ort", "party", "") for i in range(30)]
+    path = scratch_path(spark, "ics-hot")
+    S.ics_sink(FD.build_months(spark.createDataFrame(rows, SCHEMA), "20260316T233822Z"), path, events=100)
+    calendars = {}
+    for name, text in ics_files(path).items():
+        lines = text.split("\n")
+        assert lines[0] == "BEGIN:VCALENDAR" and lines[-2:] == ["END:VCALENDAR", ""] and lines.count(lines[0]) == 1
+        calendars[name.split("month=")[1][:6], int(name.split("piece=")[1].split("/")[0])] = [x for x in lines if x.startswith("DTSTART")]
+    january = [calendars[k] for k in sorted(calendars) if k[0] == "203001"]
+    assert len(january) == 20 and len(calendars) == 21 and len(calendars["203002", 0]) == 30
+    assert sum(map(len, january)) == 2000 and max(map(len, january)) <= 140 and min(map(len, january)) >= 60
+    assert all(a == sorted(a) for a in calendars.values()) and all(a[-1] <= b[0] for a, b in zip(january, january[1:]))
+
+
 def test_wall_clock_never_shifted_by_session_zone(spark):
     """2026-03-29 02:30 does not exist in Berlin (DST gap); the calendar must still
     say 20260329T023000, whatever the session time zone."""
