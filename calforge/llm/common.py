@@ -23,6 +23,19 @@ from calforge.session import scratch_path
 STEP_BYTES = 2 << 20
 
 
+#: Rows and bytes of an Arrow batch between Spark and Python, where the session does not say.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches of texts by their bytes: with the default of 10,000 rows, and no bound in bytes,
+    a batch of long texts is held several times on both sides of every Python stage."""
+    said = spark.conf.getAll
+    for key, value in BATCHES.items():
+        if key not in said:
+            spark.conf.set(key, value)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -97,7 +97,7 @@ def _best(names, sent, first, last, kept, new):
     """The best of ``names`` and of what was best before, for each row of the batches."""
     def predict(batches):
         own = ppm.Scorer(sent.value) if names else None
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", ppm.STRETCH):
             data, offs = utf8(batch.column("text"))
             some = np.array(batch.column("_letter").to_pylist(), bool)
             if own:

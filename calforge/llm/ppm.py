@@ -17,9 +17,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-from calforge.llm.common import STEP_BYTES
-
 START, END, SYMBOLS = 0xFE, 0xFF, 256
+#: Bytes of text whose grams are held at once, with some ten numbers for each.
+STRETCH = 1 << 19
+#: Bytes of the table in which a scorer keeps what its models say.
+KNOWN_BYTES = 32 << 20
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -37,11 +39,11 @@ def grams(data: np.ndarray, offs: np.ndarray, order: int) -> Iterator[tuple[np.n
     parts, size = [], 0
     for row in range(len(offs) - 1):
         lo, hi = int(offs[row]), int(offs[row + 1])
-        for a in range(lo, max(hi, lo + 1), STEP_BYTES):
-            z = min(hi, a + STEP_BYTES)
+        for a in range(lo, max(hi, lo + 1), STRETCH):
+            z = min(hi, a + STRETCH)
             parts.append((row, lo, a, z, z == hi))
             size += z - a
-            if size >= STEP_BYTES:
+            if size >= STRETCH:
                 yield _stretch(data, parts, order)
                 parts, size = [], 0
     if parts:
@@ -194,11 +196,13 @@ class Model:
 
 class Scorer:
     """Scores texts under several models of one order. Grams come back all the time, so what
-    the models say of a gram is kept in one table, which starts anew when it is full."""
+    the models say of a gram is kept in one table of about KNOWN_BYTES, however many models
+    there are, which starts anew when it is full."""
 
-    def __init__(self, models: Sequence[Model], room: int = 1 << 19):
-        self.models, self.order, self.room = models, models[0].order, room
-        self.known = _Table(room, len(models))
+    def __init__(self, models: Sequence[Model], room: int | None = None):
+        slots = max(17, (KNOWN_BYTES // (8 + 4 * len(models))).bit_length() - 1)
+        self.models, self.order, self.room = models, models[0].order, room or (1 << (slots - 1)) - 1
+        self.known = _Table(self.room, len(models))
 
     def _rated(self, keys: np.ndarray) -> np.ndarray:
         return np.stack([m.bits(keys) for m in self.models], 1)
@@ -211,9 +215,9 @@ class Scorer:
             return self.known.rows[slot]
         new = np.unique(tagged[miss])
         if self.known.used + len(new) > self.room:
-            new = np.unique(tagged)
+            new, place = np.unique(tagged, return_inverse=True)
             if len(new) > self.room:
-                return self._rated(key).astype(np.float32)
+                return self._rated(new & _mask(self.order + 1)).astype(np.float32)[place]
             self.known = _Table(self.room, len(self.models))
             miss = np.arange(len(key))
         self.known.add(new, self._rated(new & _mask(self.order + 1)))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calforge.llm import alignment, bpe, chat, fim, hnsw, langid, lmscore, minhash, oracle, pii, secrets, toxicity, training_order, winnow
-from calforge.llm.common import crc_rest, read
+from calforge.llm.common import bounded_batches, crc_rest, read
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
@@ -89,10 +89,12 @@ def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- stages of the corpus pipeline ------------------------------------------------------
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return langid.with_language(docs, _languages(docs))
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return minhash.keep_one(docs)
 
 
@@ -105,6 +107,7 @@ def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     ranks = bpe.ranks_of(public_tokenizers.path(TOKENIZER))
     return bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).select(
         "doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
