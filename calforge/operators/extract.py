@@ -131,7 +131,9 @@ def extract_native(chunks: DataFrame, default_year: int = DEFAULT_YEAR, default_
     none_here = "CAST(array() AS array<struct<title:string,date_raw:string,time_raw:string,location:string>>)"
     found = H.bind(card, "c", f"CASE WHEN size(c) = 3 THEN array({of_card}) WHEN {block} THEN array({of_block}) WHEN {dated} THEN {of_dates} ELSE {none_here} END")
     own = f"IF(i >= size(_before) AND i < size(_before) + size(_own), {found}, {none_here})"
-    lines = f"transform(concat(_before, _own, _after), line -> named_struct('line', line, 'toks', {D.tokens('line')}))"
+    # a card line is known by its form alone: whatever date it has is in its own field
+    toks = f"IF(startswith(line, {event}) AND rlike(line, {H.quoted(CARD_LINE_RE)}), array('card'), {D.tokens('line')})"
+    lines = f"transform(concat(_before, _own, _after), line -> named_struct('line', line, 'toks', {toks}))"
     # all fields are computed inside the generator, so filters on them downstream
     # (validation) cannot be pushed below it and re-run the patterns
     ex = with_lines.select(*keys, F.posexplode(F.expr(H.bind(lines, "ls", f"flatten(transform(ls, (l, i) -> {own}))"))).alias("event_idx", "_e"))
