@@ -361,7 +361,20 @@ def test_training_order(spark, docs, odd, none, tmp_path):
     assert training_order.materialise(none, 9, str(tmp_path / "none")).count() == 0
 
 
-def test_embeddings(spark):
+def test_a_graph_search_finds_most_links_from_its_entry():
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(900, 24)), *(c + 0.15 * rng.normal(size=(k, 24)) for c, k in zip(rng.normal(size=(4, 24)), (5, 40, 120, 700), strict=True))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph, true = hnsw.Graph(x), set(zip(*(v.tolist() for v in np.nonzero(x @ x.T >= 0.93)), strict=True))
+    for own, beam, least in ((np.arange(len(x)), 16, 0.99), (np.full(len(x), -1), 64, 0.9), (np.full(len(x), -1), len(x), 1.0)):
+        got = set(zip(*(v.tolist() for v in graph.within(x, own, beam)), strict=True))
+        assert got <= true and len(got) >= least * len(true)
+
+
+@pytest.mark.parametrize("shard, block", [(hnsw.SHARD_POINTS, hnsw.BLOCK_POINTS), (60, 100)])
+def test_embeddings(spark, monkeypatch, shard, block):
+    monkeypatch.setattr(hnsw, "SHARD_POINTS", shard)
+    monkeypatch.setattr(hnsw, "BLOCK_POINTS", block)
     e = spark.read.parquet(f"{SF001}/embeddings.parquet")
     rng = np.random.default_rng(4)
     centre = rng.normal(size=64)
