@@ -120,16 +120,18 @@ class _Table:
 class Model:
     """Frozen PPM statistics; sums of log2 probabilities come from :meth:`score`."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, exclusion: bool = True, at_least: int = 1):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, exclusion: bool = True, at_least: int = 1,
+                 low: dict[int, tuple[np.ndarray, np.ndarray]] | None = None):
         """``keys``/``counts``: grams of ``order + 1`` bytes. Grams of three bytes and more
         that were seen less than ``at_least`` times are left out; sums go over the rest, so
-        the probabilities of each context still add up to one."""
+        the probabilities of each context still add up to one. ``low`` gives grams and counts of
+        the lowest lengths where ``keys`` are only those of some of their contexts."""
         self.order, self.exclusion = order, exclusion
         with np.errstate(over="ignore", divide="ignore"):
             level = {}
             keys, counts = _grouped(keys, counts.astype(np.int64))
             for n in range(order + 1, 0, -1):
-                keys, counts = _grouped(keys & _mask(n), counts)
+                keys, counts = _grouped(*low[n]) if low and n in low else _grouped(keys & _mask(n), counts)
                 kept = counts >= at_least if n > 2 else counts > 0
                 level[n] = keys[kept], counts[kept].astype(np.float64)
             gram_keys, gram_rows, ctx_keys, ctx_rows = [], [], [], []

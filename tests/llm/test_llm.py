@@ -272,6 +272,27 @@ def test_scores_equal_a_trie_walk():
         assert abs(got - ppm_by_brute_force(train, t, 4)) < 1e-3
 
 
+@pytest.mark.parametrize("most, at_once", [(0, 50), (300, 50), (lmscore.TOP_GRAMS, lmscore.RATED_AT_ONCE)])
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_pretrained_scores_equal_a_whole_trie(which, request, monkeypatch, most, at_once):
+    monkeypatch.setattr(lmscore, "TOP_GRAMS", most)
+    monkeypatch.setattr(lmscore, "RATED_AT_ONCE", at_once)
+    df = request.getfixturevalue(which)
+    rows = [(d, t or "", d is not None and zlib.crc32(str(d).encode()) % 7 == 2) for d, t in texts(df)]
+    train = [t.encode() for _, t, held in rows if not held]
+    gram, n = np.unique(np.concatenate([k for k, _ in ppm.grams(*utf8(pa.array(train, pa.binary())), lmscore.ORDER)]), return_counts=True)
+    want = ppm.Model(gram, n, lmscore.ORDER).score(*utf8(pa.array([t.encode() for _, t, _ in rows], pa.binary()))) * math.log10(2)
+    got = lmscore.pretrained(df, crc_rest(7, 2)).collect()
+    for a, b in zip(sorted((repr(r["doc_id"]), r["score"]) for r in got), sorted((repr(r[0]), w) for r, w in zip(rows, want, strict=True)), strict=True):
+        assert a[0] == b[0] and abs(a[1] - b[1]) <= 1e-5 * (1 + abs(b[1]))
+
+
+def test_scores_without_training_texts(odd):
+    sizes = {d: len((t or "").encode()) for d, t in texts(odd)}
+    for r in lmscore.pretrained(odd, F.lit(True)).collect():
+        assert abs(r["score"] + 8 * (sizes[r["doc_id"]] + 1) * math.log10(2)) < 1e-6 * (1 + sizes[r["doc_id"]]) and r["n_known"] == r["train_tokens"] == 0
+
+
 def test_adaptive_code_length(odd):
     assert lmscore.adaptive_bits(b"abab" * 50) < 0.2 * lmscore.adaptive_bits(np.random.default_rng(1).bytes(200))
     assert lmscore.adaptive(odd.where("doc_id in (1, 2, 5)")).count() == 3
