@@ -3,7 +3,8 @@
 Row handling that every operator follows, unless its docstring says otherwise:
 a null text is an empty text, a null ``doc_id`` is a value like any other, repeated
 rows stay repeated, other columns of the input are ignored (operators select what
-they need by name, so extra columns with clashing names do no harm), and an empty
+they need by name; those that keep all columns name their own by :func:`free`, so extra
+columns with clashing names do no harm), and an empty
 table gives an empty result with the same schema.
 """
 
@@ -20,11 +21,11 @@ from pyspark.sql import functions as F
 from calforge.session import scratch_path
 
 #: Bytes of text that one step of a vectorised pass holds at once (a longer text is a step of its own).
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 #: Rows and bytes of an Arrow batch between Spark and Python, where the session does not say.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -60,6 +61,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as keep it apart from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def row_key(*cols: str) -> Column:
     return F.xxhash64(*cols)
 

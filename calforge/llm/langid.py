@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calforge.llm import ppm
-from calforge.llm.common import steps, stored, utf8
+from calforge.llm.common import free, steps, stored, utf8
 
 ORDER = 3
 SAMPLE_DOCS, SAMPLE_CHARS, BLOCK = 1200, 20_000, 64
@@ -32,7 +32,8 @@ GRAMS = "lang string, gram bigint, n bigint"
 
 def with_language(docs: DataFrame, models: dict[str, ppm.Model]) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is in some learned language."""
-    return identify(docs, models, True, ("_lang_pred", "_score")).where("_lang_pred <> 'und'").select(*(f"`{c}`" for c in docs.columns))
+    pred, score = free(docs, "_lang_pred", "_score")
+    return identify(docs, models, True, (pred, score)).where(F.col(pred) != "und").select(*(f"`{c}`" for c in docs.columns))
 
 
 def share(key: Column) -> Column:
@@ -78,35 +79,36 @@ def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = Fa
     length, were log2 probabilities."""
     names = sorted(models)
     blocks = [names[i:i + BLOCK] for i in range(0, len(names), BLOCK)] or [[]]
-    drop = {"_letter"} if keep_text else {"_letter", "text"}
-    state = {"_best": "string", "_top": "double", "_sum": "double"}
-    found = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    letter, *before = free(docs, "_letter", "_best", "_top", "_sum")
+    drop = {letter} if keep_text else {letter, "text"}
+    state = dict(zip(before, ("string", "double", "double"), strict=True))
+    found = docs.withColumn(letter, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     for i, block in enumerate(blocks):
         last = i == len(blocks) - 1
         sent = docs.sparkSession.sparkContext.broadcast([models[x] for x in block])   # bounded by the sample and BLOCK
         kept = [f for f in found.schema if f.name not in state and not (last and f.name in drop)]
         new = dict(zip(out, ("string", "double"), strict=True)) if last else state
         schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"`{k}` {v}" for k, v in new.items())])
-        found = found.mapInArrow(_best(block, sent, i == 0, last, [f.name for f in kept], list(new)), schema)
+        found = found.mapInArrow(_best(block, sent, i == 0, last, [f.name for f in kept], list(new), letter, before), schema)
         if not last:
             found = stored(found, "languages")
     return found
 
 
-def _best(names, sent, first, last, kept, new):
+def _best(names, sent, first, last, kept, new, letter, before):
     """The best of ``names`` and of what was best before, for each row of the batches."""
     def predict(batches):
         own = ppm.Scorer(sent.value) if names else None
         for batch in steps(batches, "text", ppm.STRETCH):
             data, offs = utf8(batch.column("text"))
-            some = np.array(batch.column("_letter").to_pylist(), bool)
+            some = np.array(batch.column(letter).to_pylist(), bool)
             if own:
                 bits = own.score(data, offs) / np.sqrt(np.diff(offs) + 1.0)[:, None]
                 top = bits.max(1)
                 best = np.array(names, object)[bits.argmax(1)]
                 total = np.exp2(bits - top[:, None]).sum(1)
                 if not first:
-                    up, up_best, up_total = (np.array(batch.column(c).to_pylist(), kind) for c, kind in (("_top", float), ("_best", object), ("_sum", float)))
+                    up_best, up, up_total = (np.array(batch.column(c).to_pylist(), kind) for c, kind in zip(before, (object, float, float), strict=True))
                     best = np.where(top > up, best, up_best)
                     high = np.maximum(top, up)
                     total = total * np.exp2(top - high) + up_total * np.exp2(up - high)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calforge.llm.common import mix, odd_numbers, steps, stored, utf8
+from calforge.llm.common import free, mix, odd_numbers, steps, stored, utf8
 from calforge.llm.components import components, relabel
 from calforge.llm.words import shingle_sets
 
@@ -118,6 +118,10 @@ def estimate(a: Column, b: Column, k: int = K) -> Column:
     return (1.0 - reduce(add, lanes) / F.lit(float(k)) - CHANCE) / (1.0 - CHANCE)
 
 
+#: Shingles of the sets that a confirming task keeps for later pairs (8 bytes each).
+HELD_SHINGLES = 1 << 20
+
+
 def _confirm(batches):
     sets: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -127,7 +131,7 @@ def _confirm(batches):
             both = []
             for v, t in ((a, ta), (b, tb)):
                 if v not in sets:
-                    if len(sets) > 64:
+                    if sum(map(len, sets.values())) > HELD_SHINGLES:
                         sets.clear()
                     sets[v] = shingle_sets(*utf8(pa.array([t.as_py()], pa.string())), WORDS)[0]
                 both.append(sets[v])
@@ -204,6 +208,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that lead their component: one document of each group stays, once."""
     lead = stored(near_duplicates(docs).where("kept").groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")), "lead")
-    key = lead.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
-    kept = docs.join(key, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_semi")
+    d, h = free(docs, "_d", "_h")
+    key = lead.select(F.col("doc_id").alias(d), F.col("h").alias(h))
+    kept = docs.join(key, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(h)), "left_semi")
     return kept if lead.where("n > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])

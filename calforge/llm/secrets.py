@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calforge.llm.common import let, stored
+from calforge.llm.common import free, let, stored
 from calforge.llm.spans import find_spans
 
 KINDS = ("assign", "access", "hex", "random")
@@ -183,15 +183,16 @@ def secret_report(docs: DataFrame) -> DataFrame:
 
 def masked(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span in ``text`` (merged where they overlap) replaced by ``mask``."""
-    hits = find_secrets(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.col("spans").alias("_spans")).distinct()
-    hit = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left")
-    ordered = F.array_sort(F.transform("_spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+    d, k, spans = free(docs, "_d", "_k", "_spans")
+    hits = find_secrets(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias(d), F.col("k").alias(k), F.col("spans").alias(spans)).distinct()
+    hit = docs.join(hits, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(k)), "left")
+    ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     piece = F.aggregate(ordered, start, lambda acc, x: F.struct(
         F.greatest(acc["at"], x["e"]).alias("at"),
         F.when(x["s"] >= acc["at"], F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, x["s"] - acc["at"]), F.lit(mask)))
          .otherwise(acc["out"]).alias("out")))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(
         let(piece, lambda p: F.concat(p["out"], F.col("text").substr(p["at"] + 1, F.length("text")))))
-    out = hit.withColumn("text", text).drop("_d", "_k", "_spans")
+    out = hit.withColumn("text", text).drop(d, k, spans)
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out

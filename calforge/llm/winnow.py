@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calforge.llm.common import let
+from calforge.llm.common import free, let
 
 SPAN_WORDS, K = 10, 5
 W = SPAN_WORDS - K + 1
@@ -136,5 +136,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with the benchmark."""
-    bad = hits(docs, benchmark).where(F.size("ranges") > 0).select(F.col("doc_id").alias("_d"), F.col("k").alias("_k")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left_anti")
+    d, k = free(docs, "_d", "_k")
+    bad = hits(docs, benchmark).where(F.size("ranges") > 0).select(F.col("doc_id").alias(d), F.col("k").alias(k)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(k)), "left_anti")

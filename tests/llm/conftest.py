@@ -10,7 +10,8 @@ ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "É ü 漢字"), (5, "same words he
 def odd(spark):
     """Nulls, empty and long texts, ties, repeated rows, and columns with clashing names."""
     df = spark.createDataFrame(ODD, "doc_id bigint, text string")
-    for c in ("h", "k", "c", "v", "n", "score", "label", "base", "spans", "item", "g"):
+    for c in ("h", "k", "c", "v", "n", "score", "label", "base", "spans", "item", "g",
+              "_d", "_h", "_k", "_id", "_spans", "_letter", "_best", "_top", "_sum", "_score", "_lang_pred", "_root", "r", "used"):
         df = df.withColumn(c, F.lit("other"))
     return df.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "aa").otherwise("bb"))
 
