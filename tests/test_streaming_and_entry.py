@@ -200,3 +200,22 @@ def test_answer_parsing_rules(spark):
     keys = ("source_rank", "source_name", "chunk_idx")
     got = sorted((r.chunk_idx, r.event_idx, r.category_raw) for r in X.parse_event_json(df, keys).collect())
     assert got == [(0, 0, "musik"), (0, 1, None)]
+
+
+def test_micro_batches_do_not_grow_with_the_landing(spark, tmp_path, monkeypatch):
+    """45,000 events land as 12 files of candidates, as 9 of pages: 8 micro-batches at most, all rows."""
+    from calforge.plans import catalog_more as CM
+    (spark.range(45000).selectExpr("id AS event_id", "timestamp_micros(1704067200000000 + id * 1000000) AS ts",
+                                   "id % 100 AS user_id", "'view' AS event_type")
+     .write.parquet(str(tmp_path / "events.parquet")))
+    made = iter(str(tmp_path / f"s{i}") for i in range(99))
+    monkeypatch.setattr(CM, "scratch_path", lambda *_: next(made))
+    monkeypatch.setattr(ST, "scratch_path", lambda *_: next(made))
+    keys = CM.q_stream_dedup(spark, str(tmp_path))
+    assert rows(keys) == rows(ST.E.with_event_key(FX.fx4_candidates(spark, str(tmp_path))).select("source_name", "event_key").distinct())
+    cols = ("chunk_idx", "event_idx", "event_key")
+    want = rows(ST.page_candidates(FX.fx3_card_pages(spark, str(tmp_path))), *cols)
+    assert rows(CM.q_stream_pages_to_events(spark, str(tmp_path)), *cols) == want
+    assert rows(CM.q_stream_event_feed(spark, str(tmp_path)), *cols) == want
+    batches = [len([f for f in p.iterdir() if f.name.isdigit()]) for p in tmp_path.glob("s*/_checkpoint/offsets")]
+    assert len(batches) == 3 and all(1 < n <= ST.BATCHES for n in batches)
