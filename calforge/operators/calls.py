@@ -26,6 +26,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calforge.session import stored_table
+
 KEYS = ("source_rank", "source_name", "chunk_idx")
 STORE = "chunk_hash string, response string, status string, attempts int, error string, run int"
 STATUSES = ("ok", "invalid", "timeout", "failed")
@@ -133,6 +135,7 @@ def call(chunks: DataFrame, extractor: Callable[[str], str], store: str, policy:
     answer, or what became of the last run's calls. A null chunk is an empty one."""
     spark = chunks.sparkSession
     hashed = chunks.select(*keys, F.coalesce("chunk", F.lit("")).alias("chunk")).withColumn("chunk_hash", F.sha2("chunk", 256))
+    hashed = stored_table(hashed, "chunks")      # read for the count, the calls and the answers: its lineage runs once
     known = read_store(spark, store)
     run = (known.agg(F.max("run")).first()[0] or 0) + 1
     todo = hashed.groupBy("chunk_hash").agg(F.min("chunk").alias("chunk")).join(

@@ -84,3 +84,17 @@ def test_a_batch_call_is_the_first_attempt(spark, tmp_path):
     assert got == {0: ("ok", 1, 1), 1: ("ok", 2, 1)} and Scripted(notes).calls() == {"second_thoughts": 1}
     got = outcome(C.call(frame(spark, "good", "bad batch"), InBatches(notes), str(tmp_path / "b"), C.CallPolicy(calls_per_task=10)))
     assert got == {0: ("ok", 1, 1), 1: ("ok", 1, 1)}
+
+
+def test_chunks_are_made_once(spark, tmp_path):
+    """What makes the chunks runs once, not for the count, the calls and the answers each."""
+    notes, made = tmp_path / "notes", spark.sparkContext.accumulator(0)
+    notes.mkdir()
+
+    def count(batches):
+        for pdf in batches:
+            made.add(len(pdf))
+            yield pdf
+
+    got = outcome(C.call(frame(spark, "good a", "good b").mapInPandas(count, CHUNKS), Scripted(notes), str(tmp_path / "store")))
+    assert got == {0: ("ok", 1, 1), 1: ("ok", 1, 1)} and made.value == 2
