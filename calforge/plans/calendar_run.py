@@ -19,7 +19,7 @@ from calforge.operators import events as E
 from calforge.operators import extract as X
 from calforge.operators import feed as FD
 from calforge.plans import gather as G
-from calforge.session import scratch_path
+from calforge.session import evenly, scratch_path
 from calforge.sources import sinks as S
 
 KEYS = ("source_rank", "source_name", "chunk_idx")
@@ -59,7 +59,7 @@ def extract_candidates(spark: SparkSession, registry: DataFrame, profiles: DataF
     rerun with the same folder calls only for chunks without a good one), and what became of each
     chunk is written to ``calls_path``; both are fresh folders of this run unless named."""
     texts = gather(registry, profiles, pages, override, listings) if texts is None else texts
-    units = texts.select("source_rank", "source_name", F.col("page_id").alias("page"), "text")
+    units = evenly(texts.select("source_rank", "source_name", F.col("page_id").alias("page"), "text"), "source_name", "page")
     if extractor is None:
         cand = X.extract_native(G.units_to_chunks(units, halo=X.HALO))
     else:

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from calforge.functions import date_lines as D
 from calforge.operators import extract as X
 from calforge.plans import fixtures as FX
 from calforge.plans import gather as G
@@ -113,3 +114,22 @@ def test_every_item_of_every_page_is_found(spark):
     found = X.extract_native(G.units_to_chunks(units, halo=X.HALO))
     assert found.count() == FX.table(spark, SF001, "events").count()
     assert found.groupBy("chunk_idx").agg(F.max("event_idx").alias("last"), F.count(F.lit(1)).alias("n")).where("last <> n - 1").isEmpty()
+
+
+def test_the_start_of_a_token_hides_none(spark):
+    """The guard at a token's start finds the same tokens as the pattern without it."""
+    lines = [*CASES, "vom 3.5. bis 5.5.", "Beginn: 20:00, Einlass 19 Uhr", "ca. 8 Uhr am Sa., 3.5.2026", "xam 3.5.2026", "ſo 3.5.", "MI 4.5. UM 9 UHR"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    bare = D.TOKEN_RE.replace(D._START, "", 1)
+    assert bare != D.TOKEN_RE
+    both = df.selectExpr(f"regexp_extract_all(line, {D.quoted(D.TOKEN_RE)}, 0) AS x", f"regexp_extract_all(line, {D.quoted(bare)}, 0) AS y").collect()
+    assert all(r.x == r.y for r in both) and sum(len(r.x) for r in both) > len(CASES)
+
+
+def test_text_work_is_dealt_evenly(spark):
+    """Stored texts compress well: their units are dealt by key, not by the size of files."""
+    from calforge.session import evenly
+    text = "concat_ws('', transform(sequence(1, 16), i -> sha2(concat(id, '.', i), 256))) AS text"
+    df = evenly(spark.range(3000).selectExpr("'s' AS source_name", "id AS page", text).coalesce(1), "source_name", "page")
+    sizes = [r["count"] for r in df.withColumn("p", F.spark_partition_id()).where("text <> ''").groupBy("p").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 3000 / 2
