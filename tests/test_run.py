@@ -70,3 +70,15 @@ def test_every_enabled_source_has_a_cause(spark):
                    "half": ("no events", 1, 0, 1, "not an answer of events"), "missing": ("no page", 0, 0, 0, None)}
     plain = {r.source_name: r.status for r in RUN.source_report(sources, texts, cand, "2026-01-01").collect()}
     assert plain["down"] == plain["half"] == "no events" and plain["missing"] == "no page"
+
+
+def test_partitions_of_page_text_are_small_unless_the_cluster_says(spark):
+    from calforge.session import apply_defaults
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert spark.conf.get(key) == "16m"
+    spark.conf.set(key, "32m")
+    try:
+        apply_defaults(spark)
+        assert spark.conf.get(key) == "32m"
+    finally:
+        spark.conf.set(key, "16m")
