@@ -11,13 +11,14 @@
    over a few bands first and then, for what is still apart, over all.
 4. Then every pair that shares a band key and still lies in different components is
    estimated inside the join, at the first key that the two share, and those that could be
-   similar are confirmed on full sets.
+   similar are confirmed on full sets. Classes under a crowded key (more than CROWDED classes)
+   first get FINE further minima, and their pairs are estimated by these too inside the join.
    So a large group of near copies never becomes all its pairs, and no link between
    components is lost.
 
 With R = 4 and 32 bands a pair at the threshold 0.75 misses all bands with a chance of
 5e-6. The estimate goes out at 4.2 standard errors below the threshold: 0.58 from the first
-COARSE minima (steps 3 and 4), 0.69 from all K (step 4).
+COARSE minima (steps 3 and 4), 0.69 from all K (step 4), 0.72 from FINE (crowded keys).
 
 Rows: a null or empty text has an empty set, links with nothing and is its own
 component; repeated rows (and repeated ids) are allowed, they share what their texts
@@ -41,11 +42,14 @@ from calforge.llm.words import shingle_sets
 
 K, COARSE, R, BANDS, B_BITS, WORDS = 1024, 128, 4, 32, 4, 5
 FIRST_BANDS = 4
+#: Minima of the second signature, and the classes of a band key above which its classes get one.
+FINE, CROWDED = 4096, 32
 SIMILAR = (75, 100)
 LANES = 64 // B_BITS
 CHANCE = 2.0 ** -B_BITS
 _MINIMA = odd_numbers(K, 11)
 _BAND = odd_numbers(R + 1, 13)
+_FINE = odd_numbers(FINE, 17)
 SIGNATURES = "doc_id bigint, h bigint, n_shingles bigint, d1 bigint, d2 bigint, sig array<bigint>, bands array<bigint>"
 
 
@@ -56,6 +60,16 @@ def _rows_of(values: np.ndarray) -> pa.Array:
                                     pa.array(np.ascontiguousarray(values).reshape(-1).view(np.int64)))
 
 
+def _packed(x: np.ndarray, start: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """The low b bits of the minimum under each multiplier, packed, for every (non-empty) set in ``x``."""
+    sig = np.zeros((len(start), len(multipliers) // LANES), np.uint64)
+    with np.errstate(over="ignore"):
+        for k, m in enumerate(multipliers):
+            low = np.minimum.reduceat(x * m, start) >> np.uint64(32)
+            sig[:, k // LANES] |= (low & np.uint64((1 << B_BITS) - 1)) << np.uint64(k % LANES * B_BITS)
+    return sig
+
+
 def _sign(x: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     """Digests, packed signature and band keys of the (non-empty) sets in ``x``."""
     with np.errstate(over="ignore"):
@@ -96,6 +110,13 @@ def signatures(docs: DataFrame) -> DataFrame:
         .mapInArrow(_signatures, SIGNATURES)
 
 
+def _finer(batches):
+    for batch in steps(batches, "text"):
+        sets, offs = shingle_sets(*utf8(batch.column("text")), WORDS)
+        fine = _packed(sets, offs[:-1], _FINE)
+        yield pa.RecordBatch.from_arrays([batch.column("v"), _rows_of(fine)], ["v", "fine"])
+
+
 def at_least(k: int) -> float:
     """The least estimate from ``k`` minima of a pair that could be similar."""
     similar = SIMILAR[0] / SIMILAR[1]
@@ -145,19 +166,29 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays(cols[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def _texts(rows: DataFrame, column: str, name: str, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Adds the text of the class in ``column``. Texts come from a shuffle of the documents by their key."""
+    key = classes.select(F.col("v").alias(column), F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
+    found = docs.select(F.col("doc_id").cast("bigint").alias("_d"), F.xxhash64("text").alias("_k"), F.col("text").alias(name))
+    return rows.join(key, column).join(found, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k"))) \
+        .drop("_id", "_h", "_d", "_k")
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose full shingle sets are similar. Texts come
-    from one shuffle of the documents by their key, used for both sides."""
-    key = classes.select("v", "doc_id", "h")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    """The pairs ``(a, b)`` of classes whose full shingle sets are similar."""
     for side in ("b", "a"):
-        pairs = pairs.join(key.select(F.col("v").alias(side), F.col("doc_id").alias("_id"), F.col("h").alias("_h")), side)
-        found = texts.select(F.col("doc_id").alias("_d"), F.col("h").alias("_k"), F.col("text").alias(f"text_{side}"))
-        pairs = pairs.join(found, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k"))) \
-            .drop("_id", "_h", "_d", "_k")
+        pairs = _texts(pairs, side, f"text_{side}", classes, docs)
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint").distinct()
 
 
+def finer(mixed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``v, fine``: the second signature of every class that has a crowded key in ``mixed``."""
+    crowded = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED)
+    held = mixed.join(crowded, "key", "left_semi").select("v").distinct()
+    return _texts(held, "v", "text", classes, docs).dropDuplicates(["v"]).select("v", "text") \
+        .mapInArrow(_finer, "v bigint, fine array<bigint>")
+
+
 def _stars(classes: DataFrame, joined: DataFrame, bands: int) -> DataFrame:
     """Candidates ``(a, b)``: classes with the first class of a band key, where the two lie in
     different components and could be similar; the best for each pair of components."""
@@ -174,6 +205,26 @@ def _stars(classes: DataFrame, joined: DataFrame, bands: int) -> DataFrame:
     return rated.groupBy("c", "ac").agg(best).select((-F.col("m.a")).alias("a"), (-F.col("m.b")).alias("b"))
 
 
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """The pair ``(a, b)`` with the highest estimate of every component, of ``a, b``, their components ``x, y`` and ``like``."""
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("end"), F.struct("like", "a", "b").alias("p"))
+    return ends.groupBy("end").agg(F.max("p").alias("p")).select("p.a", "p.b").distinct()
+
+
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose classes still lie in different components."""
+    c = joined.select("v", F.col("c").alias("root"))
+    both = relabel(relabel(pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y")), c, "x"), c, "y")
+    return both.where("x <> y").select("a", "b")
+
+
+def _merged(joined: DataFrame, pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``joined`` (``v, c``) after the links among ``pairs``."""
+    found, c = confirmed(pairs, classes, docs), joined.select("v", F.col("c").alias("root"))
+    roots = components(relabel(relabel(found, c, "a"), c, "b"))
+    return stored(relabel(joined, roots, "c").select("v", "c"), "joined")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, h, n_shingles, component_id, kept`` for every row; ``h``
     is the hash of its text."""
@@ -186,23 +237,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = classes.select("v", F.col("v").alias("c"))
     # first a few bands, whose stars join most of each group; then the stars of all bands, between what is still apart
     for bands in (FIRST_BANDS, BANDS):
-        found = confirmed(stored(_stars(classes, joined, bands), "stars"), classes, docs)
-        roots = components(relabel(relabel(found, joined.select("v", F.col("c").alias("root")), "a"),
-                                   joined.select("v", F.col("c").alias("root")), "b"))
-        joined = stored(relabel(joined, roots, "c").select("v", "c"), "joined")
+        joined = _merged(joined, stored(_stars(classes, joined, bands), "stars"), classes, docs)
     rows = classes.join(joined, "v").select("v", "c", F.explode("bands").alias("key"))
     apart = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-    mixed = stored(rows.join(apart, "key", "left_semi"), "mixed").join(classes.select("v", "sig", "bands"), "v")
+    mixed = stored(rows.join(apart, "key", "left_semi"), "mixed")
+    mixed = mixed.join(classes.select("v", "sig", "bands"), "v").join(stored(finer(mixed, classes, docs), "finer"), "v", "left")
     one, two = mixed.alias("one"), mixed.alias("two")
     pairs = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.c") < F.col("two.c"))
                      & (estimate(F.col("one.sig"), F.col("two.sig"), COARSE) >= at_least(COARSE))
+                     & (F.get(F.array_intersect("one.bands", "two.bands"), F.lit(0)) == F.col("one.key"))
                      & (estimate(F.col("one.sig"), F.col("two.sig")) >= at_least(K))
-                     & (F.get(F.array_intersect("one.bands", "two.bands"), F.lit(0)) == F.col("one.key"))) \
-        .select(F.col("one.v").alias("a"), F.col("two.v").alias("b"))
-    links = confirmed(stored(pairs, "pairs"), classes, docs)
-    roots = joined.select("v", F.col("c").alias("root"))
-    across = components(relabel(relabel(links, roots, "a"), roots, "b").select("a", "b"))
-    member = relabel(classes.select("v", "d1", "d2").join(joined, "v"), across, "c").select("d1", "d2", "c")
+                     & F.coalesce(estimate(F.col("one.fine"), F.col("two.fine"), FINE) >= at_least(FINE), F.lit(True))) \
+        .select(F.col("one.v").alias("a"), F.col("two.v").alias("b"), F.col("one.c").alias("x"), F.col("two.c").alias("y"),
+                F.coalesce(estimate(F.col("one.fine"), F.col("two.fine"), FINE),
+                           estimate(F.col("one.sig"), F.col("two.sig"))).alias("like"))
+    pairs = stored(pairs, "pairs")
+    # first the likeliest pair of every component; then all pairs between what is still apart
+    joined = _merged(joined, stored(_likeliest(pairs), "likeliest"), classes, docs)
+    joined = _merged(joined, stored(_apart(pairs, joined), "apart"), classes, docs)
+    member = classes.select("v", "d1", "d2").join(joined, "v").select("d1", "d2", "c")
     placed = signed.select("doc_id", "h", "n_shingles", "d1", "d2").join(stored(member, "member"), ["d1", "d2"], "left")
     named = placed.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("name"))
     out = placed.join(named, "c", "left").withColumn(
