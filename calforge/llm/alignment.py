@@ -5,10 +5,15 @@ text behind one blank: A gets it written out, B adds its own. A token's bytes ar
 decoded from the byte alphabet (A), or its piece with U+2581 as a blank and <0xHH> as that byte
 (B). Where the tokens of each side joined give exactly blank + text, both cut the same bytes.
 
-Each batch is one ``merge_asof`` in each direction, keyed by document: the start of every token
-finds the token of the other side that covers it. The union of both directions is every pair of
-tokens that share a byte (``overlaps``). Pairs that end together are ``links``; the places where
-they end cut the text into groups, the smallest stretches that both sides tile.
+Texts are encoded in chunks, each distinct one once: neither side has a token across the place
+before a blank that follows another character and is followed by none of white space (A's pattern
+begins a word there; none of B's pieces has a blank behind another character, which is checked, and
+a model where that does not hold gets whole texts).
+
+Token starts rise through a batch: at each start of either side the tokens of both sides that cover
+it are looked up, which gives every pair of tokens that share a byte once (``overlaps``). Pairs that
+end together are ``links``; the places where they end cut the text into groups, the smallest
+stretches that both sides tile.
 
 ``link_counts`` counts the linked id pairs of the whole corpus (added up inside each document
 first). ``scored`` gives each document the counts of its links. Counts go out to the tasks as
@@ -18,19 +23,19 @@ checked first, and the links of pairs beyond them go through a join instead.
 Rows: a null or empty text, or one that either side does not give back byte by byte (a text with
 U+2581 in it), has no tokens: zeros and no groups. Special strings in a text are plain text.
 Repeated rows are counted and returned as often as they come; null ids are kept; extra columns
-are ignored; an empty table gives an empty result. A text is encoded whole (B merges across
-blanks, so it has no safe place to cut), so a task holds one whole text at least.
+are ignored; an empty table gives an empty result. A text without a place to cut is encoded whole,
+so a task holds one whole text at least.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
@@ -45,6 +50,12 @@ ALIGN_BYTES = 1 << 20
 #: Pairs whose counts are sent to every task: 16 bytes each.
 MOST_SENT = 1 << 20
 _ID_BITS = 32
+#: Chunks, and characters of them, whose encoding a task keeps for later texts.
+KEPT_CHUNKS, KEPT_CHARS = 1 << 18, 1 << 22
+#: Chunks that are encoded in one call, a blank between each two.
+ONE_CALL = 256
+#: The places where no token of either side crosses: a blank between two words.
+_CUT = re.compile(r" (?<=[^ ] )(?=\S)")
 
 
 def model_of(path: str) -> bytes:
@@ -61,11 +72,12 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: ids of texts, and the bytes of every id."""
+    """One tokenizer: ids of texts, the bytes of every id, and whether texts may be cut at ``_CUT``."""
 
-    def __init__(self, encode, table: list[bytes]):
+    def __init__(self, encode, table: list[bytes], cuts: bool):
         self.encode = encode
         self.table = table
+        self.cuts = cuts
         self.sizes = np.array([len(b) for b in table], np.int64)
 
 
@@ -83,7 +95,11 @@ def _byte_level(model: bytes) -> Side:
     def encode(texts):
         return [e.ids for e in tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
-    return Side(encode, [entry(i) for i in range(tok.get_vocab_size(with_added_tokens=True))])
+    file = json.loads(model)
+    words = file["pre_tokenizer"] or {}
+    cuts = (file["normalizer"] is None and file["post_processor"] is None and words.get("type") == "ByteLevel"
+            and words["use_regex"] and not words["add_prefix_space"] and all(t["special"] for t in file["added_tokens"]))
+    return Side(encode, [entry(i) for i in range(tok.get_vocab_size(with_added_tokens=True))], cuts)
 
 
 @lru_cache(maxsize=2)
@@ -99,72 +115,140 @@ def _pieces(model: bytes) -> Side:
     def encode(texts):
         return sp.encode(texts, num_threads=1)
 
-    return Side(encode, [entry(i) for i in range(sp.get_piece_size())])
+    # also false where the model takes blanks away: it must give back each of them, and add one
+    cuts = (sp.decode(sp.encode("  a  b ")) == "  a  b " and sp.encode("  a", out_type=str)[0].startswith("▁")
+            and not any(re.search("[^▁]▁", sp.id_to_piece(i)) for i in range(sp.get_piece_size())))
+    return Side(encode, [entry(i) for i in range(sp.get_piece_size())], cuts)
+
+
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges ``first, first + 1, ...`` of ``n`` each, in order."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+class _Chunks:
+    """Both sides' tokens of every distinct chunk seen: a chunk's number, whether both sides give it
+    back behind a blank, and for each side the place and number of its tokens."""
+
+    def __init__(self, side_a: Side, side_b: Side):
+        self.sides = side_a, side_b
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.chars = 0
+        self.good = np.zeros(0, bool)
+        self.ids, self.n = ([np.zeros(0, np.int64)] * 2 for _ in range(2))
+
+    def cut(self, texts: list[str]) -> list[list[str]]:
+        return [_CUT.split(t) for t in texts] if all(s.cuts for s in self.sides) else [[t] for t in texts]
+
+    def add(self, chunks: list[str]) -> None:
+        """Encodes the chunks not seen yet. Those that may stand next to others (a cut is on both
+        sides then) go many at a time; a call that does not give back its bytes is made again for each."""
+        fresh = [c for c in dict.fromkeys(chunks) if c not in self.number]
+        near, alone = [], []
+        for c in fresh:
+            (alone if not c or c[0].isspace() or c[-1] == " " else near).append(c)
+        if not all(s.cuts for s in self.sides):
+            near, alone = [], fresh
+        alone = self._encode([near[i:i + ONE_CALL] for i in range(0, len(near), ONE_CALL)]) + [[c] for c in alone]
+        bad = [c for call in self._encode(alone) for c in call]
+        self._number(bad, False)
+        self.n = [np.concatenate([n, np.zeros(len(bad), np.int64)]) for n in self.n]
+
+    def _number(self, chunks: list[str], good: bool) -> None:
+        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)), strict=True))
+        self.chars += sum(map(len, chunks))
+        self.good = np.concatenate([self.good, np.full(len(chunks), good)])
+
+    def _encode(self, calls: list[list[str]]) -> list[list[str]]:
+        """Keeps the tokens of the calls that both sides give back; the chunks of the others, one by one."""
+        lines = [" ".join(c) for c in calls]
+        ids = [side.encode(lines) if lines else [] for side in self.sides]
+        good = [all(b"".join([side.table[t] for t in x]) == w for side, x in zip(self.sides, both, strict=True))
+                for w, *both in zip([b" " + t.encode() for t in lines], *ids, strict=True)]
+        kept = [c for call, ok in zip(calls, good, strict=True) if ok for c in call]
+        ends = np.cumsum(np.array([len(c.encode()) + 1 for c in kept], np.int64))
+        for i, side in enumerate(self.sides):
+            flat = np.array([t for x, ok in zip(ids[i], good, strict=True) if ok for t in x], np.int64)
+            upto = np.cumsum(side.sizes[flat])
+            last = np.searchsorted(upto, ends)
+            assert (upto[last] == ends).all()              # no token crosses a cut
+            self.ids[i] = np.concatenate([self.ids[i], flat])
+            self.n[i] = np.concatenate([self.n[i], np.diff(last, prepend=-1)])
+        self._number(kept, True)
+        return [[c] for call, ok in zip(calls, good, strict=True) if not ok for c in call]
 
 
 class _Tokens:
     """The tokens of one side over a batch: document, id and byte range of each, where byte
     ranges count from the batch's first text on (so they rise through the whole batch)."""
 
-    def __init__(self, side: Side, ids: list[list[int]], lengths: np.ndarray):
-        self.n = np.array([len(x) for x in ids], np.int64)
-        self.id = np.concatenate([np.array(x, np.int64) for x in ids]) if ids else np.zeros(0, np.int64)
-        self.doc = np.repeat(np.arange(len(ids)), self.n)
+    def __init__(self, side: Side, n: np.ndarray, ids: np.ndarray):
+        self.n = n
+        self.id = ids
+        self.doc = np.repeat(np.arange(len(n)), n)
         self.end = np.cumsum(side.sizes[self.id])
         self.start = self.end - side.sizes[self.id]
         self.base = np.cumsum(self.n) - self.n           # position of each document's first token
-        assert not len(lengths) or int(lengths.sum()) == (int(self.end[-1]) if len(self.end) else 0)
-
-    def frame(self, name: str) -> pd.DataFrame:
-        return pd.DataFrame({"doc": self.doc, "at": self.start, name: np.arange(len(self.id))})
 
 
-def _both(side_a: Side, side_b: Side, texts: list[str]) -> tuple[np.ndarray, _Tokens, _Tokens]:
+def _both(chunks: _Chunks, texts: list[str]) -> tuple[np.ndarray, _Tokens, _Tokens]:
     """Tokens of both sides, and which texts have any: both sides must give back blank + text."""
-    want = [b" " + t.encode() for t in texts]
-    a, b = side_a.encode(texts), side_b.encode(texts)
-    whole = np.array([bool(t) and b"".join([side_a.table[i] for i in x]) == w and b"".join([side_b.table[i] for i in y]) == w
-                      for t, w, x, y in zip(texts, want, a, b, strict=True)], bool)
-    lengths = np.array([len(w) if ok else 0 for w, ok in zip(want, whole, strict=True)], np.int64)
-    a, b = ([x if ok else [] for x, ok in zip(side, whole, strict=True)] for side in (a, b))
-    return whole, _Tokens(side_a, a, lengths), _Tokens(side_b, b, lengths)
+    if len(chunks.number) > KEPT_CHUNKS or chunks.chars > KEPT_CHARS:
+        chunks.forget()
+    parts = chunks.cut(texts)
+    flat = [c for p in parts for c in p]
+    chunks.add(flat)
+    number = chunks.number
+    used = np.array([number[c] for c in flat], np.int64)
+    doc = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+    whole = (np.bincount(doc[~chunks.good[used]], minlength=len(texts)) == 0) & np.array([t != "" for t in texts], bool)
+    kept = whole[doc]
+    used, doc = used[kept], doc[kept]
+    sides = []
+    for side, ids, n in zip(chunks.sides, chunks.ids, chunks.n, strict=True):
+        many = n[used]
+        sides.append(_Tokens(side, np.bincount(doc, many, len(texts)).astype(np.int64), ids[_ranges((np.cumsum(n) - n)[used], many)]))
+    a, b = sides
+    assert (a.end[-1:] == b.end[-1:]).all()
+    return whole, a, b
 
 
 def _overlaps(a: _Tokens, b: _Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs of tokens that share a byte, in text order: the union of both
-    directions. A pair that starts together is found in both and stays once."""
-    fa, fb = a.frame("a"), b.frame("b")
-    ab = pd.merge_asof(fa, fb, on="at", by="doc")
-    ba = pd.merge_asof(fb, fa, on="at", by="doc")
-    ba = ba[a.start[ba["a"].to_numpy(np.int64)] != ba["at"].to_numpy()]
-    pairs_a = np.concatenate([ab["a"].to_numpy(np.int64), ba["a"].to_numpy(np.int64)])
-    pairs_b = np.concatenate([ab["b"].to_numpy(np.int64), ba["b"].to_numpy(np.int64)])
-    order = np.argsort(np.maximum(a.start[pairs_a], b.start[pairs_b]), kind="stable")
-    return pairs_a[order], pairs_b[order]
+    """Positions of all pairs of tokens that share a byte, in text order: those that cover each
+    place where a token of either side starts."""
+    at = np.sort(np.concatenate([a.start, b.start]), kind="stable")      # two sorted runs
+    at = at[np.diff(at, prepend=-1) > 0]
+    return np.searchsorted(a.start, at, "right") - 1, np.searchsorted(b.start, at, "right") - 1
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
-def _number_strings(n: int) -> list[bytes]:
-    """Ids as decimal text with what follows them: a token, a group's last A, a group's last B."""
-    return [b"%d%s" % (i, after) for after in (b",", b"|", b";") for i in range(n)]
+def _number_strings(n: int) -> np.ndarray:
+    """Ids as decimal text with what follows them: a token, a group's last A, a group's last B. One
+    row of bytes each, filled up with zeros."""
+    rows = np.array([b"%d%s" % (i, after) for after in (b",", b"|", b";") for i in range(n)])
+    return rows.view(np.uint8).reshape(len(rows), -1)
 
 
-def _group_digests(a: _Tokens, b: _Tokens, ends_a: np.ndarray, ends_b: np.ndarray, strings: list[bytes], width: int) -> list[str]:
+def _group_digests(a: _Tokens, b: _Tokens, ends_a: np.ndarray, ends_b: np.ndarray, strings: np.ndarray, width: int) -> list[str]:
     """sha256 of ``a1,a2|b1;a3|b2,b3`` of each document; '' without tokens. ``ends_*`` marks the
     tokens that end a group."""
     group = [np.cumsum(e) - e for e in (ends_a, ends_b)]             # groups before each token
-    key = np.concatenate([group[0] * 2, group[1] * 2 + 1])
-    code = np.concatenate([a.id + width * ends_a, b.id + 2 * width * ends_b])
-    code = code[np.argsort(key, kind="stable")]
-    out, at = [], 0
-    for n in (a.n + b.n).tolist():
-        line = b"".join([strings[i] for i in code[at:at + n].tolist()])
-        out.append(hashlib.sha256(line[:-1]).hexdigest() if n else "")
-        at += n
-    return out
+    groups = int(ends_a.sum())
+    size_a, size_b = (np.bincount(g, minlength=groups) for g in group)
+    code = np.empty(len(a.id) + len(b.id), np.int64)
+    code[np.arange(len(a.id)) + (np.cumsum(size_b) - size_b)[group[0]]] = a.id + width * ends_a
+    code[np.arange(len(b.id)) + np.cumsum(size_a)[group[1]]] = b.id + 2 * width * ends_b
+    upto = np.concatenate([[0], np.cumsum(np.count_nonzero(strings, axis=1)[code])])
+    line = strings[code]
+    line = line[line != 0]
+    cuts = upto[np.concatenate([[0], np.cumsum(a.n + b.n)])].tolist()
+    return [hashlib.sha256(line[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _aligner(sent_a, sent_b):
@@ -173,9 +257,9 @@ def _aligner(sent_a, sent_b):
     def run(batches):
         side_a, side_b = _byte_level(sent_a.value), _pieces(sent_b.value)
         width = max(len(side_a.table), len(side_b.table))
-        strings = _number_strings(width)
+        strings, chunks = _number_strings(width), _Chunks(side_a, side_b)
         for batch in steps(batches, "text", ALIGN_BYTES):
-            whole, a, b = _both(side_a, side_b, _texts(batch))
+            whole, a, b = _both(chunks, _texts(batch))
             pa_, pb_ = _overlaps(a, b)
             together = a.end[pa_] == b.end[pb_]
             la, lb = pa_[together], pb_[together]
@@ -184,10 +268,9 @@ def _aligner(sent_a, sent_b):
             rows = len(whole)
             n_overlaps = np.bincount(a.doc[pa_], minlength=rows)
             n_links = np.bincount(a.doc[la], minlength=rows)
-            links = pd.DataFrame({"doc": a.doc[la], "a": a.id[la], "b": b.id[lb]}).value_counts(sort=False).reset_index()
-            links = links.sort_values("doc", kind="stable")
-            cuts = pa.array(np.searchsorted(links["doc"].to_numpy(), np.arange(rows + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(links[c].to_numpy(), pa.int32())) for c in ("a", "b", "count")]
+            links, times = np.unique((a.doc[la] * width + a.id[la]) * width + b.id[lb], return_counts=True)
+            cuts = pa.array(np.searchsorted(links, np.arange(rows + 1) * width ** 2), pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x, pa.int32())) for x in (links // width % width, links % width, times)]
             digests = _group_digests(a, b, ends_a, ends_b, strings, width)
             names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
@@ -223,9 +306,9 @@ def overlaps(docs: DataFrame, model_a: bytes, model_b: bytes) -> DataFrame:
     sent_a, sent_b = _sent(docs, model_a, model_b)
 
     def run(batches):
-        side_a, side_b = _byte_level(sent_a.value), _pieces(sent_b.value)
+        chunks = _Chunks(_byte_level(sent_a.value), _pieces(sent_b.value))
         for batch in steps(batches, "text", ALIGN_BYTES):
-            _, a, b = _both(side_a, side_b, _texts(batch))
+            _, a, b = _both(chunks, _texts(batch))
             pa_, pb_ = _overlaps(a, b)
             doc = a.doc[pa_]
             first = a.start[np.minimum(a.base, max(len(a.id) - 1, 0))][doc] if len(pa_) else np.zeros(0, np.int64)
