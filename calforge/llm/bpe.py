@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from calforge.llm.common import steps, utf8
+from calforge.llm.common import steps, tidy, utf8
 
 CHUNK, OVERLAP, MARGIN = 1 << 16, 1 << 10, 8
 
@@ -118,11 +118,11 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     t = docs.select("doc_id", "text")
     long = F.coalesce(F.length("text") > CHUNK, F.lit(False))
-    short = t.where(~long).mapInArrow(_encoder(sent, pattern), f"doc_id {kind}, n_tokens bigint, ids binary")
+    short = t.where(~long).mapInArrow(tidy(_encoder(sent, pattern)), f"doc_id {kind}, n_tokens bigint, ids binary")
     copies = t.where(long).select("doc_id", F.xxhash64("text").alias("k"), "text")
     single = copies.dropDuplicates(["doc_id", "k"])
     coded = pieces(single, pattern).repartition("doc_id", "k", "piece").mapInArrow(
-        _encoder(sent, pattern), f"doc_id {kind}, k bigint, piece int, n_tokens bigint, ids binary")
+        tidy(_encoder(sent, pattern)), f"doc_id {kind}, k bigint, piece int, n_tokens bigint, ids binary")
     whole = coded.groupBy("doc_id", "k").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("parts")) \
         .mapInArrow(_join_pieces, f"doc_id {kind}, k bigint, n_tokens bigint, ids binary").withColumnsRenamed({"doc_id": "_d", "k": "_k"})
     back = copies.select("doc_id", "k").join(whole, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("k") == F.col("_k")))
@@ -141,7 +141,7 @@ def decode(coded: DataFrame, ranks: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema)
-    return coded.mapInArrow(run, f"{kept}, decoded binary")
+    return coded.mapInArrow(tidy(run), f"{kept}, decoded binary")
 
 
 def digest(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calforge.llm import ppm
-from calforge.llm.common import free, steps, stored, utf8
+from calforge.llm.common import free, steps, stored, tidy, utf8
 
 ORDER = 3
 SAMPLE_DOCS, SAMPLE_CHARS, BLOCK = 1200, 20_000, 64
@@ -63,9 +63,11 @@ def train(labelled: DataFrame) -> dict[str, ppm.Model]:
     part = F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(F.substring("text", start, F.lit(SAMPLE_CHARS)))
     models = {}
     for i in range(0, len(counts), BLOCK):
-        rates = labelled.sparkSession.createDataFrame([(r["lang"], SAMPLE_DOCS / r["n"]) for r in counts[i:i + BLOCK]], "lang string, rate double")
+        some = counts[i:i + BLOCK]          # as an Arrow table, so that no other kind of Python worker starts for it
+        rates = labelled.sparkSession.createDataFrame(pa.table({"lang": pa.array([r["lang"] for r in some], pa.string()),
+                                                                "rate": pa.array([SAMPLE_DOCS / r["n"] for r in some], pa.float64())}))
         sample = usable.join(F.broadcast(rates), "lang").where(share(key) < F.col("rate"))
-        table = sample.select("lang", part.alias("text")).mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+        table = sample.select("lang", part.alias("text")).mapInArrow(tidy(_count), GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
         models |= {str(lang): ppm.Model(part["gram"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy(np.int64), ORDER, exclusion=False)
                    for lang, part in table.groupby("lang", sort=True)}
     return models
@@ -89,7 +91,7 @@ def identify(docs: DataFrame, models: dict[str, ppm.Model], keep_text: bool = Fa
         kept = [f for f in found.schema if f.name not in state and not (last and f.name in drop)]
         new = dict(zip(out, ("string", "double"), strict=True)) if last else state
         schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"`{k}` {v}" for k, v in new.items())])
-        found = found.mapInArrow(_best(block, sent, i == 0, last, [f.name for f in kept], list(new), letter, before), schema)
+        found = found.mapInArrow(tidy(_best(block, sent, i == 0, last, [f.name for f in kept], list(new), letter, before)), schema)
         if not last:
             found = stored(found, "languages")
     return found

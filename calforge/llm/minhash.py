@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calforge.llm.common import free, mix, odd_numbers, steps, stored, utf8
+from calforge.llm.common import free, mix, odd_numbers, steps, stored, tidy, utf8
 from calforge.llm.components import components, relabel
 from calforge.llm.words import shingle_sets
 
@@ -107,7 +107,7 @@ def _signatures(batches):
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` -> set size, set digest, packed b-bit signature, band keys."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("h"), "text") \
-        .mapInArrow(_signatures, SIGNATURES)
+        .mapInArrow(tidy(_signatures), SIGNATURES)
 
 
 def _finer(batches):
@@ -178,7 +178,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     """The pairs ``(a, b)`` of classes whose full shingle sets are similar."""
     for side in ("b", "a"):
         pairs = _texts(pairs, side, f"text_{side}", classes, docs)
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint").distinct()
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(_confirm), "a bigint, b bigint").distinct()
 
 
 def finer(mixed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -186,7 +186,7 @@ def finer(mixed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     crowded = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED)
     held = mixed.join(crowded, "key", "left_semi").select("v").distinct()
     return _texts(held, "v", "text", classes, docs).dropDuplicates(["v"]).select("v", "text") \
-        .mapInArrow(_finer, "v bigint, fine array<bigint>")
+        .mapInArrow(tidy(_finer), "v bigint, fine array<bigint>")
 
 
 def _stars(classes: DataFrame, joined: DataFrame, bands: int) -> DataFrame:

@@ -17,7 +17,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-STRETCH = 1 << 20
+#: Bytes of text that are hashed at once, with some four numbers for each.
+STRETCH = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _SHINGLE = odd_numbers(64, 7)
 _tables: list[np.ndarray] = []
