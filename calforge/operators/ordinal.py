@@ -4,11 +4,14 @@
 range-partitioned on ``k`` and sorted inside each partition; ``monotonically_increasing_id``
 then holds (partition, position) and only one count per partition - a table whose
 size is bounded by the partition count, not by the data - is prefix-summed and
-broadcast to turn local positions into global ones. ``k`` must be unique.
+broadcast to turn local positions into global ones. ``k`` (one column or several) should be
+unique: rows of equal ``k`` get positions next to each other, in any order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +20,10 @@ from calforge.session import scratch_path
 _LOW_BITS = (1 << 33) - 1
 
 
-def dense_index(df: DataFrame, order_col: str, out: str, num_partitions: int | None = None) -> DataFrame:
-    ranged = df.repartitionByRange(num_partitions, order_col) if num_partitions else df.repartitionByRange(order_col)
-    ids = (ranged.sortWithinPartitions(order_col)
+def dense_index(df: DataFrame, order_col: str | Sequence[str], out: str, num_partitions: int | None = None) -> DataFrame:
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ids = (ranged.sortWithinPartitions(*order)
            .withColumn("_mid", F.monotonically_increasing_id())
            .withColumn("_part", F.shiftrightunsigned("_mid", 33))
            .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))

@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calforge.operators.feed import LINE_COLS, ics_envelope
-from calforge.session import shared_dir
+from calforge.operators.feed import LINE_COLS, event_lines, ics_envelope
+from calforge.operators.ordinal import dense_index
+from calforge.session import stored_table
 
-#: Events of one calendar, and calendars of one month.
-EVENTS_PER_CALENDAR, MOST_PIECES = 10_000, 1_000
+#: Events of one calendar.
+EVENTS_PER_CALENDAR = 10_000
 SORT_COLS = ("category", "part", "source_rank", "chunk_idx", "event_idx", "line_no")
 
 
@@ -32,42 +33,31 @@ def read_text_sink(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_pieces(body: DataFrame, events: int = EVENTS_PER_CALENDAR, pieces: int | None = None) -> DataFrame:
-    """Adds ``piece``: the lines of a month (``build_months``) cut into calendars of about ``events``
-    events each (or into ``pieces`` calendars), in the order of their starts.
-
-    The cuts are quantiles of each month's sort key, from one sketch that combines map-side: day,
-    hour and minute of the start, then a hash of the event's place, so that a start shared by a
-    third of all events is cut as well. A month of n calendars takes every n-th part of the
-    sketch's fractions, four times as many as the largest month needs. A month has MOST_PIECES
-    calendars at most (they grow beyond that). Only the largest count reaches the driver."""
-    first = F.col("line_no") == 0
-    wanted = F.least(F.ceil(F.col("n") / events), F.lit(MOST_PIECES)) if pieces is None else F.lit(min(pieces, MOST_PIECES))
-    sizes = body.where(first).groupBy("category", "month").agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.agg(F.max(wanted)).first()[0] or 1
-    if most == 1:
-        return body.withColumn("piece", F.lit(0))
-    steps = 4 * int(most)
-    fractions = F.expr(f"array({', '.join(f'{i / steps}D' for i in range(1, steps))})")
-    when = F.concat(F.substring("start", 7, 2), F.substring("start", 10, 4)).cast("bigint")
-    place = F.pmod(F.xxhash64("source_rank", "chunk_idx", "event_idx"), F.lit(1 << 32))
-    keyed = body.withColumn("_key", when * F.lit(1 << 32) + place)
-    sketch = keyed.where(first).groupBy("category", "month").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("_key", fractions, 10 * steps).alias("q"))
-    cuts = sketch.withColumn("_n", wanted.cast("int")).select(
-        "category", "month", F.expr(f"IF(_n < 2, CAST(array() AS array<bigint>), transform(sequence(1, _n - 1), i -> "
-                                    f"element_at(q, CAST(round(i * {steps} / _n) AS int))))").alias("_cuts"))
-    piece = F.size(F.filter("_cuts", lambda c: c < F.col("_key")))
-    return keyed.join(cuts, ["category", "month"]).withColumn("piece", piece).drop("_key", "_cuts")
+    """Adds ``at`` and ``piece``: the events of a month (``build_months``) cut into as many calendars
+    as hold ``events`` events each (or into ``pieces`` calendars), in the order of their starts.
+
+    ``at`` is an event's position in the order of all events (month, start, place), from one range
+    partitioning (``dense_index``), so that a start shared by a third of all events is cut as well
+    and calendars of a month differ by one event at most, however many there are. What is sent
+    to every task is one row for each category and month: its size and first position."""
+    body = stored_table(body, "month-events")    # read for the ranges' samples and for its rows
+    placed = dense_index(body, ("category", "month", "start", "source_rank", "chunk_idx", "event_idx"), "at")
+    sizes = placed.groupBy("category", "month").agg(F.min("at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    wanted = F.ceil(F.col("_n") / events) if pieces is None else F.lit(pieces).cast("bigint")
+    piece = F.expr("(at - _first) * _wanted div _n").cast("int")
+    return (placed.join(F.broadcast(sizes.withColumn("_wanted", wanted)), ["category", "month"])
+            .withColumn("piece", piece).drop("_first", "_n", "_wanted"))
 
 
 def ics_sink(lines: DataFrame, path: str, single_file: bool = False, pieces: int | None = None,
              events: int = EVENTS_PER_CALENDAR) -> None:
     """SC8: valid calendars as ``.ics`` files, in one layout at every size.
 
-    Takes the lines of ``build_months`` and writes the calendars of each category and month
+    Takes the events of ``build_months`` and writes the calendars of each category and month
     (``category=<name>/month=<yyyyMM>/piece=<n>``), each with its own header and footer. A month
     has as many as its events need (``with_pieces``), one after the other in the order of the
-    events' starts, and so are the events within each.
+    events' starts, and so are the events within each. Events are shuffled as rows of their
+    fields and become lines where their calendar is written.
 
     ``single_file`` takes the lines of ``build_feed`` and writes the one file per category of
     a small run (``category=<name>``): a choice of the caller, since one task then writes a
@@ -75,13 +65,16 @@ def ics_sink(lines: DataFrame, path: str, single_file: bool = False, pieces: int
     (dynamic overwrite). Every line ends with '\\n' (the reference file has no final newline)."""
     if single_file:
         calendar, order = ["category"], SORT_COLS
+        dealt = lines.repartition(*calendar)
     else:
-        calendar, order = ["category", "month", "piece"], ("part", "start", *SORT_COLS[2:])
-        shared_dir(lines.sparkSession)
-        body = lines.checkpoint(eager=True)   # read for its sizes, its cuts and its lines
-        cut = with_pieces(body, events, pieces)
-        lines = ics_envelope(cut, calendar).withColumn("start", F.lit("")).unionByName(cut)
-    (lines.repartition(*calendar).sortWithinPartitions(*calendar, *order).select(*calendar, "line")
+        calendar, order = ["category", "month", "piece"], ("part", "at", "line_no")
+        cut = with_pieces(lines, events, pieces)
+        around = ics_envelope(cut, calendar).select(*calendar, "part", "line_no", "line")
+        dealt = cut.withColumn("part", F.lit(1)).unionByName(around, allowMissingColumns=True).repartition(*calendar)
+        block = F.when(F.col("part") == 1, event_lines(F.col("start"), F.col("dtstamp"))).otherwise(F.array("line"))
+        dealt = (dealt.select(*calendar, "part", "at", F.col("line_no").alias("_no"), F.posexplode(block).alias("_i", "line"))
+                 .withColumn("line_no", F.coalesce("_no", "_i")))
+    (dealt.sortWithinPartitions(*calendar, *order).select(*calendar, "line")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*calendar)
      .options(extension="ics", sep="\u0001", quote="\u0000", escape="\u0000", emptyValue="",
               ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

@@ -128,6 +128,34 @@ def test_a_hot_month_is_cut_evenly_in_date_order(spark):
     assert all(a == sorted(a) for a in calendars.values()) and all(a[-1] <= b[0] for a, b in zip(january, january[1:]))
 
 
+def test_a_month_has_as_many_calendars_as_its_events_need(spark):
+    """More than a thousand calendars in a month, places that repeat or are missing, events of equal size."""
+    rows = [(0, None if i % 50 == 0 else i % 7, i % 11, f"E{i}", f"2030-01-{1 + i % 28:02d}", "20:00", "Ort", "party", "") for i in range(2203)]
+    rows += [(0, 1, i, f"F{i}", "2030-02-01", f"{i % 24:02d}:00", "Ort", "party", "") for i in range(3)]
+    cut = S.with_pieces(FD.build_months(spark.createDataFrame(rows, SCHEMA), "20260316T233822Z"), events=2).select("month", "piece", "start").distinct()
+    sizes = S.with_pieces(FD.build_months(spark.createDataFrame(rows, SCHEMA), "20260316T233822Z"), events=2).groupBy("month", "piece").count().collect()
+    months = {m: [r["count"] for r in sizes if r.month == m] for m in ("203001", "203002")}
+    assert len(months["203001"]) == 1102 and sum(months["203001"]) == 2203 and set(months["203001"]) <= {1, 2}
+    assert len(months["203002"]) == 2 and sum(months["203002"]) == 3
+    starts = {}
+    for r in cut.collect():
+        starts.setdefault((r.month, r.piece), []).append(r.start)
+    january = [starts[k] for k in sorted(starts) if k[0] == "203001"]
+    assert all(max(a) <= min(b) for a, b in zip(january, january[1:]))
+
+
+def test_blocks_of_events_at_one_place_stay_whole(spark):
+    """Two events of one start and one place: their lines do not mix."""
+    rows = [(0, 0, 0, t, "2030-01-15", "20:00", "Ort", "party", "") for t in ("A", "B", "C")]
+    path = scratch_path(spark, "ics-ties")
+    S.ics_sink(FD.build_months(spark.createDataFrame(rows, SCHEMA), "20260316T233822Z"), path)
+    (text,) = ics_files(path).values()
+    lines = text.split("\n")
+    blocks = [lines[8 + 8 * i:16 + 8 * i] for i in range(3)]
+    assert all(b[0] == "BEGIN:VEVENT" and b[7] == "END:VEVENT" for b in blocks) and len(lines) == 8 + 24 + 2
+    assert sorted(b[4] for b in blocks) == ["SUMMARY:A", "SUMMARY:B", "SUMMARY:C"]
+
+
 def test_wall_clock_never_shifted_by_session_zone(spark):
     """2026-03-29 02:30 does not exist in Berlin (DST gap); the calendar must still
     say 20260329T023000, whatever the session time zone."""
