@@ -133,3 +133,12 @@ def test_text_work_is_dealt_evenly(spark):
     df = evenly(spark.range(3000).selectExpr("'s' AS source_name", "id AS page", text).coalesce(1), "source_name", "page")
     sizes = [r["count"] for r in df.withColumn("p", F.spark_partition_id()).where("text <> ''").groupBy("p").count().collect()]
     assert sum(sizes) == 3000 and max(sizes) < 3000 / 2
+
+
+def test_lines_with_marks_and_dates_of_one_point(spark):
+    """A line that holds a mark is read as any other, and short dates are read as long ones are."""
+    lines = ["\x01 3.5.2030 | A", "B \x02 04.05.2030, 19 Uhr", "Fr, 5.6. C", "2030-07-08 D 20:15", "9.8.30 E", "12.12.2030 F 13.12.2030 G"]
+    df = spark.createDataFrame([(0, "Halle", i, line) for i, line in enumerate(lines)], "source_rank bigint, source_name string, chunk_idx bigint, chunk string")
+    got = [(r.chunk_idx, r.title, r.date_raw, r.time_raw) for r in X.extract_native(df).orderBy("chunk_idx", "event_idx").collect()]
+    assert got == [(0, "\x01 | A", "2030-05-03", "20:00"), (1, "B \x02", "2030-05-04", "19:00"), (2, "C", "2026-06-05", "20:00"),
+                   (3, "D", "2030-07-08", "20:15"), (4, "E", "2030-08-09", "20:00"), (5, "F G", "2030-12-12", "20:00"), (5, "F G", "2030-12-13", "20:00")]

@@ -244,3 +244,20 @@ def test_rows_with_keys_by_bitmaps_are_the_same_rows(spark):
         want = sorted(r.id for r in df.join(wanted, df[key] == wanted["k"], "left_semi").collect())
         for most in (10**6, 0):
             assert sorted(r.id for r in rows_with_keys(df, key, wanted, most).collect()) == want, (key, most)
+
+
+def test_first_end_tag_nesting_and_marks(spark):
+    """Elements with text around the mark the patterns use, nested, empty, unclosed and with odd end tags."""
+    from calforge.functions import html as H
+    rests = {"a</b>c</b>": "a", "</b>x": "", "a<b>n</b>t</B >z": "a<b>n</b>t", "open": "open", "": "", "a</b x>c</b>d": "a</b x>c",
+             "\x01q</b>": "\x01q", "a</B>b</b>": "a", "<b>n</b>": "<b>n</b>"}
+    df = spark.createDataFrame([(k, v) for k, v in rests.items()] + [(None, None)], "rest string, want string")
+    for r in df.withColumn("got", H.inner_of_rest(F.col("rest"), "b")).collect():
+        assert r.got == r.want, (r.rest, r.got)
+    texts = ["  plain\t", "a <i>b</i>&amp;<br/> c", "x\x01\x01 y", "&lt;i&gt; ", "\x01", "<!-- c -->", "", "1 < 2", "\x01&amp;\x01b"]
+    want = ["plain", "a|b|&|c", "x|y", "<i>", "", "", "", "1 < 2", "&|b"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", H.get_text_strip(F.col("t"), "|").alias("x")).collect()
+    assert [r.x for r in sorted(got)] == want
+    cut = spark.createDataFrame([("a1b22c",), ("\x01a1b",), ("1",), ("",), ("none",)], "s string").select(
+        F.expr(H.pieces("s", "[0-9]+")).alias("new"), F.split("s", "[0-9]+").alias("old")).collect()
+    assert all(r.new == r.old for r in cut)

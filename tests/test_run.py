@@ -82,3 +82,28 @@ def test_partitions_of_page_text_are_small_unless_the_cluster_says(spark):
         assert spark.conf.get(key) == "32m"
     finally:
         spark.conf.set(key, "16m")
+
+
+def test_events_of_a_large_source_stay_where_they_are(spark):
+    """Urls of a short registry go to the events; a longer one is joined and gives the same."""
+    from calforge.operators import events as E
+    reg = spark.createDataFrame([("a", "u1", 0), ("a", "u2", 1), ("b", "u3", 2), (None, "u4", 3)], "name string, url string, rank bigint")
+    ev = spark.createDataFrame([("a", i) for i in range(50)] + [("c", 50), (None, 51)], "source_name string, n int")
+    # without its size in the plan, as after an aggregate over files
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent, joined = E.provenance(ev, reg), E.provenance(ev, reg, most=2)
+        assert "BroadcastHashJoin" in sent._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        want = sorted([("a", i, "u2") for i in range(50)] + [("c", 50, ""), ("", 51, "")])
+        for df in (sent, joined):
+            assert sorted((r.source_name or "", r.n, r.source_url) for r in df.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_text_work_keeps_all_its_partitions(spark):
+    from calforge.session import evenly
+    rows = evenly(spark.createDataFrame([(i, "x") for i in range(200)], "page int, text string"), "page")
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
